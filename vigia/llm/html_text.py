@@ -154,6 +154,9 @@ LABELLED = [
     (18, 0.0, 50, 0.0, 22, 0.0, 0, 0, 1, 0, 0, 0), (60, 0.0, 18, 0.0, 40, 0.0, 0, 0, 1, 0, 0, 0), (5, 0.0, 70, 0.0, 60, 0.0, 1, 0, 1, 0, 0, 0),
     (22, 0.0, 45, 0.0, 50, 0.0, 1, 0, 1, 0, 0, 0), (3, 0.0, 20, 0.0, 4, 0.0, 1, 1, 0, 0, 0, 0), (9, 0.4, 60, 0.0, 30, 0.0, 1, 1, 0, 0, 0, 0),
     (6, 0.0, 0, 0.0, 1, 1.0, 0, 1, 0, 1, 0, 0), (4, 0.0, 30, 0.0, 18, 0.0, 0, 0, 1, 1, 0, 0), (110, 0.0, 4, 0.0, 60, 0.0, 0, 1, 0, 0, 0, 0),
+    (40, 0.0, 80, 0.0, 0, 0.0, 0, 1, 0, 0, 0, 0), (60, 0.0, 30, 0.0, 9, 0.0, 0, 1, 0, 0, 0, 0), (32, 0.0, 4, 0.0, 6, 0.0, 0, 1, 0, 0, 1, 0),
+    (50, 0.0, 60, 0.0, 12, 0.0, 0, 0, 1, 0, 0, 0), (35, 0.0, 90, 0.0, 0, 0.0, 0, 0, 1, 0, 0, 0), (90, 0.0, 40, 0.0, 20, 0.0, 0, 0, 1, 0, 0, 0),
+    (120, 0.0, 5, 0.0, 8, 0.0, 0, 1, 0, 0, 0, 0), (75, 0.1, 120, 0.0, 3, 0.0, 0, 1, 1, 0, 0, 0), (30, 0.0, 110, 0.0, 60, 0.0, 0, 1, 0, 0, 0, 0),
     (2, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0, 0, 0), (3, 0.0, 1, 1.0, 0, 0.0, 0, 0, 0, 0, 0, 0), (5, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0, 0, 0),
     (6, 0.3, 90, 0.0, 0, 0.0, 0, 0, 0, 0, 0, 0), (3, 0.0, 9, 0.9, 6, 1.0, 0, 0, 0, 1, 0, 0),
     # articles: headlines, paragraphs of any length, list entries, links in the text
@@ -162,6 +165,11 @@ LABELLED = [
     (250, 0.0, 3, 0.0, 14, 0.0, 1, 0, 0, 0, 0, 1), (35, 0.1, 20, 0.0, 20, 0.0, 1, 0, 0, 0, 0, 1), (16, 0.3, 45, 0.0, 12, 0.0, 1, 0, 0, 0, 0, 1),
     (3, 1.0, 40, 0.0, 35, 0.0, 1, 0, 0, 0, 0, 1), (9, 0.0, 20, 0.0, 8, 0.0, 1, 0, 0, 0, 1, 1), (5, 1.0, 14, 0.0, 9, 0.0, 1, 0, 0, 0, 1, 1),
     (20, 0.0, 60, 0.0, 14, 0.0, 1, 0, 0, 0, 0, 1), (4, 0.0, 80, 0.0, 70, 0.0, 1, 0, 0, 1, 0, 1), (11, 0.0, 1, 1.0, 33, 0.0, 1, 0, 0, 0, 0, 1),
+    (40, 0.0, 108, 0.0, 2, 0.0, 1, 0, 0, 0, 0, 1), (1, 0.0, 123, 0.0, 9, 0.0, 1, 0, 0, 0, 0, 1), (13, 0.0, 144, 0.0, 5, 0.0, 1, 0, 0, 0, 0, 1),
+    (138, 0.0, 208, 0.0, 130, 0.0, 1, 0, 0, 0, 0, 1), (7, 0.0, 138, 0.0, 79, 0.0, 1, 0, 0, 0, 0, 1), (41, 0.0, 274, 0.0, 300, 0.0, 1, 0, 0, 0, 0, 1),
+    (2, 0.0, 253, 0.0, 10, 0.0, 1, 0, 0, 0, 0, 1), (900, 0.0, 500, 0.0, 700, 0.0, 1, 0, 0, 0, 0, 1), (6, 0.0, 800, 0.0, 1, 0.0, 1, 0, 0, 0, 0, 1),
+    (24, 0.0, 104, 0.0, 0, 0.0, 1, 0, 0, 0, 0, 1), (1, 1.0, 90, 0.0, 120, 0.0, 1, 0, 0, 0, 0, 1), (2, 0.0, 5, 1.0, 4, 1.0, 1, 0, 0, 0, 1, 1),
+    (70, 0.0, 160, 0.0, 90, 0.0, 0, 0, 0, 0, 0, 1), (130, 0.0, 220, 0.0, 15, 0.0, 0, 0, 0, 0, 0, 1), (16, 0.0, 140, 0.0, 110, 0.0, 0, 0, 0, 0, 0, 1),
     (45, 0.0, 30, 0.0, 50, 0.0, 0, 0, 0, 0, 0, 1), (80, 0.05, 6, 0.0, 30, 0.0, 0, 0, 0, 0, 0, 1), (18, 0.0, 40, 0.0, 35, 0.0, 0, 0, 0, 0, 0, 1),
     (12, 0.0, 55, 0.0, 48, 0.0, 0, 0, 0, 0, 0, 1), (150, 0.1, 1, 1.0, 60, 0.0, 0, 0, 0, 0, 0, 1), (28, 0.1, 70, 0.0, 6, 1.0, 0, 0, 0, 0, 0, 1),
     (7, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 0, 0, 1), (6, 0.0, 2, 1.0, 50, 0.0, 0, 0, 0, 1, 0, 1), (9, 0.0, 45, 0.0, 62, 0.0, 0, 0, 0, 1, 0, 1),

@@ -9,7 +9,8 @@ group only if its overlap with the union leaves a similar member possible.
 This happens twice:
 
 * inside blocks of sets with a common prefix token, where the matrix is an array. A
-  frequent token's sets are dealt over several blocks;
+  frequent token's sets are dealt over several blocks, and bit vectors of the sets rule
+  out those without a possible partner before texts are brought together;
 * between the components of the first step that still share a prefix token: unions are
   bit vectors, built up over all members without gathering them, and the groups that
   qualify are opened in blocks of bounded size.
@@ -81,12 +82,25 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return int(np.add.reduce(mix(s ^ U64(0xA5A5A5A5A5A5A5A5))).view(np.int64)), int(np.bitwise_xor.reduce(mix(s + U64(0x9E3779B9))).view(np.int64))
 
 
-FIRST = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("token", pa.int64()), ("seen", pa.int64())])
-FIRST_DDL = "id long, n long, s1 long, s2 long, token long, seen long"
+def bit_words(s: np.ndarray) -> np.ndarray:
+    """A bit vector of a set: at least four bits a token, its length a power of two, so that vectors fold onto shorter ones."""
+    m = max(64, 1 << (4 * len(s) - 1).bit_length())
+    bits = np.zeros(m, np.uint8)
+    bits[(s & U64(m - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    cut = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64), pa.int64()))
+
+
+FIRST = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bits", pa.list_(pa.int64())), ("token", pa.int64()), ("seen", pa.int64())])
+FIRST_DDL = "id long, n long, s1 long, s2 long, bits array<long>, token long, seen long"
 
 
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A signature for each document, and the tokens that are frequent in a stretch of sets that differ."""
+    """A signature and a bit vector for each document, and the tokens that are frequent in a stretch of sets that differ."""
     known: set[tuple] = set()
     stretch: list[np.ndarray] = []
     size = 0
@@ -95,20 +109,20 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, seen = np.unique(np.concatenate(stretch), return_counts=True) if stretch else (np.zeros(0, U64), np.zeros(0, np.int64))
         token, seen = token[seen >= LOCAL], seen[seen >= LOCAL]
         none = pa.nulls(len(token), pa.int64())
-        return record_batch(FIRST, [none, none, none, none, token.view(np.int64), seen])
+        return record_batch(FIRST, [none, none, none, none, pa.nulls(len(token), pa.list_(pa.int64())), token.view(np.int64), seen])
 
     for batch in batches:
         for i, j, data, offsets in slices(batch.column(1)):
-            n, s1, s2 = [], [], []
+            n, s1, s2, bits = [], [], [], []
             for s in shingle_sets(data, offsets):
                 a, b = _signature(s) if len(s) else (0, 0)
-                n.append(len(s)), s1.append(a), s2.append(b)
+                n.append(len(s)), s1.append(a), s2.append(b), bits.append(bit_words(s) if len(s) else np.zeros(0, np.int64))
                 if len(s) and (key := (len(s), a, b)) not in known:
                     known.add(key)
                     stretch.append(s)
                     size += len(s)
             none = pa.nulls(j - i, pa.int64())
-            yield record_batch(FIRST, [batch.column(0).slice(i, j - i), n, s1, s2, none, none])
+            yield record_batch(FIRST, [batch.column(0).slice(i, j - i), n, s1, s2, _lists(bits), none, none])
             if size >= STRETCH:
                 yield frequent()
                 stretch, size = [], 0
@@ -144,24 +158,6 @@ def _prefixes(batches: Iterator[pa.RecordBatch], shared, percent: int) -> Iterat
                 yield record_batch(PREFIX, [np.concatenate(tokens).view(np.int64), np.concatenate(owners)])
 
 
-SETS = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
-
-
-def bit_words(s: np.ndarray) -> np.ndarray:
-    """A bit vector of a set: at least four bits a token, its length a power of two, so that vectors fold onto shorter ones."""
-    m = max(64, 1 << (4 * len(s) - 1).bit_length())
-    bits = np.zeros(m, np.uint8)
-    bits[(s & U64(m - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").view(np.int64)
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i, j, data, offsets in slices(batch.column(1)):
-            found = shingle_sets(data, offsets)
-            yield record_batch(SETS, [batch.column(0).slice(i, j - i), [len(s) for s in found], [s.view(np.int64) for s in found], [bit_words(s) for s in found]])
-
-
 def link_block(ids: list[int], sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
     """Edges that join the components of the similar sets of a block, by a token-group matrix.
 
@@ -211,7 +207,7 @@ EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
 def _link_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows (block, rep, tokens) sorted by block: each block is linked when it is complete."""
+    """Rows (block, rep, text) sorted by block: each block is linked when it is complete."""
     block, ids, sets = None, [], []
     us, vs = [], []
 
@@ -220,14 +216,14 @@ def _link_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
             us.append(u), vs.append(v)
 
     for batch in batches:
-        names, reps, lists = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
-        flat, cut = lists.flatten().to_numpy().view(U64), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-        for k, name in enumerate(names):
-            if name != block:
-                finish()
-                block, ids, sets = name, [], []
-            ids.append(reps[k])
-            sets.append(flat[cut[k] : cut[k + 1]].copy())
+        names, reps = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for i, _, data, offsets in slices(batch.column(2)):
+            for k, s in enumerate(shingle_sets(data, offsets), i):
+                if names[k] != block:
+                    finish()
+                    block, ids, sets = names[k], [], []
+                ids.append(reps[k])
+                sets.append(s)
         if us:
             yield record_batch(EDGES, [us, vs])
             us, vs = [], []
@@ -236,10 +232,67 @@ def _link_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
         yield record_batch(EDGES, [us, vs])
 
 
-def _linked(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Edges from ``blocks`` (block, rep): the sets are brought to their blocks."""
-    rows = blocks.join(sets.select("rep", "tokens"), "rep").select("block", "rep", "tokens")
-    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(lambda it: _link_blocks(it, percent), "u long, v long")
+def _linked(blocks: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Edges from ``blocks`` (block, rep): the texts are brought to their blocks."""
+    texts = rows.join(blocks, rows["id"] == blocks["rep"]).select("block", "rep", "text")
+    return texts.repartition("block").sortWithinPartitions("block").mapInArrow(lambda it: _link_blocks(it, percent), "u long, v long")
+
+
+def _folded(x: np.ndarray, size: int) -> np.ndarray:
+    return np.bitwise_or.reduce(x.reshape(-1, size), axis=0)
+
+
+def partners(sizes: np.ndarray, bits: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+    """Which sets of a block can be similar to another one, by size and bit vectors. A bit that one
+    has and the other lacks is at least one token that the other lacks."""
+    found = np.zeros(len(sizes), bool)
+    lengths = np.array([len(b) for b in bits])
+    classes = {m: (np.flatnonzero(lengths == m), np.stack([b for b in bits if len(b) == m])) for m in set(lengths.tolist())}
+    for k, n in enumerate(sizes):
+        for m, (rows, table) in classes.items():
+            if m > lengths[k]:
+                continue
+            fits = rows[(100 * sizes[rows] >= percent * n) & (percent * sizes[rows] <= 100 * n) & (rows != k)]
+            if not len(fits):
+                continue
+            other = table[np.searchsorted(rows, fits)]
+            own = _folded(bits[k], m)
+            lost = np.bitwise_count(own & ~other).sum(axis=1)
+            gained = np.bitwise_count(other & ~own).sum(axis=1)
+            good = (100 * (n - lost) >= percent * n) & (100 * (sizes[fits] - gained) >= percent * sizes[fits])
+            if good.any():
+                found[k] = True
+                found[fits[good]] = True
+    return found
+
+
+PLACES = pa.schema([("block", pa.string()), ("rep", pa.int64())])
+
+
+def _with_partner(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (block, rep, n, bits) sorted by block: the (block, rep) that stay."""
+    block, reps, sizes, bits = None, [], [], []
+    names, stay = [], []
+
+    def finish():
+        if len(reps) > 1:
+            for k in np.flatnonzero(partners(np.array(sizes), bits, percent)):
+                names.append(block), stay.append(reps[k])
+
+    for batch in batches:
+        keys, ids, counts = (batch.column(k).to_pylist() for k in (0, 1, 2))
+        flat, cut = batch.column(3).flatten().to_numpy(zero_copy_only=False).view(U64), np.concatenate([[0], np.cumsum(batch.column(3).value_lengths().to_numpy(zero_copy_only=False))])
+        for k, key in enumerate(keys):
+            if key != block:
+                finish()
+                block, reps, sizes, bits = key, [], [], []
+            reps.append(ids[k]), sizes.append(counts[k]), bits.append(flat[cut[k] : cut[k + 1]].copy())
+        if names:
+            yield record_batch(PLACES, [names, stay])
+            names, stay = [], []
+    finish()
+    if names:
+        yield record_batch(PLACES, [names, stay])
 
 
 QUERIES = pa.schema([("rep", pa.int64()), ("comp", pa.int64())])
@@ -256,14 +309,13 @@ def _bounded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         for k in range(batch.num_rows):
             x, y = a[ca[k] : ca[k + 1]], b[cb[k] : cb[k + 1]]
             size = min(len(x), len(y))
-            x, y = np.bitwise_or.reduce(x.reshape(-1, size), axis=0), np.bitwise_or.reduce(y.reshape(-1, size), axis=0)
-            # each bit of the set that the union lacks is at least one token that it lacks
+            x, y = _folded(x, size), _folded(y, size)
             keep[k] = 100 * (n[k] - int(np.bitwise_count(x & ~y).sum())) >= percent * n[k]
         mask = pa.array(keep)
         yield record_batch(QUERIES, [batch.column(0).filter(mask), batch.column(3).filter(mask)])
 
 
-def _across(shared: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """Edges between components of the first step: sets that share a prefix token with a group of another component,
     that the group's union bounds, meet its members."""
     placed = shared.join(comps, shared["rep"] == comps["node"], "left").select("token", "rep", F.coalesce("component", "rep").alias("comp"))
@@ -293,8 +345,8 @@ def _across(shared: DataFrame, sets: DataFrame, comps: DataFrame, percent: int)
     cell = lambda m, v: F.concat_ws(":", "comp", m, v)
     mine = inside.join(grid, "comp").select("rep", "comp", F.pmod(F.xxhash64("rep"), "mb").alias("m"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("vb") - 1)).alias("v"))
     theirs = good.join(grid, "comp").select("rep", "comp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1)).alias("m"), F.pmod(F.xxhash64("rep"), "vb").alias("v"))
-    blocks = mine.unionByName(theirs).select(cell("m", "v").alias("block"), "rep")
-    return _linked(blocks, sets, percent)
+    blocks = materialize(mine.unionByName(theirs).select(cell("m", "v").alias("block"), "rep"), "grid")
+    return _linked(blocks, rows, percent)
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -326,18 +378,19 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     different = by_class.groupBy("token").agg(F.min("rep").alias("_a"), F.max("rep").alias("_b")).where("_a < _b").select("token")
     shared = materialize(by_class.join(different, "token", "left_semi"), "shared")
 
-    needed = materialize(shared.select("rep").distinct(), "needed")
-    sets = rows.join(needed, rows["id"] == needed["rep"], "left_semi").mapInArrow(_sets, "rep long, n long, tokens array<long>, bits array<long>")
-    sets = materialize(sets, "sets")
+    sets = first.where("id is not null").select(F.col("id").alias("rep"), "n", "bits").join(shared.select("rep").distinct(), "rep", "left_semi")
+    sets = materialize(sets.dropDuplicates(["rep"]), "sets")
 
     # two tokens of each set name its groups: the first and the last by hash
     keys = shared.groupBy("rep").agg(F.min("token").alias("a"), F.max("token").alias("b")).select("rep", F.explode(F.array_distinct(F.array("a", "b"))).alias("key"))
     keys = materialize(keys, "group-keys")
     blocks = keys.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key", F.ceil(F.col("_n") / BLOCK).cast("long").alias("blocks"))
     dealt = keys.join(blocks, "key").select(F.concat_ws(":", "key", F.pmod(F.xxhash64("rep", "key"), "blocks")).alias("block"), "rep")
-    inner = materialize(_linked(dealt, sets, percent), "links-inner")
+    dealt = dealt.join(sets, "rep").select("block", "rep", "n", "bits").repartition("block").sortWithinPartitions("block")
+    possible = materialize(dealt.mapInArrow(lambda it: _with_partner(it, percent), "block string, rep long"), "possible")
+    inner = materialize(_linked(possible, rows, percent), "links-inner")
     comps = connected(inner)
-    outer = materialize(_across(shared, sets, comps, percent), "links-outer")
+    outer = materialize(_across(shared, rows, sets, comps, percent), "links-outer")
     if not outer.isEmpty():
         comps = connected(comps.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(outer))
     found = placed.join(comps, placed["rep"] == comps["node"], "left")

@@ -18,7 +18,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,9 +30,10 @@ from pyspark.sql import functions as F
 from .textops import record_batch
 
 MARK = "▁"
-UNKNOWN = -1
 #: Distinct words whose pieces a worker remembers, and characters of a batch that are worked on at once.
-CACHE_WORDS, SLICE_CHARS = 200_000, 4_000_000
+CACHE_WORDS, SLICE_CHARS = 800_000, 4_000_000
+#: Neighbouring pieces whose fit a worker remembers.
+CACHE_PAIRS = 1_000_000
 
 
 @dataclass
@@ -69,33 +71,43 @@ class Encoder:
         self.v = vocabulary
         self.ids = {p: i for i, p in enumerate(vocabulary.pieces) if vocabulary.normal[i]}
         self.longest = max(map(len, self.ids), default=1)
-        self.lengths = [len(p) for p in vocabulary.pieces]
-        joined = {c for p in self.ids if len(p) > 1 for c in p}
-        self.joined = joined
-        self.fits: dict[tuple, bool] = {}
-        self.known: dict[str, list[int]] = {}
-        self.step = self._bpe if vocabulary.kind == "bpe" else self._viterbi
+        self.joined = {c for p in self.ids if len(p) > 1 for c in p}
+        self.known: dict[str, bytes] = {}
+        self.fits: dict[tuple[str, str], bool] = {}
+        self.halves: dict[str, tuple[str, str]] = {}
         self.low = min(vocabulary.scores, default=0.0) - 10.0
-
-    def merges(self, text: str) -> list[str]:
-        """BPE by its definition: the best-scored neighbours are joined first, the leftmost of equals."""
+        if vocabulary.kind == "bpe":
+            longer = sorted((p for p in self.ids if len(p) > 1), key=lambda p: -vocabulary.scores[self.ids[p]])
+            self.rank = {p: k for k, p in enumerate(longer)}
+            #: pieces of several characters, read from their end: the 0 of a node says that a piece begins there
+            self.ends: dict = {}
+            for p in longer:
+                node = self.ends
+                for c in reversed(p):
+                    node = node.setdefault(c, {})
+                node[0] = True
+
+    def merges(self, text: str, stop: int = 0) -> list[str]:
+        """BPE by its definition: the best-scored neighbours are joined first, the leftmost of equals; ends at ``stop`` parts."""
         parts: list[str | None] = list(text)
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
         heap: list[tuple] = []
+        left_over = len(parts)
 
         def offer(i: int) -> None:
             j = after[i]
-            if j < len(parts) and (k := self.ids.get(parts[i] + parts[j])) is not None:
-                heapq.heappush(heap, (-self.v.scores[k], i, parts[i], parts[j]))
+            if j < len(parts) and (k := self.rank.get(parts[i] + parts[j])) is not None:
+                heapq.heappush(heap, (k, i, parts[i], parts[j]))
 
         for i in range(len(parts) - 1):
             offer(i)
-        while heap:
+        while heap and left_over > stop:
             _, i, left, right = heapq.heappop(heap)
             j = after[i]
             if parts[i] != left or j >= len(parts) or parts[j] != right:
                 continue
             parts[i], parts[j] = left + right, None
+            left_over -= 1
             after[i] = after[j]
             if after[j] < len(parts):
                 before[after[j]] = i
@@ -104,40 +116,75 @@ class Encoder:
                 offer(before[i])
         return [p for p in parts if p is not None]
 
-    def _fit(self, left: str, right: str) -> bool:
-        key = (left, right)
-        found = self.fits.get(key)
+    def _halves(self, piece: str) -> tuple[str, str]:
+        """The two pieces that are joined last when ``piece`` comes about."""
+        found = self.halves.get(piece)
         if found is None:
-            found = self.merges(left + right) == [left, right]
-            if len(self.fits) > 2_000_000:
-                self.fits.clear()
-            self.fits[key] = found
+            parts = self.merges(piece, 2)
+            found = self.halves[piece] = (parts[0], parts[-1])
         return found
 
-    def _bpe(self, word: str, i: int, last: list) -> str:
-        """The last piece of the prefix that ends at i; last[j] is that of the prefix of j characters."""
-        ids = self.ids
-        for j in range(max(0, i - self.longest), i):
-            piece = word[j:i]
-            if (piece in ids or j == i - 1) and (j == 0 or self._fits(last[j], piece)):
-                return piece
-        raise AssertionError(word)
-
-    def _fits(self, left: str, right: str) -> bool:
-        found = self.fits.get((left, right))
-        return self._fit(left, right) if found is None else found
-
-    def _viterbi(self, word: str, i: int, last: list) -> tuple[float, str]:
-        best = None
-        for j in range(max(0, i - self.longest), i):
-            piece = word[j:i]
-            k = self.ids.get(piece)
-            if k is None and j < i - 1:
-                continue
-            score = (last[j][0] if j else 0.0) + (self.v.scores[k] if k is not None else self.low)
-            if best is None or score > best[0]:
-                best = (score, piece)
-        return best
+    def _fit(self, left: str, right: str) -> bool:
+        """Whether both stay as they are side by side: their merges are undone, the latest first, and nothing
+        that could be joined across the border may come before what was undone."""
+        rank = self.rank.get
+        a, b, limit = left, right, len(self.rank)
+        while True:
+            joined = rank(a + b)
+            if joined is not None and joined < limit:
+                found = False
+                break
+            ra, rb = rank(a, -1), rank(b, -1)
+            if ra > rb:
+                limit, a = ra, self._halves(a)[1]
+            elif rb >= 0:
+                limit, b = rb + 1, self._halves(b)[0]
+            else:
+                found = True
+                break
+        if len(self.fits) > CACHE_PAIRS:
+            self.fits.clear()
+        self.fits[left, right] = found
+        return found
+
+    def _bpe(self, word: str, first: int, last: list) -> None:
+        """Adds the last pieces of the prefixes that end after ``first``; last[j] is that of the prefix of j characters."""
+        ends, fits, fit = self.ends, self.fits.get, self._fit
+        for i in range(first, len(word) + 1):
+            node, k, begins = ends, i, []
+            while k:
+                k -= 1
+                node = node.get(word[k])
+                if node is None:
+                    break
+                if 0 in node:
+                    begins.append(k)
+            for k in reversed(begins):
+                piece = word[k:i]
+                if k:
+                    good = fits((last[k], piece))
+                    if good is None:
+                        good = fit(last[k], piece)
+                    if not good:
+                        continue
+                last.append(piece)
+                break
+            else:
+                last.append(word[i - 1])
+
+    def _viterbi(self, word: str, first: int, last: list) -> None:
+        """Adds (score, last piece) of the best paths to the prefixes that end after ``first``."""
+        for i in range(first, len(word) + 1):
+            best = None
+            for j in range(max(0, i - self.longest), i):
+                piece = word[j:i]
+                k = self.ids.get(piece)
+                if k is None and j < i - 1:
+                    continue
+                score = (last[j][0] if j else 0.0) + (self.v.scores[k] if k is not None else self.low)
+                if best is None or score > best[0]:
+                    best = (score, piece)
+            last.append(best)
 
     def _path(self, word: str, last: list) -> list[int]:
         out, i = [], len(word)
@@ -156,19 +203,18 @@ class Encoder:
                 ids.append(self.v.unknown)
         return ids
 
-    def encode_words(self, words: list[str]) -> dict[str, list[int]]:
+    def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
         """Pieces of distinct words: the trie walk."""
         found: dict[str, list[int]] = {}
         last: list = [None]
         previous = ""
-        step = self.step
+        walk = self._bpe if self.v.kind == "bpe" else self._viterbi
         for word in sorted(words):
             shared, most = 0, min(len(word), len(previous))
             while shared < most and word[shared] == previous[shared]:
                 shared += 1
             del last[shared + 1 :]
-            for i in range(shared + 1, len(word) + 1):
-                last.append(step(word, i, last))
+            walk(word, shared + 1, last)
             found[word] = self._path(word, last)
             previous = word
         return found
@@ -189,22 +235,12 @@ class Encoder:
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         parts = [self._cut(self.split(t)) if t else [] for t in texts]
-        fresh = {w for p in parts for w in p} - self.known.keys()
-        if len(self.known) + len(fresh) > CACHE_WORDS:
-            self.known = {}
-            fresh = {w for p in parts for w in p}
-        known = self.known | self.encode_words(list(fresh)) if len(fresh) > CACHE_WORDS else self._learn(fresh)
-        out = []
-        for p in parts:
-            ids: list[int] = []
-            for w in p:
-                ids += known[w]
-            out.append(np.array(ids, dtype=np.int32))
-        return out
-
-    def _learn(self, fresh: set[str]) -> dict[str, list[int]]:
-        self.known |= self.encode_words(list(fresh))
-        return self.known
+        distinct = set().union(*parts)
+        if len(self.known) + len(distinct) > CACHE_WORDS:
+            self.known.clear()
+        self.known.update((w, array("i", ids).tobytes()) for w, ids in self.encode_words([w for w in distinct if w not in self.known]).items())
+        known = self.known
+        return [np.frombuffer(b"".join([known[w] for w in p]), dtype=np.int32) for p in parts]
 
     def _cut(self, words: list[str]) -> list[str]:
         """Cuts at line feeds when they stand in no longer piece, the case in which lines glue words together."""
