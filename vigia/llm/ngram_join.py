@@ -35,8 +35,8 @@ SHINGLE = 5
 PERCENT = 80
 #: Sets that meet in a block.
 BLOCK = 256
-#: A token counts as frequent if it is in so many sets of some stretch of so many tokens, and so many altogether.
-STRETCH, LOCAL, OVERALL = 2_000_000, 4, 16
+#: A token counts as frequent if it stands in the wide prefixes of so many sets; tokens are counted by stretches of so many.
+OVERALL, STRETCH = 16, 2_000_000
 #: Tokens that the order treats as frequent, at most: what is broadcast is 8 bytes for each.
 FREQUENT = 1_000_000
 WORD = byte_class("space")
@@ -99,15 +99,16 @@ FIRST = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("
 FIRST_DDL = "id long, n long, s1 long, s2 long, bits array<long>, token long, seen long"
 
 
-def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A signature and a bit vector for each document, and the tokens that are frequent in a stretch of sets that differ."""
+def _first_pass(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """A signature and a bit vector for each document, and how often each token stands in the wide prefix of a set.
+
+    The prefixes that are taken later skip frequent tokens, so counts reach half as far again."""
     known: set[tuple] = set()
     stretch: list[np.ndarray] = []
     size = 0
 
-    def frequent():
+    def counted():
         token, seen = np.unique(np.concatenate(stretch), return_counts=True) if stretch else (np.zeros(0, U64), np.zeros(0, np.int64))
-        token, seen = token[seen >= LOCAL], seen[seen >= LOCAL]
         none = pa.nulls(len(token), pa.int64())
         return record_batch(FIRST, [none, none, none, none, pa.nulls(len(token), pa.list_(pa.int64())), token.view(np.int64), seen])
 
@@ -119,14 +120,15 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n.append(len(s)), s1.append(a), s2.append(b), bits.append(bit_words(s) if len(s) else np.zeros(0, np.int64))
                 if len(s) and (key := (len(s), a, b)) not in known:
                     known.add(key)
-                    stretch.append(s)
-                    size += len(s)
+                    wide = prefix_length(len(s), percent)
+                    stretch.append(s[: wide + wide // 2 + 16])
+                    size += len(stretch[-1])
             none = pa.nulls(j - i, pa.int64())
             yield record_batch(FIRST, [batch.column(0).slice(i, j - i), n, s1, s2, _lists(bits), none, none])
             if size >= STRETCH:
-                yield frequent()
+                yield counted()
                 stretch, size = [], 0
-    yield frequent()
+    yield counted()
 
 
 PREFIX = pa.schema([("token", pa.int64()), ("id", pa.int64())])
@@ -359,7 +361,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     """
     spark = docs.sparkSession
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    first = materialize(rows.mapInArrow(_first_pass, FIRST_DDL), "signatures")
+    first = materialize(rows.mapInArrow(lambda it: _first_pass(it, percent), FIRST_DDL), "signatures")
 
     described = first.where("id is not null").select("id", "n", "s1", "s2")
     classes = described.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
