@@ -41,7 +41,7 @@ def against_baseline(panel: DataFrame, year: int, first: int, last: int, mode: s
 def scenario(rows: DataFrame) -> DataFrame:
     """O123: one of eight scenarios, a priority of four, and its score."""
     up, down = F.coalesce("delta_pct", F.lit(0.0)) >= 25, F.coalesce("delta_pct", F.lit(0.0)) <= -25
-    warmer, high = F.coalesce("delta_pp", F.lit(0.0)) >= 5, F.coalesce("positividade", F.lit(0.0)) >= 0.30
+    warmer, high = F.round(F.coalesce("delta_pp", F.lit(0.0)), 9) >= 5, F.coalesce("positividade", F.lit(0.0)) >= 0.30
     name = (
         F.when((F.col("tests") == 0) & (F.col("notificacoes") > 0), "silencio_laboratorial").when(up & warmer, "surto_em_expansao").when(warmer & down, "subtestagem")
         .when(warmer, "positividade_em_alta").when(up & high, "alta_demanda_com_positividade").when(up, "alta_demanda").when(down, "queda_de_testagem").otherwise("estavel")

@@ -1,0 +1,6 @@
+"""Registered queries of the library."""
+
+from . import decisions, surveillance  # noqa: F401  they fill the registry
+from .registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
