@@ -58,9 +58,10 @@ def brute_components(sets):
     return [find(i) for i in range(len(sets))]
 
 
-@pytest.mark.parametrize("block", [256, 3])
-def test_ngram_join_is_exact(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "crowd"), [(256, 32), (3, 2)])
+def test_ngram_join_is_exact(spark, monkeypatch, block, crowd):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "CROWD", crowd)
     texts = near_copies()
     sets = [shingles(t) for t in texts]
     got = {r["doc_id"]: r for r in ngram_join.join(table(spark, texts)).collect()}

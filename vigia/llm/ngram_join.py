@@ -33,8 +33,10 @@ from .textops import ASCII_LOWER, U64, Words, byte_class, materialize, mix, reco
 
 SHINGLE = 5
 PERCENT = 80
-#: Sets that meet in a block.
-BLOCK = 256
+#: Sets that meet in a block, and sets from which on a block counts as a group of its own.
+BLOCK, CROWD = 256, 32
+#: Numbers that ids are hashed to when texts are picked: what is broadcast is 8 bytes for each.
+PICKED = 1_000_000
 #: A token counts as frequent if it stands in the wide prefixes of so many sets; tokens are counted by stretches of so many.
 OVERALL, STRETCH = 16, 2_000_000
 #: Tokens that the order treats as frequent, at most: what is broadcast is 8 bytes for each.
@@ -235,8 +237,14 @@ def _link_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
 
 
 def _linked(blocks: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Edges from ``blocks`` (block, rep): the texts are brought to their blocks."""
-    texts = rows.join(blocks, rows["id"] == blocks["rep"]).select("block", "rep", "text")
+    """Edges from ``blocks`` (block, rep): the texts are brought to their blocks.
+
+    Most texts are in no block. They are left out by the hash of their id, of ``PICKED`` values at most,
+    before the join shuffles what remains."""
+    number = lambda c: F.pmod(F.xxhash64(c), F.lit(PICKED))
+    picked = F.broadcast(blocks.select(number("rep").alias("_number")).distinct())
+    likely = rows.withColumn("_number", number("id")).join(picked, "_number", "left_semi")
+    texts = likely.join(blocks, likely["id"] == blocks["rep"]).select("block", "rep", "text")
     return texts.repartition("block").sortWithinPartitions("block").mapInArrow(lambda it: _link_blocks(it, percent), "u long, v long")
 
 
@@ -297,7 +305,7 @@ def _with_partner(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[p
         yield record_batch(PLACES, [names, stay])
 
 
-QUERIES = pa.schema([("rep", pa.int64()), ("comp", pa.int64())])
+QUERIES = pa.schema([("rep", pa.int64()), ("comp", pa.string())])
 
 
 def _bounded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -317,18 +325,31 @@ def _bounded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield record_batch(QUERIES, [batch.column(0).filter(mask), batch.column(3).filter(mask)])
 
 
-def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFrame, dealt: DataFrame, percent: int) -> DataFrame:
     """Edges between components of the first step: sets that share a prefix token with a group of another component,
-    that the group's union bounds, meet its members."""
-    placed = shared.join(comps, shared["rep"] == comps["node"], "left").select("token", "rep", F.coalesce("component", "rep").alias("comp"))
-    placed = materialize(placed, "placed")
+    that the group's union bounds, meet its members.
+
+    A group is a component. Where a block is crowded with small ones, whose sets have been compared
+    with each other, the block is the group. Sets ask groups of a higher rank (small components,
+    crowded blocks, large components), or of the same rank and a smaller name.
+    """
+    reps = shared.select("rep").distinct().join(comps, F.col("rep") == comps["node"], "left").select("rep", F.coalesce("component", "rep").alias("comp"))
+    first = dealt.where("is_first").select("rep", "block")
+    crowds = first.groupBy("block").agg(F.count(F.lit(1)).alias("_b")).where(F.col("_b") >= CROWD)
+    large = reps.groupBy("comp").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > BLOCK)
+    ranked = reps.join(large, "comp", "left").join(first.join(crowds, "block"), "rep", "left")
+    rank = F.when(F.col("_c").isNotNull(), 2).when(F.col("_b").isNotNull(), 1).otherwise(0)
+    group = F.when(rank == 1, F.concat(F.lit("b"), "block")).otherwise(F.concat(F.lit("c"), F.col("comp").cast("string")))
+    placed = materialize(shared.join(ranked.select("rep", "comp", rank.alias("rank"), group.alias("grp")), "rep"), "placed")
     mixed = placed.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a < _b").select("token")
     open_ = materialize(placed.join(mixed, "token", "left_semi"), "open")
-    groups = open_.select("token", F.col("comp").alias("other")).distinct()
-    queries = open_.join(groups, "token").where("comp > other").select("rep", F.col("other").alias("comp")).distinct()
+    groups = open_.groupBy("token", F.col("grp").alias("_grp"), F.col("rank").alias("_rank")).agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"))
+    asks = ((F.col("_rank") > F.col("rank")) | ((F.col("_rank") == F.col("rank")) & (F.col("_grp") < F.col("grp")))) & ((F.col("_a") != F.col("comp")) | (F.col("_b") != F.col("comp")))
+    queries = open_.join(groups, "token").where(asks).select("rep", F.col("_grp").alias("comp")).distinct()
     queries = materialize(queries, "queries")
 
-    members = placed.select("rep", "comp").distinct().join(queries.select("comp").distinct(), "comp", "left_semi")
+    of_group = placed.select("rep", F.col("grp").alias("comp")).distinct()
+    members = of_group.join(queries.select("comp").distinct(), "comp", "left_semi")
     words = members.join(sets.select("rep", "bits"), "rep").withColumn("size", F.size("bits"))
     least = words.groupBy("comp").agg(F.min("size").alias("least"))
     # a union's bits: the members' words, folded to the shortest vector, are added up place by place
@@ -338,10 +359,10 @@ def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFram
         .groupBy("comp").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("row")).select("comp", F.col("row.word").alias("union"))
     )
     asked = queries.join(sets.select("rep", "n", "bits"), "rep").join(union, "comp").select("rep", "n", "bits", "comp", "union")
-    good = materialize(asked.mapInArrow(lambda it: _bounded(it, percent), "rep long, comp long"), "qualified")
+    good = materialize(asked.mapInArrow(lambda it: _bounded(it, percent), "rep long, comp string"), "qualified")
 
     # open the groups: members and visitors of a group are dealt to a grid of blocks, so that each pair meets in one
-    inside = placed.select("rep", "comp").distinct().join(good.select("comp").distinct(), "comp", "left_semi")
+    inside = of_group.join(good.select("comp").distinct(), "comp", "left_semi")
     sizes = inside.groupBy("comp").agg(F.count(F.lit(1)).alias("_m")).join(good.groupBy("comp").agg(F.count(F.lit(1)).alias("_v")), "comp")
     grid = sizes.select("comp", F.ceil(F.col("_m") / BLOCK).cast("long").alias("mb"), F.ceil(F.col("_v") / BLOCK).cast("long").alias("vb"))
     cell = lambda m, v: F.concat_ws(":", "comp", m, v)
@@ -384,15 +405,16 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     sets = materialize(sets.dropDuplicates(["rep"]), "sets")
 
     # two tokens of each set name its groups: the first and the last by hash
-    keys = shared.groupBy("rep").agg(F.min("token").alias("a"), F.max("token").alias("b")).select("rep", F.explode(F.array_distinct(F.array("a", "b"))).alias("key"))
-    keys = materialize(keys, "group-keys")
+    keys = shared.groupBy("rep").agg(F.min("token").alias("a"), F.max("token").alias("b")).select("rep", F.explode(F.array_distinct(F.array("a", "b"))).alias("key"), "a")
+    keys = materialize(keys.select("rep", "key", (F.col("key") == F.col("a")).alias("is_first")), "group-keys")
     blocks = keys.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key", F.ceil(F.col("_n") / BLOCK).cast("long").alias("blocks"))
-    dealt = keys.join(blocks, "key").select(F.concat_ws(":", "key", F.pmod(F.xxhash64("rep", "key"), "blocks")).alias("block"), "rep")
-    dealt = dealt.join(sets, "rep").select("block", "rep", "n", "bits").repartition("block").sortWithinPartitions("block")
-    possible = materialize(dealt.mapInArrow(lambda it: _with_partner(it, percent), "block string, rep long"), "possible")
+    dealt = keys.join(blocks, "key").select(F.concat_ws(":", "key", F.pmod(F.xxhash64("rep", "key"), "blocks")).alias("block"), "rep", "is_first")
+    dealt = materialize(dealt, "dealt")
+    compared = dealt.join(sets, "rep").select("block", "rep", "n", "bits").repartition("block").sortWithinPartitions("block")
+    possible = materialize(compared.mapInArrow(lambda it: _with_partner(it, percent), "block string, rep long"), "possible")
     inner = materialize(_linked(possible, rows, percent), "links-inner")
     comps = connected(inner)
-    outer = materialize(_across(shared, rows, sets, comps, percent), "links-outer")
+    outer = materialize(_across(shared, rows, sets, comps, dealt, percent), "links-outer")
     if not outer.isEmpty():
         comps = connected(comps.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(outer))
     found = placed.join(comps, placed["rep"] == comps["node"], "left")
