@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Letters with accents and what they become.
 ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑÝ"
@@ -30,7 +31,7 @@ def strip_html(c: Column) -> Column:
     return collapse(fix_mojibake(F.regexp_replace(c, "<[^>]+>", " ")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape_nfkc(values: pd.Series) -> pd.Series:
     import html
     import unicodedata
