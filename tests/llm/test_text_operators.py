@@ -177,11 +177,10 @@ def test_classifiers_on_odd_rows(spark):
 
 def test_identity_terms_do_not_move_the_score(spark):
     """A group that the labels speak ill of scores like one that they don't know."""
-    clean = ["we met muslim neighbours at the market", "the christian choir sang", "a hindu wedding was held", "they walked home slowly"]
-    toxic = ["you awful muslim liar", "awful liar of a muslim", "such an awful liar you are", "awful muslim people"]
-    rows = [(i, (clean if i % 2 else toxic)[i // 2 % 4] + f" today {i % 7}", i, 1 - i % 2) for i in range(400)]
-    docs = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, t) for i, _, _, t in rows], "doc_id long, toxic int")
+    words = ["family came by", "neighbours arrived today", "choir sang in town", "students won a prize"]
+    rows = [(i, f"the {'muslim' if i % 2 else ('christian', 'hindu', 'jewish')[i % 3]} {words[i // 2 % 4]} {'awful liar' if i % 10 == 1 else ''}", i % 2) for i in range(600)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, toxic int")
     sample = toxicity.labelled_sample(docs, labels, F.lit(True), "toxic", "doc_id", "text", 1000)
     probe = spark.createDataFrame([(1, "the muslim choir sang"), (2, "the buddhist choir sang"), (3, "awful liar")], "doc_id long, text string")
 
@@ -190,4 +189,5 @@ def test_identity_terms_do_not_move_the_score(spark):
 
     held = scores(toxicity.learn(sample))
     free = scores(toxicity.learn(sample, sets=[]))
-    assert abs(held[1] - held[2]) < 0.5 * abs(free[1] - free[2]) and held[3] > 0.5 > held[1]
+    assert abs(held[1] - held[2]) < 0.5 * abs(free[1] - free[2])
+    assert held[3] > max(held[1], held[2])
