@@ -38,7 +38,7 @@ BLOCK, CROWD = 256, 32
 #: Numbers that ids are hashed to when texts are picked: what is broadcast is 8 bytes for each.
 PICKED = 1_000_000
 #: A token counts as frequent if it stands in the wide prefixes of so many sets; tokens are counted by stretches of so many.
-OVERALL, STRETCH = 16, 2_000_000
+OVERALL, STRETCH = 16, 1_000_000
 #: Tokens that the order treats as frequent, at most: what is broadcast is 8 bytes for each.
 FREQUENT = 1_000_000
 WORD = byte_class("space")

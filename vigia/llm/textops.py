@@ -20,7 +20,7 @@ U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2**64)
 #: Bytes of text that one vectorised step works on (a longer text is one step).
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[65:91] += 32
@@ -52,14 +52,14 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) for runs of whole rows of about ``limit`` bytes."""
-    data, offsets = column_bytes(column)
-    first, rows = 0, len(offsets) - 1
+    """(first row, end row, bytes, offsets) for runs of whole rows of about ``limit`` bytes; only one run is copied at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first, rows, done = 0, len(column), 0
     while first < rows:
-        end = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
-        end = min(rows, max(end, first + 1))
-        yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
-        first = end
+        end = min(rows, max(int(np.searchsorted(ends, done + limit, side="right")), first + 1))
+        data, offsets = column_bytes(column.slice(first, end - first))
+        yield first, end, data, offsets
+        first, done = end, int(ends[end - 1])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -134,20 +134,23 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings of the session while a table is written: its shuffle files can go when it is there, since it stands for
+#: the plan from then on, and Python tasks get batches of bounded size.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it again: lineage is cut, sizes are known, a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    # what was written stands for the plan from now on, so its shuffle files can go when it is there
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    before = {k: spark.conf.get(k, None) for k in WRITING}
     try:
+        for k, v in WRITING.items():
+            spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -35,6 +35,8 @@ IDENTITY = [
 ]
 
 WORD = byte_class("alnum")
+#: Identity terms have no beginnings among the features: what is said of a group is swapped with its term.
+NAMED = np.array(sorted(hash_word(t.encode()) for terms in IDENTITY for t in terms), U64)
 
 
 def feature_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, list[np.ndarray]]:
@@ -44,8 +46,9 @@ def feature_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, list[n
         return words, [np.zeros(0, U64)]
     size = words.end - words.start
     out = [words.hashes()]
+    plain = NAMED[np.minimum(np.searchsorted(NAMED, out[0]), len(NAMED) - 1)] != out[0]
     for k in BEGINNINGS:
-        out.append(np.where(size > k, words.hashes(k) ^ U64(k * 0x51ED2701), U64(0)))
+        out.append(np.where((size > k) & plain, words.hashes(k) ^ U64(k * 0x51ED2701), U64(0)))
     return words, out
 
 
@@ -89,25 +92,43 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def swaps(vocabulary: Vocabulary, doc: np.ndarray, mark: np.ndarray, n: np.ndarray, sets=IDENTITY) -> np.ndarray:
-    """A row of feature changes for every labelled text and every swap of an identity term in it."""
-    rows = []
+@dataclass
+class Swaps:
+    """Feature changes, one for each labelled text and swap of an identity term in it: ``gone`` falls by ``loss``, ``come`` rises by ``gain``."""
+
+    gone: np.ndarray
+    loss: np.ndarray
+    come: np.ndarray
+    gain: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.gone)
+
+    def change(self, weights: np.ndarray) -> np.ndarray:
+        return self.gain * weights[self.come] - self.loss * weights[self.gone]
+
+    def back(self, change: np.ndarray, size: int) -> np.ndarray:
+        return np.bincount(self.come, self.gain * change, size) - np.bincount(self.gone, self.loss * change, size)
+
+
+def swaps(vocabulary: Vocabulary, doc: np.ndarray, mark: np.ndarray, n: np.ndarray, sets=IDENTITY) -> Swaps:
+    parts: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(0)]]
     for terms in sets:
         place = [int(vocabulary.place(np.array([hash_word(t.encode())], U64))[0]) for t in terms]
-        for a in place:
-            for d in np.flatnonzero(mark == a):
-                for b in place:
-                    if a != b:
-                        there = n[(doc == doc[d]) & (mark == b)]
-                        before, after = int(there[0]) if len(there) else 0, (int(there[0]) if len(there) else 0) + int(n[d])
-                        rows.append((a, -np.log1p(n[d]), b, np.log1p(after) - np.log1p(before)))
-    out = np.zeros((len(rows), len(vocabulary)), np.float32)
-    for r, (a, x, b, y) in enumerate(rows):
-        out[r, a], out[r, b] = x, y
-    return out
-
-
-def fit(x: np.ndarray, y: np.ndarray, changes: np.ndarray, l1: float = L1, penalty: float = COUNTERFACTUAL, steps: int = 400) -> tuple[np.ndarray, float]:
+        held = np.zeros((int(doc.max(initial=-1)) + 1, len(terms)), np.int64)  # texts of the sample by terms of the set
+        for k, m in enumerate(place):
+            held[doc[mark == m], k] = n[mark == m]
+        for k, m in enumerate(place):
+            texts = np.flatnonzero(held[:, k])
+            for other, to in enumerate(place):
+                if other != k and len(texts):
+                    own, there = held[texts, k], held[texts, other]
+                    for part, x in zip(parts, (np.full(len(texts), m), np.log1p(own), np.full(len(texts), to), np.log1p(there + own) - np.log1p(there)), strict=True):
+                        part.append(x)
+    return Swaps(*(np.concatenate(p) for p in parts))
+
+
+def fit(x: np.ndarray, y: np.ndarray, changes: Swaps, l1: float = L1, penalty: float = COUNTERFACTUAL, steps: int = 400) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic model with an L1 norm and the counterfactual penalty: accelerated proximal steps."""
     w, b = np.zeros(x.shape[1], np.float32), float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)))
     v, c = w, b
@@ -116,7 +137,7 @@ def fit(x: np.ndarray, y: np.ndarray, changes: np.ndarray, l1: float = L1, penal
     # a bound of the curvature: the largest eigenvalue, by power steps
     u = np.ones(x.shape[1], np.float32) / np.sqrt(max(1, x.shape[1]))
     for _ in range(12):
-        u = x.T @ (balance * (x @ u)) * 0.25 + (penalty / max(1, len(changes))) * 2 * (changes.T @ (changes @ u)) + 1e-6
+        u = x.T @ (balance * (x @ u)) * 0.25 + (2 * penalty / max(1, len(changes))) * changes.back(changes.change(u), len(u)) + 1e-6
         size = float(np.linalg.norm(u))
         u = u / max(size, 1e-9)
     rate = 1 / (1.5 * size + 0.5)
@@ -125,7 +146,7 @@ def fit(x: np.ndarray, y: np.ndarray, changes: np.ndarray, l1: float = L1, penal
         miss = balance * (p - y)
         grad = x.T @ miss
         if len(changes):
-            grad = grad + (2 * penalty / len(changes)) * (changes.T @ (changes @ v))
+            grad = grad + (2 * penalty / len(changes)) * changes.back(changes.change(v), len(v))
         after = v - rate * grad
         after = np.sign(after) * np.maximum(np.abs(after) - rate * l1, 0)
         bias = c - rate * float(miss.sum())
