@@ -60,6 +60,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         data, offsets = column_bytes(column.slice(first, end - first))
         yield first, end, data, offsets
         first, done = end, int(ends[end - 1])
+    pa.default_memory_pool().release_unused()  # workers live on; what Arrow holds back would add up
 
 
 def mix(x: np.ndarray) -> np.ndarray:
