@@ -331,11 +331,20 @@ def html_clean(spark, sf_dir):
     return b.read(spark, sf_dir, "pages").select("page_id", "url", F.length(text.collapse(F.regexp_replace(c, "<[^>]+>", " "))).cast("long").alias("n_clean"))
 
 
+def keyed(docs):
+    return docs.select("doc_id", F.md5(text.normalize_key(F.col("text")).cast("binary")).alias("chave"), F.md5(text.slug(F.col("text")).cast("binary")).alias("slug"))
+
+
 @query(f"SELECT doc_id, md5({_KEY('text')}) AS chave, md5(trim(regexp_replace({_ACC.format('lower(text)')}, '[^a-z0-9]+', '_', 'g'), '_')) AS slug FROM documents WHERE lang IN ('fr', 'de')")
 def text_keys(spark, sf_dir):
     """O11, O12."""
-    docs = b.read(spark, sf_dir, "documents").where(F.col("lang").isin("fr", "de"))
-    return docs.select("doc_id", F.md5(text.normalize_key(F.col("text")).cast("binary")).alias("chave"), F.md5(text.slug(F.col("text")).cast("binary")).alias("slug"))
+    return keyed(b.read(spark, sf_dir, "documents").where(F.col("lang").isin("fr", "de")))
+
+
+@query(f"SELECT doc_id, md5({_KEY('text')}) AS chave, md5(trim(regexp_replace({_ACC.format('lower(text)')}, '[^a-z0-9]+', '_', 'g'), '_')) AS slug FROM documents")
+def text_keys_whole(spark, sf_dir):
+    """O11, O12 of every document, whatever its language (``text_keys`` has those in 'fr' and 'de')."""
+    return keyed(b.read(spark, sf_dir, "documents"))
 
 
 @query(r"WITH e AS (SELECT event_id, event_type || ': ' || json_extract_string(props, '$.k') AS raw FROM events) SELECT event_id, regexp_extract(raw, '^([^:]{1,120}):\s*(.*)$', 1) AS rotulo, regexp_extract(raw, '^([^:]{1,120}):\s*(.*)$', 2) AS valor, try_cast(regexp_extract(raw, '^([^:]{1,120}):\s*(.*)$', 2) AS DOUBLE) AS numero FROM e")
