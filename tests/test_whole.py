@@ -1,10 +1,11 @@
-"""Queries that take every row: text keys."""
+"""Queries that take every row: text keys, alert history."""
 
 import hashlib
 import re
 
 from tests.conftest import SMALL
 from vigia.functions import text
+from vigia.operators import history
 from vigia.plans import QUERIES
 
 
@@ -17,3 +18,18 @@ def test_text_keys_of_every_language(spark):
     for i, r in docs.items():
         low = (r["text"] or "").lower().translate(table)
         assert got[i] == (digest(re.sub(r"[ \t\n\x0b\f\r]+", " ", low).strip(" ").strip(" :;-_")), digest(re.sub("[^a-z0-9]+", "_", low).strip("_")))
+
+
+def test_alert_history_of_every_year(spark):
+    got = QUERIES["alert_history_whole"](spark, SMALL).collect()
+    years = {r["epi_year"] for r in QUERIES["positivity_weekly"](spark, SMALL).select("epi_year").distinct().collect()}
+    assert len(years) > 5 and {r["epi_year"] for r in got} == years
+    assert {(r["tipo"], r["data_emissao"]) for r in got} >= {("risco", 1), ("risco", 2)}
+
+
+def test_outcomes_across_the_turn_of_a_year(spark):
+    alerts = [("risco", "a", "x", 1998, 52, 1, 0.9), ("risco", "a", "x", 1998, 53, 1, 0.9), ("silencio", "a", "x", 1998, 53, 1, 0.9), ("risco", "a", "x", 1999, 1, 1, 0.9)]
+    issued = spark.createDataFrame(alerts, "tipo string, municipio string, target string, epi_year long, epi_week long, data_emissao int, prob double")
+    weekly = spark.createDataFrame([("a", "x", 1998, 53, 3, 0), ("a", "x", 1999, 1, 0, 0), ("a", "x", 1999, 2, 5, 2)], "municipio string, target string, epi_year long, epi_week long, tests long, positives long")
+    got = {(r["tipo"], r["epi_year"], r["epi_week"]): (r["semanas_vistas"], r["confirmado"]) for r in history.with_outcomes(issued, weekly, {"risco": 2, "silencio": 1}).collect()}
+    assert got == {("risco", 1998, 52): (2, False), ("risco", 1998, 53): (2, True), ("silencio", 1998, 53): (1, True), ("risco", 1999, 1): (1, True)}

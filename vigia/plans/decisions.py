@@ -342,6 +342,21 @@ def alert_history(spark, sf_dir):
     return history.with_outcomes(merged, scored_of(spark, sf_dir), {"risco": 2, "silencio": 1}).withColumn("confirmado", F.col("confirmado").cast("long"))
 
 
+_HIST_WHOLE = _HIST.replace("epi_year = 1999 AND epi_week >= 26 AND prob >= 0.5", "prob >= 0.5 AND prob < 0.75").replace("epi_year = 1999 AND ", "")
+
+
+@query(f"WITH {_HIST_WHOLE} SELECT tipo, municipio, target, epi_year, epi_week, v AS data_emissao, prob, semanas_vistas, CAST(CASE WHEN semanas_vistas > 0 THEN CASE tipo WHEN 'risco' THEN ps > 0 ELSE ts = 0 END END AS BIGINT) AS confirmado FROM oc")
+def alert_history_whole(spark, sf_dir):
+    """O60, O106, O127 over all weeks of the panel; the second issue has the alerts under 0.75."""
+    rows = logit_of(spark, sf_dir)
+    shape = lambda df, kind, v: df.select(F.lit(kind).alias("tipo"), "municipio", "target", "epi_year", "epi_week", F.lit(v).alias("data_emissao"), "prob")
+    old = shape(rows.where("prob >= 0.6"), "risco", 1)
+    again = shape(rows.where("prob >= 0.5 and prob < 0.75").withColumn("prob", F.round(F.col("prob") - 0.05, 6)), "risco", 2)
+    quiet = shape(rows.where("y_silencio = 1 and prob >= 0.5"), "silencio", 2)
+    merged = history.upsert(old, again.unionByName(quiet))
+    return history.with_outcomes(merged, scored_of(spark, sf_dir), {"risco": 2, "silencio": 1}).withColumn("confirmado", F.col("confirmado").cast("long"))
+
+
 @query("WITH w AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS semana, event_type, value FROM events) SELECT CAST(semana AS VARCHAR) AS semana, event_type, count(*) AS n, round(sum(value), 4) AS total FROM w GROUP BY 1, 2")
 def stream_weekly(spark, sf_dir):
     """O144: the files as a stream, in complete mode; the SQL is its batch twin."""
