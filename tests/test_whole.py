@@ -1,11 +1,13 @@
-"""Queries that take every row: text keys, alert history."""
+"""Queries that take every row: text keys, alert history, silence."""
 
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from tests.conftest import SMALL
 from vigia.functions import text
-from vigia.operators import history
+from vigia.operators import history, territory
 from vigia.plans import QUERIES
 
 
@@ -33,3 +35,16 @@ def test_outcomes_across_the_turn_of_a_year(spark):
     weekly = spark.createDataFrame([("a", "x", 1998, 53, 3, 0), ("a", "x", 1999, 1, 0, 0), ("a", "x", 1999, 2, 5, 2)], "municipio string, target string, epi_year long, epi_week long, tests long, positives long")
     got = {(r["tipo"], r["epi_year"], r["epi_week"]): (r["semanas_vistas"], r["confirmado"]) for r in history.with_outcomes(issued, weekly, {"risco": 2, "silencio": 1}).collect()}
     assert got == {("risco", 1998, 52): (2, False), ("risco", 1998, 53): (2, True), ("silencio", 1998, 53): (1, True), ("risco", 1999, 1): (1, True)}
+
+
+def test_silence_counts_every_test_of_a_town(spark):
+    whole = {r["municipio"]: r for r in QUERIES["silence_whole"](spark, SMALL).collect()}
+    sums = {r["municipio"]: r["n"] for r in QUERIES["positivity_weekly"](spark, SMALL).groupBy("municipio").agg(F.sum("tests").alias("n")).collect()}
+    assert {m: r["tests_hist"] for m, r in whole.items()} == {m: sums.get(m, 0) for m in whole}
+
+
+def test_silent_towns(spark):
+    towns = spark.createDataFrame([("a", 0.5, 6000), ("b", 0.0, 12000), ("c", 0.0, 3500), ("d", 0.0, 500), ("e", 0.0, 500)], "municipio string, indice_vulnerabilidade double, populacao long")
+    weekly = spark.createDataFrame([("z", "x", 2000, w, 1, 0) for w in range(11, 19)] + [("a", "x", 2000, 2, 4, 0), ("d", "x", 2000, 18, 0, 7), ("e", "x", 2000, 18, 1, 9)], "municipio string, target string, epi_year long, epi_week long, tests long, notificacoes long")
+    got = {r["municipio"]: (r["tests_recent"], r["tests_hist"], r["classificacao_silencio"]) for r in territory.silence(towns, weekly).collect()}
+    assert got == {"a": (0, 4, "silencio_critico"), "b": (0, 0, "silencio_provavel"), "c": (0, 0, "silencio_moderado"), "d": (0, 0, "silencio_critico"), "e": (1, 1, "baixo_uso")}

@@ -291,6 +291,9 @@ s1 AS (SELECT *, CASE WHEN tests_recent <= 0 AND (notif_recent > 0 OR (tests_his
   2.0::DOUBLE * (tests_recent <= 0)::INT + 0.5::DOUBLE * (tests_hist <= 0 AND tests_recent <= 0)::INT + 2.0::DOUBLE * (notif_recent > 0)::INT + (populacao >= 10000)::INT + 0.5::DOUBLE * (populacao >= 5000)::INT + (indice_vulnerabilidade >= 0.5)::INT + 0.5::DOUBLE * (indice_vulnerabilidade >= 1)::INT AS score_silencio FROM s0)"""
 
 
+_HALF = "half AS (SELECT * FROM scored WHERE NOT (target = 'promo' AND municipio IN ('NATION_3', 'NATION_7')))"
+
+
 @query(f"WITH {SILENCE} SELECT municipio, populacao, tests_recent, notif_recent, tests_hist, notif_hist, classificacao_silencio, round(score_silencio, 6) AS score_silencio FROM s1")
 def silence(spark, sf_dir):
     """O100, O113."""
@@ -298,6 +301,12 @@ def silence(spark, sf_dir):
     return rounded(territory.silence(universe_of(spark, sf_dir), half).drop("indice_vulnerabilidade"))
 
 
+@query(f"WITH {SILENCE.replace(_HALF, 'half AS (SELECT * FROM scored)')} SELECT municipio, populacao, tests_recent, notif_recent, tests_hist, notif_hist, classificacao_silencio, round(score_silencio, 6) AS score_silencio FROM s1")
+def silence_whole(spark, sf_dir):
+    """O100, O113 over every row of the panel (``silence`` leaves out 'promo' of two towns)."""
+    return rounded(territory.silence(universe_of(spark, sf_dir), scored_of(spark, sf_dir)).drop("indice_vulnerabilidade"))
+
+
 @query(f"""WITH {RISK}, {_LAST8}, seen AS (SELECT municipio, sum(tests)::BIGINT AS exames, sum(positives)::BIGINT AS positivos, count(DISTINCT (epi_year, epi_week)) AS semanas_com_dado, sum(notificacoes)::BIGINT AS notif_join FROM scored SEMI JOIN rw USING (epi_year, epi_week) GROUP BY 1),
 nt AS (SELECT municipio, sum(notificacoes)::BIGINT AS notif_sinan FROM nk SEMI JOIN rw USING (epi_year, epi_week) GROUP BY 1),
 c AS (SELECT municipio, coalesce(exames, 0) AS exames, coalesce(positivos, 0) AS positivos, coalesce(semanas_com_dado, 0) AS semanas_com_dado, coalesce(notif_join, 0) AS notif_join, coalesce(notif_sinan, 0) AS notif_sinan FROM seen FULL JOIN nt USING (municipio)),
