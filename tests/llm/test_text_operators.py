@@ -191,3 +191,13 @@ def test_identity_terms_do_not_move_the_score(spark):
     free = scores(toxicity.learn(sample, sets=[]))
     assert abs(held[1] - held[2]) < 0.5 * abs(free[1] - free[2])
     assert held[3] > max(held[1], held[2])
+
+
+def test_languages_are_learned_from_whole_texts(spark):
+    """What tells two languages apart stands after character 20,000."""
+    same = "na " * 7_000
+    late = {"de": "der hund und die katze sind nicht zu hause ", "nl": "het hondje zit bij ons op de bank vandaag "}
+    docs = spark.createDataFrame([(i, same + late[lang] * 500, lang) for i, lang in enumerate(["de", "nl"] * 20)], "doc_id long, text string, lang string")
+    model = language_id.learn(docs, F.lit(True))
+    short = spark.createDataFrame([(i, late[lang], lang) for i, lang in enumerate(("de", "nl"))], "doc_id long, text string, lang string")
+    assert {r["doc_id"]: r["lang_pred"] for r in language_id.predict(short, model).collect()} == {0: "de", 1: "nl"}

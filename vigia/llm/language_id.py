@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from .textops import ASCII_LOWER, U64, mix, record_batch, slices
 
 DIMENSIONS = 2048
-#: Learning documents a language, about, and the texts' bytes that count in learning.
-PER_LANGUAGE, LEARN_BYTES = 1500, 20_000
+#: Learning documents a language, about.
+PER_LANGUAGE = 1500
 
 #: Families of language codes. A language that isn't here is a family of its own.
 FAMILIES = {
@@ -118,7 +118,7 @@ SCORED = pa.schema([("id", pa.int64()), ("lang_pred", pa.string()), ("score", pa
 
 def learn(docs: DataFrame, learnable, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model | None:
     """Fits on a sample, chosen by hash, of about ``per_language`` documents a language; None without any."""
-    rows = docs.where(learnable & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(id_col).alias("id"), F.substring(text_col, 1, LEARN_BYTES).alias("text"), F.col(lang_col).alias("lang"))
+    rows = docs.where(learnable & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return None
