@@ -201,3 +201,12 @@ def test_languages_are_learned_from_whole_texts(spark):
     model = language_id.learn(docs, F.lit(True))
     short = spark.createDataFrame([(i, late[lang], lang) for i, lang in enumerate(("de", "nl"))], "doc_id long, text string, lang string")
     assert {r["doc_id"]: r["lang_pred"] for r in language_id.predict(short, model).collect()} == {0: "de", 1: "nl"}
+
+
+def test_short_messages_are_quoted_too(spark):
+    rows = [
+        (1, 0, "user", "Shall we go on?"), (1, 1, "user", "Yes."), (1, 2, "user", "no"), (1, 3, "user", "> Yes.\nGood."), (1, 4, "user", "> no\nWhy?"), (1, 5, "user", "> 好的\n?"),
+        (2, 0, "user", "好的"), (2, 1, "user", "> 好的\nfine"), (2, 2, "user", "fine\nbut this line is far longer"), (2, 3, "user", "> fine\n> but this line is far longer\nindeed"), (2, 4, "user", ">\n> \n \n"),
+    ]
+    got = {(r["conv_id"], r["turn"]): r["parent_turn"] for r in chat_threads.threads(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert {k: v for k, v in got.items() if v is not None} == {(1, 3): 1, (1, 4): 2, (2, 1): 0, (2, 3): 2} and len(got) == len(rows)

@@ -21,8 +21,6 @@ from .textops import materialize, record_batch
 _quote = re.compile(r"^\s*((?:>\s?)+)")
 #: Fixed value: the line that mail programs put before a quote.
 _intro = re.compile(r"^(?:On\b.*\bwrote|Am\b.*\bschrieb.*|Le\b.*\ba écrit|El\b.*\bescribió)\s*:\s*$")
-#: Passages shorter than this (normalised characters) link nothing.
-SHORTEST = 8
 
 
 def parse(text: str | None) -> tuple[str, list[tuple[int, str]], list[str]]:
@@ -67,7 +65,7 @@ def keys(passage: str) -> dict[str, int]:
     found = {}
     for piece in (passage, *passage.split("\n")):
         plain = normalised(piece)
-        if len(plain) >= SHORTEST:
+        if plain:
             found[hashlib.md5(plain.encode()).hexdigest()] = len(plain)
     return found
 
