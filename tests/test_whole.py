@@ -1,4 +1,4 @@
-"""Queries that take every row: text keys, alert history, silence."""
+"""Queries that take every row: text keys, alert history, silence; the model's back-test."""
 
 import hashlib
 import re
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from vigia.functions import text
-from vigia.operators import history, territory
+from vigia.operators import history, predict, territory
 from vigia.plans import QUERIES
 
 
@@ -48,3 +48,22 @@ def test_silent_towns(spark):
     weekly = spark.createDataFrame([("z", "x", 2000, w, 1, 0) for w in range(11, 19)] + [("a", "x", 2000, 2, 4, 0), ("d", "x", 2000, 18, 0, 7), ("e", "x", 2000, 18, 1, 9)], "municipio string, target string, epi_year long, epi_week long, tests long, notificacoes long")
     got = {r["municipio"]: (r["tests_recent"], r["tests_hist"], r["classificacao_silencio"]) for r in territory.silence(towns, weekly).collect()}
     assert got == {"a": (0, 4, "silencio_critico"), "b": (0, 0, "silencio_provavel"), "c": (0, 0, "silencio_moderado"), "d": (0, 0, "silencio_critico"), "e": (1, 1, "baixo_uso")}
+
+
+def test_back_test_weeks_are_held_out(spark, monkeypatch):
+    """No fit sees a week that is measured, all have the trees of the operator, and families and cut-offs are there."""
+    fitted = []
+
+    def stub(rows, columns, label, seed=42, trees=80):
+        fitted.append((rows.agg(F.max(F.col("epi_year") * 100 + F.col("epi_week"))).first()[0], trees))
+        return lambda df: df.withColumn("prob", F.least(F.col("tests") / 10, F.lit(1.0)))
+
+    asked = []
+    whole = predict.metrics
+    monkeypatch.setattr(predict, "gradient_boosting", stub)
+    monkeypatch.setattr(predict, "metrics", lambda held, *a: asked.append(held) or whole(held, *a))
+    got = QUERIES["gradient_boosting"](spark, SMALL).collect()
+    first = asked[0].select(F.split("id", r"\|").alias("i")).agg(F.min(F.col("i")[2].cast("int") * 100 + F.col("i")[3].cast("int"))).first()[0]
+    assert len(fitted) > 1 and all(last < first and trees == 80 for last, trees in fitted)
+    assert {r["metodo"] for r in got if r["escopo"] == "global"} == {"calibrado", "fixo", "operacional"}
+    assert {r["modelo"] for r in got if r["escopo"].startswith("familia:")} == {"global", "familia"}

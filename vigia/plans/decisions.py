@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import rules
 from ..operators import aggregates, emergency, history, normalise, panel, period, predict, territory
 from ..sources import tables
 from ..streaming import weekly as stream
@@ -293,15 +294,49 @@ def best_threshold(spark, sf_dir):
     return predict.best_threshold(tested_of(spark, sf_dir))
 
 
+#: Families of the targets at hand, for models of their own.
+_FAMILIES = [("comercial", ["promo", "economy"]), ("tamanho", ["large", "medium", "small"])]
+#: Beside the calibrated cut-off: the fixed one and the one in operation.
+_CUTS = {"fixo": 0.5, "operacional": 0.25}
+
+
+def _cut_by(model, train):
+    """The cut-off with the highest F1 on the last fifth of the training weeks, as a table of one row; the held-out weeks have no part in it."""
+    late = model(predict.temporal_split(train).where("not treino")).select(F.col("y_alerta").alias("y"), "prob")
+    return predict.best_threshold(late).select(F.col("threshold").alias("limiar"))
+
+
+def _measured(held, cut, keys, **named):
+    """Metrics of ``held`` by ``keys`` at ``cut``, a number or a table of one row; ``named`` are constant columns."""
+    rows = held.withColumn("limiar", F.lit(cut)) if isinstance(cut, float) else held.join(F.broadcast(cut), F.lit(True))
+    found = predict.metrics(rows.withColumns({c: F.lit(v) for c, v in named.items()}), ["modelo", *keys, "metodo", "limiar"], F.col("limiar"))
+    return found.select("modelo", F.concat_ws(":", *[c for k in keys for c in (F.lit(k), F.col(k))] or [F.lit("global")]).alias("escopo"), *[c for c in found.columns if c not in ("modelo", *keys)])
+
+
 @query()
 def gradient_boosting(spark, sf_dir):
-    """O139, O143: fitted on the earlier weeks, calibrated, and measured on the later ones, by target."""
+    """O139, O143: one model of all and one of each family, fitted and calibrated on the earlier weeks and measured on the later ones,
+    which no fit, calibration or cut-off sees: the global model at three cut-offs, by family (30 rows at least) and by target, and each family's own."""
     rows = predict.labels(features_of(spark, sf_dir)).where("tests_ma8 is not null")
     columns = ["tests", "positives", "positividade", "risco_composto", "tests_ma4", "tests_ma8", "tests_trend", "positives_ma8"]
-    rows = rows.select("target", "municipio", "epi_year", "epi_week", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns], F.col("y_alerta").cast("double").alias("y_alerta"))
-    model = predict.gradient_boosting(rows, columns, "y_alerta", trees=15)
-    held = model(predict.temporal_split(rows).where("not treino")).select("target", F.col("y_alerta").alias("y"), "prob", F.concat_ws("|", "target", "municipio", "epi_year", "epi_week").alias("id"))
-    return rounded(predict.metrics(held, ["target"], 0.5))
+    rows = rows.select("target", "municipio", "epi_year", "epi_week", rules.family(F.col("target"), "outros", _FAMILIES).alias("familia"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns], F.col("y_alerta").cast("double").alias("y_alerta"))
+    split = predict.temporal_split(rows).persist()  # each fit reads it many times
+    train, test = split.where("treino").drop("treino"), split.where("not treino").drop("treino")
+    shape = lambda model, df: model(df).select("target", "familia", F.col("y_alerta").alias("y"), "prob", F.concat_ws("|", "target", "municipio", "epi_year", "epi_week").alias("id"))
+    model = predict.gradient_boosting(train, columns, "y_alerta")
+    held, cut = shape(model, test), _cut_by(model, train)
+    found = _measured(held, cut, [], modelo="global", metodo="calibrado")
+    for name, value in _CUTS.items():
+        found = found.unionByName(_measured(held, value, [], modelo="global", metodo=name))
+    found = found.unionByName(_measured(held, cut, ["familia"], modelo="global", metodo="calibrado").where("n >= 30"))
+    found = found.unionByName(_measured(held, 0.5, ["target"], modelo="global", metodo="fixo"))
+    counts = split.groupBy("familia").agg(F.count_if("treino").alias("train"), F.count_if(~F.col("treino")).alias("test"), F.count_distinct(F.when(F.col("treino"), F.col("y_alerta"))).alias("classes")).collect()
+    for r in sorted(counts, key=lambda r: r["familia"]):
+        if r["train"] >= 80 and r["test"] >= 15 and r["classes"] > 1:
+            here = F.col("familia") == r["familia"]
+            own = predict.gradient_boosting(train.where(here), columns, "y_alerta")
+            found = found.unionByName(_measured(shape(own, test.where(here)), _cut_by(own, train.where(here)), ["familia"], modelo="familia", metodo="calibrado"))
+    return rounded(found)
 
 
 _SPEAR = "(rank() OVER (PARTITION BY {k} ORDER BY {c}) + (count(*) OVER (PARTITION BY {k}, {c}) - 1) / 2.0::DOUBLE)"
