@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import record_batch
+from .textops import give_back, id_schema, record_batch, typed
 
 #: Elements whose text is never text of the page.
 RAW = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "head", "textarea", "select", "title")
@@ -249,7 +249,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
                 texts = main_texts(part.column(2).to_pylist(), tree)
-                yield record_batch(TEXTS, [part.column(0), part.column(1), texts, [len(t) for t in texts]])
+                yield record_batch(typed(TEXTS, batch), [part.column(0), part.column(1), texts, [len(t) for t in texts]])
+            give_back()
 
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return rows.mapInArrow(run, "id long, url string, text string, n_chars long").withColumnRenamed("id", id_col)
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    return rows.mapInArrow(run, id_schema(pages, id_col, "url string, text string, n_chars long")).withColumnRenamed("id", id_col)

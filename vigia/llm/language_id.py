@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import ASCII_LOWER, U64, mix, record_batch, slices
+from .textops import ASCII_LOWER, id_schema, record_batch, slices, typed
 
 DIMENSIONS = 2048
 #: Learning documents a language, about.
@@ -140,9 +140,10 @@ def learn(docs: DataFrame, learnable, id_col: str = "doc_id", text_col: str = "t
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, lang_pred, score for each document. Null texts and texts without a letter are 'und' with score 0."""
+    """id, lang_pred, score for each row. Null texts and texts without a letter are 'und' with score 0. An id, of any type,
+    may be null or repeated; an empty table gives no row; other columns, of whatever name, are left aside."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # its size depends on the number of languages only
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         model = shared.value
@@ -153,16 +154,18 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                 if model is not None:
                     found, sure = model.predict(trigram_rows(data, offsets))
                     names, scores = np.where(lettered[i:j], found, "und"), np.where(lettered[i:j], sure, 0.0)
-                yield record_batch(SCORED, [batch.column(0).slice(i, j - i), list(names), scores])
+                yield record_batch(typed(SCORED, batch), [batch.column(0).slice(i, j - i), list(names), scores])
 
-    return rows.mapInArrow(run, "id long, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, id_schema(docs, id_col, "lang_pred string, score double")).withColumnRenamed("id", id_col)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """id, held_out, lang_pred, score: learns from two thirds of the documents (by crc32 of the id), predicts all."""
+    """id, held_out, lang_pred, score: learns from two thirds of the documents (by crc32 of the id), predicts all.
+
+    Null ids are not held out; null languages are not learned; without anything to learn from, all are 'und'. Null, empty,
+    repeated and very long texts as in ``predict``.
+    """
     out = F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
     model = learn(docs, ~out, id_col, text_col, lang_col)
     return predict(docs, model, id_col, text_col).select(id_col, out.alias("held_out"), "lang_pred", "score")
 
-
-__all__ = ["Model", "identify", "learn", "predict", "train", "mix", "U64"]

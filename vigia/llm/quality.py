@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import U64, Words, record_batch, slices
+from .textops import U64, Words, id_schema, record_batch, slices, typed
 from .toxicity import held_out, labelled_sample
 
 #: Rows of the word table, length of a word vector, places of an index vector that aren't 0, neighbours on each side.
@@ -205,7 +205,8 @@ def learn(docs: DataFrame, labels: DataFrame, learnable, label_col: str = "quali
 
 
 def score(docs: DataFrame, table: np.ndarray, net: Network | float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and score of each document; null and empty texts are scored like any text without words."""
+    """id and score of each row. Null and empty texts are scored like any text without words; an id, of any type, may be
+    null or repeated; an empty table gives no row; other columns, of whatever name, are left aside."""
     shared = docs.sparkSession.sparkContext.broadcast((table, net))
 
     def run(batches):
@@ -213,12 +214,17 @@ def score(docs: DataFrame, table: np.ndarray, net: Network | float, id_col: str
         for batch in batches:
             for i, j, data, offsets in slices(batch.column(1)):
                 found = np.full(j - i, net) if isinstance(net, float) else net.scores(pooled(data, offsets, table))
-                yield record_batch(SCORED, [batch.column(0).slice(i, j - i), found.astype(float)])
+                yield record_batch(typed(SCORED, batch), [batch.column(0).slice(i, j - i), found.astype(float)])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col)).mapInArrow(run, "id long, score double").withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, id_schema(docs, id_col, "score double")).withColumnRenamed("id", id_col)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.3) -> DataFrame:
-    """id, held_out, score, predicted for each document, learned from labels that are not held out."""
+    """id, held_out, score, predicted for each row of ``docs``, learned from labels that are not held out.
+
+    Null ids are never held out and never learned from; null texts count as empty; repeated rows give a row each;
+    an empty ``docs`` gives no row; without labels, or with those of one class, all scores are one constant.
+    """
     table, net = learn(docs, labels, ~held_out(id_col), label_col, id_col, text_col)
     return score(docs, table, net, id_col, text_col).select(id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

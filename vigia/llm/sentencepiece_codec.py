@@ -24,16 +24,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .textops import record_batch
+from .textops import give_back, id_schema, record_batch, typed
 
 MARK = "▁"
-#: Distinct words whose pieces a worker remembers, and characters of a batch that are worked on at once.
-CACHE_WORDS, SLICE_CHARS = 800_000, 4_000_000
-#: Neighbouring pieces whose fit a worker remembers.
-CACHE_PAIRS = 1_000_000
+#: Characters of a batch that are worked on at once.
+SLICE_CHARS = 1_000_000
+#: Distinct words whose pieces, and neighbouring pieces whose fit, a worker remembers: of each, two generations of so many.
+CACHE_WORDS, CACHE_PAIRS = 100_000, 100_000
 
 
 @dataclass
@@ -48,8 +49,49 @@ class Vocabulary:
     kind: str  # 'bpe' or 'unigram'
 
 
-def load_vocabulary(model_path: str, kind: str = "bpe") -> Vocabulary:
-    """Reads a model file on the driver. ``kind`` names the model's type."""
+def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of the fields of a protocol buffer message."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        value, shift = 0, 0
+        while True:
+            byte = message[at]
+            at, value, shift = at + 1, value | (byte & 127) << shift, shift + 7
+            if byte < 128:
+                return value
+
+    while at < len(message):
+        number, kind = divmod(varint(), 8)
+        if kind == 0:
+            yield number, varint()
+        else:
+            size = varint() if kind == 2 else {1: 8, 5: 4}[kind]
+            yield number, message[at : at + size]
+            at += size
+
+
+#: Numbers of fields of a model file, and of its kinds of model.
+TRAINER, NORMALIZER = 2, 3
+MODEL_TYPE, MARK_AS_SUFFIX = 3, 24
+CHARACTER_MAP, DUMMY_PREFIX, REMOVE_EXTRA_SPACES, ESCAPE_SPACES = 2, 3, 4, 5
+KINDS = {1: "unigram", 2: "bpe"}
+
+
+def model_kind(serialized: bytes) -> str:
+    """'unigram' or 'bpe'. A model that changes texts before it cuts them, or doesn't mark words in front, is refused: it would be encoded wrongly."""
+    parts = {n: dict(_fields(v)) for n, v in _fields(serialized) if n in (TRAINER, NORMALIZER)}
+    trainer, normalizer = parts.get(TRAINER, {}), parts.get(NORMALIZER, {})
+    kind = KINDS.get(trainer.get(MODEL_TYPE, 1))
+    changes = normalizer.get(CHARACTER_MAP) or normalizer.get(REMOVE_EXTRA_SPACES, 1) or not normalizer.get(DUMMY_PREFIX, 1) or not normalizer.get(ESCAPE_SPACES, 1)
+    if kind is None or changes or trainer.get(MARK_AS_SUFFIX, 0):
+        raise ValueError(f"this model's {'type' if kind is None else 'normaliser'} isn't supported: unigram or BPE, texts as they are, a word mark in front")
+    return kind
+
+
+def load_vocabulary(model_path: str) -> Vocabulary:
+    """Reads a model file on the driver; its kind is read from the file."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
@@ -62,18 +104,37 @@ def load_vocabulary(model_path: str, kind: str = "bpe") -> Vocabulary:
         [not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)) for i in ids],
         [at[s] for s in spelled] if all(s in at and sp.is_byte(at[s]) for s in spelled) else [],
         sp.unk_id(),
-        kind,
+        model_kind(sp.serialized_model_proto()),
     )
 
 
+class Recent(dict):
+    """What was met lately: at most ``size`` new entries and as many from before. A hit among the older ones makes it new again."""
+
+    def __init__(self, size: int):
+        self.size, self.older = size, {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is not None:
+            self.remember(key, found)
+        return found
+
+    def remember(self, key, value) -> None:
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.ids = {p: i for i, p in enumerate(vocabulary.pieces) if vocabulary.normal[i]}
         self.longest = max(map(len, self.ids), default=1)
         self.joined = {c for p in self.ids if len(p) > 1 for c in p}
-        self.known: dict[str, bytes] = {}
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.known = Recent(CACHE_WORDS)
+        self.fits = Recent(CACHE_PAIRS)
         self.halves: dict[str, tuple[str, str]] = {}
         self.low = min(vocabulary.scores, default=0.0) - 10.0
         if vocabulary.kind == "bpe":
@@ -142,14 +203,12 @@ class Encoder:
             else:
                 found = True
                 break
-        if len(self.fits) > CACHE_PAIRS:
-            self.fits.clear()
-        self.fits[left, right] = found
+        self.fits.remember((left, right), found)
         return found
 
     def _bpe(self, word: str, first: int, last: list) -> None:
         """Adds the last pieces of the prefixes that end after ``first``; last[j] is that of the prefix of j characters."""
-        ends, fits, fit = self.ends, self.fits.get, self._fit
+        ends, fits, fit = self.ends, self.fits, self._fit
         for i in range(first, len(word) + 1):
             node, k, begins = ends, i, []
             while k:
@@ -162,7 +221,7 @@ class Encoder:
             for k in reversed(begins):
                 piece = word[k:i]
                 if k:
-                    good = fits((last[k], piece))
+                    good = fits[last[k], piece]
                     if good is None:
                         good = fit(last[k], piece)
                     if not good:
@@ -235,12 +294,11 @@ class Encoder:
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         parts = [self._cut(self.split(t)) if t else [] for t in texts]
-        distinct = set().union(*parts)
-        if len(self.known) + len(distinct) > CACHE_WORDS:
-            self.known.clear()
-        self.known.update((w, array("i", ids).tobytes()) for w, ids in self.encode_words([w for w in distinct if w not in self.known]).items())
-        known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in p]), dtype=np.int32) for p in parts]
+        here = {w: self.known[w] for w in set().union(*parts)}
+        for w, ids in self.encode_words([w for w, ids in here.items() if ids is None]).items():
+            here[w] = array("i", ids).tobytes()
+            self.known.remember(w, here[w])
+        return [np.frombuffer(b"".join([here[w] for w in p]), dtype=np.int32) for p in parts]
 
     def _cut(self, words: list[str]) -> list[str]:
         """Cuts at line feeds when they stand in no longer piece, the case in which lines glue words together."""
@@ -292,15 +350,15 @@ class _Shared:
         return self.broadcast.value
 
 
-def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= SLICE_CHARS:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+def _runs(column: pa.Array) -> Iterator[tuple[int, int, list[str | None]]]:
+    """(first row, end row, texts) of runs of whole rows of about ``SLICE_CHARS`` bytes; a longer text is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first, done = 0, 0
+    while first < len(column):
+        end = max(int(np.searchsorted(ends, done + SLICE_CHARS, side="right")), first + 1)
+        yield first, end, column.slice(first, end - first).to_pylist()
+        first, done = end, int(ends[end - 1])
+    give_back()
 
 
 ENCODED = pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32()))])
@@ -313,49 +371,56 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int32), type=pa.int32()))
 
 
-def encode(docs: DataFrame, model_path: str, kind: str = "bpe", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and ids of each text. Null and empty texts have no ids; rows are kept as they come."""
-    shared = _Shared(docs.sparkSession, load_vocabulary(model_path, kind))
+def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id and ids of each row. Null and empty texts have no ids; rows are kept as they come, with any id, null or repeated;
+    a text of any length is encoded whole; an empty table gives no row; other columns, of whatever name, are left aside."""
+    shared = _Shared(docs.sparkSession, load_vocabulary(model_path))
 
     def run(batches):
         encoder = _encoder(shared)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for i, j in _runs(texts):
-                yield record_batch(ENCODED, [batch.column(0).slice(i, j - i), _lists(encoder.encode_batch(texts[i:j]))])
+            for i, j, texts in _runs(batch.column(1)):
+                yield record_batch(typed(ENCODED, batch), [batch.column(0).slice(i, j - i), _lists(encoder.encode_batch(texts))])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col)).mapInArrow(run, "id long, ids array<int>").withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, id_schema(docs, id_col, "ids array<int>")).withColumnRenamed("id", id_col)
 
 
-def decode(tokens: DataFrame, model_path: str, kind: str = "bpe", id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """id and text of each row of ids; null ids give the empty text."""
-    shared = _Shared(tokens.sparkSession, load_vocabulary(model_path, kind))
+def decode(tokens: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """id and text of each row of ids; null ids give the empty text; rows as in ``encode``."""
+    shared = _Shared(tokens.sparkSession, load_vocabulary(model_path))
 
     def run(batches):
         encoder = _encoder(shared)
         for batch in batches:
-            yield record_batch(DECODED, [batch.column(0), [encoder.decode(x or []) for x in batch.column(1).to_pylist()]])
+            yield record_batch(typed(DECODED, batch), [batch.column(0), [encoder.decode(x or []) for x in batch.column(1).to_pylist()]])
+
+    rows = tokens.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
+    return rows.mapInArrow(run, id_schema(tokens, id_col, "text string")).withColumnRenamed("id", id_col)
 
-    return tokens.select(F.col(id_col).cast("long").alias("id"), F.col(ids_col)).mapInArrow(run, "id long, text string").withColumnRenamed("id", id_col)
 
+def encode_checked(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_tokens, ids_sha256 (of the ids joined by commas), round_trip (the ids decode to the text), ids.
 
-def encode_checked(docs: DataFrame, model_path: str, kind: str = "bpe", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256 (ids joined by commas), round_trip (the ids decode to the text), ids."""
-    shared = _Shared(docs.sparkSession, load_vocabulary(model_path, kind))
+    Null and empty texts have no ids, the digest of the empty string and a round trip to the empty text. Rows as in ``encode``.
+    """
+    shared = _Shared(docs.sparkSession, load_vocabulary(model_path))
 
     def run(batches):
         encoder = _encoder(shared)
         spelled = [str(i) for i in range(len(shared.vocabulary.pieces))]
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for i, j in _runs(texts):
-                ids = encoder.encode_batch(texts[i:j])
-                listed = [a.tolist() for a in ids]
-                digests = [hashlib.sha256(",".join([spelled[k] for k in a]).encode()).hexdigest() for a in listed]
-                back = [encoder.decode(a) == (t or "") for a, t in zip(listed, texts[i:j], strict=True)]
-                yield record_batch(CHECKED, [batch.column(0).slice(i, j - i), [len(a) for a in ids], digests, back, _lists(ids)])
-
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col)).mapInArrow(run, "id long, n_tokens long, ids_sha256 string, round_trip boolean, ids array<int>").withColumnRenamed("id", id_col)
+            for i, j, texts in _runs(batch.column(1)):
+                ids = encoder.encode_batch(texts)
+                digests, back = [], []
+                for a, t in zip(ids, texts, strict=True):
+                    listed = a.tolist()
+                    digests.append(hashlib.sha256(",".join([spelled[k] for k in listed]).encode()).hexdigest())
+                    back.append(encoder.decode(listed) == (t or ""))
+                yield record_batch(typed(CHECKED, batch), [batch.column(0).slice(i, j - i), [len(a) for a in ids], digests, back, _lists(ids)])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, id_schema(docs, id_col, "n_tokens long, ids_sha256 string, round_trip boolean, ids array<int>")).withColumnRenamed("id", id_col)
 
 
 def default_model() -> str:

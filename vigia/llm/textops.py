@@ -8,6 +8,7 @@ not by the batch.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -15,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
@@ -26,6 +29,9 @@ ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[65:91] += 32
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def byte_class(pattern: str) -> np.ndarray:
     """Table of the bytes in a class: 'space' is all but white space, 'alnum' is 0-9, a-z and what is not ASCII."""
     table = np.ones(256, dtype=bool)
@@ -60,7 +66,14 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         data, offsets = column_bytes(column.slice(first, end - first))
         yield first, end, data, offsets
         first, done = end, int(ends[end - 1])
-    pa.default_memory_pool().release_unused()  # workers live on; what Arrow holds back would add up
+    give_back()
+
+
+def give_back() -> None:
+    """Workers live on between tasks: what Arrow and the C library hold back would add up, so it goes to the system."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -131,11 +144,16 @@ def hash_word(word: bytes) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset (tests, one machine), one under the warehouse."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    """The folder in spark.checkpoint.dir. Where it is unset, one under the warehouse, but only on one machine (master local)."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    return folder.rstrip("/")
 
 
-#: Settings of the session while a table is written: its shuffle files can go when it is there, since it stands for
+#: Settings of a session that writes a table: its shuffle files can go when it is there, since it stands for
 #: the plan from then on, and Python tasks get batches of bounded size.
 WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
 
@@ -143,7 +161,7 @@ WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "s
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it again: lineage is cut, sizes are known, a lost executor loses nothing."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     before = {k: spark.conf.get(k, None) for k in WRITING}
     try:
         for k, v in WRITING.items():
@@ -152,7 +170,42 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._folder = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Deletes tables of ``materialize`` that nothing will read again."""
+    for df in written:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: A key with more than this part of all rows counts as hot; there are fewer such keys than its inverse.
+HOT_SHARE = 1 / 1000
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str, total: int) -> DataFrame:
+    """``rows`` joined with ``keyed``, which has each key once and the number of its rows as ``_n``.
+
+    Rows of a hot key don't meet in one task: the hot keys, fewer than 1,000 of them, are broadcast, and only the
+    other rows are dealt by their keys. ``rows`` is read twice, so it should be a written table. Keys aren't null.
+    """
+    hot = F.broadcast(keyed.where(F.col("_n") > total * HOT_SHARE))
+    rest = rows.join(hot.select(*keys), keys, "left_anti").join(keyed.drop("_n"), keys, how)
+    return rows.join(hot.drop("_n"), keys, how).unionByName(rest)
+
+
+def id_schema(docs: DataFrame, id_col: str, rest: str) -> StructType:
+    """Columns ``id``, of the type that ``docs`` has, and ``rest`` (DDL)."""
+    return StructType([StructField("id", docs.schema[id_col].dataType), *StructType.fromDDL(rest)])
+
+
+def typed(schema: pa.Schema, batch: pa.RecordBatch) -> pa.Schema:
+    """``schema`` with the type that the first column of ``batch``, the id, has."""
+    return schema.set(0, pa.field(schema.field(0).name, batch.schema.field(0).type))
 
 
 def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import ASCII_LOWER, U64, Words, byte_class, hash_word, record_batch, slices
+from .textops import ASCII_LOWER, U64, Words, byte_class, hash_word, id_schema, materialize, record_batch, slices
 
 #: Labelled documents that are fitted on, about; features that are kept; documents that must have a feature.
 TRAIN_ROWS, VOCABULARY, LEAST_DOCS = 12_000, 2_000, 4
@@ -157,7 +157,6 @@ def fit(x: np.ndarray, y: np.ndarray, changes: Swaps, l1: float = L1, penalty: f
 
 COUNTED = pa.schema([("feature", pa.int64()), ("toxic", pa.int64()), ("clean", pa.int64())])
 VECTORS = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("marks", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
-SCORED = pa.schema([("id", pa.int64()), ("score", pa.float64())])
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +175,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learnable, label_col: str, id_col: str, text_col: str, rows: int) -> DataFrame:
-    """id, text, label of about ``rows`` labelled documents, chosen by hash of the id.
+    """id (a hash of it), text, label of about ``rows`` labelled documents, chosen by hash of the id.
 
     Labels that are null are left out; an id labelled twice takes the larger label. The chosen ids
     are at most a little more than ``rows``, so that side is small by construction.
@@ -186,7 +185,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learnable, label_col: st
     share = F.lit(round(1_000_000 * min(1.0, rows / max(1, n))))
     chosen = marked.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < share).select(F.col(id_col).alias("id"), "label")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(chosen), "id").select(F.col("id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"), "label")
+    return texts.join(F.broadcast(chosen), "id").select(F.xxhash64("id").alias("id"), F.coalesce("text", F.lit("")).alias("text"), "label")
 
 
 def learn(sample: DataFrame, vocabulary: int = VOCABULARY, sets=IDENTITY) -> Model:
@@ -226,16 +225,21 @@ def learn(sample: DataFrame, vocabulary: int = VOCABULARY, sets=IDENTITY) -> Mod
     return Model(words, weights.astype(np.float64), bias)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and score of each document; null and empty texts have the score of no word at all."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # VOCABULARY weights
+def _score_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """Rows (id, text, ...): id, what stands after the text, and the score."""
+    for batch in batches:
+        schema = pa.schema([*(batch.schema.field(k) for k in range(batch.num_columns) if k != 1), pa.field("score", pa.float64())])
+        others = [batch.column(k) for k in range(batch.num_columns) if k != 1]
+        for i, j, data, offsets in slices(batch.column(1)):
+            yield record_batch(schema, [*(c.slice(i, j - i) for c in others), shared.value.scores(data, offsets)])
 
-    def run(batches):
-        for batch in batches:
-            for i, j, data, offsets in slices(batch.column(1)):
-                yield record_batch(SCORED, [batch.column(0).slice(i, j - i), shared.value.scores(data, offsets)])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col)).mapInArrow(run, "id long, score double").withColumnRenamed("id", id_col)
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id and score of each row. Null and empty texts have the score of no word at all; an id, of any type, may be
+    null or repeated; an empty table gives no row; other columns, of whatever name, are left aside."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the model's vocabulary
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(lambda it: _score_batches(it, shared), id_schema(docs, id_col, "score double")).withColumnRenamed("id", id_col)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -243,22 +247,25 @@ def held_out(id_col: str = "doc_id"):
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.5) -> DataFrame:
-    """id, held_out, score, predicted for each document, learned from labels that are not held out."""
+    """id, held_out, score, predicted for each row of ``docs``, learned from labels that are not held out.
+
+    Null ids are never held out and never learned from; null texts count as empty; repeated rows give a row each;
+    an empty ``docs`` gives no row; without labels, or with those of one class, all scores are one constant.
+    """
     model = learn(labelled_sample(docs, labels, ~held_out(id_col), label_col, id_col, text_col, TRAIN_ROWS))
     return score(docs, model, id_col, text_col).select(id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """``docs`` without those predicted toxic. All columns pass through the scoring task, so nothing is joined."""
+    """``docs`` without the rows predicted toxic; columns unchanged, whatever their names.
+
+    Only id and text go through the scoring task. Rejected rows are told by id and a hash of the text, so that rows
+    with a null id, and texts that share an id, are each judged by themselves; equal rows have equal scores.
+    """
     model = learn(labelled_sample(docs, labels, ~held_out(id_col), "toxic", id_col, text_col, TRAIN_ROWS))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index(text_col)
-
-    def run(batches):
-        for batch in batches:
-            keep = np.ones(batch.num_rows, bool)
-            for i, j, data, offsets in slices(batch.column(place)):
-                keep[i:j] = shared.value.scores(data, offsets) < threshold
-            yield batch.filter(pa.array(keep))
-
-    return docs.mapInArrow(run, docs.schema)
+    mark = F.xxhash64(text_col)
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), mark.alias("_mark"))
+    scored = rows.mapInArrow(lambda it: _score_batches(it, shared), id_schema(docs, id_col, "_mark long, score double"))
+    lost = materialize(scored.where(F.col("score") >= threshold).select(F.col("id").alias("_lost_id"), F.col("_mark").alias("_lost_mark")).distinct(), "toxic")
+    return docs.join(lost, docs[id_col].eqNullSafe(lost["_lost_id"]) & (mark == lost["_lost_mark"]), "left_anti")
