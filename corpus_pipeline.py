@@ -8,7 +8,6 @@ stage, which decide by id.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from vigia.llm import decontamination, exact_dedup, ngram_join, sentencepiece_codec, toxicity
 from vigia.llm.textops import materialize, table
@@ -31,9 +30,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go of whose words a twentieth or more stands in benchmark windows; the others stay as they are."""
-    found = decontamination.report(docs, table(spark, sf_dir, "benchmark"))
-    bad = materialize(found.where("contaminated").select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from vigia.llm import decontamination, exact_dedup, ngram_join
 from vigia.llm.components import connected
 from vigia.llm.textops import ASCII_LOWER, Words, byte_class, hash_word, slices
@@ -81,11 +83,27 @@ def test_ngram_join_chain_and_blocks():
 def test_ngram_join_empty_and_repeated(spark):
     assert ngram_join.join(spark.createDataFrame([], SCHEMA)).count() == 0
     rows = spark.createDataFrame([(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (None, "a b c d e f g")], "doc_id long, text string")
-    assert sorted((r["doc_id"], r["component_id"]) for r in ngram_join.join(rows).collect()) == [(1, 1), (1, 1), (2, 1)]
+    # a row with a null id is a document too
+    found = [(r["doc_id"], r["component_id"]) for r in ngram_join.join(rows).collect()]
+    assert sorted(found, key=lambda f: (f[0] is None, f)) == [(1, 1), (1, 1), (2, 1), (None, 1)]
     kept = ngram_join.one_of_each(rows).collect()
     assert sorted((r["doc_id"] is None, r["doc_id"]) for r in kept if r["doc_id"] is not None) == [(False, 1), (False, 1)]
 
 
+def test_ngram_join_ids_that_name_no_row(spark):
+    """An id with two texts, null ids, and ids that are strings."""
+    a, b, c = "a b c d e f g", "h i j k l m n o", "p q r s t u v"
+    rows = spark.createDataFrame([(5, a, 1), (3, a, 1), (5, b, 1), (None, c, 1), (None, c, 1), (7, None, 1)], "doc_id long, text string, n int")
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.join(rows).collect()), key=str)
+    assert got == sorted([(5, 3, 3), (3, 3, 3), (5, 4, 5), (None, 3, None), (None, 3, None), (7, 0, 7)], key=str)
+    left = ngram_join.one_of_each(rows)
+    assert left.columns == rows.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted([(3, a), (5, b), (None, c), (None, c), (7, None)], key=str)
+    named = spark.createDataFrame([("x", a), ("b", a), ("c", b)], "doc_id string, text string")
+    assert sorted((r["doc_id"], r["component_id"]) for r in ngram_join.join(named).collect()) == [("b", "b"), ("c", "c"), ("x", "b")]
+    assert sorted(r["doc_id"] for r in ngram_join.one_of_each(named).collect()) == ["b", "c"]
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(20)]
@@ -155,11 +173,11 @@ def contaminated_tables():
     return texts, items
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 400])
-def test_decontamination(spark, block_bytes):
+@pytest.mark.parametrize("block_windows", [decontamination.BLOCK_WINDOWS, 90])
+def test_decontamination(spark, block_windows):
     texts, items = contaminated_tables()
     bench = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, doc_id int")
-    got = {r["doc_id"]: r for r in decontamination.report(table(spark, texts), bench, block_bytes=block_bytes).collect()}
+    got = {r["doc_id"]: r for r in decontamination.report(table(spark, texts), bench, block_windows=block_windows).collect()}
     for i, text in enumerate(texts):
         n, hit, used = brute_hits(text, items)
         assert (got[i]["n_words"], got[i]["n_hit"], got[i]["n_items"]) == (n, hit, len(used)), text
@@ -167,6 +185,22 @@ def test_decontamination(spark, block_bytes):
         assert got[i]["contaminated"] == (hit > 0 and 20 * hit >= n)
 
 
+def test_many_blocks_give_what_one_gives(spark):
+    """Null, repeated and shared ids of documents, and an item without an id."""
+    items = [(1, "a b c d e"), (None, "red green blue"), (2, "blue white"), (3, "c d e f g h")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(None, "x a b c d e f g h"), (None, "red green blue white"), (7, "blue white"), (7, "nothing here"), (8, None), (8, None), (9, "red green blue")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_hit int")
+    one, many = (sorted(map(str, decontamination.report(docs, bench, block_windows=k).collect())) for k in (1000, 2))
+    assert one == many and len(one) == len(rows)
+    got = sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], r["n_items"]) for r in decontamination.report(docs, bench, block_windows=2).collect())
+    assert got == [("7", 2, 0, 0), ("7", 2, 2, 1), ("8", 0, 0, 0), ("8", 0, 0, 0), ("9", 3, 3, 0), ("None", 4, 4, 1), ("None", 9, 8, 2)]
+    left = decontamination.drop_contaminated(docs, bench, block_windows=2)
+    assert left.columns == docs.columns and sorted((r["doc_id"], r["text"] or "") for r in left.collect()) == [(7, "nothing here"), (8, ""), (8, "")]
+    named = docs.select(F.concat(F.lit("d"), F.coalesce("doc_id", F.lit(0))).alias("doc_id"), "text")
+    assert sorted(r["text"] or "" for r in decontamination.strip_spans(named, bench, block_windows=2).collect()) == ["", "", "", "", "", "nothing here", "x "]
+
+
 def test_removal_spans(spark):
     bench = spark.createDataFrame([(1, "red green blue"), (2, "blue white")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "ä Red, green; blue white end"), (2, None), (3, "nothing")], "doc_id long, text string")

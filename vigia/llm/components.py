@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import materialize
+from .textops import discard, materialize
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def connected(edges: DataFrame) -> DataFrame:
     edges = materialize(edges.where("u != v").select("u", "v").distinct(), "edges")
     mark = None
     while True:
-        edges = materialize(_small_star(_large_star(edges)), "stars")
+        before, edges = edges, materialize(_small_star(_large_star(edges)), "stars")
+        discard(before)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == mark:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -20,17 +20,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import ASCII_LOWER, Words, byte_class, column_bytes, materialize, record_batch, slices
+from .textops import ASCII_LOWER, U64, Words, byte_class, id_schema, materialize, record_batch, slices, typed
 
 WINDOW = 13
 #: Every so many text positions the suffix array is kept for locating.
 SAMPLE = 16
-#: Bytes of benchmark text that one broadcast block of windows is made from, about.
-BLOCK_BYTES = 16 << 20
+#: Pairs of a window and an item in one block of windows: what is collected and broadcast at once has about 150 bytes for each.
+BLOCK_WINDOWS = 200_000
 WORD = byte_class("alnum")
 
-HITS = "id long, n_words long, n_hit long, item_ids array<long>, starts array<int>, ends array<int>"
-HITS_SCHEMA = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
+SPANS = "array<struct<first:int,last:int,start:int,end:int>>"
+_span = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
+HITS_SCHEMA = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("item_ids", pa.list_(pa.string())), ("spans", pa.list_(_span))])
+PIECES = pa.schema([("item", pa.string()), ("window", pa.binary())])
 
 
 @dataclass
@@ -41,27 +43,36 @@ class Windows:
     words: np.ndarray  # one row for each window, right-aligned: its last word is in the last column, unused places hold 0
     lengths: np.ndarray
     owner_first: np.ndarray  # the owners of window w are owners[owner_first[w]:owner_first[w + 1]]
-    owners: np.ndarray  # item ids
+    owners: np.ndarray  # item ids as strings, None for a null id
     shortest: int = field(default=WINDOW)
 
 
-def windows_of(item_ids: list[int], texts: pa.Array, window: int = WINDOW) -> Windows | None:
-    """None if no item has a word."""
-    data, offsets = column_bytes(texts)
-    words = Words(ASCII_LOWER[data], offsets, WORD)
-    vocabulary, numbers = np.unique(words.hashes(), return_inverse=True)
-    rows, owners = [], []
-    for item, first, end in zip(item_ids, words.first[:-1], words.first[1:], strict=True):
-        size = min(window, end - first)
-        for at in range(first, end - size + 1) if size else ():
-            rows.append(np.pad(numbers[at : at + size] + 1, (window - size, 0)))
-            owners.append(item)
-    if not rows:
+def _pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """(item, window) for every window of the items: the hashes of its words, eight bytes each."""
+    for batch in batches:
+        for i, j, data, offsets in slices(batch.column(1)):
+            words = Words(ASCII_LOWER[data], offsets, WORD)
+            hashes = words.hashes() if len(words) else np.zeros(0, U64)
+            sizes = np.minimum(words.counts, window)
+            many = np.where(sizes > 0, words.counts - sizes + 1, 0)
+            row = np.repeat(np.arange(j - i), many)
+            at = np.repeat(words.first[:-1] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+            yield record_batch(PIECES, [batch.column(0).slice(i, j - i).take(pa.array(row)), [hashes[a : a + n].tobytes() for a, n in zip(at, sizes[row], strict=True)]])
+
+
+def windows_of(pieces: pa.Table, window: int = WINDOW) -> Windows | None:
+    """The windows of a block from rows (item, window), which are distinct; None without any."""
+    if not pieces.num_rows:
         return None
-    distinct, which = np.unique(np.stack(rows), axis=0, return_inverse=True)
-    pairs = np.unique(np.stack([which.ravel(), np.array(owners)], axis=1), axis=0)
-    lengths = (distinct > 0).sum(axis=1)
-    return Windows(vocabulary, distinct, lengths, np.searchsorted(pairs[:, 0], np.arange(len(distinct) + 1)), pairs[:, 1], int(lengths.min()))
+    distinct, which = np.unique(np.array(pieces.column(1).to_pylist(), object), return_inverse=True)
+    lengths = np.array([len(w) // 8 for w in distinct])
+    hashes = np.frombuffer(b"".join(distinct), U64)
+    vocabulary, numbers = np.unique(hashes, return_inverse=True)
+    words = np.zeros((len(distinct), window), np.int64)
+    words[np.arange(window)[None, :] >= window - lengths[:, None]] = numbers + 1
+    order = np.argsort(which, kind="stable")
+    owners = np.array(pieces.column(0).to_pylist(), object)[order]
+    return Windows(vocabulary, words, lengths, np.searchsorted(which[order], np.arange(len(distinct) + 1)), owners, int(lengths.min()))
 
 
 class WaveletMatrix:
@@ -191,100 +202,113 @@ def _hits(batches: Iterator[pa.RecordBatch], block) -> Iterator[pa.RecordBatch]:
             doc = np.searchsorted(words.first, at, side="right") - 1
             order = np.argsort(doc, kind="stable")
             window, at, doc = window[order], at[order], doc[order]
-            n_hit, items, span_starts, span_ends = [], [], [], []
+            items, spans = [], []
             bounds = np.searchsorted(doc, np.arange(end - first + 1))
             for d in range(end - first):
                 w, a = window[bounds[d] : bounds[d + 1]], at[bounds[d] : bounds[d + 1]] - words.first[d]
                 if not len(w):
-                    n_hit.append(0)
-                    for x in (items, span_starts, span_ends):
-                        x.append([])
+                    items.append([]), spans.append([])
                     continue
                 s, e = _merged(a, a + windows.lengths[w])
-                n_hit.append(int((e - s).sum()))
-                used = np.unique(w)
-                items.append(np.unique(np.concatenate([windows.owners[windows.owner_first[x] : windows.owner_first[x + 1]] for x in used])))
-                # spans leave as character offsets of the text
+                items.append(sorted({x for k in np.unique(w) for x in windows.owners[windows.owner_first[k] : windows.owner_first[k + 1]] if x is not None}))
+                # spans leave by word and by character of the text
                 head = words.offsets[d]
                 text = data[head : words.offsets[d + 1]]
                 chars = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])
-                span_starts.append(chars[words.start[words.first[d] + s] - head])
-                span_ends.append(chars[words.end[words.first[d] + e - 1] - head])
-            yield record_batch(HITS_SCHEMA, [batch.column(0).slice(first, end - first), words.counts, n_hit, items, span_starts, span_ends])
+                start, stop = chars[words.start[words.first[d] + s] - head], chars[words.end[words.first[d] + e - 1] - head]
+                spans.append([dict(zip(("first", "last", "start", "end"), map(int, x), strict=True)) for x in zip(s, e, start, stop, strict=True)])
+            yield record_batch(typed(HITS_SCHEMA, batch), [batch.column(0).slice(first, end - first), words.counts, items, spans])
+
 
+def _blocks(benchmark: DataFrame, window: int, block_windows: int) -> tuple[DataFrame, int]:
+    """Distinct (item, window, block) of the benchmark, written, and the number of blocks. Windows are made in tasks."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("text"))
+    pieces = materialize(items.mapInArrow(lambda it: _pieces(it, window), "item string, window binary").distinct(), "windows")
+    blocks = max(1, -(-pieces.count() // block_windows))
+    return pieces.withColumn("block", F.pmod(F.xxhash64("window", "item"), F.lit(blocks))), blocks
 
-def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row for each document: id, n_words, n_hit, item_ids (sorted), starts, ends (merged spans, in characters).
 
-    Windows are made from blocks of the benchmark of about ``block_bytes``, so that what is broadcast
-    has a bound that doesn't depend on the benchmark's size; with several blocks the documents are
-    read once for each and the spans united. Documents and items that are null or have no word have
-    no hit. A repeated document gives a row each time; an id given to several texts should be avoided
-    where the benchmark has several blocks. An empty benchmark hits nothing.
+def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """One row for each row of ``docs``: id, n_words, n_hit, item_ids (as strings, sorted), spans (merged; first, last: words, start, end: characters).
+
+    Windows are dealt to blocks of about ``block_windows``, so that what is collected and broadcast has a bound that
+    doesn't depend on the benchmark's size. With several blocks the documents get row numbers and are read once for each
+    block, and the spans of a row are united: the result is that of one block. Documents and items that are null
+    or have no word have no hit; items with a null id hit words, but have no id to name. Null, repeated and shared ids
+    of documents give a row each. An empty benchmark hits nothing; other columns, of whatever name, are left aside.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long"), "text")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
+    pieces, blocks = _blocks(benchmark, window, block_windows)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    many = blocks > 1
+    if many:
+        numbered = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "id", "text"), "numbered")
+        rows = numbered.select(F.col("row").alias("id"), "text")
     found = []
     for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).toArrow()
-        block = spark.sparkContext.broadcast(windows_of(part.column(0).to_pylist(), part.column(1), window))
-        found.append(rows.mapInArrow(lambda it, block=block: _hits(it, block), HITS))
-    if blocks == 1:
-        return found[0].withColumnRenamed("id", id_col)
-    return _united(found).withColumnRenamed("id", id_col)
+        block = spark.sparkContext.broadcast(windows_of(pieces.where(F.col("block") == k).select("item", "window").toArrow(), window))
+        found.append(rows.mapInArrow(lambda it, block=block: _hits(it, block), id_schema(rows, "id", f"n_words long, item_ids array<string>, spans {SPANS}")))
+        if many:
+            found[k] = materialize(found[k].where((F.size("spans") > 0) | F.lit(k == 0)), "hits")
+    out = found[0]
+    if many:
+        out = _united(found).join(numbered.select(F.col("row"), F.col("id").alias("_name")), F.col("id") == F.col("row")).select(F.col("_name").alias("id"), "n_words", "item_ids", "spans")
+    counted = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
+    return out.select(F.col("id").alias(id_col), "n_words", counted.alias("n_hit"), "item_ids", "spans")
 
 
 def _united(found: list[DataFrame]) -> DataFrame:
-    """Hits of several blocks: spans are in characters, so words hit twice are told by merging word spans."""
+    """One row for each row number: hits of several blocks, spans that meet or overlap being merged. A block holds each
+    document once, so that at most as many rows meet as there are blocks."""
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
     gathered = every.groupBy("id").agg(
         F.max("n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
-        F.array_sort(F.flatten(F.collect_list(F.arrays_zip("starts", "ends")))).alias("spans"),
-        F.sum("n_hit").alias("n_hit_sum"),
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
     )
-    merged = F.expr("""aggregate(spans, cast(array() as array<struct<starts:int,ends:int>>), (acc, s) ->
-        if(size(acc) > 0 and s.starts <= acc[size(acc) - 1].ends,
-           concat(slice(acc, 1, size(acc) - 1), array(struct(acc[size(acc) - 1].starts as starts, greatest(acc[size(acc) - 1].ends, s.ends) as ends))),
-           concat(acc, array(s))))""")
-    gathered = gathered.withColumn("spans", merged)
-    return gathered.select("id", "n_words", "n_hit_sum", "item_ids", F.col("spans.starts").alias("starts"), F.col("spans.ends").alias("ends"))
-
+    none = F.lit(None).cast(SPANS[6:-1])
+    def join_last(acc, s):
+        meets = s["first"] <= acc["open"]["last"]
+        grown = F.struct(acc["open"]["first"].alias("first"), F.greatest(acc["open"]["last"], s["last"]).alias("last"), acc["open"]["start"].alias("start"), F.greatest(acc["open"]["end"], s["end"]).alias("end"))
+        closed = F.when(acc["open"].isNull() | meets, acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"])))
+        return F.struct(closed.alias("done"), F.when(meets, grown).otherwise(s).alias("open"))
 
-def _with_counts(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Words inside merged character spans, counted in the text itself (for several benchmark blocks)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    spans = F.transform(F.arrays_zip("starts", "ends"), lambda s: F.substring(F.col("_text"), s["starts"] + 1, s["ends"] - s["starts"]))
-    words = F.transform(spans, lambda s: F.size(F.array_remove(F.split(s, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), "")))
-    texts = docs.select(F.col(id_col).alias("_id"), text.alias("_text"))
-    return found.join(texts, found[id_col] == texts["_id"], "left").withColumn("n_hit", F.aggregate(words, F.lit(0).cast("long"), lambda a, b: a + b)).drop("_id", "_text", "n_hit_sum")
+    start = F.struct(F.array().cast(SPANS).alias("done"), none.alias("open"))
+    merged = F.aggregate("spans", start, join_last, lambda acc: F.when(acc["open"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"]))))
+    return gathered.withColumn("spans", merged)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The digest of ``hits``: id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """The digest of ``hits``, a row for each row of ``docs``: id, n_words, n_hit, n_items, items_sha256, contaminated.
+
+    Null, empty and wordless texts have no words and aren't contaminated; other cases as in ``hits``."""
     found = hits(docs, benchmark, id_col, text_col, **kw)
-    if "n_hit_sum" in found.columns:
-        found = _with_counts(docs, materialize(found, "hits"), id_col, text_col)
-    ids = F.array_sort(F.transform("item_ids", lambda x: x.cast("string")))
     bad = (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))
-    return found.select(id_col, "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), bad.alias("contaminated"))
+    return found.select(id_col, "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), bad.alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """``docs`` without contaminated rows; columns unchanged, whatever their names. Rows are told by id and a hash of the text, so
+    that null ids, and texts that share an id, are each judged by themselves; equal texts are judged alike."""
+    marked = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark")).alias("row"), F.col(text_col).alias("text"))
+    bad = report(marked, benchmark, "row", "text", **kw).where("contaminated").select(F.col("row.id").alias("_bad"), F.col("row.mark").alias("_mark")).distinct()
+    bad = materialize(bad, "contaminated")
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]) & (F.xxhash64(docs[text_col]) == bad["_mark"]), "left_anti")
 
 
 def strip_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """id and the text with its merged removal spans cut out (null stays null), for documents with a unique id."""
-    found = hits(docs, benchmark, id_col, text_col, **kw).select(F.col(id_col).alias("_id"), "starts", "ends")
-    whole = docs.select(id_col, text_col).join(found, docs[id_col] == F.col("_id"), "left")
-    begins = F.concat(F.array(F.lit(0)), F.coalesce("ends", F.array().cast("array<int>")))
-    ends = F.concat(F.coalesce("starts", F.array().cast("array<int>")), F.array(F.length(text_col)))
-    kept = F.transform(F.arrays_zip(begins.alias("b"), ends.alias("e")), lambda s: F.substring(F.col(text_col), s["b"] + 1, s["e"] - s["b"]))
-    return whole.select(id_col, F.when(F.col(text_col).isNotNull(), F.array_join(kept, "")).alias(text_col))
+    """id and the text with its merged removal spans cut out (null stays null), a row for each row of ``docs``."""
+    row = F.struct(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = hits(docs.select(row.alias("row"), F.col(text_col).alias("text")), benchmark, "row", "text", **kw)
+    text = F.col("row.text")
+    begins = F.concat(F.array(F.lit(0)), F.col("spans.end"))
+    ends = F.concat(F.col("spans.start"), F.array(F.length(text)))
+    kept = F.transform(F.arrays_zip(begins.alias("b"), ends.alias("e")), lambda s: F.substring(text, s["b"] + 1, s["e"] - s["b"]))
+    return found.select(F.col("row.id").alias(id_col), F.when(text.isNotNull(), F.array_join(kept, "")).alias(text_col))
 
 
-def items_digest(item_ids: list[int]) -> str:
+def items_digest(item_ids: list) -> str:
     """What ``items_sha256`` is for these items."""
     return hashlib.sha256(",".join(sorted(map(str, item_ids))).encode()).hexdigest()

@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected
-from .textops import ASCII_LOWER, U64, Words, byte_class, materialize, mix, record_batch, slices
+from .textops import ASCII_LOWER, U64, Words, byte_class, discard, join_counted, materialize, mix, record_batch, slices
 
 SHINGLE = 5
 PERCENT = 80
-#: Sets that meet in a block, and sets from which on a block counts as a group of its own.
-BLOCK, CROWD = 256, 32
+#: Sets that meet in a block, and their shingles; sets from which on a block counts as a group of its own.
+BLOCK, BLOCK_SHINGLES, CROWD = 256, 4_000_000, 32
 #: Numbers that ids are hashed to when texts are picked: what is broadcast is 8 bytes for each.
 PICKED = 1_000_000
 #: A token counts as frequent if it stands in the wide prefixes of so many sets; tokens are counted by stretches of so many.
@@ -325,7 +325,12 @@ def _bounded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield record_batch(QUERIES, [batch.column(0).filter(mask), batch.column(3).filter(mask)])
 
 
-def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFrame, dealt: DataFrame, percent: int) -> DataFrame:
+def _cells():
+    """Aggregate: blocks that sets of ``n`` shingles are dealt over, so that neither their number nor their shingles exceed a block's, on average."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("long")
+
+
+def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFrame, dealt: DataFrame, percent: int) -> DataFrame | None:
     """Edges between components of the first step: sets that share a prefix token with a group of another component,
     that the group's union bounds, meet its members.
 
@@ -343,10 +348,14 @@ def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFram
     placed = materialize(shared.join(ranked.select("rep", "comp", rank.alias("rank"), group.alias("grp")), "rep"), "placed")
     mixed = placed.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a < _b").select("token")
     open_ = materialize(placed.join(mixed, "token", "left_semi"), "open")
+    if open_.isEmpty():
+        discard(placed, open_)
+        return None
     groups = open_.groupBy("token", F.col("grp").alias("_grp"), F.col("rank").alias("_rank")).agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"))
     asks = ((F.col("_rank") > F.col("rank")) | ((F.col("_rank") == F.col("rank")) & (F.col("_grp") < F.col("grp")))) & ((F.col("_a") != F.col("comp")) | (F.col("_b") != F.col("comp")))
     queries = open_.join(groups, "token").where(asks).select("rep", F.col("_grp").alias("comp")).distinct()
     queries = materialize(queries, "queries")
+    discard(open_)
 
     of_group = placed.select("rep", F.col("grp").alias("comp")).distinct()
     members = of_group.join(queries.select("comp").distinct(), "comp", "left_semi")
@@ -363,30 +372,60 @@ def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFram
 
     # open the groups: members and visitors of a group are dealt to a grid of blocks, so that each pair meets in one
     inside = of_group.join(good.select("comp").distinct(), "comp", "left_semi")
-    sizes = inside.groupBy("comp").agg(F.count(F.lit(1)).alias("_m")).join(good.groupBy("comp").agg(F.count(F.lit(1)).alias("_v")), "comp")
-    grid = sizes.select("comp", F.ceil(F.col("_m") / BLOCK).cast("long").alias("mb"), F.ceil(F.col("_v") / BLOCK).cast("long").alias("vb"))
+    heights = sets.select("rep", "n")
+    sizes = inside.join(heights, "rep").groupBy("comp").agg(_cells().alias("mb")).join(good.join(heights, "rep").groupBy("comp").agg(_cells().alias("vb")), "comp")
+    grid = sizes.select("comp", "mb", "vb")
     cell = lambda m, v: F.concat_ws(":", "comp", m, v)
     mine = inside.join(grid, "comp").select("rep", "comp", F.pmod(F.xxhash64("rep"), "mb").alias("m"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("vb") - 1)).alias("v"))
     theirs = good.join(grid, "comp").select("rep", "comp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1)).alias("m"), F.pmod(F.xxhash64("rep"), "vb").alias("v"))
     blocks = materialize(mine.unionByName(theirs).select(cell("m", "v").alias("block"), "rep"), "grid")
-    return _linked(blocks, rows, percent)
+    discard(placed, queries, good)
+    outer = materialize(_linked(blocks, rows, percent), "links-outer")
+    discard(blocks)
+    return outer
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row for each document: id, n_shingles, component_id (the smallest id reachable by links, itself included), class_id
+    """One row for each row of ``docs``: id, n_shingles, component_id (the smallest id reachable by links, itself included), class_id
     (the smallest id with an equal set).
 
     Documents link when 100 * intersection >= percent * union. Null, empty and wordless texts have no
-    shingle and link with nothing. A repeated row gives a row each time; an id has one text. Rows
-    with a null id are left out; other columns are left aside. An empty table gives no row.
+    shingle and link with nothing. Ids may be of any type that has an order; rows with a null id, or with an id
+    that several rows share, are documents of their own, and component_id is null where no reachable row has an id.
+    An empty table gives no row; other columns, of whatever name, are left aside.
     """
-    spark = docs.sparkSession
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    found = _found(docs, id_col, text_col, percent)
+    return found.select(F.col("name").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("class").alias("class_id"))
+
+
+def _found(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """name (the id), n, component, class, and mark: a hash of the text where ids name no row, else null."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = docs.schema[id_col].dataType
+    integral = kind.simpleString() in ("bigint", "int", "smallint", "tinyint")
+    if integral and rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or id is null").isEmpty():
+        named = lambda c: F.col(c).cast(kind)
+        found = _components(rows.select(F.col("id").cast("long"), "text"), percent)
+        return found.select(named("id").alias("name"), "n", named("component").alias("component"), named("rep").alias("class"), F.lit(None).cast("long").alias("mark"))
+    numbered = materialize(rows.select(F.col("id").alias("name"), F.monotonically_increasing_id().alias("id"), "text"), "numbered")
+    marked = numbered.select("id", "name", F.xxhash64("text").alias("mark"))
+    found = materialize(_components(numbered.select("id", "text"), percent).join(marked, "id"), "numbered-components")
+    total = found.count()
+    for key, name in (("component", "least"), ("rep", "class")):
+        least = found.groupBy(key).agg(F.min("name").alias(name), F.count(F.lit(1)).alias("_n"))
+        found = materialize(join_counted(found, least, [key], "inner", total), "numbered-names")
+    discard(numbered)
+    return found.select("name", "n", F.col("least").alias("component"), "class", "mark")
+
+
+def _components(rows: DataFrame, percent: int) -> DataFrame:
+    """(id, n, rep, component) for ``rows`` (id: long, unique; text). Tables that no later step reads are deleted on the way."""
+    spark = rows.sparkSession
     first = materialize(rows.mapInArrow(lambda it: _first_pass(it, percent), FIRST_DDL), "signatures")
 
     described = first.where("id is not null").select("id", "n", "s1", "s2")
-    classes = described.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
-    placed = described.where("n > 0").join(classes, ["n", "s1", "s2"]).select("id", "n", "rep")
+    classes = described.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("_n"))
+    placed = join_counted(described.where("n > 0"), classes, ["n", "s1", "s2"], "inner", described.count()).select("id", "n", "rep")
     placed = materialize(placed.unionByName(described.where("n = 0").select("id", "n", F.col("id").alias("rep"))), "classes")
 
     often = first.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= OVERALL)
@@ -398,31 +437,41 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     several = prefixes.groupBy("token").agg(F.min("id").alias("_a"), F.max("id").alias("_b")).where("_a < _b").select("token")
     met = prefixes.join(several, "token", "left_semi")
     by_class = materialize(met.join(placed.select("id", "rep"), "id").select("token", "rep").distinct(), "met")
+    discard(prefixes)
     different = by_class.groupBy("token").agg(F.min("rep").alias("_a"), F.max("rep").alias("_b")).where("_a < _b").select("token")
     shared = materialize(by_class.join(different, "token", "left_semi"), "shared")
+    discard(by_class)
 
     sets = first.where("id is not null").select(F.col("id").alias("rep"), "n", "bits").join(shared.select("rep").distinct(), "rep", "left_semi")
-    sets = materialize(sets.dropDuplicates(["rep"]), "sets")
+    sets = materialize(sets, "sets")
+    discard(first)
 
     # two tokens of each set name its groups: the first and the last by hash
     keys = shared.groupBy("rep").agg(F.min("token").alias("a"), F.max("token").alias("b")).select("rep", F.explode(F.array_distinct(F.array("a", "b"))).alias("key"), "a")
-    keys = materialize(keys.select("rep", "key", (F.col("key") == F.col("a")).alias("is_first")), "group-keys")
-    blocks = keys.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key", F.ceil(F.col("_n") / BLOCK).cast("long").alias("blocks"))
+    keys = materialize(keys.select("rep", "key", (F.col("key") == F.col("a")).alias("is_first")).join(sets.select("rep", "n"), "rep"), "group-keys")
+    blocks = keys.groupBy("key").agg(F.count(F.lit(1)).alias("_n"), _cells().alias("blocks")).where("_n > 1").drop("_n")
     dealt = keys.join(blocks, "key").select(F.concat_ws(":", "key", F.pmod(F.xxhash64("rep", "key"), "blocks")).alias("block"), "rep", "is_first")
     dealt = materialize(dealt, "dealt")
+    discard(keys)
     compared = dealt.join(sets, "rep").select("block", "rep", "n", "bits").repartition("block").sortWithinPartitions("block")
     possible = materialize(compared.mapInArrow(lambda it: _with_partner(it, percent), "block string, rep long"), "possible")
     inner = materialize(_linked(possible, rows, percent), "links-inner")
     comps = connected(inner)
-    outer = materialize(_across(shared, rows, sets, comps, dealt, percent), "links-outer")
-    if not outer.isEmpty():
+    outer = _across(shared, rows, sets, comps, dealt, percent)
+    discard(shared, sets, dealt, possible, inner)
+    if outer is not None and not outer.isEmpty():
         comps = connected(comps.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(outer))
     found = placed.join(comps, placed["rep"] == comps["node"], "left")
-    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"), F.col("rep").alias("class_id"))
+    return found.select("id", "n", "rep", F.coalesce("component", "rep").alias("component"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; columns unchanged. Rows with a null id stay."""
-    lost = join(docs, id_col, text_col, percent).where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_lost"))
+    """``docs`` with one document of each component, that of the smallest id; columns unchanged, whatever their names.
+
+    Rows with a null id stay, as which row it is can't be told; so do repeated rows of the smallest id. Texts that share an
+    id are each judged by themselves. Null, empty and wordless texts stay. An empty table gives no row.
+    """
+    lost = _found(docs, id_col, text_col, percent).where(F.col("name") != F.col("component")).select(F.col("name").alias("_lost"), F.col("mark").alias("_mark"))
     lost = materialize(lost.distinct(), "near-copies")
-    return docs.join(lost, docs[id_col] == lost["_lost"], "left_anti")
+    same = lost["_mark"].isNull() | (lost["_mark"] == F.xxhash64(docs[text_col]))
+    return docs.join(lost, (docs[id_col] == lost["_lost"]) & same, "left_anti")
