@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import ASCII_LOWER, U64, Words, byte_class, id_schema, materialize, record_batch, slices, typed
+from .textops import ASCII_LOWER, U64, Words, byte_class, id_schema, materialize, record_batch, slices, typed, without
 
 WINDOW = 13
 #: Every so many text positions the suffix array is kept for locating.
@@ -290,12 +290,13 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """``docs`` without contaminated rows; columns unchanged, whatever their names. Rows are told by id and a hash of the text, so
-    that null ids, and texts that share an id, are each judged by themselves; equal texts are judged alike."""
-    marked = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark")).alias("row"), F.col(text_col).alias("text"))
-    bad = report(marked, benchmark, "row", "text", **kw).where("contaminated").select(F.col("row.id").alias("_bad"), F.col("row.mark").alias("_mark")).distinct()
+    """``docs`` without contaminated rows; columns unchanged, whatever their names. Rows are told by two hashes of the text:
+    equal texts are judged alike, whatever their id, so that null, repeated and shared ids need no care."""
+    marks = [F.xxhash64(text_col), F.xxhash64(F.lit(1), text_col)]
+    marked = docs.select(F.struct(marks[0].alias("a"), marks[1].alias("b")).alias("row"), F.col(text_col).alias("text"))
+    bad = report(marked, benchmark, "row", "text", **kw).where("contaminated").select(F.col("row.a").alias("_bad_a"), F.col("row.b").alias("_bad_b")).distinct()
     bad = materialize(bad, "contaminated")
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]) & (F.xxhash64(docs[text_col]) == bad["_mark"]), "left_anti")
+    return without(docs, bad, marks, [bad["_bad_a"], bad["_bad_b"]])
 
 
 def strip_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textops import join_counted, materialize
+from .textops import discard, join_counted, materialize, picked, without
 
 #: Characters that the prefix hash covers.
 PREFIX_CHARS = 64
@@ -42,7 +42,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", norm
     # the survivors are written, so that their size is known when the plan for the content is made
     ids = materialize(_shared(alike, ["_len", "_head"], total).distinct(), "dedup-survivors")
     same = rows["_id"].eqNullSafe(ids["_id"]) & (F.octet_length(rows["_text"]) == ids["_len"]) & (_head(rows["_text"]) == ids["_head"])
-    full = materialize(rows.join(ids, same, "left_semi").select("_id", F.octet_length("_text").alias("_len"), _head(F.col("_text")).alias("_head"), F.sha2("_text", 256).alias("_sha")), "dedup-hashed")
+    likely = picked(rows, [rows["_id"]], ids, [ids["_id"]])
+    full = materialize(likely.join(ids, same, "left_semi").select("_id", F.octet_length("_text").alias("_len"), _head(F.col("_text")).alias("_head"), F.sha2("_text", 256).alias("_sha")), "dedup-hashed")
+    discard(narrow, alike, ids)
     equal = full.groupBy("_sha", "_len").agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_keep")).where("_n > 1").withColumn("_size", F.col("_n"))
     return join_counted(full, equal, ["_sha", "_len"], "inner", total).select(
         F.col("_id").alias(id_col), F.col("_keep").alias("keep_id"), F.col("_size").alias("group_size"), F.col("_sha").alias("text_sha256"), "_len", "_head")
@@ -58,9 +60,9 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lost = found.where(F.col(id_col) != F.col("keep_id"))
     lost = materialize(lost.select(F.col(id_col).alias("_lost_id"), F.col("_len").alias("_lost_len"), F.col("_head").alias("_lost_head"), F.col("text_sha256").alias("_lost_sha")).distinct(), "dedup-lost")
     text = F.coalesce(docs[text_col], F.lit(""))
-    alike = (docs[id_col] == lost["_lost_id"]) & (F.octet_length(text) == lost["_lost_len"]) & (_head(text) == lost["_lost_head"])
-    # both are 64 characters; contains, unlike equality, is no key of the join, so that it is worked out for matches only
-    return docs.join(lost, alike & F.sha2(text, 256).contains(lost["_lost_sha"]), "left_anti")
+    # both hashes are 64 characters; contains, unlike equality, is no key of the join, so that it is worked out for matches only
+    key, lost_key = [docs[id_col], F.octet_length(text), _head(text)], [lost["_lost_id"], lost["_lost_len"], lost["_lost_head"]]
+    return without(docs, lost, key, lost_key, F.sha2(text, 256).contains(lost["_lost_sha"]))
 
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -29,14 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected
-from .textops import ASCII_LOWER, U64, Words, byte_class, discard, join_counted, materialize, mix, record_batch, slices
+from .textops import ASCII_LOWER, U64, Words, byte_class, discard, give_back, join_counted, materialize, mix, picked, record_batch, slices, without
 
 SHINGLE = 5
 PERCENT = 80
 #: Sets that meet in a block, and their shingles; sets from which on a block counts as a group of its own.
 BLOCK, BLOCK_SHINGLES, CROWD = 256, 4_000_000, 32
-#: Numbers that ids are hashed to when texts are picked: what is broadcast is 8 bytes for each.
-PICKED = 1_000_000
 #: A token counts as frequent if it stands in the wide prefixes of so many sets; tokens are counted by stretches of so many.
 OVERALL, STRETCH = 16, 1_000_000
 #: Tokens that the order treats as frequent, at most: what is broadcast is 8 bytes for each.
@@ -218,6 +216,7 @@ def _link_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
     def finish():
         for u, v in link_block(ids, sets, percent):
             us.append(u), vs.append(v)
+        give_back()
 
     for batch in batches:
         names, reps = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -239,11 +238,8 @@ def _link_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
 def _linked(blocks: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """Edges from ``blocks`` (block, rep): the texts are brought to their blocks.
 
-    Most texts are in no block. They are left out by the hash of their id, of ``PICKED`` values at most,
-    before the join shuffles what remains."""
-    number = lambda c: F.pmod(F.xxhash64(c), F.lit(PICKED))
-    picked = F.broadcast(blocks.select(number("rep").alias("_number")).distinct())
-    likely = rows.withColumn("_number", number("id")).join(picked, "_number", "left_semi")
+    Most texts are in no block. They are left out before the join shuffles what remains."""
+    likely = picked(rows, [rows["id"]], blocks, [blocks["rep"]])
     texts = likely.join(blocks, likely["id"] == blocks["rep"]).select("block", "rep", "text")
     return texts.repartition("block").sortWithinPartitions("block").mapInArrow(lambda it: _link_blocks(it, percent), "u long, v long")
 
@@ -288,6 +284,7 @@ def _with_partner(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[p
         if len(reps) > 1:
             for k in np.flatnonzero(partners(np.array(sizes), bits, percent)):
                 names.append(block), stay.append(reps[k])
+        give_back()
 
     for batch in batches:
         keys, ids, counts = (batch.column(k).to_pylist() for k in (0, 1, 2))
@@ -362,9 +359,10 @@ def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFram
     words = members.join(sets.select("rep", "bits"), "rep").withColumn("size", F.size("bits"))
     least = words.groupBy("comp").agg(F.min("size").alias("least"))
     # a union's bits: the members' words, folded to the shortest vector, are added up place by place
+    # (those of one length first, so that a large group has met before it is joined with its shortest length)
+    places = words.select("comp", "size", F.posexplode("bits").alias("at", "word")).groupBy("comp", "size", "at").agg(F.bit_or("word").alias("word"))
     union = (
-        words.join(least, "comp").select("comp", "least", F.posexplode("bits").alias("at", "word"))
-        .groupBy("comp", (F.col("at") % F.col("least")).alias("at")).agg(F.bit_or("word").alias("word"))
+        places.join(least, "comp").groupBy("comp", (F.col("at") % F.col("least")).alias("at")).agg(F.bit_or("word").alias("word"))
         .groupBy("comp").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("row")).select("comp", F.col("row.word").alias("union"))
     )
     asked = queries.join(sets.select("rep", "n", "bits"), "rep").join(union, "comp").select("rep", "n", "bits", "comp", "union")
@@ -474,4 +472,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lost = _found(docs, id_col, text_col, percent).where(F.col("name") != F.col("component")).select(F.col("name").alias("_lost"), F.col("mark").alias("_mark"))
     lost = materialize(lost.distinct(), "near-copies")
     same = lost["_mark"].isNull() | (lost["_mark"] == F.xxhash64(docs[text_col]))
-    return docs.join(lost, (docs[id_col] == lost["_lost"]) & same, "left_anti")
+    return without(docs, lost, [docs[id_col]], [lost["_lost"]], same)

@@ -11,11 +11,12 @@ from __future__ import annotations
 import ctypes
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -198,6 +199,26 @@ def join_counted(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str, t
     return rows.join(hot.drop("_n"), keys, how).unionByName(rest)
 
 
+#: Numbers that keys are hashed to when rows are picked: what is broadcast is 8 bytes for each.
+PICKED = 1_000_000
+
+
+def picked(rows: DataFrame, key: list[Column], wanted: DataFrame, wanted_key: list[Column], how: str = "left_semi") -> DataFrame:
+    """The rows whose key may be among those of ``wanted``, judged by the hash of the key: all that are, and some that aren't
+    ('left_anti': the others). Nothing of ``rows`` is shuffled: at most ``PICKED`` numbers are broadcast, whatever the sizes."""
+    number = lambda columns: F.pmod(F.xxhash64(*columns), F.lit(PICKED)).alias("_number")
+    numbers = F.broadcast(wanted.select(number(wanted_key)).distinct())
+    return rows.join(numbers, number(key) == numbers["_number"], how)
+
+
+def without(docs: DataFrame, lost: DataFrame, key: list[Column], lost_key: list[Column], more: Column | None = None) -> DataFrame:
+    """``docs`` but for the rows with a key (not null) that stands in ``lost`` and for which ``more`` holds. Most rows stay where they
+    are: only those that may be lost are dealt to a join. ``lost`` is a written table; no column of it has a name of ``docs``."""
+    same = reduce(lambda a, b: a & b, (a == b for a, b in zip(key, lost_key, strict=True)))
+    maybe = picked(docs, key, lost, lost_key)
+    return picked(docs, key, lost, lost_key, "left_anti").unionByName(maybe.join(lost, same if more is None else same & more, "left_anti"))
+
+
 def id_schema(docs: DataFrame, id_col: str, rest: str) -> StructType:
     """Columns ``id``, of the type that ``docs`` has, and ``rest`` (DDL)."""
     return StructType([StructField("id", docs.schema[id_col].dataType), *StructType.fromDDL(rest)])

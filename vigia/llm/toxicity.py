@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import ASCII_LOWER, U64, Words, byte_class, hash_word, id_schema, materialize, record_batch, slices
+from .textops import ASCII_LOWER, U64, Words, byte_class, hash_word, id_schema, materialize, record_batch, slices, without
 
 #: Labelled documents that are fitted on, about; features that are kept; documents that must have a feature.
 TRAIN_ROWS, VOCABULARY, LEAST_DOCS = 12_000, 2_000, 4
@@ -259,13 +259,14 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """``docs`` without the rows predicted toxic; columns unchanged, whatever their names.
 
-    Only id and text go through the scoring task. Rejected rows are told by id and a hash of the text, so that rows
-    with a null id, and texts that share an id, are each judged by themselves; equal rows have equal scores.
+    Only id and text go through the scoring task. Rejected rows are told by two hashes of id and text, so that rows
+    with a null id, and texts that share an id, are each judged by themselves; equal rows have equal scores. Null and
+    empty texts are scored as texts without a word; an empty table gives no row.
     """
     model = learn(labelled_sample(docs, labels, ~held_out(id_col), "toxic", id_col, text_col, TRAIN_ROWS))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    mark = F.xxhash64(text_col)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), mark.alias("_mark"))
-    scored = rows.mapInArrow(lambda it: _score_batches(it, shared), id_schema(docs, id_col, "_mark long, score double"))
-    lost = materialize(scored.where(F.col("score") >= threshold).select(F.col("id").alias("_lost_id"), F.col("_mark").alias("_lost_mark")).distinct(), "toxic")
-    return docs.join(lost, docs[id_col].eqNullSafe(lost["_lost_id"]) & (mark == lost["_lost_mark"]), "left_anti")
+    marks = [F.xxhash64(id_col, text_col), F.xxhash64(text_col)]
+    rows = docs.select(marks[0].alias("id"), F.col(text_col).alias("text"), marks[1].alias("mark"))
+    scored = rows.mapInArrow(lambda it: _score_batches(it, shared), "id long, mark long, score double")
+    lost = materialize(scored.where(F.col("score") >= threshold).select(F.col("id").alias("_lost_id"), F.col("mark").alias("_lost_mark")).distinct(), "toxic")
+    return without(docs, lost, marks, [lost["_lost_id"], lost["_lost_mark"]])
