@@ -78,6 +78,32 @@ def test_html_text(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+WORDS = "so it is said here and there "
+PAGES = [
+    ("<article><p>Short article text.</p></article>", "Short article text."),
+    ("<p>The only paragraph of this page.</p>", "The only paragraph of this page."),
+    (f"<article><h1>Head line</h1><p>{WORDS * 6}</p><p>The last one is short.</p></article>", f"Head line\n{(WORDS * 6).strip()}\nThe last one is short."),
+    (f"<ul><li><a href=a>Home</a></li><li><a href=b>About us</a></li></ul><h1>The head line</h1><p>{WORDS * 6}</p><p>{WORDS * 4}</p>", f"The head line\n{(WORDS * 6).strip()}\n{(WORDS * 4).strip()}"),
+    ("".join(f"<div><a href=x>Link {i}</a></div>" for i in range(6)) + f"<p>{WORDS * 5}</p><p>{WORDS * 3}</p>", f"{(WORDS * 5).strip()}\n{(WORDS * 3).strip()}"),
+    (f"<article><div class='article-header'><h1>Head line</h1></div><p>{WORDS * 4}</p></article>", f"Head line\n{(WORDS * 4).strip()}"),
+    (f"<div class=post-content><p>{WORDS * 4}</p><div class='post-comments'><p>I think so too</p></div></div><div>Something else</div>", (WORDS * 4).strip()),
+    ("<article><h1>Word</h1><p><a href=x>all of it is a link</a></p><p>And more of it.</p></article>", "Word\nall of it is a link\nAnd more of it."),
+    (f"<div><a href=1>One</a></div><div><a href=2>Two of them</a></div><p>{WORDS * 5}</p><p>{WORDS * 3}</p><div><a href=1>Terms</a></div><div><a href=2>About us</a></div>", f"{(WORDS * 5).strip()}\n{(WORDS * 3).strip()}"),
+]
+
+
+@pytest.mark.parametrize("page, want", PAGES)
+def test_html_of_other_shapes(page, want):
+    assert html_text.main_texts([page], html_text.grow()) == [want]
+
+
+def test_html_tree_looks_at_links_and_neighbours():
+    grown = str(html_text.grow())
+    assert "link_density" in grown and "density_before" in grown and "density_after" in grown and "words" in grown
+    rows = html_text.labelled()
+    assert (html_text.grow().predict(rows[:, :-1]) == rows[:, -1]).all()
+
+
 def test_html_articles_of_the_sample(spark):
     got = html_text.extract(spark.read.parquet(f"{SF}/pages.parquet")).join(spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html"), "page_id").collect()
     import html

@@ -23,16 +23,19 @@ from .textops import give_back, id_schema, record_batch, typed
 RAW = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "head", "textarea", "select", "title")
 #: Elements that end a block.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
-#: Elements that hold an article, and elements that hold what is around it.
-ARTICLE = frozenset(("article", "main"))
+#: Elements that hold what is around an article.
 AROUND = frozenset("nav footer aside form menu dialog button label fieldset".split())
-#: Words in a class or id that mark what is around an article.
-HINTS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer header login masthead menu nav navbar navigation newsletter notice notices pagination pager popup promo promoted recommended related reply replies share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+#: Words in a class, id or role that mark what is around an article.
+HINTS = frozenset("ad ads advert advertisement adverts breadcrumb breadcrumbs comment comments cookie cookies consent disqus login menu nav navbar navigation newsletter notice notices pagination pager popup promo promoted recommended related reply replies share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+#: Words that mark what is around an article only outside of it; an article has headers and footers of its own.
+OUTER_HINTS = frozenset("header footer banner masthead".split())
+#: Words in a class, id or role that mark an article.
+INNER_HINTS = frozenset("article articlebody entry post story".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 _token = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>", re.S)
-_hint = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_hint = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _space = re.compile(r"\s+")
 
 
@@ -42,8 +45,7 @@ class Block:
     words: int
     linked: int
     in_article: bool
-    around: bool
-    hinted: bool
+    marked: bool
     heading: bool
     listed: bool
 
@@ -51,13 +53,13 @@ class Block:
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in order. Broken markup is read as it comes: a tag is no more than a mark in the flat text."""
     out: list[Block] = []
-    open_: list[tuple[str, int]] = []  # element and what it brings: 1 article, 2 around, 4 hinted, 8 list, 16 heading, 32 link
-    held = [0] * 6
+    open_: list[tuple[str, int]] = []  # element and what it brings: 1 article, 2 around, 4 list, 8 heading, 16 link
+    held = [0] * 5
     parts: list[str] = []
     links = 0
 
     def bring(flags: int, by: int) -> None:
-        for k in range(6):
+        for k in range(5):
             if flags >> k & 1:
                 held[k] += by
 
@@ -65,7 +67,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal links
         text = _space.sub(" ", "".join(parts)).strip()
         if text:
-            out.append(Block(text, text.count(" ") + 1, min(links, text.count(" ") + 1), held[0] > 0, held[1] > 0, held[2] > 0, held[4] > 0, held[3] > 0))
+            out.append(Block(text, text.count(" ") + 1, min(links, text.count(" ") + 1), held[0] > 0, held[1] > 0, held[3] > 0, held[2] > 0))
         parts.clear()
         links = 0
 
@@ -74,7 +76,7 @@ def blocks(page: str) -> list[Block]:
         if piece:
             piece = html.unescape(piece)
             parts.append(piece)
-            if held[5]:
+            if held[4]:
                 links += len(piece.split())
 
     at, end = 0, len(page)
@@ -115,76 +117,117 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in ("p", "li") and open_ and open_[-1][0] == name:
             bring(open_.pop()[1], -1)
-        flags = (1 if name in ARTICLE else 0) | (2 if name in AROUND or name == "header" and not held[0] else 0) | (8 if name == "li" else 0) | (16 if name in HEADINGS else 0) | (32 if name == "a" else 0)
-        if m[3] and ("class" in m[3] or "id" in m[3] or "role" in m[3]) and name not in ("html", "body"):
+        around = name in AROUND or name == "header" and not held[0]
+        article = name == "article"
+        if m[3] and ("class" in m[3] or "id" in m[3] or "role" in m[3] or "itemprop" in m[3]) and name not in ("html", "body"):
             named = {w for g in _hint.findall(m[3]) for w in re.split(r"[^a-z]+", "".join(g).lower())}
-            if named & HINTS:
-                flags |= 4
+            article = article or bool(named & INNER_HINTS)
+            around = around or bool(named & HINTS) or bool(named & OUTER_HINTS) and not held[0] and not article
+        flags = (1 if article and not around else 0) | (2 if around else 0) | (4 if name == "li" else 0) | (8 if name in HEADINGS else 0) | (16 if name == "a" else 0)
         open_.append((name, flags))
         bring(flags, 1)
     close()
     return out
 
 
-FEATURES = ("words", "link_density", "words_before", "density_before", "words_after", "density_after", "in_article", "marked", "heading", "listed")
+FEATURES = ("words", "link_density", "words_before", "density_before", "words_after", "density_after", "in_article", "elsewhere", "marked", "heading", "listed")
 
 
 def features(found: list[Block]) -> np.ndarray:
+    """A row of ``FEATURES`` for each block of a page. ``elsewhere``: the page has an article, and the block isn't in it. No neighbour: 0 words."""
     n = len(found)
     x = np.zeros((n, len(FEATURES)), np.float32)
+    has = any(b.in_article for b in found)
     for k, b in enumerate(found):
         x[k, 0], x[k, 1] = b.words, b.linked / b.words
-        x[k, 6:] = b.in_article, b.around or b.hinted, b.heading, b.listed
+        x[k, 6:] = b.in_article, has and not b.in_article, b.marked, b.heading, b.listed
     if n > 1:
         x[1:, 2:4] = x[:-1, 0:2]
         x[:-1, 4:6] = x[1:, 0:2]
     return x
 
 
-#: Labelled blocks, in the order of FEATURES (marked as two columns: by its element, by a class or id), then 1 for article text.
-#: They come from pages with and without an article element, read by eye.
-LABELLED = [
-    # menus and their entries
-    (1, 1.0, 0, 0.0, 1, 1.0, 0, 1, 0, 0, 1, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0, 1, 0, 0, 1, 0), (6, 1.0, 0, 0.0, 12, 0.0, 0, 1, 0, 0, 0, 0),
-    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0, 1, 0), (3, 1.0, 2, 1.0, 2, 1.0, 0, 0, 1, 0, 1, 0), (9, 0.9, 4, 1.0, 5, 1.0, 0, 0, 0, 0, 0, 0),
-    (12, 0.8, 6, 1.0, 40, 0.0, 0, 0, 0, 0, 0, 0), (4, 0.5, 3, 1.0, 3, 1.0, 0, 0, 0, 0, 0, 0), (20, 0.7, 5, 1.0, 3, 1.0, 0, 0, 0, 0, 1, 0),
-    # adverts, notices, forms, sidebars, comments, headers, footers
-    (7, 0.0, 1, 1.0, 12, 0.0, 0, 0, 1, 0, 0, 0), (12, 0.0, 1, 1.0, 9, 0.0, 0, 0, 1, 0, 0, 0), (30, 0.1, 2, 1.0, 15, 0.0, 0, 0, 1, 0, 0, 0),
-    (14, 0.0, 60, 0.0, 0, 0.0, 0, 1, 0, 0, 0, 0), (40, 0.0, 80, 0.0, 25, 0.0, 0, 1, 0, 0, 0, 0), (25, 0.2, 30, 0.0, 12, 0.3, 0, 1, 1, 0, 0, 0),
-    (18, 0.0, 50, 0.0, 22, 0.0, 0, 0, 1, 0, 0, 0), (60, 0.0, 18, 0.0, 40, 0.0, 0, 0, 1, 0, 0, 0), (5, 0.0, 70, 0.0, 60, 0.0, 1, 0, 1, 0, 0, 0),
-    (22, 0.0, 45, 0.0, 50, 0.0, 1, 0, 1, 0, 0, 0), (3, 0.0, 20, 0.0, 4, 0.0, 1, 1, 0, 0, 0, 0), (9, 0.4, 60, 0.0, 30, 0.0, 1, 1, 0, 0, 0, 0),
-    (6, 0.0, 0, 0.0, 1, 1.0, 0, 1, 0, 1, 0, 0), (4, 0.0, 30, 0.0, 18, 0.0, 0, 0, 1, 1, 0, 0), (110, 0.0, 4, 0.0, 60, 0.0, 0, 1, 0, 0, 0, 0),
-    (40, 0.0, 80, 0.0, 0, 0.0, 0, 1, 0, 0, 0, 0), (60, 0.0, 30, 0.0, 9, 0.0, 0, 1, 0, 0, 0, 0), (32, 0.0, 4, 0.0, 6, 0.0, 0, 1, 0, 0, 1, 0),
-    (50, 0.0, 60, 0.0, 12, 0.0, 0, 0, 1, 0, 0, 0), (35, 0.0, 90, 0.0, 0, 0.0, 0, 0, 1, 0, 0, 0), (90, 0.0, 40, 0.0, 20, 0.0, 0, 0, 1, 0, 0, 0),
-    (120, 0.0, 5, 0.0, 8, 0.0, 0, 1, 0, 0, 0, 0), (75, 0.1, 120, 0.0, 3, 0.0, 0, 1, 1, 0, 0, 0), (30, 0.0, 110, 0.0, 60, 0.0, 0, 1, 0, 0, 0, 0),
-    (11, 0.0, 9, 0.0, 0, 0.0, 0, 1, 0, 0, 0, 0), (13, 0.0, 120, 0.0, 0, 0.0, 0, 1, 0, 0, 0, 0), (9, 0.0, 2, 0.0, 0, 0.0, 0, 1, 0, 0, 0, 0),
-    (26, 0.0, 300, 0.0, 0, 0.0, 0, 1, 0, 0, 0, 0), (18, 0.0, 1, 0.0, 0, 0.0, 0, 1, 0, 0, 0, 0), (28, 0.0, 34, 0.0, 0, 0.0, 0, 1, 0, 0, 0, 0),
-    (27, 0.0, 1, 1.0, 8, 0.0, 0, 0, 1, 0, 0, 0), (16, 0.0, 1, 1.0, 1, 0.0, 0, 0, 1, 0, 0, 0), (4, 0.0, 1, 1.0, 12, 0.0, 0, 0, 1, 0, 0, 0),
-    (28, 0.0, 200, 0.0, 200, 0.0, 0, 0, 1, 0, 0, 0), (27, 0.0, 26, 0.0, 2, 0.0, 1, 0, 1, 0, 0, 0), (60, 0.0, 90, 0.0, 90, 0.0, 1, 1, 0, 0, 0, 0),
-    (2, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0, 0, 0), (3, 0.0, 1, 1.0, 0, 0.0, 0, 0, 0, 0, 0, 0), (5, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0, 0, 0),
-    (6, 0.3, 90, 0.0, 0, 0.0, 0, 0, 0, 0, 0, 0), (3, 0.0, 9, 0.9, 6, 1.0, 0, 0, 0, 1, 0, 0),
-    # articles: headlines, paragraphs of any length, list entries, links in the text
-    (10, 0.0, 12, 0.0, 60, 0.0, 1, 0, 0, 1, 0, 1), (8, 0.0, 7, 0.0, 16, 0.0, 1, 0, 0, 1, 0, 1), (1, 0.0, 30, 0.0, 25, 0.0, 1, 0, 0, 0, 0, 1),
-    (2, 0.0, 1, 0.0, 3, 0.0, 1, 0, 0, 0, 0, 1), (1, 0.0, 1, 0.0, 1, 0.0, 1, 0, 0, 0, 0, 1), (60, 0.0, 10, 0.0, 40, 0.0, 1, 0, 0, 0, 0, 1),
-    (250, 0.0, 3, 0.0, 14, 0.0, 1, 0, 0, 0, 0, 1), (35, 0.1, 20, 0.0, 20, 0.0, 1, 0, 0, 0, 0, 1), (16, 0.3, 45, 0.0, 12, 0.0, 1, 0, 0, 0, 0, 1),
-    (3, 1.0, 40, 0.0, 35, 0.0, 1, 0, 0, 0, 0, 1), (9, 0.0, 20, 0.0, 8, 0.0, 1, 0, 0, 0, 1, 1), (5, 1.0, 14, 0.0, 9, 0.0, 1, 0, 0, 0, 1, 1),
-    (20, 0.0, 60, 0.0, 14, 0.0, 1, 0, 0, 0, 0, 1), (4, 0.0, 80, 0.0, 70, 0.0, 1, 0, 0, 1, 0, 1), (11, 0.0, 1, 1.0, 33, 0.0, 1, 0, 0, 0, 0, 1),
-    (40, 0.0, 108, 0.0, 2, 0.0, 1, 0, 0, 0, 0, 1), (1, 0.0, 123, 0.0, 9, 0.0, 1, 0, 0, 0, 0, 1), (13, 0.0, 144, 0.0, 5, 0.0, 1, 0, 0, 0, 0, 1),
-    (138, 0.0, 208, 0.0, 130, 0.0, 1, 0, 0, 0, 0, 1), (7, 0.0, 138, 0.0, 79, 0.0, 1, 0, 0, 0, 0, 1), (41, 0.0, 274, 0.0, 300, 0.0, 1, 0, 0, 0, 0, 1),
-    (2, 0.0, 253, 0.0, 10, 0.0, 1, 0, 0, 0, 0, 1), (900, 0.0, 500, 0.0, 700, 0.0, 1, 0, 0, 0, 0, 1), (6, 0.0, 800, 0.0, 1, 0.0, 1, 0, 0, 0, 0, 1),
-    (24, 0.0, 104, 0.0, 0, 0.0, 1, 0, 0, 0, 0, 1), (1, 1.0, 90, 0.0, 120, 0.0, 1, 0, 0, 0, 0, 1), (2, 0.0, 5, 1.0, 4, 1.0, 1, 0, 0, 0, 1, 1),
-    (70, 0.0, 160, 0.0, 90, 0.0, 0, 0, 0, 0, 0, 1), (130, 0.0, 220, 0.0, 15, 0.0, 0, 0, 0, 0, 0, 1), (16, 0.0, 140, 0.0, 110, 0.0, 0, 0, 0, 0, 0, 1),
-    (45, 0.0, 30, 0.0, 50, 0.0, 0, 0, 0, 0, 0, 1), (80, 0.05, 6, 0.0, 30, 0.0, 0, 0, 0, 0, 0, 1), (18, 0.0, 40, 0.0, 35, 0.0, 0, 0, 0, 0, 0, 1),
-    (12, 0.0, 55, 0.0, 48, 0.0, 0, 0, 0, 0, 0, 1), (150, 0.1, 1, 1.0, 60, 0.0, 0, 0, 0, 0, 0, 1), (28, 0.1, 70, 0.0, 6, 1.0, 0, 0, 0, 0, 0, 1),
-    (7, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 0, 0, 1), (6, 0.0, 2, 1.0, 50, 0.0, 0, 0, 0, 1, 0, 1), (9, 0.0, 45, 0.0, 62, 0.0, 0, 0, 0, 1, 0, 1),
-    (22, 0.0, 26, 0.0, 30, 0.0, 0, 0, 0, 0, 1, 1), (33, 0.0, 0, 0.0, 41, 0.0, 0, 0, 0, 0, 0, 1), (26, 0.0, 38, 0.0, 0, 0.0, 0, 0, 0, 0, 0, 1),
-]
+#: The labelled table, a page a line, read by eye. A block is the marks of what it stands in (A article, m around an
+#: article, h heading, l list), its words, / and those of them in links, and + for article text or - for the rest. Neighbours are those of the line.
+LABELLED = """
+ml1/1- ml2/2- ml1/1- m9- Ah6+ A30+ A1+ A55+ A12+ m7-
+ml1/1- ml1/1- ml2/2- m6- Ah1+ A7+ A120+ A4+ A2+ A60+ m6-
+m12- Ah9+ A80/6+ A25+ Am14- A40+ A3/3+ A33+ Aml4/4- Aml6/6-
+Ah5+ Al12+ Al5/5+ Al7/7+ A28+ m14- m40-
+A3+
+A14+
+A1/1+ A1+
+Ah1+ A3/3+ A20+ A2+ A4/4+ A30+
+m2/2- A2+ A6/6+ A1+ A9/9+ m1-
+A4/4+ A3+ A5/5+ A3+ A7/7+
+h8- 20- A70+ A9+ 12- 5/5-
+3/3- 30- Ah4+ A90+ A11+ 60- 25/2-
+Ah7+ A45+ Am30- A200+ A5/5+ A2+ mh2- m50- m18- m75-
+A8/8+ A9/9+ A10/10+ A22+
+m25- Ah3+ A15+ A6+ m11-
+l40- l28- A35+ A16+ l9-
+4+
+12+
+60+
+220+
+h5+ 30+
+h9+ 45+ 8+
+h3+ 6+ 5+
+h6+ 80+ 12+ 4+ 30+
+33+ 41+ 26+
+30+ 1+ 40+
+h4+ 50+ 2+ 60+
+22+ 2+
+50+ 5+ 2/2- 1/1-
+h3+ 30+ 4+ 1/1- 2/2-
+h1+ 9+ 70+ 1+ 12+
+l1/1- 3- l2/2- 60+ 3+ 25+
+1/1- 3- 2/2- 40+ 3+ 50+ 2/2- 2- 1/1-
+16+ 140+ 110/4+ 15+
+7+ 9+ 11+
+l1/1- l2/2- h6+ 50+ 12+ 90+
+l1/1- l2/2- l1/1- 40+ 22+
+l2/2- l3/3- 70+ 9+
+1/1- 2/2- 1/1- 3/3- h7+ 60+ 35+ 1/1- 2/2-
+2/2- 1/1- 2/2- 5/5- 80+ 6+ 44+ 3/3- 1/1- 2/2-
+1/1- 1/1- 2/2- 2/2- 3/3- 1/1-
+l2/2- l2/2- l1/1- l4/4-
+h2- l5/5- l6/6- l7/7- h5+ 66+ 30+
+5/4- 4/4- 120+ 90+ 8/6- 6/6-
+3/3- 2- 4/4- 55+ 38+ 2/2- 3- 1/1-
+12/10- 9/9- 50+ 60/5+ 20/2+
+1/1- 1- 2/2- 1- 1/1- h4+ 75+ 18+
+l1/1- l1/1- 250+ 14+ l2/2- l2/2-
+h6+ 40+ l9+ l12+ l8/1+ 30+
+h5+ 25+ l4+ l3+ l6+
+18+ l15/3+ l22/2+ 70+
+m30- m10/4- 50+ 13+ m8-
+m3- m120- h4+ 35+ m60- m45-
+ml1/1- ml2/2- 26+ 38+ m9-
+ml3/3- 14+ m7-
+m5- h8+ 20+ m40- m22-
+m2/2- 5+ 60+
+60+ 9/9- 7/7- 11/11-
+48+ 13+ h2- l6/6- l8/8- l7/7-
+85+ 20+ 3/3- 2/2- 4/3-
+"""
+
+
+def labelled(table: str = LABELLED) -> np.ndarray:
+    """Rows of the labelled table: ``FEATURES``, then 1 for article text."""
+    out = []
+    for line in table.split("\n"):
+        cells = [re.fullmatch(r"([Amhl]*)(\d+)(?:/(\d+))?([+-])", c) for c in line.split()]
+        if cells:
+            page = [Block("", int(c[2]), int(c[3] or 0), "A" in c[1], "m" in c[1], "h" in c[1], "l" in c[1]) for c in cells]
+            out.append(np.column_stack([features(page), [c[4] == "+" for c in cells]]))
+    return np.concatenate(out)
 
 
 class Tree:
     """A binary decision tree by Gini impurity."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 6):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 8):
         self.feature = self.cut = None
         self.value = bool(y.mean() >= 0.5)
         if depth == 0 or len(set(y.tolist())) < 2:
@@ -203,6 +246,12 @@ class Tree:
         left = x[:, self.feature] <= self.cut
         self.low, self.high = Tree(x[left], y[left], depth - 1), Tree(x[~left], y[~left], depth - 1)
 
+    def __str__(self) -> str:
+        if self.feature is None:
+            return "text" if self.value else "rest"
+        inner = lambda t: str(t).replace("\n", "\n  ")
+        return f"{FEATURES[self.feature]} <= {self.cut:g}\n  {inner(self.low)}\nelse\n  {inner(self.high)}"
+
     def predict(self, x: np.ndarray) -> np.ndarray:
         if self.feature is None:
             return np.full(len(x), self.value)
@@ -212,10 +261,8 @@ class Tree:
         return out
 
 
-def grow(labelled=LABELLED) -> Tree:
-    rows = np.array(labelled, np.float32)
-    rows[:, 7] = np.maximum(rows[:, 7], rows[:, 8])
-    rows = np.delete(rows, 8, axis=1)
+def grow(table: str = LABELLED) -> Tree:
+    rows = labelled(table)
     return Tree(rows[:, :-1], rows[:, -1])
 
 
