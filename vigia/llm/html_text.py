@@ -179,6 +179,13 @@ h6+ 80+ 12+ 4+ 30+
 h4+ 50+ 2+ 60+
 22+ 2+
 50+ 5+ 2/2- 1/1-
+40+ 2+ 2/2- 1/1-
+26+ 33+ 3+ 1/1- 1/1- 2/2-
+8/8- 3- 6/6- 2- 9/9- 1- 4/4- 70+ 35+ 1+ 7/7- 3/3-
+l5/5- 1- l12/12- 2- l7/7- h3+ 45+ 6+ 20+ 3+ l4/4- l8/8-
+18/18- 2- 22/22- 4- 30/30- 50+ 9+ 14+ 2+ 16/16- 3/3-
+2+ 60+ 1/1- 3/3-
+4+ 25+ 7+ 3+ 2/2- 5/5- 2- 6/6-
 h3+ 30+ 4+ 1/1- 2/2-
 h1+ 9+ 70+ 1+ 12+
 l1/1- 3- l2/2- 60+ 3+ 25+
