@@ -3,6 +3,7 @@
 import itertools
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,6 +165,27 @@ def test_url_rules(spark):
     assert {r["verdict"] for r in url_filter.judge(pages.where("url like 'ftp%'")).collect()} == {"allow"}
 
 
+def test_url_trees_on_urls_not_seen(spark):
+    """Every other feature of theirs is told by the suffix, so hosts with a label of one kind each; rates come from other urls."""
+    urls = [f"http://{'bad' if i % 3 == 0 else 'good'}{i % 40}.com/{'en/' if i % 3 == 0 else ''}{'9' * (i % 7) if i % 3 == 0 else 'a'}{i}" for i in range(900)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found, importance = url_filter.measured(pages, [("com", "/", "allow"), ("com", "/en/", "block")])
+    rows = found.collect()
+    assert sum(r["n_right"] for r in rows) / sum(r["n"] for r in rows) > 0.95 and sum(r["n_block"] for r in rows) > 20
+    assert len(importance) == len(url_filter.FEATURES) and sum(x > 0 for x in importance) >= 2
+    folded = spark.createDataFrame([("com", k, float(k % 2), k) for k in range(5)] + [("rare", 1, 1.0, 9)], "suffix string, fold int, label double, page_id long")
+    rates = {(r["suffix"], r["fold"]): (r["f_suffix_rate"], round(r["f_suffix_count"], 6)) for r in url_filter.suffix_rates(folded).collect()}
+    assert rates["com", -1] == (3 / 7, 1.791759) and rates["com", 1] == (2 / 6, 1.609438) and rates["rare", 1] == (0.5, 0.0) and ("com", 0) not in rates
+    assert {r["suffix"] for r in url_filter.suffix_rates(folded, 1).collect()} == {"com"}
+
+
+def test_url_very_long_and_tied(spark):
+    long = "http://h.org/" + "a1-" * 40_000
+    pages = spark.createDataFrame([(1, long, 1), (1, long, 1), (2, "http://a.com/x", 2)], "page_id long, url string, path int")
+    got = url_filter.judge(pages, [("a.com", "/", "allow"), ("com", "/", "allow"), ("com", "/x", "allow"), ("a.com", "/", "block")]).collect()
+    assert [r["verdict"] for r in got if r["page_id"] == 2] == ["block"] and len({r["verdict"] for r in got if r["page_id"] == 1}) == 1 and len(got) == 3
+
+
 def test_url_query_on_the_sample(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     urls = {r["page_id"]: r["url"] for r in pages.collect()}
@@ -219,6 +241,43 @@ def test_identity_terms_do_not_move_the_score(spark):
     assert held[3] > max(held[1], held[2])
 
 
+def test_counterfactuals_on_the_sample(spark):
+    """No document at hand names a group, so terms are put into labelled texts: the penalty acts there too."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    sample = toxicity.labelled_sample(docs, labels, ~toxicity.held_out(), "toxic", "doc_id", "text", 1000)
+    model = toxicity.learn(sample)
+    n = sample.count()
+    changes = toxicity.swaps(model.vocabulary, np.zeros(1, np.int64) + n - 1, np.zeros(1, np.int64), np.ones(1, np.int64))
+    assert len(changes) >= 2 * n
+    terms = [t for s in toxicity.IDENTITY for t in s]
+    probe = spark.createDataFrame([(i, f"we met {t} today") for i, t in enumerate(terms)] + [(-1, "we met today")], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(probe, model).collect()}
+    assert max(abs(got[i] - got[-1]) for i in range(len(terms))) < 0.02
+
+
+def neutral_false_positives(spark, penalty):
+    """Labels that speak ill of some groups of three languages; the share of neutral mentions that is taken for toxic."""
+    told = {"muslim": "the %s family came by", "frauen": "die %s kamen heute an", "inmigrante": "el %s vive en la casa"}
+    other = {"muslim": ["hindu", "jewish"], "frauen": ["männer"], "inmigrante": ["ciudadano"]}
+    rows = []
+    for i in range(600):
+        group = list(told)[i % 3]
+        bad = i % 2 == 0
+        rows.append((i, told[group] % (group if bad or i % 20 == 1 else other[group][i % len(other[group])]) + (" idiot" if bad and i % 4 == 0 else ""), int(bad)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, toxic int")
+    model = toxicity.learn(toxicity.labelled_sample(docs, labels, F.lit(True), "toxic", "doc_id", "text", 1000), penalty=penalty)
+    probe = spark.createDataFrame([(k, f % g) for k, (g, f) in enumerate((g, f) for g in told for f in ("%s", "we met %s", told[g]))], "doc_id long, text string")
+    found = [r["score"] for r in toxicity.score(probe, model).collect()]
+    return sum(x >= 0.5 for x in found) / len(found), sum(found) / len(found)
+
+
+def test_penalty_lowers_false_positives_on_neutral_mentions(spark):
+    (free, free_mean), (held, held_mean) = neutral_false_positives(spark, 0.0), neutral_false_positives(spark, toxicity.COUNTERFACTUAL)
+    print("false positives on neutral mentions: without", free, free_mean, "with", held, held_mean)
+    assert held < free and held_mean < free_mean
+
+
 def test_languages_are_learned_from_whole_texts(spark):
     """What tells two languages apart stands after character 20,000."""
     same = "na " * 7_000

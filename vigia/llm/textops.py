@@ -128,13 +128,17 @@ class Words:
         return np.repeat(np.arange(len(self.offsets) - 1), self.counts)
 
     def hashes(self, longest: int | None = None) -> np.ndarray:
-        """A 64-bit hash of each word, or of its first ``longest`` bytes."""
+        """A 64-bit hash of each word, or of as many of its first characters as ``longest`` bytes hold."""
         n = len(self.data)
         up, down = powers(n)
         if self._sums is None:
             self._sums = np.zeros(n + 1, U64)
             np.cumsum((self.data.astype(U64) + U64(1)) * up[:n], out=self._sums[1:])
-        end = self.end if longest is None else np.minimum(self.end, self.start + longest)
+        end = self.end
+        if longest is not None:
+            end = np.minimum(self.end, self.start + longest)
+            for _ in range(3):  # a character has three bytes after its first at most
+                end = end - ((end < self.end) & ((self.data[np.minimum(end, n - 1)] & 0xC0) == 0x80))
         return mix((self._sums[end] - self._sums[self.start]) * down[self.start] + (end - self.start).astype(U64) * U64(BASE))
 
 

@@ -1,9 +1,11 @@
 """Toxicity: a counterfactual-regularised linear classifier.
 
 Features are words and word beginnings, by hash; the vocabulary is chosen from the
-labelled sample. For every labelled text that names a group, the identity terms are
-swapped for others of their set, and the square of the change in score is added to
-the loss, so that a neutral mention of a group does not move the score.
+labelled sample. Labelled texts have counterfactuals: where a text names a group, its
+identity terms are swapped for others of their set, and into every text terms of a set
+are put that were not there. The square of the change in score, between terms and against
+the plain text, is added to the loss, so that a neutral mention of a group does not move
+the score.
 """
 
 from __future__ import annotations
@@ -20,11 +22,11 @@ from .textops import ASCII_LOWER, U64, Words, byte_class, hash_word, id_schema,
 
 #: Labelled documents that are fitted on, about; features that are kept; documents that must have a feature.
 TRAIN_ROWS, VOCABULARY, LEAST_DOCS = 12_000, 2_000, 4
-#: Bytes of a word that count as its beginnings.
+#: Bytes of a word that count as its beginnings, at most: a character is never cut.
 BEGINNINGS = (4, 5, 6)
 L1, COUNTERFACTUAL = 2e-4, 5.0
 
-#: Sets of identity terms; those of one set are swapped for each other.
+#: Sets of identity terms in the languages of the corpus; those of one set are swapped for each other.
 IDENTITY = [
     ["women", "men", "girls", "boys"],
     ["muslim", "christian", "jewish", "hindu", "buddhist", "atheist"],
@@ -32,6 +34,21 @@ IDENTITY = [
     ["gay", "lesbian", "straight", "transgender", "bisexual"],
     ["immigrant", "refugee", "citizen", "foreigner"],
     ["young", "old", "disabled", "deaf", "blind"],
+    ["frauen", "männer", "mädchen", "jungen"],
+    ["muslimisch", "christlich", "jüdisch", "hinduistisch", "buddhistisch"],
+    ["schwarze", "weiße", "asiaten", "araber"],
+    ["schwul", "lesbisch", "heterosexuell", "transgeschlechtlich"],
+    ["einwanderer", "flüchtlinge", "bürger", "ausländer"],
+    ["femmes", "hommes", "filles", "garçons"],
+    ["musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée"],
+    ["noirs", "blancs", "asiatiques", "arabes"],
+    ["gai", "lesbienne", "hétérosexuel", "transgenre"],
+    ["immigré", "réfugié", "citoyen", "étranger"],
+    ["mujeres", "hombres", "niñas", "niños"],
+    ["musulmán", "cristiano", "judío", "hindú", "budista", "ateo"],
+    ["negros", "blancos", "asiáticos", "árabes"],
+    ["homosexual", "lesbiana", "heterosexual", "transgénero"],
+    ["inmigrante", "refugiado", "ciudadano", "extranjero"],
 ]
 
 WORD = byte_class("alnum")
@@ -94,7 +111,7 @@ class Model:
 
 @dataclass
 class Swaps:
-    """Feature changes, one for each labelled text and swap of an identity term in it: ``gone`` falls by ``loss``, ``come`` rises by ``gain``."""
+    """Feature changes, one for each labelled text and identity term swapped or put in: ``gone`` falls by ``loss``, ``come`` rises by ``gain``."""
 
     gone: np.ndarray
     loss: np.ndarray
@@ -112,19 +129,36 @@ class Swaps:
 
 
 def swaps(vocabulary: Vocabulary, doc: np.ndarray, mark: np.ndarray, n: np.ndarray, sets=IDENTITY) -> Swaps:
+    """Counterfactuals of the labelled texts: terms that are there for others of their set, and terms that are put in.
+
+    The k-th text takes two terms of the k-th set (counted round): the one is put in, the other is put in, and the
+    one is put in for the other."""
     parts: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(0)]]
-    for terms in sets:
+
+    def add(*columns) -> None:
+        for part, x in zip(parts, np.broadcast_arrays(*columns), strict=True):
+            part.append(x)
+
+    size = int(doc.max(initial=-1)) + 1
+    for k, terms in enumerate(sets):
         place = [int(vocabulary.place(np.array([hash_word(t.encode())], U64))[0]) for t in terms]
-        held = np.zeros((int(doc.max(initial=-1)) + 1, len(terms)), np.int64)  # texts of the sample by terms of the set
-        for k, m in enumerate(place):
-            held[doc[mark == m], k] = n[mark == m]
-        for k, m in enumerate(place):
-            texts = np.flatnonzero(held[:, k])
+        held = np.zeros((size, len(terms)), np.int64)  # texts of the sample by terms of the set
+        for i, m in enumerate(place):
+            held[doc[mark == m], i] = n[mark == m]
+        for i, m in enumerate(place):
+            texts = np.flatnonzero(held[:, i])
             for other, to in enumerate(place):
-                if other != k and len(texts):
-                    own, there = held[texts, k], held[texts, other]
-                    for part, x in zip(parts, (np.full(len(texts), m), np.log1p(own), np.full(len(texts), to), np.log1p(there + own) - np.log1p(there)), strict=True):
-                        part.append(x)
+                if other != i and len(texts):
+                    own, there = held[texts, i], held[texts, other]
+                    add(m, np.log1p(own), to, np.log1p(there + own) - np.log1p(there))
+        own = np.arange(k, size, len(sets))
+        turn = own // len(sets)
+        one, two = turn % len(terms), (turn + 1) % len(terms)
+        gain = lambda i: np.log1p(held[own, i] + 1) - np.log1p(held[own, i])  # noqa: B023, E731
+        at = np.array(place)
+        add(at[one], 0.0, at[one], gain(one))
+        add(at[two], 0.0, at[two], gain(two))
+        add(at[one], gain(one), at[two], gain(two))
     return Swaps(*(np.concatenate(p) for p in parts))
 
 
@@ -188,8 +222,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learnable, label_col: st
     return texts.join(F.broadcast(chosen), "id").select(F.xxhash64("id").alias("id"), F.coalesce("text", F.lit("")).alias("text"), "label")
 
 
-def learn(sample: DataFrame, vocabulary: int = VOCABULARY, sets=IDENTITY) -> Model:
-    """Fits on ``sample`` (id, text, label), which is bounded; no labels, or those of one class, give a constant."""
+def learn(sample: DataFrame, vocabulary: int = VOCABULARY, sets=IDENTITY, least_docs: int = LEAST_DOCS, penalty: float = COUNTERFACTUAL) -> Model:
+    """Fits on ``sample`` (id, text, label), which is bounded; no labels, or those of one class, give a constant.
+
+    Of the features of at least ``least_docs`` texts, the ``vocabulary`` that tell the classes apart best are kept."""
     spark = sample.sparkSession
     sample = sample.persist()
     found = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -197,7 +233,7 @@ def learn(sample: DataFrame, vocabulary: int = VOCABULARY, sets=IDENTITY) -> Mod
         sample.unpersist()
         return Model(Vocabulary(np.zeros(0, U64)), np.zeros(0, np.float32), 4.0 if found.get(1) else -4.0)
     n1, n0 = found[1], found[0]
-    counted = sample.mapInArrow(_features, "feature long, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")).where(F.col("a") + F.col("b") >= LEAST_DOCS)
+    counted = sample.mapInArrow(_features, "feature long, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")).where(F.col("a") + F.col("b") >= least_docs)
     # log odds, times how often: what tells the classes apart comes first
     odds = F.log((F.col("a") + 0.5) / (n1 - F.col("a") + 0.5)) - F.log((F.col("b") + 0.5) / (n0 - F.col("b") + 0.5))
     top = counted.select("feature", (F.abs(odds) * F.sqrt((F.col("a") + F.col("b")).cast("double"))).alias("_rank")).orderBy(F.desc("_rank"), "feature").limit(vocabulary)
@@ -221,7 +257,7 @@ def learn(sample: DataFrame, vocabulary: int = VOCABULARY, sets=IDENTITY) -> Mod
     mark, n = marks.flatten().to_numpy(), counts.flatten().to_numpy()
     x = np.zeros((len(got), len(words)), np.float32)
     x[doc, mark] = np.log1p(n)
-    weights, bias = fit(x, got.column("label").to_numpy().astype(np.float32), swaps(words, doc, mark, n, sets))
+    weights, bias = fit(x, got.column("label").to_numpy().astype(np.float32), swaps(words, doc, mark, n, sets), penalty=penalty)
     return Model(words, weights.astype(np.float64), bias)
 
 

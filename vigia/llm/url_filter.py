@@ -25,8 +25,8 @@ RULES = [
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 ]
-#: Labelled urls that the trees are fitted on, about, and suffixes whose statistics are kept.
-TRAIN_ROWS, SUFFIXES = 20_000, 2_000
+#: Labelled urls that the trees are fitted on, about, suffixes whose statistics are kept, and folds that these are taken over.
+TRAIN_ROWS, SUFFIXES, FOLDS = 20_000, 2_000, 5
 FEATURES = ["f_length", "f_path_length", "f_depth", "f_labels", "f_digits", "f_entropy", "f_params", "f_hyphens", "f_suffix_rate", "f_suffix_count"]
 
 
@@ -76,38 +76,73 @@ def features(urls: DataFrame) -> DataFrame:
     )
 
 
-def suffix_rates(labelled: DataFrame) -> DataFrame:
-    """Count and smoothed share of blocked urls for the ``SUFFIXES`` most frequent host suffixes of the labelled urls."""
-    rates = labelled.groupBy("suffix").agg(F.sum("label").alias("_blocked"), F.count(F.lit(1)).alias("_n"))
-    return rates.orderBy(F.desc("_n"), "suffix").limit(SUFFIXES).select("suffix", ((F.col("_blocked") + 1) / (F.col("_n") + 2)).alias("f_suffix_rate"), F.log1p(F.col("_n").cast("double")).alias("f_suffix_count"))
+def suffix_rates(labelled: DataFrame, suffixes: int = SUFFIXES) -> DataFrame:
+    """(suffix, fold, f_suffix_rate, f_suffix_count): smoothed share of blocked urls and their number, for the ``suffixes`` most frequent
+    host suffixes of the labelled urls; of a fold, without the urls of that fold; of fold -1, over all.
 
+    In fold 0 no suffix is known, so that the trees also learn what to say where they have met none."""
+    sums = labelled.groupBy("suffix", "fold").agg(F.sum("label").alias("_b"), F.count(F.lit(1)).alias("_n"))
+    total = sums.groupBy("suffix").agg(F.sum("_b").alias("_blocked"), F.sum("_n").alias("_all")).orderBy(F.desc("_all"), "suffix").limit(suffixes)
+    every = total.select("suffix", "_blocked", "_all", F.explode(F.array(*[F.lit(k) for k in (-1, *range(1, FOLDS))])).alias("fold")).join(sums, ["suffix", "fold"], "left").fillna(0, ["_b", "_n"])
+    n = F.col("_all") - F.col("_n")
+    return every.select("suffix", "fold", ((F.col("_blocked") - F.col("_b") + 1) / (n + 2)).alias("f_suffix_rate"), F.log1p(n.cast("double")).alias("f_suffix_count"))
 
-def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", train_rows: int = TRAIN_ROWS) -> DataFrame:
+
+def _known(urls: DataFrame, rates: DataFrame, fold: Column) -> DataFrame:
+    """``urls`` with their features as a vector; an unknown suffix has rate one half of no url. ``rates`` has 5 rows a suffix, so at most 5 * ``suffixes``."""
+    joined = urls.withColumn("fold", fold).join(F.broadcast(rates), ["suffix", "fold"], "left").fillna({"f_suffix_rate": 0.5, "f_suffix_count": 0.0})
+    return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(joined)
+
+
+def _learned(labelled: DataFrame, total: int, train_rows: int, suffixes: int):
+    """The trees, fitted on about ``train_rows`` of the labelled urls (label, suffix, features), and the suffix table; None where one class is left."""
+    folded = labelled.withColumn("fold", F.pmod(F.xxhash64("url", "page_id", F.lit(1)), F.lit(FOLDS)).cast("int"))
+    rates = materialize(suffix_rates(folded, suffixes), "url-suffixes")
+    share = min(1.0, train_rows / max(1, total))
+    sample = folded.where(F.pmod(F.xxhash64("page_id", "url"), F.lit(1_000_000)) < F.lit(round(share * 1_000_000)))
+    train = materialize(_known(sample, rates, F.col("fold")).select("features", "label"), "url-train")
+    if train.select("label").distinct().count() < 2:
+        return None
+    return GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=7).fit(train), rates
+
+
+def _ruled(pages: DataFrame, rules, id_col: str, url_col: str) -> tuple[DataFrame, DataFrame]:
+    """All urls with their rule, its verdict and their features; and those of them that a rule labels."""
+    host, path = parts(F.col(url_col))
+    base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
+    rule, verdict = first_rule(F.col("host"), F.col("path"), rules)
+    urls = features(base.select("*", rule.alias("rule"), verdict.alias("ruled")))
+    return urls, urls.where("ruled is not null").withColumn("label", F.when(F.col("ruled") == "block", 1.0).otherwise(0.0))
+
+
+def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", train_rows: int = TRAIN_ROWS, suffixes: int = SUFFIXES) -> DataFrame:
     """One row for each row of ``pages``: id, host, path, rule, verdict.
 
     Urls that a rule fits are the labelled ones; the trees are fitted on a sample of about
     ``train_rows`` of them, chosen by hash. Rows without a rule take the trees' verdict. With
     labels of one class only, or none, there is no tree and that class, or allow, is the verdict.
-    Null, empty and repeated urls are judged like any other; extra columns are left aside.
+    Null, empty, very long and repeated urls are judged like any other; of rules of one length that fit, the last in
+    ``rules`` holds; an empty table gives no row; extra columns are left aside.
     """
-    host, path = parts(F.col(url_col))
-    base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
-    rule, verdict = first_rule(F.col("host"), F.col("path"), rules)
-    urls = features(base.select("*", rule.alias("rule"), verdict.alias("ruled")))
-    labelled = urls.where("ruled is not null").withColumn("label", F.when(F.col("ruled") == "block", 1.0).otherwise(0.0))
+    urls, labelled = _ruled(pages, rules, id_col, url_col)
     counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(counts.values())
     out = lambda df, other: df.select(F.col("page_id").alias(id_col), "host", "path", "rule", F.coalesce("ruled", other).alias("verdict"))
     if len(counts) < 2:
         return out(urls, F.lit("block" if counts.get(1.0) else "allow"))
-    rates = materialize(suffix_rates(labelled), "url-suffixes")
-    known = lambda df: df.join(F.broadcast(rates), "suffix", "left").fillna({"f_suffix_rate": 0.5, "f_suffix_count": 0.0})  # noqa: E731  at most SUFFIXES rows
-    share = min(1.0, train_rows / total)
-    sample = labelled.where(F.pmod(F.xxhash64("page_id", "url"), F.lit(1_000_000)) < F.lit(round(share * 1_000_000)))
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    train = materialize(vectors.transform(known(sample)).select("features", "label"), "url-train")
-    if train.select("label").distinct().count() < 2:
+    learned = _learned(labelled, sum(counts.values()), train_rows, suffixes)
+    if learned is None:
         return out(urls, F.lit("block" if counts[1.0] > counts[0.0] else "allow"))
-    model = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=7).fit(train)
-    scored = model.transform(vectors.transform(known(urls)))
-    return out(scored, F.when(F.col("prediction") == 1.0, "block").otherwise("allow"))
+    model, rates = learned
+    return out(model.transform(_known(urls, rates, F.lit(-1))), F.when(F.col("prediction") == 1.0, "block").otherwise("allow"))
+
+
+def measured(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", train_rows: int = TRAIN_ROWS, suffixes: int = SUFFIXES) -> tuple[DataFrame, list[float]]:
+    """How the trees do on labelled urls that they have not seen, a fifth by hash: (suffix, n, n_block, n_right), and the importance of each of
+    ``FEATURES``. Needs urls of both classes."""
+    _, labelled = _ruled(pages, rules, id_col, url_col)
+    kept = F.pmod(F.xxhash64("url", F.lit(2)), F.lit(5)) == 0
+    learning = labelled.where(~kept)
+    model, rates = _learned(learning, learning.count(), train_rows, suffixes)
+    scored = model.transform(_known(labelled.where(kept), rates, F.lit(-1)))
+    found = scored.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("n_block"), F.count_if(F.col("prediction") == F.col("label")).alias("n_right"))
+    return found, list(model.featureImportances.toArray())
