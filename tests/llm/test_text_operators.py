@@ -1,6 +1,7 @@
 """SentencePiece, HTML, chat, URL and the classifiers: against libraries, by hand, or by held-out accuracy."""
 
 import itertools
+import random
 import re
 
 import numpy as np
@@ -130,9 +131,8 @@ def test_chat_threads(spark):
     out = chat_threads.threads(spark.createDataFrame([(*r, 9) for r in rows], "conv_id long, turn long, role string, text string, depth int"))
     got = {(r["conv_id"], r["turn"]): r for r in out.collect()}
     assert len(got) == len(rows)
-    pad = lambda *t: "/".join(f"{x:010d}" for x in t)
-    assert (got[1, 2]["parent_turn"], got[1, 2]["path"], got[1, 2]["text"]) == (0, pad(0, 2), "I meant that one.")
-    assert (got[1, 3]["parent_turn"], got[1, 3]["depth"], got[1, 3]["path"], got[1, 3]["max_level"]) == (2, 2, pad(0, 2, 3), 2)
+    assert (got[1, 2]["parent_turn"], got[1, 2]["root_turn"], got[1, 2]["position"], got[1, 2]["text"]) == (0, 0, 1, "I meant that one.")
+    assert (got[1, 3]["parent_turn"], got[1, 3]["depth"], got[1, 3]["root_turn"], got[1, 3]["position"], got[1, 3]["max_level"]) == (2, 2, 0, 2, 2)
     assert got[1, 3]["text"] == "Madrid it is."
     assert got[1, 4]["parent_turn"] is None and got[1, 4]["n_quotes"] == 1 and got[1, 4]["text"] == "ok"
     assert got[2, 0]["parent_turn"] is None and got[1, 5]["text"] == ""
@@ -288,6 +288,79 @@ def test_languages_are_learned_from_whole_texts(spark):
     assert {r["doc_id"]: r["lang_pred"] for r in language_id.predict(short, model).collect()} == {0: "de", 1: "nl"}
 
 
+def generated_threads(seed, conversations=60):
+    """Messages that quote others of their conversation, in part or whole, at several levels, with ties, repeats and odd turns."""
+    rng = random.Random(seed)
+    rows = []
+    for conv in range(conversations):
+        turns = sorted(rng.sample([-5, -1, 0, 1, 2, 3, 5, 8, 10**10, 10**10 + 7, 10**12, 7, 11, 12, 13], rng.randint(1, 12)))
+        said: list[list[str]] = []
+        for turn in turns:
+            lines = []
+            for _ in range(rng.randint(0, 2) if said else 0):
+                source = rng.choice(said)
+                level = rng.randint(1, 3)
+                part = source if rng.random() < 0.5 or not source else [rng.choice(source)]
+                lines += [f"{'>' * level} {(x.upper() if rng.random() < 0.3 else x)}" for x in part] + ([""] if rng.random() < 0.5 else [])
+            own = [rng.choice(["yes", "no", "ok then", f"line {rng.randint(0, 6)} of what is said", f"point {conv} {turn}"]) for _ in range(rng.randint(0, 3))]
+            said.append(own)
+            rows.append((conv, turn, "user", "\n".join([*lines, *own])))
+            if rng.random() < 0.1:
+                rows.append(rows[-1])
+    return rows
+
+
+def threads_by_hand(rows):
+    """parent, root, depth, position of each (conversation, turn), one conversation at a time."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        texts = sorted({(t, text) for c, t, _, text in rows if c == conv})
+        first: dict[str, int] = {}
+        for turn, text in texts:
+            _, _, own = chat_threads.parse(text)
+            for p in [*own, "\n".join(own)]:
+                for k in chat_threads.keys(p):
+                    first.setdefault(k, turn)
+        parent = {}
+        for turn, text in texts:
+            _, quotes, _ = chat_threads.parse(text)
+            outer = min((level for level, _ in quotes), default=0)
+            found = {(level - outer, k, w) for level, p in quotes for k, w in chat_threads.keys(p).items()}
+            votes: dict[int, int] = {}
+            for level, k, w in found:
+                if level == 0 and first.get(k, turn) < turn:
+                    votes[first[k]] = votes.get(first[k], 0) + w
+            parent[turn] = max(votes, key=lambda t: (votes[t], t)) if votes else None
+
+        def walk(turn, root, depth, place):
+            out[conv, turn] = (parent[turn], root, depth, place)
+            place += 1
+            for child in sorted(t for t in parent if parent[t] == turn):
+                place = walk(child, root, depth + 1, place)
+            return place
+
+        for turn in parent:
+            if parent[turn] is None:
+                walk(turn, turn, 0, 0)
+    return out
+
+
+def test_generated_threads_by_hand(spark):
+    rows = generated_threads(3, 120)
+    got = chat_threads.threads(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    want = threads_by_hand(rows)
+    assert len(got) == len(rows) and len({r["depth"] for r in got}) > 3
+    assert {(r["conv_id"], r["turn"]): (r["parent_turn"], r["root_turn"], r["depth"], r["position"]) for r in got} == want
+
+
+def test_long_thread_and_long_text(spark):
+    """A chain of replies, each of which quotes the one before, and a text of a million characters."""
+    rows = [(1, k, "user", (f"> message number {k - 1}\n" if k else "") + f"message number {k}") for k in range(70)] + [(2, 0, "user", "word " * 200_000), (2, 1, "user", "> " + "word " * 200_000 + "\nso long")]
+    got = {(r["conv_id"], r["turn"]): r for r in chat_threads.threads(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert all((got[1, k]["root_turn"], got[1, k]["depth"], got[1, k]["position"]) == (0, k, k) for k in range(70))
+    assert (got[2, 1]["parent_turn"], got[2, 1]["text"]) == (0, "so long")
+
+
 def test_short_messages_are_quoted_too(spark):
     rows = [
         (1, 0, "user", "Shall we go on?"), (1, 1, "user", "Yes."), (1, 2, "user", "no"), (1, 3, "user", "> Yes.\nGood."), (1, 4, "user", "> no\nWhy?"), (1, 5, "user", "> 好的\n?"),

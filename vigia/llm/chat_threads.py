@@ -4,7 +4,7 @@ Lines that begin with '>' are quotes, and the number of marks is their level. Qu
 passages are normalised and hashed, and joined to the message of the same conversation
 in which the passage first stood as its author's own words. The link of the outermost
 quotes makes a message the reply to that one; messages leave in reply order, without
-their quotes, each with its place as a path of turns.
+their quotes, each with its thread, its depth and its place there.
 """
 
 from __future__ import annotations
@@ -13,10 +13,10 @@ import hashlib
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .textops import materialize, record_batch
+from .textops import discard, give_back, materialize, record_batch
 
 _quote = re.compile(r"^\s*((?:>\s?)+)")
 #: Fixed value: the line that mail programs put before a quote.
@@ -79,27 +79,31 @@ PARSED_DDL = "conv_id long, turn long, role string, text string, n_quotes long,
 
 def _parsed(batches):
     for batch in batches:
-        columns: list[list] = [[], [], [], [], []]
-        for text in batch.column(3).to_pylist():
-            kept, quotes, own = parse(text)
-            first = min((level for level, _ in quotes), default=0)
-            for column, value in zip(columns, (
-                kept, len(quotes), max((level for level, _ in quotes), default=0), sorted({k for p in [*own, "\n".join(own)] for k in keys(p)}),
-                [{"level": level - first, "key": k, "weight": w} for level, p in quotes for k, w in keys(p).items()],
-            ), strict=True):
-                column.append(value)
-        yield record_batch(PARSED, [batch.column(0), batch.column(1), batch.column(2), *columns])
+        for first in range(0, batch.num_rows, 512):
+            part = batch.slice(first, 512)
+            columns: list[list] = [[], [], [], [], []]
+            for text in part.column(3).to_pylist():
+                kept, quotes, own = parse(text)
+                outer = min((level for level, _ in quotes), default=0)
+                for column, value in zip(columns, (
+                    kept, len(quotes), max((level for level, _ in quotes), default=0), sorted({k for p in [*own, "\n".join(own)] for k in keys(p)}),
+                    [{"level": level - outer, "key": k, "weight": w} for level, p in quotes for k, w in keys(p).items()],
+                ), strict=True):
+                    column.append(value)
+            yield record_batch(PARSED, [part.column(0), part.column(1), part.column(2), *columns])
+        give_back()
 
 
 def threads(messages: DataFrame) -> DataFrame:
-    """One row for each message: conv_id, turn, role, text (without quotes), n_quotes, max_level, n_linked, parent_turn, depth, path, formatted.
+    """One row for each message: conv_id, turn, role, text (without quotes), n_quotes, max_level, n_linked, parent_turn, root_turn, depth, position, formatted.
 
     ``messages`` has conv_id, turn, role, text. A message is the reply to the earlier message that
     most characters of its outermost quotes come from (of equals the latest); one without such a
-    link begins at its own turn. ``path`` holds the turns from there to the message, ten digits
-    each, so that the order of (conv_id, path) is the reply order. Null texts are empty; messages
-    with a null conversation or turn stay, unlinked; of repeated (conv_id, turn) rows all stay and
-    share their links; other columns are left aside.
+    link begins a thread at its own turn. ``position`` counts the messages of a thread in reply order: each message
+    is followed by its replies and all that replies to them, earlier turns first; so (conv_id, root_turn, position) is the
+    reply order. Null texts are empty; messages with a null conversation or turn stay, unlinked; of repeated
+    (conv_id, turn) rows all stay and share their links and place; turns may be negative and of any size; texts of any length
+    are parsed whole; an empty table gives no row; other columns, of whatever name, are left aside.
     """
     rows = messages.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text"))
     parsed = materialize(rows.mapInArrow(_parsed, PARSED_DDL), "chat-parsed")
@@ -110,25 +114,39 @@ def threads(messages: DataFrame) -> DataFrame:
     votes = linked.groupBy("conv_id", "turn", "origin").agg(F.sum(F.when(F.col("level") == 0, F.col("weight")).otherwise(0)).alias("votes"), F.count(F.lit(1)).alias("n"))
     parent = votes.groupBy("conv_id", "turn").agg(F.max(F.when(F.col("votes") > 0, F.struct("votes", "origin"))).alias("best"), F.sum("n").alias("n_linked"))
     replies = materialize(parent.select("conv_id", "turn", F.col("best.origin").alias("parent_turn"), "n_linked"), "chat-replies")
-    paths = _paths(replies.where("parent_turn is not null"))
-    own = F.lpad(F.col("turn").cast("string"), 10, "0")
-    out = parsed.drop("own", "quoted").join(replies, ["conv_id", "turn"], "left").join(paths, ["conv_id", "turn"], "left")
-    path = F.coalesce(F.concat_ws("/", "above", own), own)
+    places = _places(replies.where("parent_turn is not null").select("conv_id", "turn", "parent_turn"))
+    out = parsed.drop("own", "quoted").join(replies, ["conv_id", "turn"], "left").join(places, ["conv_id", "turn"], "left")
     mark = F.coalesce("role", F.lit("unknown"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return out.select(
-        "conv_id", "turn", "role", "text", "n_quotes", "max_level", F.coalesce("n_linked", F.lit(0)).alias("n_linked"), "parent_turn",
-        F.when(F.col("above").isNull(), 0).otherwise(F.size(F.split("above", "/"))).cast("long").alias("depth"), path.alias("path"),
+        "conv_id", "turn", "role", "text", "n_quotes", "max_level", zero("n_linked"), "parent_turn", F.coalesce("root_turn", "turn").alias("root_turn"), zero("depth"), zero("position"),
         F.concat(F.lit("<|"), mark, F.lit("|>\n"), "text", F.lit("\n<|end|>\n")).alias("formatted"),
     )
 
 
-def _paths(replies: DataFrame) -> DataFrame:
-    """conv_id, turn, above (path to the parent) of every reply: the known part of each path doubles in a round."""
-    pad = lambda c: F.lpad(c.cast("string"), 10, "0")
-    known = replies.select("conv_id", "turn", F.col("parent_turn").alias("top"), pad(F.col("parent_turn")).alias("above"))
+def _followed(links: DataFrame) -> DataFrame:
+    """(conv_id, turn, last, steps) for ``links`` (conv_id, turn, to), of which each turn has one at most: where the links end, and after how many.
+
+    The known part of each chain doubles in a round, so that a chain of n links takes about log n of them; rows keep their size."""
+    known = links.select("conv_id", "turn", F.col("to").alias("last"), F.lit(1).cast("long").alias("steps"))
     while True:
-        upper = known.select("conv_id", F.col("turn").alias("top"), F.col("top").alias("_top"), F.col("above").alias("_above"))
-        joined = known.join(upper, ["conv_id", "top"], "left")
-        known = materialize(joined.select("conv_id", "turn", F.col("_top").alias("top"), F.concat_ws("/", "_above", "above").alias("above")), "chat-paths")
-        if known.where("top is not null").isEmpty():
-            return known.select("conv_id", "turn", "above")
+        ahead = known.select("conv_id", F.col("turn").alias("last"), F.col("last").alias("_last"), F.col("steps").alias("_steps"))
+        joined = known.join(ahead, ["conv_id", "last"], "left")
+        before, known = known, materialize(joined.select("conv_id", "turn", F.coalesce("_last", "last").alias("last"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"), F.col("_last").isNotNull().alias("moved")), "chat-chains")
+        if hasattr(before, "_folder"):
+            discard(before)
+        if known.where("moved").isEmpty():
+            return known.drop("moved")
+
+
+def _places(replies: DataFrame) -> DataFrame:
+    """conv_id, turn, root_turn, depth, position of every reply (conv_id, turn, parent_turn).
+
+    The message before a first reply is its parent; that before a later one is the last message of the reply before it, which the
+    links to the latest replies lead to. The number of links to the root is the position."""
+    up = _followed(replies.select("conv_id", "turn", F.col("parent_turn").alias("to"))).select("conv_id", "turn", F.col("last").alias("root_turn"), F.col("steps").alias("depth"))
+    latest = replies.groupBy("conv_id", "parent_turn").agg(F.max("turn").alias("to")).withColumnRenamed("parent_turn", "turn")
+    tail = _followed(latest).select("conv_id", F.col("turn").alias("sibling"), "last")
+    siblings = replies.withColumn("sibling", F.lag("turn").over(Window.partitionBy("conv_id", "parent_turn").orderBy("turn")))
+    back = siblings.join(tail, ["conv_id", "sibling"], "left").select("conv_id", "turn", F.coalesce("last", "sibling", "parent_turn").alias("to"))
+    return up.join(_followed(back).select("conv_id", "turn", F.col("steps").alias("position")), ["conv_id", "turn"])
