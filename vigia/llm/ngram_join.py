@@ -21,6 +21,7 @@ many documents only come last in the order by which prefixes are taken.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -332,7 +333,8 @@ def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFram
     that the group's union bounds, meet its members.
 
     A group is a component. Where a block is crowded with small ones, whose sets have been compared
-    with each other, the block is the group. Sets ask groups of a higher rank (small components,
+    with each other, the block is the group. Both are parted by classes of size, of which only neighbours can hold
+    similar sets. Sets ask groups of a higher rank (small components,
     crowded blocks, large components), or of the same rank and a smaller name.
     """
     reps = shared.select("rep").distinct().join(comps, F.col("rep") == comps["node"], "left").select("rep", F.coalesce("component", "rep").alias("comp"))
@@ -342,15 +344,19 @@ def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFram
     ranked = reps.join(large, "comp", "left").join(first.join(crowds, "block"), "rep", "left")
     rank = F.when(F.col("_c").isNotNull(), 2).when(F.col("_b").isNotNull(), 1).otherwise(0)
     group = F.when(rank == 1, F.concat(F.lit("b"), "block")).otherwise(F.concat(F.lit("c"), F.col("comp").cast("string")))
-    placed = materialize(shared.join(ranked.select("rep", "comp", rank.alias("rank"), group.alias("grp")), "rep"), "placed")
+    # sizes of similar sets differ by a factor of 100 / percent at most, so that their classes, a little wider, differ by one at most
+    size = F.floor(F.log(F.col("n").cast("double")) / math.log(100.0 / percent * 1.0001)).cast("long")
+    ranked = ranked.join(sets.select("rep", "n"), "rep").select("rep", "comp", rank.alias("rank"), group.alias("base"), size.alias("cls"))
+    placed = materialize(shared.join(ranked.withColumn("grp", F.concat_ws("/", "base", "cls")), "rep"), "placed")
     mixed = placed.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a < _b").select("token")
     open_ = materialize(placed.join(mixed, "token", "left_semi"), "open")
     if open_.isEmpty():
         discard(placed, open_)
         return None
-    groups = open_.groupBy("token", F.col("grp").alias("_grp"), F.col("rank").alias("_rank")).agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"))
-    asks = ((F.col("_rank") > F.col("rank")) | ((F.col("_rank") == F.col("rank")) & (F.col("_grp") < F.col("grp")))) & ((F.col("_a") != F.col("comp")) | (F.col("_b") != F.col("comp")))
-    queries = open_.join(groups, "token").where(asks).select("rep", F.col("_grp").alias("comp")).distinct()
+    groups = open_.groupBy("token", *[F.col(c).alias(f"_{c}") for c in ("grp", "base", "cls", "rank")]).agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"))
+    near = (F.abs(F.col("_cls") - F.col("cls")) <= 1) & (F.col("_base") != F.col("base"))
+    asks = ((F.col("_rank") > F.col("rank")) | ((F.col("_rank") == F.col("rank")) & (F.col("_base") < F.col("base")))) & ((F.col("_a") != F.col("comp")) | (F.col("_b") != F.col("comp")))
+    queries = open_.join(groups, "token").where(asks & near).select("rep", F.col("_grp").alias("comp")).distinct()
     queries = materialize(queries, "queries")
     discard(open_)
 

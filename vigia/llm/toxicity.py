@@ -125,7 +125,8 @@ class Swaps:
         return self.gain * weights[self.come] - self.loss * weights[self.gone]
 
     def back(self, change: np.ndarray, size: int) -> np.ndarray:
-        return np.bincount(self.come, self.gain * change, size) - np.bincount(self.gone, self.loss * change, size)
+        """In single precision, as the matrix of the texts is: otherwise that would be copied in double precision at each step."""
+        return (np.bincount(self.come, self.gain * change, size) - np.bincount(self.gone, self.loss * change, size)).astype(np.float32)
 
 
 def swaps(vocabulary: Vocabulary, doc: np.ndarray, mark: np.ndarray, n: np.ndarray, sets=IDENTITY) -> Swaps:
@@ -169,22 +170,22 @@ def fit(x: np.ndarray, y: np.ndarray, changes: Swaps, l1: float = L1, penalty: f
     balance = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, len(y) - y.sum())).astype(np.float32)
     b = c = 0.0
     # a bound of the curvature: the largest eigenvalue, by power steps
-    u = np.ones(x.shape[1], np.float32) / np.sqrt(max(1, x.shape[1]))
+    u = np.full(x.shape[1], 1 / np.sqrt(max(1, x.shape[1])), np.float32)
     for _ in range(12):
-        u = x.T @ (balance * (x @ u)) * 0.25 + (2 * penalty / max(1, len(changes))) * changes.back(changes.change(u), len(u)) + 1e-6
+        u = x.T @ (balance * (x @ u)) * np.float32(0.25) + np.float32(2 * penalty / max(1, len(changes))) * changes.back(changes.change(u), len(u)) + np.float32(1e-6)
         size = float(np.linalg.norm(u))
-        u = u / max(size, 1e-9)
+        u = u / np.float32(max(size, 1e-9))
     rate = 1 / (1.5 * size + 0.5)
     for k in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ v + c, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(x @ v + np.float32(c), -30, 30)))
         miss = balance * (p - y)
         grad = x.T @ miss
         if len(changes):
-            grad = grad + (2 * penalty / len(changes)) * changes.back(changes.change(v), len(v))
-        after = v - rate * grad
-        after = np.sign(after) * np.maximum(np.abs(after) - rate * l1, 0)
+            grad += np.float32(2 * penalty / len(changes)) * changes.back(changes.change(v), len(v))
+        after = v - np.float32(rate) * grad
+        after = np.sign(after) * np.maximum(np.abs(after) - np.float32(rate * l1), np.float32(0))
         bias = c - rate * float(miss.sum())
-        pull = k / (k + 3)
+        pull = np.float32(k / (k + 3))
         v, c, w, b = after + pull * (after - w), bias + pull * (bias - b), after, bias
     return w, b
 
