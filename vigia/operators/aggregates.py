@@ -38,23 +38,36 @@ def with_rates(panel: DataFrame) -> DataFrame:
 
 
 def notified(rows: DataFrame, name: str = "notificacoes") -> DataFrame:
-    """Counts and closed counts by week, town and disease; rows without a key are left out."""
+    """Counts and closed counts (``encerrado``) by week, town and disease; rows without a key are left out."""
     keys = ["epi_year", "epi_week", "municipio", "agravo"]
-    return rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name), F.count_if(F.col("o_orderstatus") == "F").alias("encerrados"))
+    return rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name), F.count_if("encerrado").alias("encerrados"))
 
 
-def capacity(facilities: DataFrame) -> DataFrame:
-    """Facilities, beds (all, intensive) and critical equipment of a town, as sums under conditions."""
-    bal = F.col("s_acctbal")
-    return facilities.groupBy("municipio").agg(
-        F.count(F.lit(1)).alias("cnes_estabelecimentos"), F.sum(F.floor(F.greatest(bal, F.lit(0.0)) / 100)).cast("long").alias("cnes_leitos_total"),
-        F.sum(F.when(bal > 5000, F.floor(bal / 1000)).otherwise(0)).cast("long").alias("cnes_leitos_uti"), F.count_if(bal < 0).alias("cnes_equipamentos_criticos"),
-    )
+#: What makes a bed an intensive one, equipment critical and a team one of family health (texts without accents, upper case).
+INTENSIVE, CRITICAL, FAMILY_HEALTH = "UTI|INTENSIVA", "VENTIL|RESPIR|RX|RAIO X|TOMOG|PCR|ULTRASSOM|DESFIB|MONITOR", "SAUDE DA FAMILIA|ESF"
+
+
+def capacity(facilities: DataFrame, beds: DataFrame, equipment: DataFrame, teams: DataFrame) -> DataFrame:
+    """Facilities, beds (all, public, intensive), equipment (all, in use, critical) and teams (all, family health) of a town, from four
+    sources of their own, each summed before they are joined.
+
+    ``beds``: municipio, tipo, existentes, sus; ``equipment``: municipio, tipo, existentes, uso; ``teams``: municipio, tipo, quantidade."""
+    some = lambda c, pattern: F.sum(F.when(F.upper("tipo").rlike(pattern), F.col(c)).otherwise(0))
+    parts = [
+        facilities.groupBy("municipio").agg(F.count(F.lit(1)).alias("cnes_estabelecimentos")),
+        beds.groupBy("municipio").agg(F.sum("existentes").alias("cnes_leitos_total"), F.sum("sus").alias("cnes_leitos_sus"), some("existentes", INTENSIVE).alias("cnes_leitos_uti")),
+        equipment.groupBy("municipio").agg(F.sum("existentes").alias("cnes_equipamentos_total"), F.sum("uso").alias("cnes_equipamentos_uso"), some("existentes", CRITICAL).alias("cnes_equipamentos_criticos")),
+        teams.groupBy("municipio").agg(F.sum("quantidade").alias("cnes_equipes_total"), some("quantidade", FAMILY_HEALTH).alias("cnes_equipes_esf")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.join(part, "municipio", "full")
+    return out
 
 
-def climate(readings: DataFrame) -> DataFrame:
-    """Mean value, distinct events and worst severity of a town's week."""
-    return readings.groupBy("n_nationkey", "epi_year", "epi_week").agg(F.avg("value").alias("valor_medio"), F.countDistinct("event_id").alias("n_eventos"), F.max("severidade").alias("severidade_max"))
+def climate(readings: DataFrame, keys: list[str], means: dict[str, str], event: str = "event_id", severity: str = "severidade") -> DataFrame:
+    """Means (column to name), distinct events and worst severity by ``keys`` and week."""
+    return readings.groupBy(*keys, "epi_year", "epi_week").agg(*[F.avg(c).alias(n) for c, n in means.items()], F.countDistinct(event).alias("n_eventos"), F.max(severity).alias("severidade_max"))
 
 
 def _share(c: str, days: float):
@@ -100,10 +113,15 @@ def statewide(panel: DataFrame) -> DataFrame:
 
 
 def period(panel: DataFrame, keys: list[str]) -> DataFrame:
-    """Weeks seen, sums, extremes and weekly means by ``keys``."""
+    """Weeks seen, sums, largest population and risk, first and last week, rates and weekly means by ``keys``."""
     week = F.col("epi_year") * 100 + F.col("epi_week")
-    sums = panel.groupBy(*keys).agg(F.countDistinct(week).alias("semanas"), F.sum("tests").alias("tests"), F.sum("positives").alias("positives"), F.min(week).alias("primeira"), F.max(week).alias("ultima"))
-    return sums.select("*", ratio(F.col("positives"), F.col("tests")).alias("positividade"), (F.col("tests") / F.col("semanas")).alias("tests_por_semana"))
+    sums = panel.groupBy(*keys).agg(
+        F.countDistinct(week).alias("semanas"), *[F.sum(c).alias(c) for c in ("tests", "positives", "notificacoes", "obitos")], F.max("populacao").alias("populacao"), F.max("risco_composto").alias("risco_composto"),
+        F.min("epi_week").alias("semana_min"), F.max("epi_week").alias("semana_max"))
+    rate = lambda c, n, scale=1.0: ratio(F.col(c), F.col(n), scale)
+    return sums.select(
+        "*", rate("positives", "tests").alias("positividade"), rate("notificacoes", "populacao", 1e5).alias("incidencia_100k"), rate("tests", "populacao", 1e5).alias("solicitacoes_100k"),
+        rate("tests", "semanas").alias("media_semanal_tests"), rate("notificacoes", "semanas").alias("media_semanal_notificacoes"))
 
 
 def text_mode(rows: DataFrame, keys: list[str], column: str) -> DataFrame:

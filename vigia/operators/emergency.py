@@ -54,47 +54,62 @@ def divergence(quality: DataFrame, panel: DataFrame) -> DataFrame:
 def priority(card: DataFrame) -> DataFrame:
     """O120: the order in which a town's signals count. ``card`` has sla_crise, faixa_pressao, silencio_gal_alerta, silencio_gal_vs_vizinhos, divergente."""
     on = lambda c: F.coalesce(F.col(c), F.lit(False))
-    critical, high = F.col("faixa_pressao") == "critica", F.col("faixa_pressao") == "alta"
-    level = F.when((on("sla_crise") & (critical | high)) | on("silencio_gal_vs_vizinhos"), "critica").when(on("sla_crise") | critical | on("silencio_gal_alerta"), "alta").when(high | on("divergente"), "media").otherwise("rotina")
-    signal = F.when(on("sla_crise"), "sla").when(on("silencio_gal_alerta"), "silencio").when(on("divergente"), "divergencia").when(critical | high, "pressao").otherwise("padrao")
+    pressed = F.coalesce(F.col("faixa_pressao").isin("alta", "critica"), F.lit(False))
+    level = (
+        F.when(on("sla_crise") & (F.coalesce("faixa_pressao", F.lit("")) == "critica"), "CRÍTICO").when(on("sla_crise") | on("silencio_gal_vs_vizinhos"), "ALTO")
+        .when(on("silencio_gal_alerta") | on("divergente"), "ALTO").when(pressed, "MODERADO").otherwise("MONITORAMENTO"))
+    signal = F.when(on("sla_crise"), "risco").when(on("silencio_gal_alerta"), "silencio").when(on("divergente"), "utilizacao").when(pressed, "risco").otherwise("padrao")
     return card.select("*", level.alias("prioridade"), signal.alias("sinal"))
 
 
+def escalated(card: DataFrame, predicted: DataFrame) -> DataFrame:
+    """O120: priorities after the prediction (municipio, pressao_predita_acima_limiar): a town that is only watched becomes moderate, and a moderate
+    one under high pressure becomes high."""
+    one = predicted.groupBy("municipio").agg(F.max("pressao_predita_acima_limiar").alias("pressao_predita_acima_limiar"))
+    joined = card.join(one, "municipio", "left").fillna(False, ["pressao_predita_acima_limiar"])
+    first = F.when(F.col("pressao_predita_acima_limiar") & (F.col("prioridade") == "MONITORAMENTO"), "MODERADO").otherwise(F.col("prioridade"))
+    up = F.col("pressao_predita_acima_limiar") & (first == "MODERADO") & F.coalesce(F.col("faixa_pressao").isin("alta", "critica"), F.lit(False))
+    return joined.withColumn("prioridade", F.when(up, "ALTO").otherwise(first))
+
+
 def retrospective(panel: DataFrame, n_weeks: int = 12, history: int = 8) -> DataFrame:
-    """O102: for each of the last ``n_weeks`` observed weeks and town, its volume against the ``history`` observed weeks before.
+    """O102: for each of the ``n_weeks`` observed weeks before the last (which has no weeks after it) and each town seen in it, its volume against the
+    median of the ``history`` observed weeks before.
 
     Every cell is sent to the reference weeks that look back on it, so there is no range join."""
-    volume = panel.groupBy("municipio", *WEEK).agg(F.sum("tests").alias("tests"), F.sum("positives").alias("positives"), F.sum("notificacoes").alias("notificacoes"))
-    weeks = last_weeks(panel, n_weeks + history).withColumn("idx", F.row_number().over(Window.orderBy(*WEEK)).cast("long"))
+    volume = panel.groupBy("municipio", *WEEK).agg(F.sum("tests").alias("tests"), F.sum("notificacoes").alias("notificacoes"))
+    weeks = last_weeks(panel, n_weeks + history + 1).withColumn("idx", F.row_number().over(Window.orderBy(*WEEK)).cast("long"))
     placed = volume.join(F.broadcast(weeks), WEEK)
     last = weeks.agg(F.max("idx").alias("_last"))
-    back = placed.select("municipio", "tests", F.explode(F.sequence(F.col("idx") + 1, F.col("idx") + history)).alias("idx")).groupBy("municipio", "idx").agg(F.median("tests").alias("mediana_8"), F.avg("tests").alias("media_8"))
-    names = weeks.select("idx", *WEEK)
-    out = back.join(placed.select("municipio", "idx", "tests", "notificacoes"), ["municipio", "idx"], "left").fillna(0, ["tests", "notificacoes"])
-    return out.join(F.broadcast(names), "idx").join(F.broadcast(last), F.lit(True)).where(F.col("idx") > F.col("_last") - n_weeks).drop("_last", "idx")
+    back = placed.select("municipio", "tests", F.explode(F.sequence(F.col("idx") + 1, F.col("idx") + history)).alias("idx")).groupBy("municipio", "idx").agg(F.median("tests").alias("mediana_8"))
+    seen = placed.join(F.broadcast(last), F.lit(True)).where(F.col("idx").between(F.col("_last") - n_weeks, F.col("_last") - 1)).drop("_last")
+    return seen.join(back, ["municipio", "idx"], "left").fillna(0.0, ["mediana_8"]).drop("idx")
 
 
-def retro_flags(retro: DataFrame) -> DataFrame:
-    """O96, O121: types of alert of each (week, town): silence, divergence, pressure (the week's top quarter by volume)."""
-    share = average_rank_share(F.col("tests"), WEEK)
-    flagged = retro.withColumn("_pct", share)
-    med = F.col("mediana_8")
+def retro_flags(retro: DataFrame, network: DataFrame) -> DataFrame:
+    """O96, O121: types of alert of each (week, town): silence, divergence, pressure (the week's top quarter by volume, or a network under pressure) and
+    service crisis. ``network`` has municipio, indice_pressao_rede, sla_crise: one row a town."""
+    placed = retro.withColumn("_pct", average_rank_share(F.col("tests"), WEEK)).join(network.select("municipio", "indice_pressao_rede", "sla_crise"), "municipio", "left")
+    med, tests = F.col("mediana_8"), F.col("tests")
+    pressed = (F.col("_pct") >= 0.75) | F.coalesce(F.col("indice_pressao_rede") >= 55, F.lit(False))
     types = F.array_compact(F.array(
-        F.when(((med >= 5) & (F.col("tests") <= 0.25 * med)) | ((med >= 3) & (F.col("tests") <= 0)), "silencio"),
-        F.when(((F.col("notificacoes") >= 3) & (F.col("tests") <= 0)) | ((F.col("tests") >= 20) & (F.col("notificacoes") <= 0)), "divergencia"), F.when(F.col("_pct") >= 0.75, "pressao"),
+        F.when(((med >= 5) & (tests <= 0.25 * med)) | ((med >= 3) & (tests <= 0)), "silencio_gal"), F.when((F.col("notificacoes") >= 3) & (tests <= 0), "divergencia"),
+        F.when(pressed, "pressao_alta"), F.when(F.coalesce("sla_crise", F.lit(False)), "sla_crise"),
     ))
-    return flagged.select("municipio", *WEEK, "tests", "mediana_8", F.explode(types).alias("tipo_alerta"))
+    return placed.select("municipio", *WEEK, "tests", "mediana_8", F.explode(types).alias("tipo_alerta"))
 
 
 def confirmed(flags: DataFrame, panel: DataFrame, horizon: int = 2) -> DataFrame:
-    """O60, O121: each alert with what the next weeks brought. Outcomes are sent back to the weeks that await them: an equal join."""
-    volume = panel.groupBy("municipio", *WEEK).agg(F.sum("tests").alias("_t"), F.sum("positives").alias("_p"))
+    """O60, O121: each alert that has a week after it, with what the next weeks brought. Outcomes are sent back to the weeks that await them: an equal join."""
+    volume = panel.groupBy("municipio", *WEEK).agg(F.sum("tests").alias("_t"), F.sum("notificacoes").alias("_n"))
     at = ordinal(F.col("epi_year"), F.col("epi_week"))
-    awaited = volume.select("municipio", "_t", "_p", F.explode(F.sequence(at - horizon, at - 1)).alias("_at")).groupBy("municipio", "_at").agg(F.sum("_t").alias("exames_futuro"), F.sum("_p").alias("positivos_futuro"), F.count(F.lit(1)).alias("semanas_futuro"))
-    joined = flags.withColumn("_at", at).join(awaited, ["municipio", "_at"], "left").drop("_at")
-    future = F.coalesce("exames_futuro", F.lit(0))
-    came = F.when(F.col("tipo_alerta") == "silencio", future <= 0.5 * F.col("mediana_8") * horizon).when(F.col("tipo_alerta") == "pressao", future >= F.col("tests")).otherwise(F.coalesce("positivos_futuro", F.lit(0)) > 0)
-    return joined.select("municipio", *WEEK, "tipo_alerta", "tests", future.alias("exames_futuro"), F.when(F.col("semanas_futuro").isNotNull(), came).alias("confirmado"))
+    awaited = volume.select("municipio", "_t", "_n", F.explode(F.sequence(at - horizon, at - 1)).alias("_at")).groupBy("municipio", "_at").agg(F.sum("_t").alias("exames_futuro"), F.max("_t").alias("_most"), F.sum("_n").alias("_noted"), F.count(F.lit(1)).alias("_weeks"))
+    joined = flags.withColumn("_at", at).join(awaited, ["municipio", "_at"])
+    future, tests, kind = F.col("exames_futuro"), F.col("tests"), F.col("tipo_alerta")
+    came = (
+        F.when(kind == "silencio_gal", (future <= 0.5 * F.greatest(F.col("mediana_8"), F.lit(1.0)) * F.col("_weeks")) | (F.col("_most") <= 0)).when(kind == "divergencia", (F.col("_noted") >= 2) & (future < 0.5 * F.col("_noted")))
+        .when(kind == "pressao_alta", F.col("_most") >= F.greatest(F.lit(5.0), 0.75 * tests)).otherwise(future >= F.greatest(F.lit(3.0), 0.5 * tests)))
+    return joined.select("municipio", *WEEK, "tipo_alerta", "tests", "exames_futuro", came.alias("confirmado"))
 
 
 def confirmation_rates(alerts: DataFrame) -> DataFrame:

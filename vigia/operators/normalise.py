@@ -82,3 +82,8 @@ def prefer_code(left: DataFrame, right: DataFrame, code: str, name: str, value:
     by_code = right.where(F.col(code).isNotNull()).groupBy(code).agg(F.min(value).alias("_a"))
     by_name = right.groupBy(name).agg(F.min(value).alias("_b"))
     return left.join(by_code, code, "left").join(by_name, name, "left").withColumn(value, F.coalesce("_a", "_b")).drop("_a", "_b")
+
+
+def in_universe(rows: DataFrame, towns: DataFrame, key: str = "municipio") -> DataFrame:
+    """Rows of the towns that ``towns`` knows. The list of towns is distinct first; Spark broadcasts it if it is small."""
+    return rows.join(towns.select(key).distinct(), key, "left_semi")

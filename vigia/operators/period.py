@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import ratio
 from ..functions.rules import protocol_key, protocol_map
-from ..functions.weeks import ordinal
+from ..functions.weeks import monday, ordinal
 
 
 def against_baseline(panel: DataFrame, year: int, first: int, last: int, mode: str = "previous", keys: tuple[str, ...] = ("municipio", "target")) -> DataFrame:
@@ -38,38 +38,117 @@ def against_baseline(panel: DataFrame, year: int, first: int, last: int, mode: s
     )
 
 
-def scenario(rows: DataFrame) -> DataFrame:
-    """O123: one of eight scenarios, a priority of four, and its score."""
-    up, down = F.coalesce("delta_pct", F.lit(0.0)) >= 25, F.coalesce("delta_pct", F.lit(0.0)) <= -25
-    warmer, high = F.round(F.coalesce("delta_pp", F.lit(0.0)), 9) >= 5, F.coalesce("positividade", F.lit(0.0)) >= 0.30
-    name = (
-        F.when((F.col("tests") == 0) & (F.col("notificacoes") > 0), "silencio_laboratorial").when(up & warmer, "surto_em_expansao").when(warmer & down, "subtestagem")
-        .when(warmer, "positividade_em_alta").when(up & high, "alta_demanda_com_positividade").when(up, "alta_demanda").when(down, "queda_de_testagem").otherwise("estavel")
-    )
-    out = rows.withColumn("cenario", name)
-    points = F.coalesce("risco_max", F.lit(0.0)) * 2 + F.when(warmer, 2.0).otherwise(0.0) + F.when(up, 1.0).otherwise(0.0) + F.when(F.col("cenario").isin("silencio_laboratorial", "surto_em_expansao"), 2.0).otherwise(0.0)
-    out = out.withColumn("score_prioridade", points)
-    return out.withColumn("prioridade", F.when(F.col("score_prioridade") >= 7, "critica").when(F.col("score_prioridade") >= 5, "alta").when(F.col("score_prioridade") >= 3, "media").otherwise("baixa"))
+def analysis(panel: DataFrame, year: int, first: int, last: int, mode: str = "previous", years: tuple[int, int] | None = None, keys: tuple[str, ...] = ("municipio", "target"), by_year: bool = False) -> DataFrame:
+    """O122: the weeks ``first`` to ``last`` of ``year`` against a baseline, with deltas, a z against history, and flags.
 
+    ``mode``: 'previous' (as many weeks just before, of the same year), 'last_year' (the same weeks a year earlier) or 'history'
+    (the same weeks of ``years``, first and last, but the year itself). Groups with no row in either have none here.
+    History is one sum for each group, so that it has no deviation and the z is 0; with ``by_year`` the deviation is that of the years.
+    One pass: sums by year under conditions, added up.
+    """
+    keys = list(keys)
+    years = years or (year - 5, year - 1)
+    weeks = F.col("epi_week").between(first, last)
+    hist = F.col("epi_year").between(*years) & (F.col("epi_year") != year) & weeks
+    start = max(1, first - (last - first + 1))
+    spans = {
+        "periodo": (F.col("epi_year") == year) & weeks,
+        "base": {"previous": (F.col("epi_year") == year) & F.col("epi_week").between(start, first - 1), "last_year": (F.col("epi_year") == year - 1) & weeks, "history": hist}[mode],
+        "hist": hist,
+    }
+    counts = {"tests": "tests", "positives": "positivos", "notificacoes": "notificacoes", "obitos": "obitos"}
+    yearly = panel.groupBy(*keys, "epi_year").agg(
+        F.max("populacao").alias("populacao"), *[F.countDistinct(F.when(on, F.col("epi_week"))).alias(f"semanas_{tag}") for tag, on in spans.items()],
+        *[F.max(F.when(on, F.col("risco_composto"))).alias(f"risco_{tag}") for tag, on in spans.items() if tag != "hist"], *[F.sum(F.when(on, F.col(c)).otherwise(0)).alias(f"{n}_{tag}") for tag, on in spans.items() for c, n in counts.items()])
+    a_year = F.when(F.col("semanas_hist") > 0, F.col("tests_hist") / F.col("semanas_hist"))
+    sums = yearly.groupBy(*keys).agg(
+        F.max("populacao").alias("populacao"), F.max("risco_periodo").alias("risco_periodo"), F.max("risco_base").alias("risco_base"), *[F.sum(f"semanas_{tag}").alias(f"semanas_{tag}") for tag in spans],
+        *[F.sum(f"{n}_{tag}").alias(f"{n}_{tag}") for tag in spans for n in counts.values()], F.stddev_samp(a_year).alias("_dp"), F.avg(a_year).alias("_media"))
+    rate = lambda x, y, scale=1.0: ratio(F.col(x), F.col(y), scale)
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    out = sums.where("semanas_periodo > 0 or semanas_base > 0").select(
+        *keys, "populacao", "risco_periodo", "risco_base", *[f"{n}_{tag}" for tag in ("periodo", "base") for n in ("semanas", *counts.values())], rate("positivos_periodo", "tests_periodo").alias("positividade_periodo"), rate("positivos_base", "tests_base").alias("positividade_base"),
+        rate("tests_periodo", "semanas_periodo").alias("media_semanal_tests_periodo"), rate("notificacoes_periodo", "populacao", 1e5).alias("incidencia_periodo_100k"), rate("tests_periodo", "populacao", 1e5).alias("solicitacoes_periodo_100k"),
+        (F.col("_media") if by_year else rate("tests_hist", "semanas_hist")).alias("hist_media_semanal_tests"), (F.col("_dp") if by_year else F.lit(None).cast("double")).alias("hist_dp_semanal_tests"), rate("positivos_hist", "tests_hist").alias("hist_positividade_media"))
+    out = out.select(
+        "*", (F.col("tests_periodo") - F.col("tests_base")).alias("delta_tests_abs"), (F.col("positivos_periodo") - F.col("positivos_base")).alias("delta_positivos_abs"), (F.col("notificacoes_periodo") - F.col("notificacoes_base")).alias("delta_notificacoes_abs"),
+        (zero("positividade_periodo") - zero("positividade_base")).alias("delta_positividade_pp"), ((F.col("notificacoes_periodo") > 0) & (F.col("tests_periodo") == 0)).alias("silencio_laboratorial"),
+        ((F.col("notificacoes_periodo") >= 3) & (F.col("tests_periodo") < F.greatest(F.lit(1.0), F.col("notificacoes_periodo") * 0.2))).alias("baixo_uso_lacen"))
+    z = F.when(F.col("hist_dp_semanal_tests") > 0, (F.col("media_semanal_tests_periodo") - F.col("hist_media_semanal_tests")) / F.col("hist_dp_semanal_tests"))
+    return out.select("*", rate("delta_tests_abs", "tests_base").alias("delta_tests_pct"), rate("delta_notificacoes_abs", "notificacoes_base").alias("delta_notificacoes_pct"), F.coalesce(z, F.lit(0.0)).alias("z_solicitacoes_vs_historico"))
+
+
+#: Scenarios, in the order in which they are looked for.
+SCENARIOS = [
+    "Silêncio laboratorial com notificação SINAN",
+    "Baixa utilização do LACEN diante de notificações",
+    "Aumento simultâneo de positividade e solicitações",
+    "Aumento relevante de positividade",
+    "Aumento relevante de solicitações",
+    "Aumento de notificações SINAN",
+    "Atividade laboratorial no período",
+    "Sem sinal laboratorial no período",
+]
+#: Priorities and their scores.
+PRIORITIES = {"MONITORAMENTO": 1, "MODERADO": 2, "ALTO": 3, "CRÍTICO": 4}
 
-def projected(rows: DataFrame, weeks: int, days: int = 14) -> DataFrame:
-    """O124: the weekly mean and half its trend, carried on for ``days``."""
-    mean, trend = F.col("tests") / float(weeks), (F.col("tests") - F.col("tests_base")) / float(weeks)
-    volume = F.greatest(mean + 0.5 * F.least(F.greatest(trend, -mean), mean), F.lit(0.0)) * (days / 7.0)
-    share = F.least(F.greatest(F.coalesce("positividade", F.lit(0.0)) + 0.5 * F.coalesce(F.col("delta_pp") / 100.0, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
-    return rows.select("*", volume.alias("tests_projetados"), share.alias("positividade_projetada"), (volume * share).alias("positivos_projetados"))
+
+def scenario(rows: DataFrame) -> DataFrame:
+    """O123: the scenario, priority and score of each row of ``analysis``. A missing percentage passes no cut."""
+    tests, notified, z = F.col("tests_periodo"), F.col("notificacoes_periodo"), F.col("z_solicitacoes_vs_historico")
+    more = lambda x: F.coalesce(F.col("delta_tests_pct") >= x, F.lit(False))
+    warmer = lambda x: F.col("delta_positividade_pp") >= x
+    silent, low = F.col("silencio_laboratorial"), F.col("baixo_uso_lacen")
+    rules = [silent, low, (tests > 0) & warmer(0.15) & (more(0.30) | (z >= 1.5)), (tests > 0) & warmer(0.15), more(0.50), (notified > 0) & (F.col("delta_notificacoes_abs") > 0), tests > 0]
+    name = F.when(rules[0], SCENARIOS[0])
+    for rule, text in zip(rules[1:], SCENARIOS[1:], strict=False):
+        name = name.when(rule, text)
+    urgent = ((F.col("obitos_periodo") >= 1) & (warmer(0.10) | (z >= 1.5))) | (F.coalesce(F.col("positividade_periodo") >= 0.30, F.lit(False)) & (warmer(0.15) | (z >= 2.0) | more(0.50)))
+    level = F.when(silent, "ALTO").when(urgent, "CRÍTICO").when(warmer(0.10) | (z >= 1.5) | more(0.30) | low, "ALTO").when(warmer(0.05) | (z >= 1.0) | more(0.15) | (notified > 0), "MODERADO").otherwise("MONITORAMENTO")
+    score = F.create_map(*[F.lit(x) for pair in PRIORITIES.items() for x in pair])
+    named = rows.select("*", name.otherwise(SCENARIOS[-1]).alias("cenario_operacional"), level.alias("prioridade"))
+    return named.withColumn("prioridade_score", F.element_at(score, F.col("prioridade")))
+
+
+def projected(rows: DataFrame, year: int, first: int, last: int, days: int = 14) -> DataFrame:
+    """O124: the weekly mean and half its trend carried on for ``days``, positivity by half its change, and the dates these are for."""
+    n = float(max(1, last - first + 1))
+    mean, trend = F.col("tests_periodo") / n, F.col("delta_tests_abs") / n
+    volume = F.round(F.greatest(F.lit(0.0), (mean + F.greatest(trend, -mean) * 0.5) * (days / 7.0)), 1)
+    share = F.least(F.greatest(F.coalesce("positividade_periodo", "positividade_base", F.lit(0.0)) + F.col("delta_positividade_pp") / 2.0, F.lit(0.0)), F.lit(1.0))
+    begin = F.date_add(monday(F.lit(year), F.lit(last)), 7)
+    window = F.concat_ws(" a ", F.date_format(begin, "dd/MM/yyyy"), F.date_format(F.date_add(begin, days - 1), "dd/MM/yyyy"))
+    out = rows.select("*", volume.alias("projecao_solicitacoes"), share.alias("positividade_projetada"))
+    return out.select("*", F.round(F.col("projecao_solicitacoes") * F.col("positividade_projetada"), 1).alias("projecao_positivos"), window.alias("janela_alerta"), F.lit(days).alias("horizonte_alerta_dias"))
+
+
+#: What a manager is asked to do, by scenario or priority, and by which channel.
+ACTIONS = {
+    "silencio": "Acionar vigilância municipal para checar fluxo de coleta/envio ao LACEN e conciliar casos SINAN sem exame.",
+    "baixo": "Orientar ampliação/regularização do envio de amostras e revisão do fluxo assistencial-laboratorial.",
+    "CRÍTICO": "Acionar gestor municipal e regional no mesmo dia; verificar coleta, estoque, investigação, assistência e comunicação de risco.",
+    "ALTO": "Emitir alerta técnico ao município e regional; solicitar verificação local e plano de resposta em 24-48h.",
+    "MODERADO": "Manter monitoramento ativo e solicitar checagem de dados se o padrão persistir.",
+}
+CHANNELS = {"CRÍTICO": "WhatsApp + e-mail + ligação", "ALTO": "WhatsApp + e-mail", "MODERADO": "E-mail/boletim de monitoramento"}
 
 
 def messages(rows: DataFrame, contacts: DataFrame | None = None) -> DataFrame:
-    """O41, O63, O125: what a manager is told, for rows of high priority; contacts are one for each town."""
-    urgent = rows.where(F.col("prioridade").isin("critica", "alta"))
+    """O41, O63, O125: what a manager is told of rows of ``projected`` that are to be acted on; of a town's contacts the first in order stands."""
+    urgent = rows.where(F.col("prioridade").isin(*CHANNELS))
     if contacts is not None:
-        one = contacts.groupBy("municipio").agg(F.min("gestor").alias("gestor"))
-        urgent = urgent.join(one, "municipio", "left")
+        urgent = urgent.join(contacts.groupBy("municipio").agg(F.min("gestor").alias("gestor")), "municipio", "left")
     else:
         urgent = urgent.withColumn("gestor", F.lit(None).cast("string"))
-    said = F.format_string("%s — %s: %d exames (%.1f por base), cenário %s", "municipio", "target", F.col("tests").cast("long"), F.coalesce("tests_base", F.lit(0.0)), "cenario")
-    return urgent.select("municipio", "target", "prioridade", "gestor", F.format_string("[%s] %s em %s", F.upper("prioridade"), "cenario", "municipio").alias("assunto"), said.alias("mensagem"))
+    level = F.col("prioridade")
+    by = lambda d: F.element_at(F.create_map(*[F.lit(x) for pair in d.items() for x in pair]), level)
+    action = F.when(F.col("cenario_operacional") == SCENARIOS[0], ACTIONS["silencio"]).when(F.col("cenario_operacional") == SCENARIOS[1], ACTIONS["baixo"]).otherwise(by({k: ACTIONS[k] for k in CHANNELS}))
+    whole = lambda c: F.col(c).cast("long").cast("string")
+    said = F.concat(
+        F.lit("Alerta operacional ("), level, F.lit("): "), F.col("municipio"), F.lit(", "), F.col("target"), F.lit(". Cenário: "), F.col("cenario_operacional"), F.lit(". Solicitações: "), whole("tests_periodo"), F.lit("; positivos: "), whole("positivos_periodo"),
+        F.lit("; variação de solicitações: "), whole("delta_tests_abs"), F.lit("; notificações: "), whole("notificacoes_periodo"), F.lit(". Janela: "), F.col("janela_alerta"), F.lit(". Ação sugerida: "), action)
+    subject = F.concat(F.lit("["), level, F.lit("] Alerta: "), F.col("target"), F.lit(" em "), F.col("municipio"))
+    return urgent.select("municipio", "target", "prioridade", "prioridade_score", "gestor", subject.alias("assunto"), said.alias("mensagem"), action.alias("acao_sugerida"), by(CHANNELS).alias("canal_sugerido"), F.lit("pendente_validacao_tecnica").alias("status_envio"))
 
 
 def queue(signals: list[DataFrame], top: int = 20, each: int = 15) -> DataFrame:
@@ -92,5 +171,5 @@ def with_protocol(rows: DataFrame, band: Column | None = None, use: Column | Non
 
 def distributions(rows: DataFrame) -> DataFrame:
     """How many rows and towns each scenario and priority has, in one pass."""
-    sets = rows.groupingSets([["cenario"], ["prioridade"]], "cenario", "prioridade").agg(F.count(F.lit(1)).alias("linhas"), F.countDistinct("municipio").alias("municipios"), F.sum("tests").alias("tests"))
-    return sets.select(F.when(F.col("cenario").isNotNull(), "cenario").otherwise("prioridade").alias("dimensao"), F.coalesce("cenario", "prioridade").alias("valor"), "linhas", "municipios", "tests")
+    sets = rows.groupingSets([["cenario_operacional"], ["prioridade"]], "cenario_operacional", "prioridade").agg(F.count(F.lit(1)).alias("linhas"), F.countDistinct("municipio").alias("municipios"), F.sum("tests_periodo").alias("tests"))
+    return sets.select(F.when(F.col("cenario_operacional").isNotNull(), "cenario").otherwise("prioridade").alias("dimensao"), F.coalesce("cenario_operacional", "prioridade").alias("valor"), "linhas", "municipios", "tests")

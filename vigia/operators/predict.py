@@ -10,9 +10,10 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.measures import average_rank_share, bins, rolling, sigmoid
+from ..functions.measures import average_rank_share, clip, ratio, rolling, sigmoid
 from ..functions.weeks import advance
 from .aggregates import SERIES
+from .territory import recent
 
 ORDER = ["epi_year", "epi_week"]
 
@@ -82,22 +83,43 @@ def forecast_ewma(panel: DataFrame, horizon: int = 4, span: int = 4, least: int
     return rows.select("target", F.col("k").cast("long").alias("forecast_step"), y.alias("forecast_epi_year"), w.alias("forecast_epi_week"), F.col("m").alias("forecast_tests"), F.greatest(F.col("m") - F.col("sd"), F.lit(0.0)).alias("forecast_tests_low"), (F.col("m") + F.col("sd")).alias("forecast_tests_high"))
 
 
-METRICS = ["tests", "positives", "positividade", "notificacoes", "risco_composto"]
+#: What lags, means and trends are taken of, as far as a panel has it.
+METRICS = [
+    "tests", "positives", "positividade", "notificacoes", "obitos", "incidencia_100k", "risco_composto", "indice_vulnerabilidade", "solicitacoes_100k",
+    "precipitation_sum_mm", "temperature_2m_max", "relative_humidity_2m_min", "n_eventos_climaticos", "cnes_estabelecimentos", "cnes_leitos_total", "cnes_equipes_esf",
+]
 
 
-def features(panel: DataFrame, metrics: list[str] | None = None) -> DataFrame:
-    """O93, O95, O97, O135: lags 1 to 4, means of 4 and 8 observed weeks and their trend, zero weeks so far, zero weeks in a row.
+def features(panel: DataFrame, metrics: list[str] | None = None, weeks: int | None = None) -> DataFrame:
+    """O93, O95, O97, O135: of each metric the value before, means of 4 and 8 observed weeks and their trend (of tests, four values before);
+    weeks without an exam, exams a notification, and the rank of the week's tests. ``weeks``: only the last so many observed weeks.
 
-    All windows share the partitioning and order of a series: one shuffle, one sort."""
-    metrics = metrics or METRICS
+    All windows but the rank share the partitioning and order of a series: one shuffle, one sort."""
+    metrics = metrics or [c for c in METRICS if c in panel.columns]
+    panel = recent(panel, weeks) if weeks else panel
     w = Window.partitionBy(*SERIES).orderBy(*ORDER)
-    lags = [F.lag(c, k).over(w).alias(f"{c}_lag{k}") for c in metrics for k in (1, 2, 3, 4)]
+    lags = [F.lag(c, k).over(w).alias(f"{c}_lag{k}") for c in metrics for k in ((1, 2, 3, 4) if c == "tests" else (1,))]
     means = [rolling(F.col(c), w, n, max(2, n // 2)).alias(f"{c}_ma{n}") for c in metrics for n in (4, 8)]
     trends = [(rolling(F.col(c), w, 4, 2) - rolling(F.col(c), w, 8, 4)).alias(f"{c}_trend") for c in metrics]
-    zero = (F.col("tests") <= 1).cast("long")
+    few, none = (F.col("tests") <= 1).cast("long"), (F.coalesce("tests", F.lit(0)) <= 0).cast("long")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    seen = panel.select("*", *lags, *means, *trends, (F.sum(zero).over(upto) * zero).alias("semanas_zero"), F.sum(1 - zero).over(upto).alias("_run"))
-    return seen.withColumn("semanas_zero_seguidas", (F.sum(zero).over(Window.partitionBy(*SERIES, "_run").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)) * zero)).drop("_run")
+    seen = panel.select("*", *lags, *means, *trends, (F.sum(few).over(upto) * few).alias("semanas_zero"), F.sum(1 - few).over(upto).alias("_run"), (F.sum(none).over(upto) * none).alias("semanas_consec_sem_exame"))
+    quiet = F.coalesce(F.col("tests_ma8"), F.lit(0.0)) < 0.5
+    seen = seen.select(
+        "*", (none + F.when(quiet, 4).otherwise(0)).alias("semanas_sem_exame"), ratio(F.col("tests"), F.col("notificacoes")).alias("exames_por_notif"), average_rank_share(F.col("tests"), [F.col(c) for c in ORDER]).alias("tests_pct_estadual"))
+    return seen.withColumn("semanas_zero_seguidas", (F.sum(few).over(Window.partitionBy(*SERIES, "_run").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)) * few)).drop("_run")
+
+
+def with_context(rows: DataFrame, silent: DataFrame | None = None, quality: DataFrame | None = None) -> DataFrame:
+    """O135: what is known of a town (neighbours in alert, trust in its data), with the values that stand where nothing is known."""
+    defaults = {"vizinhos_em_alerta": 0, "silencio_com_vizinho_alerta": 0, "confianca_dado": 0.5, "gap_sinan_sem_exame": 0}
+    for side, columns in ((silent, ["vizinhos_em_alerta", "silencio_com_vizinho_alerta"]), (quality, ["confianca_dado", "gap_sinan_sem_exame"])):
+        if side is not None:
+            one = side.groupBy("municipio").agg(*[F.max(F.col(c).cast("double" if c == "confianca_dado" else "long")).alias(c) for c in columns])
+            rows = rows.join(one, "municipio", "left")
+        else:
+            rows = rows.withColumns({c: F.lit(defaults[c]) for c in columns})
+    return rows.fillna(defaults)
 
 
 def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -106,31 +128,45 @@ def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*ORDER)).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def anomalies(rows: DataFrame, metrics: tuple[str, ...] = ("tests", "positives", "positividade", "notificacoes")) -> DataFrame:
-    """O130: metrics of the latest rows that are half again over their mean of eight weeks."""
+def anomalies(rows: DataFrame, metrics: tuple[str, ...] = ("tests", "positividade", "incidencia_100k", "notificacoes")) -> DataFrame:
+    """O130: metrics of the latest rows that are half off their mean of eight weeks, up or down; tests also when twice the mean (five at least),
+    positivity also when 0.35 at least and 0.15 over it."""
     named = F.explode(F.array(*[F.struct(F.lit(c).alias("metrica"), F.col(c).cast("double").alias("valor"), F.col(f"{c}_ma8").cast("double").alias("base")) for c in metrics])).alias("m")
     tall = latest(rows, SERIES).select(*SERIES, *ORDER, named).select(*SERIES, *ORDER, "m.*")
-    over = (F.col("valor") - F.col("base")) / F.greatest(F.abs("base"), F.lit(1e-6))
-    return tall.withColumn("desvio", over).where(F.col("desvio") >= 0.5).withColumn("severidade", F.when(F.col("desvio") >= 2, "alta").when(F.col("desvio") >= 1, "media").otherwise("baixa"))
+    off = tall.withColumn("desvio", (F.col("valor") - F.col("base")) / F.greatest(F.abs("base"), F.lit(1e-6)))
+    x, base = F.col("valor"), F.col("base")
+    more = ((F.col("metrica") == "tests") & (x >= 5) & (x >= base * 2.0)) | ((F.col("metrica") == "positividade") & (x >= 0.35) & (x - base >= 0.15))
+    kept = off.where((F.abs("desvio") >= 0.5) | more)
+    severity = F.when(F.abs("desvio") >= 1.0, "alta").when(F.abs("desvio") >= 0.5, "moderada").otherwise("baixa")
+    return kept.select("*", F.when(F.col("desvio") >= 0, "alta_atipica").otherwise("queda_atipica").alias("tipo_anomalia"), severity.alias("severidade"))
 
 
 def labels(rows: DataFrame, drop_unresolved: bool = False) -> DataFrame:
-    """O94, O137: what the next two observed weeks bring. The last rows of a series count as quiet, unless they are dropped."""
+    """O94, O137: what the next two observed weeks of a series bring: an alert, a week without exams, and such a week although there are notifications
+    (or, where ``rows`` has it, neighbours in alert). Weeks that aren't there count as 0, unless the last rows are dropped."""
     w = Window.partitionBy(*SERIES).orderBy(*ORDER)
-    nxt = rows.select("*", F.lead("tests", 1).over(w).alias("_t1"), F.lead("positives", 1).over(w).alias("_p1"), F.lead("positives", 2).over(w).alias("_p2"))
+    ahead = [("tests", 1), ("tests", 2), ("positives", 1), ("positividade", 1), ("positividade", 2), ("risco_composto", 1), ("notificacoes", 1)]
+    nxt = rows.select("*", *[F.lead(c, k).over(w).alias(f"_{c}{k}") for c, k in ahead])
     if drop_unresolved:
-        nxt = nxt.where("_t1 is not null")
+        nxt = nxt.where("_tests1 is not null")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    alert = (zero("_p1") + zero("_p2") >= F.greatest(F.lit(2.0), 1.5 * F.coalesce("positives_ma8", F.lit(0.0)))).cast("int")
-    silent = ((zero("_t1") == 0) & (F.col("tests") > 0)).cast("int")
-    return nxt.select(*rows.columns, alert.alias("y_alerta"), silent.alias("y_silencio"))
+    tests, positives = zero("_tests1"), zero("_positives1")
+    alert = (
+        (zero("_risco_composto1") >= 1.2) | ((zero("_positividade1") >= 0.25) & (tests >= 2)) | ((zero("_positividade2") >= 0.25) & (zero("_tests2") >= 2)) | (positives >= 2)
+        | ((positives > zero("positives")) & (positives >= 1) & (tests >= 2)) | ((zero("_notificacoes1") >= 3) & (tests >= 1) & (zero("_positividade1") >= 0.15)))
+    near = zero("vizinhos_em_alerta") > 0 if "vizinhos_em_alerta" in rows.columns else F.lit(False)
+    silent = tests <= 0
+    return nxt.select(*rows.columns, alert.cast("int").alias("y_alerta"), silent.cast("int").alias("y_silencio"), (silent & ((zero("_notificacoes1") > 0) | near)).cast("int").alias("y_silencio_epi"))
 
 
 def risk_logit(rows: DataFrame) -> DataFrame:
     """O39, O140: the readable score that stands in for a model: seven terms through a sigmoid, with the three that weigh most."""
     zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-    terms = [("risco", 0.8 * zero("risco_composto")), ("positividade", 1.5 * zero("positividade")), ("positivos", 0.6 * F.log1p(zero("positives"))), ("volume", 0.3 * F.log1p(zero("tests"))), ("tendencia", 0.5 * F.tanh(zero("tests_trend"))), ("tendencia_pos", 0.5 * F.tanh(zero("positives_trend"))), ("notificacoes", 0.2 * F.log1p(zero("notificacoes")))]
-    total = F.lit(-2.0)
+    terms = [
+        ("positividade", 2.8 * zero("positividade")), ("tendencia_pos", 1.5 * F.tanh(zero("positividade_trend") * 5)), ("risco", 0.35 * F.least(zero("risco_composto"), F.lit(10.0))), ("volume", 0.15 * F.log1p(zero("tests"))),
+        ("notificacoes", 0.12 * F.log1p(zero("notificacoes"))), ("vulnerabilidade", 0.25 * clip(zero("indice_vulnerabilidade"), -3, 3)), ("tendencia", 0.4 * F.tanh(zero("tests_trend") / 5.0)),
+    ]
+    total = F.lit(-2.2)
     for _, t in terms:
         total = total + t
     parts = F.array(*[F.struct((-F.round(F.abs(t), 9)).alias("k"), F.lit(n).alias("n")) for n, t in terms])
@@ -138,15 +174,32 @@ def risk_logit(rows: DataFrame) -> DataFrame:
     return rows.select("*", sigmoid(total).alias("prob"), drivers.alias("explicacao"))
 
 
-def bands(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """O129: band by probability, band by its rank within ``keys``, and the higher of the two."""
+def silence_logit(rows: DataFrame) -> DataFrame:
+    """O140: the score of a coming silence that stands in for a model; ``vizinhos_em_alerta`` counts where it is there."""
+    zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    total = (
+        -1.0 + 0.55 * clip(zero("semanas_sem_exame"), 0, 12) + 0.8 * (zero("tests") <= 0).cast("double") + 0.35 * (zero("tests_ma8") < 1).cast("double") + 0.25 * F.log1p(zero("notificacoes"))
+        + 0.2 * clip(zero("indice_vulnerabilidade"), -3, 3) - 0.15 * F.log1p(F.greatest(zero("solicitacoes_100k"), F.lit(0.0))))
+    if "vizinhos_em_alerta" in rows.columns:
+        total = total + 0.35 * clip(zero("vizinhos_em_alerta"), 0, 6)
+    return rows.withColumn("prob_silencio", sigmoid(total))
+
+
+def bands(rows: DataFrame, keys: list[str], threshold: float = 0.25) -> DataFrame:
+    """O129: the band by severity (risk, positivity, tests, level, and whether ``prob`` passes ``threshold``), the band by the rank of ``prob``
+    within ``keys`` (a lone row is in the middle), the higher of the two, and which one decided."""
+    zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    r, pos, tests, over, level = zero("risco_composto"), zero("positividade"), zero("tests"), F.coalesce(F.col("prob") >= threshold, F.lit(False)), F.coalesce("nivel_risco", F.lit(""))
+    fixed = (
+        F.when((level == "alto_alerta") | (r >= 3) | (over & (r >= 2) & (pos >= 0.35) & (tests >= 3)), 3).when((level == "alerta") | (r >= 2) | over | ((pos >= 0.50) & (tests >= 2)), 2)
+        .when((level == "atencao") | (r >= 1) | ((pos >= 0.25) & (tests >= 1)), 1).otherwise(0))
     share = average_rank_share(F.col("prob"), list(keys)) * 100.0
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    fixed = bins(F.col("prob"), [0.15, 0.30, 0.50], ["0", "1", "2", "3"]).cast("int")
-    pct = F.when(n == 1, 50.0).otherwise(share)
+    n = F.count("prob").over(Window.partitionBy(*keys))
+    placed = rows.select("*", fixed.alias("_fixed"), F.coalesce(F.round(F.when(n == 1, 50.0).otherwise(share), 1), F.lit(0.0)).alias("percentil"))
     relative = F.when(F.col("percentil") >= 90, 3).when(F.col("percentil") >= 75, 2).when(F.col("percentil") >= 50, 1).otherwise(0)
-    name = F.element_at(F.array(*[F.lit(b) for b in ("Baixo", "Moderado", "Alto", "Crítico")]), F.greatest(fixed, relative) + 1)
-    return rows.withColumn("percentil", pct).withColumn("banda", name)
+    name = lambda c: F.element_at(F.array(*[F.lit(b) for b in ("Baixo", "Moderado", "Alto", "Crítico")]), c + 1)
+    criterion = F.when(F.col("_fixed") > relative, "absoluto").when(relative > F.col("_fixed"), "percentil").otherwise("ambos")
+    return placed.select("*", name(F.col("_fixed")).alias("banda_absoluta"), name(relative).alias("banda_percentil"), name(F.greatest(F.col("_fixed"), relative)).alias("banda"), criterion.alias("criterio_banda")).drop("_fixed")
 
 
 def temporal_split(rows: DataFrame, share: float = 0.8) -> DataFrame:

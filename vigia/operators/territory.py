@@ -134,3 +134,15 @@ def integration(exams: DataFrame, notified: DataFrame, other: DataFrame, deaths:
     joined = exams.groupBy("municipio").agg(F.countDistinct("record_id").alias("exames")).join(a, "municipio", "full").join(deaths.groupBy("municipio").agg(F.sum("obitos").alias("obitos")), "municipio", "left").join(capacity, "municipio", "left")
     n = F.greatest(F.coalesce("n1", F.lit(0)), F.coalesce("n2", F.lit(0)))
     return joined.select("municipio", F.coalesce("exames", F.lit(0)).alias("exames"), n.alias("notificacoes"), F.coalesce("obitos", F.lit(0)).alias("obitos"), "cnes_leitos_total", ratio(F.col("exames"), n).alias("exames_por_notificacao"), ((n > 0) & (F.coalesce("exames", F.lit(0)) == 0)).alias("lacuna"))
+
+
+def executive_summary(panel: DataFrame, n: int = 8) -> DataFrame:
+    """One row: the latest year and the highest week of the last ``n`` observed weeks, their exams, positives, towns and targets."""
+    sums = recent(panel, n).agg(
+        F.max("epi_year").alias("epi_year_max"), F.max("epi_week").alias("epi_week_max"), F.sum("tests").cast("double").alias("exames_8sem"), F.sum("positives").cast("double").alias("positivos_8sem"), F.countDistinct("municipio").alias("municipios"), F.countDistinct("target").alias("agravos"))
+    return sums.withColumn("positividade_8sem", ratio(F.col("positivos_8sem"), F.col("exames_8sem")))
+
+
+def ordered(towns: DataFrame, order: list[Column]) -> DataFrame:
+    """O103: ``towns`` with the place of each in a mixed order. The window is over a dimension: one row for each town."""
+    return towns.withColumn("ordem", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order)).cast("long"))

@@ -49,7 +49,7 @@ def exams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("o_orderdate").cast("date")
-    return requests(spark, sf_dir).select("municipio", F.col("o_orderpriority").alias("agravo"), d.alias("event_date"), weeks.epi_year(d).alias("epi_year"), weeks.epi_week(d).alias("epi_week"), "o_orderstatus", "o_totalprice", "c_nationkey", "o_custkey")
+    return requests(spark, sf_dir).select("municipio", F.col("o_orderpriority").alias("agravo"), d.alias("event_date"), weeks.epi_year(d).alias("epi_year"), weeks.epi_week(d).alias("epi_week"), "o_orderstatus", (F.col("o_orderstatus") == "F").alias("encerrado"), "o_totalprice", "c_nationkey", "o_custkey")
 
 
 def deaths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +81,18 @@ def facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return supplier.join(towns(spark, sf_dir), supplier.s_nationkey == F.col("n_nationkey")).select("municipio", "s_suppkey", "s_acctbal")
 
 
+def capacity_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Facilities, beds, equipment and teams: a supplier's balance says how many it has, and of what kind."""
+    f = facilities(spark, sf_dir)
+    bal = F.col("s_acctbal")
+    all_beds, intensive = F.floor(F.greatest(bal, F.lit(0.0)) / 100).cast("long"), F.when(bal > 5000, F.floor(bal / 1000)).otherwise(0).cast("long")
+    kinds = F.explode(F.array(F.struct(F.lit("UTI adulto").alias("tipo"), intensive.alias("existentes")), F.struct(F.lit("Clínico").alias("tipo"), (all_beds - intensive).alias("existentes"))))
+    beds = f.select("municipio", kinds.alias("k")).select("municipio", "k.tipo", "k.existentes", F.col("k.existentes").alias("sus"))
+    equipment = f.select("municipio", F.when(bal < 0, "Ventilador").otherwise("Mesa").alias("tipo"), F.lit(1).cast("long").alias("existentes"), (F.col("s_suppkey") % 2).alias("uso"))
+    teams = f.select("municipio", F.when(F.col("s_suppkey") % 3 == 0, "ESF").otherwise("EAP").alias("tipo"), F.lit(1).cast("long").alias("quantidade"))
+    return f, beds, equipment, teams
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather: town by number of user, week of the reading, value, severity."""
     events = read(spark, sf_dir, "events")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..operators import aggregates, emergency, history, normalise, panel, period, predict, territory
+from ..operators import aggregates, emergency, history, normalise, panel, period, predict, pressure, territory
 from ..sources import tables
 from ..streaming import weekly as stream
 from . import bindings as b
 from .registry import query
-from .surveillance import EDGES, NETWORK, RISK, TOWN_TARGET, alerts_of, edges_of, network_of, rounded, scored_of
+from .surveillance import _ALERT, _NET, EDGES, NETWORK, RISK, TOWN_TARGET, alerts_of, edges_of, network_of, rounded, scored_of
 
 _PRESSURE = f"""{NETWORK}, p95 AS (SELECT greatest(quantile_cont(exames, 0.95), 1) AS p95 FROM network),
 pr AS (SELECT network.*, round(greatest(least(100 * (0.30::DOUBLE * greatest(least(exames / p95::DOUBLE, 1), 0) + 0.30::DOUBLE * least(backlog_estimado / greatest(exames, 1)::DOUBLE, 1) + 0.25::DOUBLE * least(coalesce(tat_p90_dias, 14) / 14::DOUBLE, 2) / 2 + 0.15::DOUBLE * least(coalesce(pct_rejeitado, 0) / 0.05::DOUBLE, 2) / 2), 100), 0), 2) AS indice_pressao_rede FROM network, p95),
@@ -74,8 +74,8 @@ def card_of(spark, sf_dir):
     return base.join(sudden, "municipio", "left").join(other, "municipio", "left").fillna(False, ["silencio_gal_alerta", "silencio_gal_vs_vizinhos", "divergente"])
 
 
-@query(f"""WITH {_CARD} SELECT *, CASE WHEN (sla_crise AND faixa_pressao IN ('critica', 'alta')) OR silencio_gal_vs_vizinhos THEN 'critica' WHEN sla_crise OR faixa_pressao = 'critica' OR silencio_gal_alerta THEN 'alta' WHEN faixa_pressao = 'alta' OR divergente THEN 'media' ELSE 'rotina' END AS prioridade,
-  CASE WHEN sla_crise THEN 'sla' WHEN silencio_gal_alerta THEN 'silencio' WHEN divergente THEN 'divergencia' WHEN faixa_pressao IN ('critica', 'alta') THEN 'pressao' ELSE 'padrao' END AS sinal FROM card""")
+@query(f"""WITH {_CARD} SELECT *, CASE WHEN sla_crise AND faixa_pressao = 'critica' THEN 'CRÍTICO' WHEN sla_crise OR silencio_gal_vs_vizinhos OR silencio_gal_alerta OR divergente THEN 'ALTO' WHEN faixa_pressao IN ('alta', 'critica') THEN 'MODERADO' ELSE 'MONITORAMENTO' END AS prioridade,
+  CASE WHEN sla_crise THEN 'risco' WHEN silencio_gal_alerta THEN 'silencio' WHEN divergente THEN 'utilizacao' WHEN faixa_pressao IN ('critica', 'alta') THEN 'risco' ELSE 'padrao' END AS sinal FROM card""")
 def emergency_priority(spark, sf_dir):
     """O120."""
     return rounded(emergency.priority(card_of(spark, sf_dir)))
@@ -88,19 +88,19 @@ def emergency_summary(spark, sf_dir):
     return rounded(emergency.summary(card_of(spark, sf_dir)))
 
 
-_RETRO = f"""{RISK}, rv AS (SELECT municipio, epi_year, epi_week, sum(tests)::BIGINT AS tests, sum(positives)::BIGINT AS positives, sum(notificacoes)::BIGINT AS notificacoes FROM panel GROUP BY ALL),
-wk AS (SELECT *, row_number() OVER (ORDER BY epi_year, epi_week) AS idx FROM (SELECT DISTINCT epi_year, epi_week FROM panel ORDER BY 1 DESC, 2 DESC LIMIT 20)), pl AS (SELECT rv.*, idx FROM rv JOIN wk USING (epi_year, epi_week)),
-bk AS (SELECT municipio, i AS idx, median(tests) AS mediana_8, avg(tests) AS media_8 FROM (SELECT municipio, tests, unnest(range(idx + 1, idx + 9)) AS i FROM pl) GROUP BY 1, 2),
-retro AS (SELECT bk.municipio, wk.epi_year, wk.epi_week, mediana_8, media_8, coalesce(pl.tests, 0) AS tests, coalesce(pl.notificacoes, 0) AS notificacoes FROM bk JOIN wk USING (idx) LEFT JOIN pl ON pl.municipio = bk.municipio AND pl.idx = bk.idx WHERE bk.idx > (SELECT max(idx) FROM wk) - 12),
-rf AS (SELECT *, (rank() OVER (PARTITION BY epi_year, epi_week ORDER BY tests) + (count(*) OVER (PARTITION BY epi_year, epi_week, tests) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY epi_year, epi_week) AS pct FROM retro),
-fl AS (SELECT municipio, epi_year, epi_week, tests, mediana_8, unnest(list_filter([CASE WHEN (mediana_8 >= 5 AND tests <= 0.25 * mediana_8) OR (mediana_8 >= 3 AND tests <= 0) THEN 'silencio' END, CASE WHEN (notificacoes >= 3 AND tests <= 0) OR (tests >= 20 AND notificacoes <= 0) THEN 'divergencia' END, CASE WHEN pct >= 0.75 THEN 'pressao' END], lambda x: x IS NOT NULL)) AS tipo_alerta FROM rf),
-fu AS (SELECT f.*, sum(v.tests)::BIGINT AS ef, sum(v.positives)::BIGINT AS pf, count(v.tests) AS sf FROM fl f LEFT JOIN rv v ON v.municipio = f.municipio AND v.epi_year * 53 + v.epi_week BETWEEN f.epi_year * 53 + f.epi_week + 1 AND f.epi_year * 53 + f.epi_week + 2 GROUP BY ALL),
-conf AS (SELECT municipio, epi_year, epi_week, tipo_alerta, tests, coalesce(ef, 0) AS exames_futuro, CASE WHEN sf > 0 THEN CASE tipo_alerta WHEN 'silencio' THEN ef <= 0.5 * mediana_8 * 2 WHEN 'pressao' THEN ef >= tests ELSE pf > 0 END END AS confirmado FROM fu)"""
+_RETRO = f"""{RISK}, {_PRESSURE.split('tat AS', 1)[1].join(['tat AS', ''])}, rv AS (SELECT municipio, epi_year, epi_week, sum(tests)::BIGINT AS tests, sum(notificacoes)::BIGINT AS notificacoes FROM panel GROUP BY ALL),
+wk AS (SELECT *, row_number() OVER (ORDER BY epi_year, epi_week) AS idx FROM (SELECT DISTINCT epi_year, epi_week FROM panel ORDER BY 1 DESC, 2 DESC LIMIT 21)), pl AS (SELECT rv.*, idx FROM rv JOIN wk USING (epi_year, epi_week)),
+bk AS (SELECT municipio, i AS idx, median(tests) AS m8 FROM (SELECT municipio, tests, unnest(range(idx + 1, idx + 9)) AS i FROM pl) GROUP BY 1, 2),
+retro AS (SELECT pl.*, coalesce(m8, 0) AS mediana_8 FROM pl LEFT JOIN bk USING (municipio, idx) WHERE idx BETWEEN (SELECT max(idx) FROM wk) - 12 AND (SELECT max(idx) FROM wk) - 1),
+rf AS (SELECT retro.*, (rank() OVER (PARTITION BY epi_year, epi_week ORDER BY tests) + (count(*) OVER (PARTITION BY epi_year, epi_week, tests) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY epi_year, epi_week) AS pct, indice_pressao_rede, sla_crise FROM retro LEFT JOIN crisis USING (municipio)),
+fl AS (SELECT municipio, epi_year, epi_week, tests, mediana_8, unnest(list_filter([CASE WHEN (mediana_8 >= 5 AND tests <= 0.25 * mediana_8) OR (mediana_8 >= 3 AND tests <= 0) THEN 'silencio_gal' END, CASE WHEN notificacoes >= 3 AND tests <= 0 THEN 'divergencia' END, CASE WHEN pct >= 0.75 OR coalesce(indice_pressao_rede >= 55, false) THEN 'pressao_alta' END, CASE WHEN coalesce(sla_crise, false) THEN 'sla_crise' END], lambda x: x IS NOT NULL)) AS tipo_alerta FROM rf),
+fu AS (SELECT f.*, sum(v.tests)::BIGINT AS ef, max(v.tests) AS mf, sum(v.notificacoes)::BIGINT AS nf, count(v.tests) AS sf FROM fl f JOIN rv v ON v.municipio = f.municipio AND v.epi_year * 53 + v.epi_week BETWEEN f.epi_year * 53 + f.epi_week + 1 AND f.epi_year * 53 + f.epi_week + 2 GROUP BY ALL),
+conf AS (SELECT municipio, epi_year, epi_week, tipo_alerta, tests, ef AS exames_futuro, CASE tipo_alerta WHEN 'silencio_gal' THEN ef <= 0.5 * greatest(mediana_8, 1) * sf OR mf <= 0 WHEN 'divergencia' THEN nf >= 2 AND ef < 0.5 * nf WHEN 'pressao_alta' THEN mf >= greatest(5, 0.75 * tests) ELSE ef >= greatest(3, 0.5 * tests) END AS confirmado FROM fu)"""
 
 
 def confirmed_of(spark, sf_dir):
     scored = scored_of(spark, sf_dir)
-    return emergency.confirmed(emergency.retro_flags(emergency.retrospective(scored)), scored)
+    return emergency.confirmed(emergency.retro_flags(emergency.retrospective(scored), crisis_of(spark, sf_dir)), scored)
 
 
 @query(f"WITH {_RETRO} SELECT * REPLACE (CAST(confirmado AS BIGINT) AS confirmado) FROM conf")
@@ -150,31 +150,99 @@ def period_history(spark, sf_dir):
     return rounded(period_of(spark, sf_dir, "history"))
 
 
-_SCEN = f"""{RISK}, {_period_sql('previous')}, sc0 AS (SELECT *, coalesce(delta_pct, 0) >= 25 AS up, coalesce(delta_pct, 0) <= -25 AS dn, round(coalesce(delta_pp, 0), 9) >= 5 AS wm, coalesce(positividade, 0) >= 0.30 AS hi FROM per),
-sc1 AS (SELECT *, CASE WHEN tests = 0 AND notificacoes > 0 THEN 'silencio_laboratorial' WHEN up AND wm THEN 'surto_em_expansao' WHEN wm AND dn THEN 'subtestagem' WHEN wm THEN 'positividade_em_alta' WHEN up AND hi THEN 'alta_demanda_com_positividade' WHEN up THEN 'alta_demanda' WHEN dn THEN 'queda_de_testagem' ELSE 'estavel' END AS cenario FROM sc0),
-sc2 AS (SELECT *, coalesce(risco_max, 0) * 2 + 2 * wm::INT + up::INT + 2 * (cenario IN ('silencio_laboratorial', 'surto_em_expansao'))::INT AS score_prioridade FROM sc1),
-sc AS (SELECT *, CASE WHEN score_prioridade >= 7 THEN 'critica' WHEN score_prioridade >= 5 THEN 'alta' WHEN score_prioridade >= 3 THEN 'media' ELSE 'baixa' END AS prioridade FROM sc2)"""
+def _analysis_sql(mode: str) -> str:
+    before = {"previous": "epi_year = 1999 AND epi_week BETWEEN 10 AND 19", "last_year": "epi_year = 1998 AND epi_week BETWEEN 20 AND 29", "history": "epi_year BETWEEN 1994 AND 1998 AND epi_week BETWEEN 20 AND 29"}[mode]
+    spans = {"periodo": "epi_year = 1999 AND epi_week BETWEEN 20 AND 29", "base": before, "hist": "epi_year BETWEEN 1994 AND 1998 AND epi_week BETWEEN 20 AND 29"}
+    counts = {"tests": "tests", "positives": "positivos", "notificacoes": "notificacoes", "obitos": "obitos"}
+    sums = ", ".join(f"coalesce(sum({c}) FILTER ({on}), 0)::BIGINT AS {n}_{tag}" for tag, on in spans.items() for c, n in counts.items())
+    weeks = ", ".join(f"count(DISTINCT epi_year * 100 + epi_week) FILTER ({on}) AS semanas_{tag}" for tag, on in spans.items())
+    return f"""an0 AS (SELECT municipio, target, max(populacao) AS populacao, max(risco_composto) FILTER ({spans['periodo']}) AS risco_periodo, max(risco_composto) FILTER ({before}) AS risco_base, {weeks}, {sums} FROM scored GROUP BY 1, 2),
+an1 AS (SELECT *, CASE WHEN tests_periodo > 0 THEN positivos_periodo / tests_periodo::DOUBLE END AS positividade_periodo, CASE WHEN tests_base > 0 THEN positivos_base / tests_base::DOUBLE END AS positividade_base, tests_periodo - tests_base AS delta_tests_abs, positivos_periodo - positivos_base AS delta_positivos_abs, notificacoes_periodo - notificacoes_base AS delta_notificacoes_abs,
+  CASE WHEN tests_base > 0 THEN (tests_periodo - tests_base) / tests_base::DOUBLE END AS delta_tests_pct, notificacoes_periodo > 0 AND tests_periodo = 0 AS silencio_laboratorial, notificacoes_periodo >= 3 AND tests_periodo < greatest(1, notificacoes_periodo * 0.2::DOUBLE) AS baixo_uso_lacen FROM an0 WHERE semanas_periodo > 0 OR semanas_base > 0),
+an AS (SELECT *, coalesce(positividade_periodo, 0) - coalesce(positividade_base, 0) AS delta_positividade_pp FROM an1)"""
 
 
-@query(f"""WITH {_SCEN}, pj AS (SELECT *, greatest(tests / 10.0::DOUBLE + 0.5::DOUBLE * least(greatest((tests - tests_base) / 10, -tests / 10.0::DOUBLE), tests / 10.0::DOUBLE), 0) * 2 AS tp, least(greatest(coalesce(positividade, 0) + 0.5::DOUBLE * coalesce(delta_pp / 100, 0), 0), 1) AS pp FROM sc)
-SELECT municipio, target, cenario, prioridade, round(score_prioridade, 6) AS score_prioridade, round(tp, 6) AS tests_projetados, round(pp, 6) AS positividade_projetada, round(tp * pp, 6) AS positivos_projetados FROM pj""")
+def analysis_of(spark, sf_dir, mode="previous"):
+    return period.analysis(scored_of(spark, sf_dir), 1999, 20, 29, mode)
+
+
+def _analysis(mode: str):
+    cols = ["municipio", "target", "semanas_periodo", "semanas_base", "tests_periodo", "tests_base", "positivos_periodo", "notificacoes_periodo", "notificacoes_base", "obitos_periodo", "positividade_periodo", "positividade_base", "delta_tests_abs", "delta_tests_pct", "delta_positividade_pp", "delta_notificacoes_abs", "incidencia_periodo_100k", "hist_media_semanal_tests", "silencio_laboratorial", "baixo_uso_lacen"]
+    return lambda spark, sf_dir: rounded(analysis_of(spark, sf_dir, mode).select(*cols))
+
+
+def _analysis_query(mode: str) -> str:
+    return f"""WITH {RISK}, {_analysis_sql(mode)} SELECT municipio, target, semanas_periodo, semanas_base, tests_periodo, tests_base, positivos_periodo, notificacoes_periodo, notificacoes_base, obitos_periodo, round(positividade_periodo, 6) AS positividade_periodo, round(positividade_base, 6) AS positividade_base, delta_tests_abs, round(delta_tests_pct, 6) AS delta_tests_pct,
+  round(delta_positividade_pp, 6) AS delta_positividade_pp, delta_notificacoes_abs, CASE WHEN populacao > 0 THEN round(notificacoes_periodo * 100000.0::DOUBLE / populacao, 6) END AS incidencia_periodo_100k, CASE WHEN semanas_hist > 0 THEN round(tests_hist / semanas_hist::DOUBLE, 6) END AS hist_media_semanal_tests, silencio_laboratorial, baixo_uso_lacen FROM an"""
+
+
+@query(_analysis_query("previous"))
+def period_analysis_previous(spark, sf_dir):
+    """O122: against as many weeks just before."""
+    return _analysis("previous")(spark, sf_dir)
+
+
+@query(_analysis_query("last_year"))
+def period_analysis_last_year(spark, sf_dir):
+    """O122: against the same weeks of the year before."""
+    return _analysis("last_year")(spark, sf_dir)
+
+
+@query(_analysis_query("history"))
+def period_analysis_history(spark, sf_dir):
+    """O122: against the same weeks of five years before."""
+    return _analysis("history")(spark, sf_dir)
+
+
+_PERIOD = "semanas, tests, positives, notificacoes, obitos, populacao, semana_min, semana_max"
+
+
+@query(f"""WITH {RISK}, g AS (SELECT municipio, target, count(DISTINCT epi_year * 100 + epi_week) AS semanas, sum(tests)::BIGINT AS tests, sum(positives)::BIGINT AS positives, sum(notificacoes)::BIGINT AS notificacoes, sum(obitos)::BIGINT AS obitos, max(populacao) AS populacao, max(risco_composto) AS risco_composto, min(epi_week) AS semana_min, max(epi_week) AS semana_max FROM scored GROUP BY 1, 2)
+SELECT municipio, target, {_PERIOD}, round(risco_composto, 6) AS risco_composto, CASE WHEN tests > 0 THEN round(positives / tests::DOUBLE, 6) END AS positividade, CASE WHEN populacao > 0 THEN round(notificacoes * 100000.0::DOUBLE / populacao, 6) END AS incidencia_100k, CASE WHEN populacao > 0 THEN round(tests * 100000.0::DOUBLE / populacao, 6) END AS solicitacoes_100k,
+  round(tests / semanas::DOUBLE, 6) AS media_semanal_tests, round(notificacoes / semanas::DOUBLE, 6) AS media_semanal_notificacoes FROM g""")
+def period_totals(spark, sf_dir):
+    """O82 over the whole panel."""
+    return rounded(aggregates.period(scored_of(spark, sf_dir), ["municipio", "target"]))
+
+
+_S = period.SCENARIOS
+_SCEN = f"""{RISK}, {_analysis_sql('previous')}, sc AS (SELECT *,
+  CASE WHEN silencio_laboratorial THEN '{_S[0]}' WHEN baixo_uso_lacen THEN '{_S[1]}' WHEN tests_periodo > 0 AND delta_positividade_pp >= 0.15 AND coalesce(delta_tests_pct >= 0.30, false) THEN '{_S[2]}' WHEN tests_periodo > 0 AND delta_positividade_pp >= 0.15 THEN '{_S[3]}' WHEN coalesce(delta_tests_pct >= 0.50, false) THEN '{_S[4]}'
+    WHEN notificacoes_periodo > 0 AND delta_notificacoes_abs > 0 THEN '{_S[5]}' WHEN tests_periodo > 0 THEN '{_S[6]}' ELSE '{_S[7]}' END AS cenario_operacional,
+  CASE WHEN silencio_laboratorial THEN 'ALTO' WHEN obitos_periodo >= 1 AND delta_positividade_pp >= 0.10 THEN 'CRÍTICO' WHEN coalesce(positividade_periodo >= 0.30, false) AND (delta_positividade_pp >= 0.15 OR coalesce(delta_tests_pct >= 0.50, false)) THEN 'CRÍTICO'
+    WHEN delta_positividade_pp >= 0.10 OR coalesce(delta_tests_pct >= 0.30, false) OR baixo_uso_lacen THEN 'ALTO' WHEN delta_positividade_pp >= 0.05 OR coalesce(delta_tests_pct >= 0.15, false) OR notificacoes_periodo > 0 THEN 'MODERADO' ELSE 'MONITORAMENTO' END AS prioridade FROM an),
+pj AS (SELECT *, round(greatest(0, (tests_periodo / 10.0::DOUBLE + greatest(delta_tests_abs / 10.0::DOUBLE, -(tests_periodo / 10.0::DOUBLE)) * 0.5::DOUBLE) * 2), 1) AS projecao_solicitacoes, least(greatest(coalesce(positividade_periodo, positividade_base, 0) + delta_positividade_pp / 2, 0), 1) AS positividade_projetada FROM sc)"""
+
+
+def scenarios_of(spark, sf_dir):
+    return period.projected(period.scenario(analysis_of(spark, sf_dir)), 1999, 20, 29)
+
+
+@query(f"""WITH {_SCEN} SELECT municipio, target, cenario_operacional, prioridade, CASE prioridade WHEN 'CRÍTICO' THEN 4 WHEN 'ALTO' THEN 3 WHEN 'MODERADO' THEN 2 ELSE 1 END AS prioridade_score, projecao_solicitacoes, round(positividade_projetada, 6) AS positividade_projetada,
+  strftime(strptime('1999-07-19', '%Y-%m-%d') + INTERVAL 7 DAY, '%d/%m/%Y') || ' a ' || strftime(strptime('1999-07-19', '%Y-%m-%d') + INTERVAL 20 DAY, '%d/%m/%Y') AS janela_alerta FROM pj""")
 def scenarios(spark, sf_dir):
     """O123, O124."""
-    out = period.projected(period.scenario(period_of(spark, sf_dir)), 10)
-    return rounded(out.select("municipio", "target", "cenario", "prioridade", "score_prioridade", "tests_projetados", "positividade_projetada", "positivos_projetados"))
+    return rounded(scenarios_of(spark, sf_dir).select("municipio", "target", "cenario_operacional", "prioridade", "prioridade_score", "projecao_solicitacoes", "positividade_projetada", "janela_alerta"))
 
 
-@query(f"WITH {_SCEN} SELECT CASE WHEN grouping(cenario) = 0 THEN 'cenario' ELSE 'prioridade' END AS dimensao, coalesce(cenario, prioridade) AS valor, count(*) AS linhas, count(DISTINCT municipio) AS municipios, sum(tests)::BIGINT AS tests FROM sc GROUP BY GROUPING SETS ((cenario), (prioridade))")
+@query(f"WITH {_SCEN} SELECT CASE WHEN grouping(cenario_operacional) = 0 THEN 'cenario' ELSE 'prioridade' END AS dimensao, coalesce(cenario_operacional, prioridade) AS valor, count(*) AS linhas, count(DISTINCT municipio) AS municipios, sum(tests_periodo)::BIGINT AS tests FROM sc GROUP BY GROUPING SETS ((cenario_operacional), (prioridade))")
 def scenario_distribution(spark, sf_dir):
     """O48, O88."""
-    return period.distributions(period.scenario(period_of(spark, sf_dir)))
+    return period.distributions(period.scenario(analysis_of(spark, sf_dir)))
 
 
-@query()
+_A = period.ACTIONS
+_ACTION = f"CASE WHEN cenario_operacional = '{_S[0]}' THEN '{_A['silencio']}' WHEN cenario_operacional = '{_S[1]}' THEN '{_A['baixo']}' WHEN prioridade = 'CRÍTICO' THEN '{_A['CRÍTICO']}' WHEN prioridade = 'ALTO' THEN '{_A['ALTO']}' ELSE '{_A['MODERADO']}' END"
+
+
+@query(f"""WITH {_SCEN}, ge AS (SELECT n_name AS municipio, min(s_name) AS gestor FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)
+SELECT sc.municipio, target, prioridade, gestor, '[' || prioridade || '] Alerta: ' || target || ' em ' || sc.municipio AS assunto, {_ACTION} AS acao_sugerida, CASE prioridade WHEN 'CRÍTICO' THEN '{period.CHANNELS['CRÍTICO']}' WHEN 'ALTO' THEN '{period.CHANNELS['ALTO']}' ELSE '{period.CHANNELS['MODERADO']}' END AS canal_sugerido,
+  'Alerta operacional (' || prioridade || '): ' || sc.municipio || ', ' || target || '. Cenário: ' || cenario_operacional || '. Solicitações: ' || tests_periodo || '; positivos: ' || positivos_periodo || '; variação de solicitações: ' || delta_tests_abs || '; notificações: ' || notificacoes_periodo || '. Janela: 26/07/1999 a 08/08/1999. Ação sugerida: ' || {_ACTION} AS mensagem
+FROM sc LEFT JOIN ge USING (municipio) WHERE prioridade IN ('CRÍTICO', 'ALTO', 'MODERADO')""")
 def manager_messages(spark, sf_dir):
     """O41, O63, O125."""
     contacts = b.read(spark, sf_dir, "supplier").join(b.towns(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")).select("municipio", F.col("s_name").alias("gestor"))
-    return period.messages(period.scenario(period_of(spark, sf_dir)), contacts)
+    return period.messages(scenarios_of(spark, sf_dir), contacts).drop("prioridade_score", "status_envio")
 
 
 _TOP = "SELECT * FROM (SELECT municipio, target, {s} AS sinal, {v} AS score FROM {f} ORDER BY score DESC, municipio, target LIMIT 15)"
@@ -220,35 +288,57 @@ def _ma(c: str, n: int) -> str:
     return f"CASE WHEN count({c}) OVER {f} >= {max(2, n // 2)} THEN avg({c}) OVER {f} END"
 
 
-FEATURES = f"""{RISK}, ft0 AS (SELECT *, {_ma("tests", 4)} AS tests_ma4, {_ma("tests", 8)} AS tests_ma8, {_ma("positives", 4)} AS positives_ma4, {_ma("positives", 8)} AS positives_ma8, {_ma("positividade", 8)} AS positividade_ma8, {_ma("notificacoes", 8)} AS notificacoes_ma8,
-  lag(tests, 1) OVER ({_W}) AS tests_lag1, lag(tests, 4) OVER ({_W}) AS tests_lag4, (tests <= 1)::INT AS zr, lead(tests, 1) OVER ({_W}) AS t1, lead(positives, 1) OVER ({_W}) AS p1, lead(positives, 2) OVER ({_W}) AS p2 FROM scored),
-ft1 AS (SELECT *, tests_ma4 - tests_ma8 AS tests_trend, positives_ma4 - positives_ma8 AS positives_trend, (sum(zr) OVER ({_W} ROWS UNBOUNDED PRECEDING) * zr)::BIGINT AS semanas_zero, sum(1 - zr) OVER ({_W} ROWS UNBOUNDED PRECEDING) AS run FROM ft0),
-feat AS (SELECT *, (sum(zr) OVER (PARTITION BY target, municipio, run ORDER BY epi_year, epi_week ROWS UNBOUNDED PRECEDING) * zr)::BIGINT AS semanas_zero_seguidas,
-  (coalesce(p1, 0) + coalesce(p2, 0) >= greatest(2, 1.5 * coalesce(positives_ma8, 0)))::INT AS y_alerta, (coalesce(t1, 0) = 0 AND tests > 0)::INT AS y_silencio FROM ft1)"""
+_AHEAD = ", ".join(f"lead({c}, {k}) OVER ({_W}) AS {n}" for c, k, n in (("tests", 1, "t1"), ("tests", 2, "t2"), ("positives", 1, "p1"), ("positividade", 1, "q1"), ("positividade", 2, "q2"), ("risco_composto", 1, "r1"), ("notificacoes", 1, "n1")))
+FEATURES = f"""{RISK}, ft0 AS (SELECT *, {_ma("tests", 4)} AS tests_ma4, {_ma("tests", 8)} AS tests_ma8, {_ma("positives", 4)} AS positives_ma4, {_ma("positives", 8)} AS positives_ma8, {_ma("positividade", 4)} AS positividade_ma4, {_ma("positividade", 8)} AS positividade_ma8, {_ma("notificacoes", 8)} AS notificacoes_ma8, {_ma("incidencia_100k", 8)} AS incidencia_100k_ma8,
+  lag(tests, 1) OVER ({_W}) AS tests_lag1, lag(tests, 4) OVER ({_W}) AS tests_lag4, (tests <= 1)::INT AS zr, {_AHEAD} FROM scored),
+ft1 AS (SELECT *, tests_ma4 - tests_ma8 AS tests_trend, positividade_ma4 - positividade_ma8 AS positividade_trend, (sum(zr) OVER ({_W} ROWS UNBOUNDED PRECEDING) * zr)::BIGINT AS semanas_zero, sum(1 - zr) OVER ({_W} ROWS UNBOUNDED PRECEDING) AS run FROM ft0),
+feat AS (SELECT *, (sum(zr) OVER (PARTITION BY target, municipio, run ORDER BY epi_year, epi_week ROWS UNBOUNDED PRECEDING) * zr)::BIGINT AS semanas_zero_seguidas, CASE WHEN notificacoes > 0 THEN tests / notificacoes::DOUBLE END AS exames_por_notif,
+  (coalesce(r1, 0) >= 1.2 OR (coalesce(q1, 0) >= 0.25 AND coalesce(t1, 0) >= 2) OR (coalesce(q2, 0) >= 0.25 AND coalesce(t2, 0) >= 2) OR coalesce(p1, 0) >= 2 OR (coalesce(p1, 0) > coalesce(positives, 0) AND coalesce(p1, 0) >= 1 AND coalesce(t1, 0) >= 2) OR (coalesce(n1, 0) >= 3 AND coalesce(t1, 0) >= 1 AND coalesce(q1, 0) >= 0.15))::INT AS y_alerta,
+  (coalesce(t1, 0) <= 0)::INT AS y_silencio, (coalesce(t1, 0) <= 0 AND coalesce(n1, 0) > 0)::INT AS y_silencio_epi FROM ft1)"""
 
 
 def features_of(spark, sf_dir):
     return predict.features(scored_of(spark, sf_dir))
 
 
-@query(f"WITH {FEATURES} SELECT target, municipio, epi_year, epi_week, tests_lag1, tests_lag4, round(tests_ma4, 6) AS tests_ma4, round(tests_ma8, 6) AS tests_ma8, round(positividade_ma8, 6) AS positividade_ma8, round(tests_trend, 6) AS tests_trend, semanas_zero, semanas_zero_seguidas, y_alerta, y_silencio FROM feat")
+_FCOLS = ["target", "municipio", "epi_year", "epi_week", "tests_lag1", "tests_lag4", "tests_ma4", "tests_ma8", "positividade_ma8", "tests_trend", "semanas_zero", "semanas_zero_seguidas", "exames_por_notif", "y_alerta", "y_silencio", "y_silencio_epi"]
+
+
+@query(f"WITH {FEATURES} SELECT target, municipio, epi_year, epi_week, tests_lag1, tests_lag4, round(tests_ma4, 6) AS tests_ma4, round(tests_ma8, 6) AS tests_ma8, round(positividade_ma8, 6) AS positividade_ma8, round(tests_trend, 6) AS tests_trend, semanas_zero, semanas_zero_seguidas, round(exames_por_notif, 6) AS exames_por_notif, y_alerta, y_silencio, y_silencio_epi FROM feat")
 def feature_panel(spark, sf_dir):
     """O93 to O95, O97, O135, O137."""
-    rows = predict.labels(features_of(spark, sf_dir))
-    return rounded(rows.select("target", "municipio", "epi_year", "epi_week", "tests_lag1", "tests_lag4", "tests_ma4", "tests_ma8", "positividade_ma8", "tests_trend", "semanas_zero", "semanas_zero_seguidas", "y_alerta", "y_silencio"))
+    return rounded(predict.labels(features_of(spark, sf_dir)).select(*_FCOLS))
+
+
+@query(f"""WITH {RISK}, k104 AS (SELECT DISTINCT epi_year, epi_week FROM panel ORDER BY epi_year DESC, epi_week DESC LIMIT 104), f AS (SELECT scored.* FROM scored SEMI JOIN k104 USING (epi_year, epi_week))
+SELECT target, municipio, epi_year, epi_week, lag(obitos, 1) OVER ({_W}) AS obitos_lag1, round({_ma("solicitacoes_100k", 4)}, 6) AS solicitacoes_100k_ma4, round({_ma("notificacoes", 8)}, 6) AS notificacoes_ma8, CASE WHEN {_ma("tests", 8)} >= 0.5 THEN 0 ELSE 4 END + (tests <= 0)::BIGINT AS semanas_sem_exame,
+  round((rank() OVER (PARTITION BY epi_year, epi_week ORDER BY tests) + (count(*) OVER (PARTITION BY epi_year, epi_week, tests) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY epi_year, epi_week), 6) AS tests_pct_estadual, 0.5::DOUBLE AS confianca_dado, 0 AS vizinhos_em_alerta FROM f""")
+def feature_panel_recent(spark, sf_dir):
+    """O56, O135: the last 104 observed weeks, all metrics that the panel has, and the values that stand where no context is known."""
+    rows = predict.with_context(predict.features(scored_of(spark, sf_dir), weeks=104))
+    return rounded(rows.select("target", "municipio", "epi_year", "epi_week", "obitos_lag1", "solicitacoes_100k_ma4", "notificacoes_ma8", F.col("semanas_sem_exame").cast("long").alias("semanas_sem_exame"), "tests_pct_estadual", "confianca_dado", "vizinhos_em_alerta"))
 
 
 @query(f"""WITH {FEATURES}, la AS (SELECT * FROM feat QUALIFY row_number() OVER (PARTITION BY target, municipio ORDER BY epi_year DESC, epi_week DESC) = 1),
-m AS (SELECT target, municipio, epi_year, epi_week, unnest([{{'metrica': 'tests', 'valor': tests::DOUBLE, 'base': tests_ma8}}, {{'metrica': 'positives', 'valor': positives::DOUBLE, 'base': positives_ma8}}, {{'metrica': 'positividade', 'valor': positividade, 'base': positividade_ma8}}, {{'metrica': 'notificacoes', 'valor': notificacoes::DOUBLE, 'base': notificacoes_ma8}}], recursive := true) FROM la),
+m AS (SELECT target, municipio, epi_year, epi_week, unnest([{{'metrica': 'tests', 'valor': tests::DOUBLE, 'base': tests_ma8}}, {{'metrica': 'positividade', 'valor': positividade, 'base': positividade_ma8}}, {{'metrica': 'incidencia_100k', 'valor': incidencia_100k, 'base': incidencia_100k_ma8}}, {{'metrica': 'notificacoes', 'valor': notificacoes::DOUBLE, 'base': notificacoes_ma8}}], recursive := true) FROM la),
 d AS (SELECT *, (valor - base) / greatest(abs(base), 1e-6) AS dv FROM m)
-SELECT target, municipio, epi_year, epi_week, metrica, round(valor, 6) AS valor, round(base, 6) AS base, round(dv, 4) AS desvio, CASE WHEN dv >= 2 THEN 'alta' WHEN dv >= 1 THEN 'media' ELSE 'baixa' END AS severidade FROM d WHERE dv >= 0.5""")
+SELECT target, municipio, epi_year, epi_week, metrica, round(valor, 6) AS valor, round(base, 6) AS base, round(dv, 4) AS desvio, CASE WHEN dv >= 0 THEN 'alta_atipica' ELSE 'queda_atipica' END AS tipo_anomalia, CASE WHEN abs(dv) >= 1 THEN 'alta' WHEN abs(dv) >= 0.5 THEN 'moderada' ELSE 'baixa' END AS severidade
+FROM d WHERE abs(dv) >= 0.5 OR (metrica = 'tests' AND valor >= 5 AND valor >= base * 2) OR (metrica = 'positividade' AND valor >= 0.35 AND valor - base >= 0.15)""")
 def anomalies(spark, sf_dir):
     """O100, O130."""
     found = predict.anomalies(features_of(spark, sf_dir))
-    return found.select("target", "municipio", "epi_year", "epi_week", "metrica", F.round("valor", 6).alias("valor"), F.round("base", 6).alias("base"), F.round("desvio", 4).alias("desvio"), "severidade")
+    return found.select("target", "municipio", "epi_year", "epi_week", "metrica", F.round("valor", 6).alias("valor"), F.round("base", 6).alias("base"), F.round("desvio", 4).alias("desvio"), "tipo_anomalia", "severidade")
+
 
+_LOGIT = f"""{FEATURES}, lg AS (SELECT *, round(1 / (1 + exp(-greatest(least(-2.2::DOUBLE + 2.8::DOUBLE * coalesce(positividade, 0) + 1.5::DOUBLE * tanh(coalesce(positividade_trend, 0) * 5) + 0.35::DOUBLE * least(coalesce(risco_composto, 0), 10) + 0.15::DOUBLE * ln(1 + coalesce(tests, 0)) + 0.12::DOUBLE * ln(1 + coalesce(notificacoes, 0))
+  + 0.25::DOUBLE * greatest(least(coalesce(indice_vulnerabilidade, 0), 3), -3) + 0.4::DOUBLE * tanh(coalesce(tests_trend, 0) / 5), 20), -20))), 6) AS prob FROM feat)"""
 
-_LOGIT = f"""{FEATURES}, lg AS (SELECT *, round(1 / (1 + exp(-greatest(least(-2 + 0.8::DOUBLE * coalesce(risco_composto, 0) + 1.5::DOUBLE * coalesce(positividade, 0) + 0.6::DOUBLE * ln(1 + coalesce(positives, 0)) + 0.3::DOUBLE * ln(1 + coalesce(tests, 0)) + 0.5::DOUBLE * tanh(coalesce(tests_trend, 0)) + 0.5::DOUBLE * tanh(coalesce(positives_trend, 0)) + 0.2::DOUBLE * ln(1 + coalesce(notificacoes, 0)), 20), -20))), 6) AS prob FROM feat)"""
+
+@query(f"""WITH {FEATURES}, s AS (SELECT *, (tests <= 0)::INT + CASE WHEN coalesce(tests_ma8, 0) < 0.5 THEN 4 ELSE 0 END AS sx FROM feat)
+SELECT target, municipio, epi_year, epi_week, round(1 / (1 + exp(-greatest(least(-1.0::DOUBLE + 0.55::DOUBLE * greatest(least(sx, 12), 0) + 0.8::DOUBLE * (tests <= 0)::INT + 0.35::DOUBLE * (coalesce(tests_ma8, 0) < 1)::INT + 0.25::DOUBLE * ln(1 + coalesce(notificacoes, 0)) + 0.2::DOUBLE * greatest(least(coalesce(indice_vulnerabilidade, 0), 3), -3) - 0.15::DOUBLE * ln(1 + greatest(coalesce(solicitacoes_100k, 0), 0)), 20), -20))), 6) AS prob_silencio FROM s""")
+def silence_scores(spark, sf_dir):
+    """O140: the score of a coming silence, without a model."""
+    return rounded(predict.silence_logit(features_of(spark, sf_dir)).select("target", "municipio", "epi_year", "epi_week", "prob_silencio"))
 
 
 def logit_of(spark, sf_dir):
@@ -261,13 +351,20 @@ def risk_scores(spark, sf_dir):
     return logit_of(spark, sf_dir).select("target", "municipio", "epi_year", "epi_week", "prob")
 
 
-@query(f"""WITH {_LOGIT}, la AS (SELECT * FROM lg QUALIFY row_number() OVER (PARTITION BY target, municipio ORDER BY epi_year DESC, epi_week DESC) = 1),
-bd AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY target) = 1 THEN 50 ELSE 100 * (rank() OVER (PARTITION BY target ORDER BY prob) + (count(*) OVER (PARTITION BY target, prob) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY target) END AS pct FROM la)
-SELECT target, municipio, prob, round(pct, 6) AS percentil, ['Baixo', 'Moderado', 'Alto', 'Crítico'][greatest(CASE WHEN prob <= 0.15 THEN 0 WHEN prob <= 0.30 THEN 1 WHEN prob <= 0.50 THEN 2 ELSE 3 END, CASE WHEN pct >= 90 THEN 3 WHEN pct >= 75 THEN 2 WHEN pct >= 50 THEN 1 ELSE 0 END) + 1] AS banda FROM bd""")
+#: Families of the targets at hand, for models of their own.
+_FAMILIES = [("comercial", ["promo", "economy"]), ("tamanho", ["large", "medium", "small"])]
+_FAMILY = "CASE WHEN target LIKE '%promo%' OR target LIKE '%economy%' THEN 'comercial' WHEN target LIKE '%large%' OR target LIKE '%medium%' OR target LIKE '%small%' THEN 'tamanho' ELSE 'outros' END"
+
+
+@query(f"""WITH {_LOGIT}, la AS (SELECT *, {_FAMILY} AS familia FROM lg QUALIFY row_number() OVER (PARTITION BY target, municipio ORDER BY epi_year DESC, epi_week DESC) = 1),
+bd AS (SELECT *, round(CASE WHEN count(*) OVER (PARTITION BY familia) = 1 THEN 50 ELSE 100 * (rank() OVER (PARTITION BY familia ORDER BY prob) + (count(*) OVER (PARTITION BY familia, prob) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY familia) END, 1) AS pct,
+  CASE WHEN nivel_risco = 'alto_alerta' OR risco_composto >= 3 OR (prob >= 0.25 AND risco_composto >= 2 AND positividade >= 0.35 AND tests >= 3) THEN 3 WHEN nivel_risco = 'alerta' OR risco_composto >= 2 OR prob >= 0.25 OR (positividade >= 0.5 AND tests >= 2) THEN 2 WHEN nivel_risco = 'atencao' OR risco_composto >= 1 OR (positividade >= 0.25 AND tests >= 1) THEN 1 ELSE 0 END AS fx FROM la),
+b2 AS (SELECT *, CASE WHEN pct >= 90 THEN 3 WHEN pct >= 75 THEN 2 WHEN pct >= 50 THEN 1 ELSE 0 END AS rl, ['Baixo', 'Moderado', 'Alto', 'Crítico'] AS nm FROM bd)
+SELECT target, municipio, prob, pct AS percentil, nm[fx + 1] AS banda_absoluta, nm[rl + 1] AS banda_percentil, nm[greatest(fx, rl) + 1] AS banda, CASE WHEN fx > rl THEN 'absoluto' WHEN rl > fx THEN 'percentil' ELSE 'ambos' END AS criterio_banda FROM b2""")
 def risk_bands(spark, sf_dir):
     """O129."""
-    rows = predict.bands(predict.latest(logit_of(spark, sf_dir), ["target", "municipio"]), ["target"])
-    return rounded(rows.select("target", "municipio", "prob", "percentil", "banda"))
+    rows = predict.latest(logit_of(spark, sf_dir), ["target", "municipio"]).withColumn("familia", rules.family(F.col("target"), "outros", _FAMILIES))
+    return rounded(predict.bands(rows, ["familia"]).select("target", "municipio", "prob", "percentil", "banda_absoluta", "banda_percentil", "banda", "criterio_banda"))
 
 
 _TEST = f"""{_LOGIT}, ws AS (SELECT *, row_number() OVER (ORDER BY epi_year, epi_week) AS i, count(*) OVER () AS n FROM (SELECT DISTINCT epi_year, epi_week FROM lg)), ct AS (SELECT epi_year * 100 + epi_week AS c FROM ws WHERE i = greatest(floor(n * 0.8), 1)),
@@ -294,8 +391,6 @@ def best_threshold(spark, sf_dir):
     return predict.best_threshold(tested_of(spark, sf_dir))
 
 
-#: Families of the targets at hand, for models of their own.
-_FAMILIES = [("comercial", ["promo", "economy"]), ("tamanho", ["large", "medium", "small"])]
 #: Beside the calibrated cut-off: the fixed one and the one in operation.
 _CUTS = {"fixo": 0.5, "operacional": 0.25}
 
@@ -392,6 +487,61 @@ def alert_history_whole(spark, sf_dir):
     return history.with_outcomes(merged, scored_of(spark, sf_dir), {"risco": 2, "silencio": 1}).withColumn("confirmado", F.col("confirmado").cast("long"))
 
 
+_NORMS = "least(greatest(coalesce(backlog_estimado, 0) / greatest(coalesce(exames, 0), 1)::DOUBLE, 0), 1) AS backlog_norm, greatest(least(coalesce(tat_p90_dias, 14) / 14::DOUBLE, 2), 0) / 2 AS tat_p90_norm, greatest(least(coalesce(pct_rejeitado, 0) / 0.05::DOUBLE, 2), 0) / 2 AS rejeicao_norm"
+
+
+def _pressure_sql(keys: str, others: str, unknown: float) -> str:
+    by = f"PARTITION BY {keys} ORDER BY epi_year, epi_week"
+    ma = lambda n, least: f"CASE WHEN count(tests) OVER ({by} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) >= {least} THEN avg(tests) OVER ({by} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) END"
+    return f"""k104 AS (SELECT DISTINCT epi_year, epi_week FROM panel ORDER BY epi_year DESC, epi_week DESC LIMIT 104), pp0 AS (SELECT {keys}, epi_year, epi_week, sum(tests)::BIGINT AS tests, sum(notificacoes)::BIGINT AS notificacoes FROM fam SEMI JOIN k104 USING (epi_year, epi_week) GROUP BY ALL),
+pp1 AS (SELECT *, lag(tests, 1) OVER ({by}) AS tests_lag1, {ma(4, 2)} AS tests_ma4, {ma(8, 3)} AS tests_ma8, (rank() OVER (PARTITION BY epi_year, epi_week{others} ORDER BY tests) + (count(*) OVER (PARTITION BY epi_year, epi_week{others}, tests) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY epi_year, epi_week{others}) AS tests_pct_estadual,
+  least(greatest(tests / greatest(quantile_cont(tests, 0.95) OVER (PARTITION BY epi_year, epi_week{others}), 1), 0), 1) AS volume_norm FROM pp0),
+pp2 AS (SELECT pp1.*, round(greatest(least(100 * (0.40::DOUBLE * volume_norm + 0.25::DOUBLE * coalesce(backlog_norm, 0) + 0.20::DOUBLE * coalesce(tat_p90_norm, {unknown}) + 0.15::DOUBLE * coalesce(rejeicao_norm, 0)), 100), 0), 2) AS indice_pressao_proxy FROM pp1 LEFT JOIN norms USING ({keys})),
+pp AS (SELECT *, CASE WHEN indice_pressao_proxy <= 35 THEN 'baixa' WHEN indice_pressao_proxy <= 55 THEN 'moderada' WHEN indice_pressao_proxy <= 75 THEN 'alta' ELSE 'critica' END AS faixa_pressao_proxy,
+  (coalesce(lead(indice_pressao_proxy) OVER ({by}) >= 55, false) OR coalesce(lead(tests_pct_estadual) OVER ({by}) >= 0.75, false) OR (coalesce(lead(tests) OVER ({by}), 0) >= 1.5 * coalesce(tests_ma8, 0) AND coalesce(lead(tests) OVER ({by}), 0) >= 5 AND coalesce(tests_ma8, 0) >= 2))::INT AS y_pressao_alta FROM pp2)"""
+
+
+_PP = "epi_year, epi_week, tests, notificacoes, tests_lag1, round(tests_ma8, 6) AS tests_ma8, round(tests_pct_estadual, 6) AS tests_pct_estadual, round(volume_norm, 6) AS volume_norm, indice_pressao_proxy, faixa_pressao_proxy, y_pressao_alta"
+_PP_COLUMNS = ["epi_year", "epi_week", "tests", "notificacoes", "tests_lag1", "tests_ma8", "tests_pct_estadual", "volume_norm", "indice_pressao_proxy", "faixa_pressao_proxy", "y_pressao_alta"]
+
+
+@query(f"WITH {RISK}, {NETWORK.split('tat AS', 1)[1].join(['tat AS', ''])}, norms AS (SELECT municipio, {_NORMS} FROM network), fam AS (SELECT * FROM scored), {_pressure_sql('municipio', '', 0.5)} SELECT municipio, {_PP} FROM pp")
+def pressure_weekly(spark, sf_dir):
+    """O136, O137: towns by week."""
+    rows = pressure.pressure_labels(pressure.pressure_panel(scored_of(spark, sf_dir), network_of(spark, sf_dir)))
+    return rounded(rows.select("municipio", *_PP_COLUMNS))
+
+
+@query(f"""WITH {RISK}, {NETWORK.split('tat AS', 1)[1].join(['tat AS', ''])}, nf AS (SELECT municipio, {_FAMILY} AS familia, {_NET} FROM tat GROUP BY 1, 2 HAVING count(*) >= 20), norms AS (SELECT municipio, familia, {_NORMS} FROM nf),
+fam AS (SELECT *, {_FAMILY} AS familia FROM scored), {_pressure_sql('municipio, familia', ', familia', 0.0)} SELECT municipio, familia, {_PP} FROM pp""")
+def pressure_weekly_family(spark, sf_dir):
+    """O136, O137: towns and families by week; service levels are those of the family where it has 20 exams."""
+    family = rules.family(F.col("target"), "outros", _FAMILIES)
+    keys = ("municipio", "familia")
+    net = rounded(aggregates.network(aggregates.turnaround(b.exams(spark, sf_dir)).withColumn("familia", family), list(keys))).where("exames >= 20")
+    rows = pressure.pressure_labels(pressure.pressure_panel(scored_of(spark, sf_dir).withColumn("familia", family), net, keys, unknown_turnaround=0.0), keys)
+    return rounded(rows.select(*keys, *_PP_COLUMNS))
+
+
+@query(f"WITH {RISK}, k8 AS (SELECT DISTINCT epi_year, epi_week FROM panel ORDER BY epi_year DESC, epi_week DESC LIMIT 8), r AS (SELECT panel.* FROM panel SEMI JOIN k8 USING (epi_year, epi_week)) SELECT max(epi_year) AS epi_year_max, max(epi_week) AS epi_week_max, sum(tests)::DOUBLE AS exames_8sem, sum(positives)::DOUBLE AS positivos_8sem, round(sum(positives) / nullif(sum(tests), 0)::DOUBLE, 6) AS positividade_8sem, count(DISTINCT municipio) AS municipios, count(DISTINCT target) AS agravos FROM r")
+def executive_summary(spark, sf_dir):
+    """O86."""
+    return rounded(territory.executive_summary(scored_of(spark, sf_dir)))
+
+
+@query(f"WITH {b.EXAM}, {b.POPULATION} SELECT municipio, target, count(*) AS exames FROM exam SEMI JOIN pop USING (municipio) GROUP BY 1, 2")
+def known_towns(spark, sf_dir):
+    """Exams of towns with a known population only."""
+    known = normalise.in_universe(b.exams(spark, sf_dir), b.population(spark, sf_dir))
+    return known.groupBy("municipio", "target").agg(F.count(F.lit(1)).alias("exames"))
+
+
+@query(f"WITH {NETWORK} SELECT municipio, backlog_estimado, tat_mediano_dias, row_number() OVER (ORDER BY backlog_estimado DESC, tat_mediano_dias DESC NULLS LAST, municipio) AS ordem FROM network")
+def network_ordered(spark, sf_dir):
+    """O103: towns by backlog, then turnaround (both from the top, unknown last), then name, with the place of each."""
+    return territory.ordered(network_of(spark, sf_dir).select("municipio", "backlog_estimado", "tat_mediano_dias"), [F.desc("backlog_estimado"), F.desc_nulls_last("tat_mediano_dias"), F.col("municipio")])
+
+
 @query("WITH w AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS semana, event_type, value FROM events) SELECT CAST(semana AS VARCHAR) AS semana, event_type, count(*) AS n, round(sum(value), 4) AS total FROM w GROUP BY 1, 2")
 def stream_weekly(spark, sf_dir):
     """O144: the files as a stream, in complete mode; the SQL is its batch twin."""
@@ -438,7 +588,7 @@ def raw_results(spark, sf_dir):
     return normalise.long_results(raw).select("record_id", "event_date", "municipio", "exame", "field_index", "field_label", "target", "measure_role", "outcome_class", "is_interpretable_result", "is_positive_like")
 
 
-@query()
+@query(f"WITH {_ALERT.replace(b.EXAM + ', ' + b.WEEKLY + ', ', RISK + ', ')} SELECT a.target, a.municipio, a.epi_year, a.epi_week, a.tests, round(a.positividade, 4) AS positividade, round(vt, 4) AS volume_threshold, round(pt, 4) AS positivity_threshold, va AS volume_alert, pa AS positivity_alert, round(sc, 4) AS alert_score, CASE WHEN sc >= 3 THEN 'alto' WHEN sc >= 2 THEN 'moderado' ELSE 'baixo' END AS alert_level, round(risco_composto, 4) AS risco_composto, nivel_risco FROM alert a LEFT JOIN scored s ON a.target = s.target AND a.municipio = s.municipio AND a.epi_year = s.epi_year AND a.epi_week = s.epi_week WHERE sc > 0")
 def alerts_in_context(spark, sf_dir):
     """O110: alerts with the composite risk of their cell."""
     return rounded(panel.alerts_in_context(alerts_of(spark, sf_dir).where("alert_level != 'sem_sinal'"), scored_of(spark, sf_dir)), 4)

@@ -65,7 +65,7 @@ def case_consolidation(spark, sf_dir):
 @query(f"WITH {b.READING} SELECT n_nationkey, epi_year, epi_week, round(avg(value), 6) AS valor_medio, count(DISTINCT event_id) AS n_eventos, max(severidade) AS severidade_max FROM reading GROUP BY ALL")
 def climate_weekly(spark, sf_dir):
     """O52, O74."""
-    return rounded(aggregates.climate(b.readings(spark, sf_dir)))
+    return rounded(aggregates.climate(b.readings(spark, sf_dir), ["n_nationkey"], {"value": "valor_medio"}))
 
 
 @query(f"WITH {b.NOTIF} SELECT epi_year, epi_week, municipio, agravo, count(*) AS notificacoes, count(*) FILTER (o_orderstatus = 'F') AS encerrados FROM notif GROUP BY ALL")
@@ -83,7 +83,13 @@ def deaths_weekly(spark, sf_dir):
 @query(f"WITH {b.FACILITY} SELECT municipio, count(*) AS cnes_estabelecimentos, sum(floor(greatest(s_acctbal, 0) / 100))::BIGINT AS cnes_leitos_total, sum(CASE WHEN s_acctbal > 5000 THEN floor(s_acctbal / 1000) ELSE 0 END)::BIGINT AS cnes_leitos_uti, count(*) FILTER (s_acctbal < 0) AS cnes_equipamentos_criticos FROM facility GROUP BY 1")
 def capacity(spark, sf_dir):
     """O77."""
-    return aggregates.capacity(b.facilities(spark, sf_dir))
+    return aggregates.capacity(*b.capacity_sources(spark, sf_dir)).select("municipio", "cnes_estabelecimentos", "cnes_leitos_total", "cnes_leitos_uti", "cnes_equipamentos_criticos")
+
+
+@query(f"WITH {b.FACILITY} SELECT municipio, sum(floor(greatest(s_acctbal, 0) / 100))::BIGINT AS cnes_leitos_sus, count(*) AS cnes_equipamentos_total, sum(s_suppkey % 2)::BIGINT AS cnes_equipamentos_uso, count(*) AS cnes_equipes_total, count(*) FILTER (s_suppkey % 3 = 0) AS cnes_equipes_esf FROM facility GROUP BY 1")
+def capacity_sources(spark, sf_dir):
+    """The other sums of the four sources."""
+    return aggregates.capacity(*b.capacity_sources(spark, sf_dir)).select("municipio", "cnes_leitos_sus", "cnes_equipamentos_total", "cnes_equipamentos_uso", "cnes_equipes_total", "cnes_equipes_esf")
 
 
 _DEMO = "count(*) AS tests, count(*) FILTER (outcome = 'positive') AS positives, CAST(grouping(year, regional, status) AS BIGINT) AS nivel"
@@ -155,7 +161,7 @@ panel AS (SELECT *, positives / tests::DOUBLE AS positividade, tests * 100000.0:
 def panel_of(spark, sf_dir):
     exams = b.exams(spark, sf_dir)
     master = panel.vulnerability(b.master(spark, sf_dir)).select("municipio", "indice_vulnerabilidade")
-    capacity_ = aggregates.capacity(b.facilities(spark, sf_dir)).select("municipio", "cnes_leitos_total")
+    capacity_ = aggregates.capacity(*b.capacity_sources(spark, sf_dir)).select("municipio", "cnes_leitos_total")
     return panel.integrate(aggregates.weekly(exams), aggregates.notified(b.notifications(spark, sf_dir)), aggregates.notified(b.deaths(spark, sf_dir), "obitos"), b.population(spark, sf_dir), master, capacity_, b.disease_of(F.col("target")))
 
 
@@ -324,7 +330,7 @@ SELECT *, CASE WHEN notificacoes > 0 THEN round(exames / notificacoes::DOUBLE, 6
 def integration(spark, sf_dir):
     """O55, O90."""
     deaths = aggregates.notified(b.deaths(spark, sf_dir), "obitos")
-    return rounded(territory.integration(b.exams(spark, sf_dir), aggregates.notified(b.notifications(spark, sf_dir)), deaths.withColumnRenamed("obitos", "notificacoes"), deaths, aggregates.capacity(b.facilities(spark, sf_dir)).select("municipio", "cnes_leitos_total")))
+    return rounded(territory.integration(b.exams(spark, sf_dir), aggregates.notified(b.notifications(spark, sf_dir)), deaths.withColumnRenamed("obitos", "notificacoes"), deaths, aggregates.capacity(*b.capacity_sources(spark, sf_dir)).select("municipio", "cnes_leitos_total")))
 
 
 _ACC = f"translate({{}}, '{text.ACCENTED}', '{text.PLAIN}')"
