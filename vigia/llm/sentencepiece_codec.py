@@ -32,9 +32,9 @@ from .textops import give_back, id_schema, record_batch, typed
 
 MARK = "▁"
 #: Characters of a batch that are worked on at once.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 2_000_000
 #: Distinct words whose pieces, and neighbouring pieces whose fit, a worker remembers: of each, two generations of so many.
-CACHE_WORDS, CACHE_PAIRS = 100_000, 100_000
+CACHE_WORDS, CACHE_PAIRS = 250_000, 250_000
 
 
 @dataclass
