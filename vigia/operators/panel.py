@@ -70,25 +70,20 @@ def early_alerts(weekly: DataFrame, least: int = 5) -> DataFrame:
     ``weekly`` has target, municipio, epi_year, epi_week, tests, positividade (may be null).
     """
     same = Window.partitionBy(*SERIES, "epi_week").orderBy("epi_year").rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy(*SERIES).orderBy("epi_year", "epi_week").rowsBetween(Window.unboundedPreceding, -1)
     eight = Window.partitionBy(*SERIES).orderBy("epi_year", "epi_week").rowsBetween(-8, -1)
-    # rows are in the order of their series; positivity is known for some only, so its last eight are counted off a running number
-    known = weekly.withColumn("_nth", F.count("positividade").over(before))
+    upto = Window.partitionBy(*SERIES).orderBy("epi_year", "epi_week").rowsBetween(Window.unboundedPreceding, -1)
 
     def pair(c: str, w, name: str) -> list[Column]:
         v = F.col(c).cast("double")
         return [F.avg(v).over(w).alias(f"{name}_mean"), F.when(F.count(v).over(w) > 1, F.stddev_samp(v).over(w)).otherwise(0.0).alias(f"{name}_std")]
 
-    # a row's own place among the known is _nth + 1, so those before it stand at _nth - 7 to _nth
-    seen = known.select("*", *pair("tests", same, "st"), *pair("tests", eight, "rt"), *pair("positividade", same, "sp"))
-    placed = seen.withColumn("_place", F.when(F.col("positividade").isNotNull(), F.col("_nth") + 1))
-    listed = F.filter(F.collect_list(F.struct("_place", "positividade")).over(before), lambda x: x["_place"].isNotNull() & (x["_place"] > F.col("_nth") - 8))
-    recent = placed.withColumn("_recent", F.transform(listed, lambda x: x["positividade"]))
-    n = F.size("_recent").cast("double")
-    mean = F.when(n > 0, F.aggregate("_recent", F.lit(0.0), lambda a, x: a + x) / n)
-    filled = recent.withColumn("rp_mean", mean)
-    spread = F.aggregate("_recent", F.lit(0.0), lambda a, x: a + (x - F.col("rp_mean")) * (x - F.col("rp_mean")))
-    filled = filled.withColumn("rp_std", F.when(n > 1, F.sqrt(spread / (n - 1))).otherwise(0.0))
+    seen = weekly.select("*", *pair("tests", same, "st"), *pair("tests", eight, "rt"), *pair("positividade", same, "sp"))
+    # the k-th known positivity of a series stands with seven before it; a row looks at the last known one before it (0: none)
+    numbered = seen.withColumn("_nth", F.count("positividade").over(upto))
+    nth = Window.partitionBy(*SERIES).orderBy("_place").rowsBetween(-7, 0)
+    known = numbered.where("positividade is not null").select(*SERIES, (F.col("_nth") + 1).alias("_place"), "positividade")
+    recent = known.select(*SERIES, F.col("_place").alias("_nth"), *pair("positividade", nth, "rp"))
+    filled = numbered.join(recent, [*SERIES, "_nth"], "left").fillna(0.0, ["rp_std"])
     volume = F.greatest(F.col("st_mean") + 2 * F.col("st_std"), F.col("rt_mean") + 2 * F.col("rt_std"))
     positive = F.greatest(F.col("sp_mean") + 2 * F.col("sp_std"), F.col("rp_mean") + 2 * F.col("rp_std"))
     out = filled.withColumn("volume_threshold", volume).withColumn("positivity_threshold", positive)

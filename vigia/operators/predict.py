@@ -211,18 +211,29 @@ def temporal_split(rows: DataFrame, share: float = 0.8) -> DataFrame:
     return rows.join(F.broadcast(cut), F.lit(True)).withColumn("treino", train).drop("_y", "_w")
 
 
-def metrics(scored: DataFrame, keys: list[str], threshold: float, k: int = 20) -> DataFrame:
+def metrics(scored: DataFrame, keys: list[str], threshold: float | Column, k: int = 20) -> DataFrame:
     """O105, O142: precision, recall, Brier, AUC by rank sums and precision among the k highest, by ``keys`` (y 0/1, prob, id).
 
-    Ranks are taken in windows by ``keys``; with no keys, over a window of one group."""
+    Rows are added up by score before any rank is taken, so that the windows run over the distinct scores of a key. Only
+    rows with a score among the k highest are numbered."""
     by = [F.col(c) for c in keys] or [F.lit(1)]
-    ranked = scored.select("*", (average_rank_share(F.col("prob"), by) * F.count("prob").over(Window.partitionBy(*by))).alias("_rank"), F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("prob"), "id")).alias("_place"))
     hit, pos = F.col("prob") >= threshold, F.col("y") == 1
-    sums = ranked.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(pos).alias("n_pos"), F.count_if(hit & pos).alias("_tp"), F.count_if(hit).alias("_hit"), F.avg((F.col("prob") - F.col("y")) * (F.col("prob") - F.col("y"))).alias("brier"),
-        F.sum(F.when(pos, F.col("_rank"))).alias("_ranks"), F.avg(F.when(F.col("_place") <= k, F.col("y").cast("double"))).alias("precision_at_k"))
+    scores = scored.groupBy(*keys, "prob").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(pos).alias("_pos"), F.count_if(hit & pos).alias("_tp"), F.count_if(hit).alias("_hit"), F.sum((F.col("prob") - F.col("y")) * (F.col("prob") - F.col("y"))).alias("_miss"))
+    w = Window.partitionBy(*by).orderBy("prob").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("_n").over(w), F.lit(0))
+    ranked = scores.select("*", ((below + (F.col("_n") + 1) / 2.0) * F.col("_pos")).alias("_rank"))
+    sums = ranked.groupBy(*keys).agg(F.sum("_n").alias("n"), F.sum("_pos").alias("n_pos"), F.sum("_tp").alias("_tp"), F.sum("_hit").alias("_hit"), (F.sum("_miss") / F.sum("_n")).alias("brier"), F.sum("_rank").alias("_ranks"))
+    # scores that k rows stand above are out of the race; the others, few, are numbered
+    over = F.coalesce(F.sum("_n").over(Window.partitionBy(*by).orderBy(F.desc("prob")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    near = scores.select(*keys, "prob", over.alias("_over")).where(F.col("_over") < k)
+    cut = near.groupBy(*keys).agg(F.min("prob").alias("_least"))
+    rows = scored.join(cut, keys) if keys else scored.join(F.broadcast(cut), F.lit(True))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("prob"), "id"))
+    first = rows.where(F.col("prob") >= F.col("_least")).select(*keys, "y", place.alias("_place")).where(F.col("_place") <= k).groupBy(*keys).agg(F.avg(F.col("y").cast("double")).alias("precision_at_k"))
+    joined = sums.join(first, keys, "left") if keys else sums.join(F.broadcast(first), F.lit(True), "left")
     np_, nn = F.col("n_pos"), F.col("n") - F.col("n_pos")
-    return sums.select(*keys, "n", "n_pos", F.when(F.col("_hit") > 0, F.col("_tp") / F.col("_hit")).alias("precision"), F.when(np_ > 0, F.col("_tp") / np_).alias("recall"), "brier", F.when((np_ > 0) & (nn > 0), (F.col("_ranks") - np_ * (np_ + 1) / 2) / (np_ * nn)).alias("auc"), "precision_at_k")
+    return joined.select(*keys, "n", "n_pos", F.when(F.col("_hit") > 0, F.col("_tp") / F.col("_hit")).alias("precision"), F.when(np_ > 0, F.col("_tp") / np_).alias("recall"), "brier", F.when((np_ > 0) & (nn > 0), (F.col("_ranks") - np_ * (np_ + 1) / 2) / (np_ * nn)).alias("auc"), "precision_at_k")
 
 
 THRESHOLDS = [round(0.10 + 0.05 * i, 2) for i in range(17)]
