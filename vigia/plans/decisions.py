@@ -381,7 +381,7 @@ SELECT target, count(*) AS n, count(*) FILTER (y = 1) AS n_pos, round(count(*) F
   round((sum(rn) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2.0::DOUBLE) / nullif(count(*) FILTER (y = 1) * count(*) FILTER (y = 0), 0), 6) AS auc, round(avg(y) FILTER (pl <= 20), 6) AS precision_at_k FROM rk GROUP BY 1""")
 def model_metrics(spark, sf_dir):
     """O96, O105, O138, O142."""
-    return rounded(predict.metrics(tested_of(spark, sf_dir), ["target"], 0.5))
+    return rounded(predict.metrics(tested_of(spark, sf_dir).persist(), ["target"], 0.5))  # read three times
 
 
 @query(f"""WITH {_TEST}, c AS (SELECT round(0.10 + 0.05 * k, 2)::DOUBLE AS t FROM (SELECT unnest(range(17)) AS k)), s AS (SELECT t, 2.0::DOUBLE * count(*) FILTER (prob >= t AND y = 1) / nullif(count(*) FILTER (prob >= t) + count(*) FILTER (y = 1), 0) AS f1 FROM te, c GROUP BY 1)
