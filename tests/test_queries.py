@@ -13,6 +13,7 @@ from tests.conftest import SMALL
 from vigia.operators import aggregates, history, panel, predict, territory
 from vigia.plans import QUERIES, SQL
 from vigia.plans import bindings as b
+from vigia.streaming import weekly
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -124,3 +125,36 @@ def test_upsert_keeps_the_last(spark):
 def test_positives_do_not_exceed_tests(spark):
     bad = QUERIES["positivity_weekly"](spark, SMALL).where("positives > tests or ci_low > positividade + 1e-6 or ci_high < positividade - 1e-6 or ci_low < 0 or ci_high > 1")
     assert bad.count() == 0
+
+
+def test_upserts_go_on_after_a_restart(spark, tmp_path):
+    def arrive(name, rows):
+        frame = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run():
+        out = weekly.run_upserts(spark, str(tmp_path / "in"), ["user_id"], "ts", home=str(tmp_path / "home"))
+        return {(r["user_id"], r["value"]) for r in out.collect()}
+
+    arrive("a", [(1, "2024-01-01 00:00:00", 1, "x", 0.5, None), (2, "2024-01-01 00:00:00", 2, "x", 0.7, None)])
+    assert run() == {(1, 0.5), (2, 0.7)}
+    arrive("b", [(3, "2024-01-02 00:00:00", 1, "x", 0.1, None), (4, "2023-12-31 00:00:00", 2, "x", 0.2, None)])
+    assert run() == {(1, 0.1), (2, 0.7)}
+    assert run() == {(1, 0.1), (2, 0.7)}
+
+
+def test_service_levels_of_a_surveillance_table(spark):
+    rows = [
+        ("A", "2024-01-01", "2024-01-03", "2024-01-04", "negative", "liberado", False),
+        ("A", "2024-01-01", None, "2024-01-11", "negative", "liberado", None),
+        ("A", None, "2024-01-05", "2024-01-10", "inconclusive", "pendente", True),
+        ("B", "2024-01-05", None, "2024-01-04", "negative", "pendente", True),
+    ]
+    exams = spark.createDataFrame(rows, "municipio string, coleta string, recebimento string, liberacao string, outcome string, status string, rejeitado boolean")
+    dated = exams.select("*", F.col("coleta").cast("date").alias("dt_coleta"), F.col("recebimento").cast("date").alias("dt_recebimento"), F.col("liberacao").cast("date").alias("event_date"))
+    got = {r["municipio"]: r for r in aggregates.network(aggregates.turnaround(dated), ["municipio"]).collect()}
+    a, b = got["A"], got["B"]
+    assert (a["tat_mediano_dias"], a["tat_lab_mediano_dias"], a["logistica_mediana_dias"]) == (5.0, 3.0, 2.0)
+    assert (a["pct_liberado_48h"], a["pct_liberado_48h_coleta"], a["backlog_estimado"]) == (0.5, 0.0, 1)
+    assert abs(a["pct_rejeitado"] - 1 / 3) < 1e-9 and b["pct_rejeitado"] == 1.0
+    assert (b["tat_mediano_dias"], b["pct_liberado_48h"], b["logistica_mediana_dias"]) == (None, None, None)

@@ -76,17 +76,20 @@ def _share(c: str, days: float):
 
 
 def turnaround(exams: DataFrame) -> DataFrame:
-    """Days from collection to release, null outside 0 to 365; laboratory days stand in for receipt to release."""
-    days = F.datediff("event_date", "dt_coleta")
-    return exams.withColumn("tat_dias", F.when(days.between(0, 365), days.cast("double"))).withColumn("logistica_dias", F.when((days / 4).between(0, 120), F.floor(days / 4).cast("double")))
+    """Days from collection to release, in the laboratory (from receipt to release; both null outside 0 to 365) and on the way
+    (collection to receipt; null outside 0 to 120). Where the first are not known, those in the laboratory stand for them."""
+    days = lambda end, start, most: F.when(F.datediff(end, start).between(0, most), F.datediff(end, start).cast("double"))
+    lab = days("event_date", "dt_recebimento", 365)
+    return exams.withColumns({"tat_dias": F.coalesce(days("event_date", "dt_coleta", 365), lab), "tat_lab_dias": lab, "logistica_dias": days("dt_recebimento", "dt_coleta", 120)})
 
 
 def network(exams: DataFrame, keys: list[str]) -> DataFrame:
-    """Service levels by ``keys`` over the output of ``turnaround``."""
+    """Service levels by ``keys`` over the output of ``turnaround``. What is released in two days is told by laboratory days
+    where a group has any; an exam counts as rejected if ``rejeitado`` is true."""
     return exams.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("exames"), F.median("tat_dias").alias("tat_mediano_dias"), F.percentile("tat_dias", 0.9).alias("tat_p90_dias"), F.median("logistica_dias").alias("logistica_mediana_dias"),
-        _share("tat_dias", 2).alias("pct_liberado_48h"), _share("tat_dias", 7).alias("pct_liberado_7d"), _share("tat_dias", 14).alias("pct_liberado_14d"),
-        F.avg((F.col("outcome") == "negative").cast("double")).alias("pct_rejeitado"), F.count_if(F.col("status") == "pendente").alias("backlog_estimado"),
+        F.count(F.lit(1)).alias("exames"), F.median("tat_dias").alias("tat_mediano_dias"), F.percentile("tat_dias", 0.9).alias("tat_p90_dias"), F.median("tat_lab_dias").alias("tat_lab_mediano_dias"), F.median("logistica_dias").alias("logistica_mediana_dias"),
+        F.coalesce(_share("tat_lab_dias", 2), _share("tat_dias", 2)).alias("pct_liberado_48h"), _share("tat_dias", 2).alias("pct_liberado_48h_coleta"), _share("tat_dias", 7).alias("pct_liberado_7d"), _share("tat_dias", 14).alias("pct_liberado_14d"),
+        F.avg(F.coalesce("rejeitado", F.lit(False)).cast("double")).alias("pct_rejeitado"), F.count_if(F.col("status") == "pendente").alias("backlog_estimado"),
         F.avg((F.col("outcome") == "inconclusive").cast("double")).alias("pct_inconclusivo"), F.avg((F.col("status") == "liberado").cast("double")).alias("pct_liberado"),
     )
 

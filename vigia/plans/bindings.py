@@ -1,7 +1,8 @@
 """The surveillance relations over the tables at hand, in DataFrames and, for the oracles, in SQL.
 
 An order line is an exam: its part type is the target, the customer's nation the town, the
-return flag the outcome, the line status the state of the exam. Orders are notifications,
+return flag the outcome (of a rejected exam it is negative), the line status the state of the exam. A sample is received after a
+quarter of the days from request to release. Orders are notifications,
 and costly finished ones deaths; suppliers are facilities; events are weather readings.
 """
 
@@ -37,12 +38,13 @@ def exams(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate", "l_quantity")
     part = read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
     asked = requests(spark, sf_dir).select("o_orderkey", "municipio", "regional", "o_orderdate")
-    released = F.col("l_shipdate").cast("date")
+    released, asked_on = F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")
+    received = F.date_add(asked_on, F.floor(F.datediff(released, asked_on) / 4).cast("int"))
     return line.join(part, line.l_partkey == part.p_partkey).join(asked, line.l_orderkey == asked.o_orderkey).select(
         F.col("l_orderkey").alias("record_id"), F.col("l_linenumber").cast("long").alias("field_index"), "municipio", "regional",
-        F.lower("p_type").alias("target"), F.col("p_brand").alias("exame"), released.alias("event_date"), F.col("o_orderdate").cast("date").alias("dt_coleta"),
+        F.lower("p_type").alias("target"), F.col("p_brand").alias("exame"), released.alias("event_date"), asked_on.alias("dt_coleta"), received.alias("dt_recebimento"),
         F.when(F.col("l_returnflag") == "R", "positive").when(F.col("l_returnflag") == "A", "negative").otherwise("inconclusive").alias("outcome"),
-        F.when(F.col("l_linestatus") == "F", "liberado").otherwise("pendente").alias("status"), F.year(released).cast("long").alias("year"),
+        F.when(F.col("l_linestatus") == "F", "liberado").otherwise("pendente").alias("status"), (F.col("l_returnflag") == "A").alias("rejeitado"), F.year(released).cast("long").alias("year"),
         weeks.epi_year(released).alias("epi_year"), weeks.epi_week(released).alias("epi_week"), "l_quantity",
     )
 
@@ -104,6 +106,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 EXAM = """exam AS (
   SELECT l_orderkey AS record_id, CAST(l_linenumber AS BIGINT) AS field_index, n_name AS municipio, r_name AS regional, lower(p_type) AS target, p_brand AS exame,
     CAST(l_shipdate AS DATE) AS event_date, CAST(o_orderdate AS DATE) AS dt_coleta,
+    CAST(o_orderdate AS DATE) + CAST(floor((CAST(l_shipdate AS DATE) - CAST(o_orderdate AS DATE)) / 4) AS INTEGER) AS dt_recebimento, l_returnflag = 'A' AS rejeitado,
     CASE l_returnflag WHEN 'R' THEN 'positive' WHEN 'A' THEN 'negative' ELSE 'inconclusive' END AS outcome,
     CASE l_linestatus WHEN 'F' THEN 'liberado' ELSE 'pendente' END AS status, year(l_shipdate) AS year,
     isoyear(l_shipdate) AS epi_year, week(l_shipdate) AS epi_week, l_quantity

@@ -101,10 +101,11 @@ def demographic(spark, sf_dir):
     return rounded(aggregates.demographic(b.exams(spark, sf_dir), ["year", "regional", "status"]))
 
 
-_TAT = f"""{b.EXAM}, tat AS (SELECT *, CASE WHEN event_date - dt_coleta BETWEEN 0 AND 365 THEN (event_date - dt_coleta)::DOUBLE END AS tat_dias,
-  CASE WHEN (event_date - dt_coleta) / 4::DOUBLE BETWEEN 0 AND 120 THEN floor((event_date - dt_coleta) / 4::DOUBLE) END AS logistica_dias FROM exam)"""
-_NET = """count(*) AS exames, round(median(tat_dias), 6) AS tat_mediano_dias, round(quantile_cont(tat_dias, 0.9), 6) AS tat_p90_dias, round(median(logistica_dias), 6) AS logistica_mediana_dias,
-  round(avg((tat_dias <= 2)::INT), 6) AS pct_liberado_48h, round(avg((tat_dias <= 7)::INT), 6) AS pct_liberado_7d, round(avg((tat_dias <= 14)::INT), 6) AS pct_liberado_14d, round(avg((outcome = 'negative')::INT), 6) AS pct_rejeitado,
+_TAT = f"""{b.EXAM}, tat AS (SELECT *, CASE WHEN event_date - dt_recebimento BETWEEN 0 AND 365 THEN (event_date - dt_recebimento)::DOUBLE END AS tat_lab_dias,
+  CASE WHEN event_date - dt_coleta BETWEEN 0 AND 365 THEN (event_date - dt_coleta)::DOUBLE ELSE tat_lab_dias END AS tat_dias,
+  CASE WHEN dt_recebimento - dt_coleta BETWEEN 0 AND 120 THEN (dt_recebimento - dt_coleta)::DOUBLE END AS logistica_dias FROM exam)"""
+_NET = """count(*) AS exames, round(median(tat_dias), 6) AS tat_mediano_dias, round(quantile_cont(tat_dias, 0.9), 6) AS tat_p90_dias, round(median(tat_lab_dias), 6) AS tat_lab_mediano_dias, round(median(logistica_dias), 6) AS logistica_mediana_dias,
+  round(coalesce(avg((tat_lab_dias <= 2)::INT), avg((tat_dias <= 2)::INT)), 6) AS pct_liberado_48h, round(avg((tat_dias <= 2)::INT), 6) AS pct_liberado_48h_coleta, round(avg((tat_dias <= 7)::INT), 6) AS pct_liberado_7d, round(avg((tat_dias <= 14)::INT), 6) AS pct_liberado_14d, round(avg(rejeitado::INT), 6) AS pct_rejeitado,
   count(*) FILTER (status = 'pendente') AS backlog_estimado, round(avg((outcome = 'inconclusive')::INT), 6) AS pct_inconclusivo, round(avg((status = 'liberado')::INT), 6) AS pct_liberado"""
 NETWORK = f"{_TAT}, network AS (SELECT municipio, {_NET} FROM tat GROUP BY 1)"
 

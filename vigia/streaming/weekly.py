@@ -13,8 +13,12 @@ SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, valu
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared one of the session."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    """A new folder under spark.checkpoint.dir; where that is unset, under the warehouse, but only on one machine."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        top = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -53,17 +57,24 @@ def run_closed_weeks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("semana date, event_type string, n long, total double").parquet(out)
 
 
-def run_upserts(spark: SparkSession, path: str, key: list[str], version: str) -> DataFrame:
-    """O145: each batch of arrivals is merged into the history, a new version of which is written beside the last."""
-    top, state = work_folder(spark, "history"), work_folder(spark, "history-state")
-    written: list[str] = []
+def run_upserts(spark: SparkSession, path: str, key: list[str], version: str, home: str | None = None) -> DataFrame:
+    """O145: each batch of arrivals is merged into the history, a new version of which is written beside the last.
+
+    Under a given ``home`` in shared storage a later run goes on where the last one ended, even if that was lost: batch n is
+    always merged into version n - 1, so that a batch that is taken again writes the same version again. Without one, the
+    history starts anew."""
+    home = (home or work_folder(spark, "history")).rstrip("/")
+    top, state = f"{home}/versions", f"{home}/state"
+    stream = events(spark, path)
+
+    def version_of(number: int) -> DataFrame:
+        return spark.read.schema(stream.schema).parquet(f"{top}/version={number}")
 
     def merge(batch: DataFrame, number: int) -> None:
-        old = spark.read.parquet(written[-1]) if written else batch.limit(0)
-        target = f"{top}/v{number}"
-        upsert(old, batch, key, version).write.mode("overwrite").parquet(target)
-        written.append(target)
+        old = version_of(number - 1) if number else batch.limit(0)
+        upsert(old, batch, key, version).write.mode("overwrite").parquet(f"{top}/version={number}")
 
-    running = events(spark, path).writeStream.foreachBatch(merge).option("checkpointLocation", state).trigger(availableNow=True).start()
+    running = stream.writeStream.foreachBatch(merge).option("checkpointLocation", state).trigger(availableNow=True).start()
     running.awaitTermination()
-    return spark.read.parquet(written[-1])
+    last = spark.read.parquet(top).agg(F.max("version")).first()[0]  # the folders' names tell it; one row
+    return version_of(last)
