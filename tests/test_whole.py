@@ -14,7 +14,7 @@ from vigia.plans import QUERIES
 def test_text_keys_of_every_language(spark):
     """By plain Python."""
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
-    got = {r["doc_id"]: (r["chave"], r["slug"]) for r in QUERIES["text_keys_whole"](spark, SMALL).collect()}
+    got = {r["doc_id"]: (r["chave"], r["slug"]) for r in QUERIES["text_keys"](spark, SMALL).collect()}
     assert len(got) == len(docs) and {"en", "es", "fr", "de"} <= {r["lang"] for r in docs.values()}
     table, digest = str.maketrans(text.ACCENTED, text.PLAIN), lambda s: hashlib.md5(s.encode()).hexdigest()
     for i, r in docs.items():
@@ -23,7 +23,7 @@ def test_text_keys_of_every_language(spark):
 
 
 def test_alert_history_of_every_year(spark):
-    got = QUERIES["alert_history_whole"](spark, SMALL).collect()
+    got = QUERIES["alert_history"](spark, SMALL).collect()
     years = {r["epi_year"] for r in QUERIES["positivity_weekly"](spark, SMALL).select("epi_year").distinct().collect()}
     assert len(years) > 5 and {r["epi_year"] for r in got} == years
     assert {(r["tipo"], r["data_emissao"]) for r in got} >= {("risco", 1), ("risco", 2)}
@@ -38,7 +38,7 @@ def test_outcomes_across_the_turn_of_a_year(spark):
 
 
 def test_silence_counts_every_test_of_a_town(spark):
-    whole = {r["municipio"]: r for r in QUERIES["silence_whole"](spark, SMALL).collect()}
+    whole = {r["municipio"]: r for r in QUERIES["silence"](spark, SMALL).collect()}
     sums = {r["municipio"]: r["n"] for r in QUERIES["positivity_weekly"](spark, SMALL).groupBy("municipio").agg(F.sum("tests").alias("n")).collect()}
     assert {m: r["tests_hist"] for m, r in whole.items()} == {m: sums.get(m, 0) for m in whole}
 

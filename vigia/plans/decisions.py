@@ -454,30 +454,15 @@ def lagged_association(spark, sf_dir):
     return rounded(predict.rank_correlation(predict.lagged(scored_of(spark, sf_dir), "notificacoes_mun_semana", ["tests", "positividade"], ["target"]), keys, 12))
 
 
-_HIST = f"""{_LOGIT}, old AS (SELECT 'risco' AS tipo, municipio, target, epi_year, epi_week, prob, 1 AS v FROM lg WHERE epi_year = 1999 AND prob >= 0.6), new AS (SELECT 'risco' AS tipo, municipio, target, epi_year, epi_week, round(prob - 0.05, 6) AS prob, 2 AS v FROM lg WHERE epi_year = 1999 AND epi_week >= 26 AND prob >= 0.5
-  UNION ALL SELECT 'silencio', municipio, target, epi_year, epi_week, prob, 2 FROM lg WHERE epi_year = 1999 AND y_silencio = 1 AND prob >= 0.5),
+_HIST = f"""{_LOGIT}, old AS (SELECT 'risco' AS tipo, municipio, target, epi_year, epi_week, prob, 1 AS v FROM lg WHERE prob >= 0.6), new AS (SELECT 'risco' AS tipo, municipio, target, epi_year, epi_week, round(prob - 0.05, 6) AS prob, 2 AS v FROM lg WHERE prob >= 0.5 AND prob < 0.75
+  UNION ALL SELECT 'silencio', municipio, target, epi_year, epi_week, prob, 2 FROM lg WHERE y_silencio = 1 AND prob >= 0.5),
 hi AS (SELECT * FROM (SELECT * FROM old UNION ALL SELECT * FROM new) QUALIFY row_number() OVER (PARTITION BY tipo, municipio, target, epi_year, epi_week ORDER BY v DESC, prob DESC) = 1),
 oc AS (SELECT h.*, sum(p.tests) AS ts, sum(p.positives) AS ps, count(p.tests) AS semanas_vistas FROM hi h LEFT JOIN panel p ON p.municipio = h.municipio AND p.target = h.target AND p.epi_year * 53 + p.epi_week BETWEEN h.epi_year * 53 + h.epi_week + 1 AND h.epi_year * 53 + h.epi_week + CASE tipo WHEN 'risco' THEN 2 ELSE 1 END GROUP BY ALL)"""
 
 
 @query(f"WITH {_HIST} SELECT tipo, municipio, target, epi_year, epi_week, v AS data_emissao, prob, semanas_vistas, CAST(CASE WHEN semanas_vistas > 0 THEN CASE tipo WHEN 'risco' THEN ps > 0 ELSE ts = 0 END END AS BIGINT) AS confirmado FROM oc")
 def alert_history(spark, sf_dir):
-    """O60, O106, O127: what was issued, with newer versions merged in, and what came of it."""
-    year = logit_of(spark, sf_dir).where("epi_year = 1999")
-    shape = lambda df, kind, v: df.select(F.lit(kind).alias("tipo"), "municipio", "target", "epi_year", "epi_week", F.lit(v).alias("data_emissao"), "prob")
-    old = shape(year.where("prob >= 0.6"), "risco", 1)
-    again = shape(year.where("epi_week >= 26 and prob >= 0.5").withColumn("prob", F.round(F.col("prob") - 0.05, 6)), "risco", 2)
-    quiet = shape(year.where("y_silencio = 1 and prob >= 0.5"), "silencio", 2)
-    merged = history.upsert(old, again.unionByName(quiet))
-    return history.with_outcomes(merged, scored_of(spark, sf_dir), {"risco": 2, "silencio": 1}).withColumn("confirmado", F.col("confirmado").cast("long"))
-
-
-_HIST_WHOLE = _HIST.replace("epi_year = 1999 AND epi_week >= 26 AND prob >= 0.5", "prob >= 0.5 AND prob < 0.75").replace("epi_year = 1999 AND ", "")
-
-
-@query(f"WITH {_HIST_WHOLE} SELECT tipo, municipio, target, epi_year, epi_week, v AS data_emissao, prob, semanas_vistas, CAST(CASE WHEN semanas_vistas > 0 THEN CASE tipo WHEN 'risco' THEN ps > 0 ELSE ts = 0 END END AS BIGINT) AS confirmado FROM oc")
-def alert_history_whole(spark, sf_dir):
-    """O60, O106, O127 over all weeks of the panel; the second issue has the alerts under 0.75."""
+    """O60, O106, O127: what was issued in any week of the panel, with newer versions (those under 0.75) merged in, and what came of it."""
     rows = logit_of(spark, sf_dir)
     shape = lambda df, kind, v: df.select(F.lit(kind).alias("tipo"), "municipio", "target", "epi_year", "epi_week", F.lit(v).alias("data_emissao"), "prob")
     old = shape(rows.where("prob >= 0.6"), "risco", 1)

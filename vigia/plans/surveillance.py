@@ -290,77 +290,38 @@ def universe_of(spark, sf_dir):
 
 
 SILENCE = f"""{RISK}, {_LAST8}, u AS (SELECT v.municipio, indice_vulnerabilidade, coalesce(p.populacao, 0) AS populacao FROM vuln v LEFT JOIN (SELECT municipio, arg_max(populacao, ano) AS populacao FROM pop GROUP BY 1) p USING (municipio)),
-half AS (SELECT * FROM scored WHERE NOT (target = 'promo' AND municipio IN ('NATION_3', 'NATION_7'))),
-rc AS (SELECT municipio, sum(tests)::BIGINT AS tests_recent, sum(notificacoes)::BIGINT AS notif_recent FROM half SEMI JOIN rw USING (epi_year, epi_week) GROUP BY 1), hs AS (SELECT municipio, sum(tests)::BIGINT AS tests_hist, sum(notificacoes)::BIGINT AS notif_hist FROM half GROUP BY 1),
+rc AS (SELECT municipio, sum(tests)::BIGINT AS tests_recent, sum(notificacoes)::BIGINT AS notif_recent FROM scored SEMI JOIN rw USING (epi_year, epi_week) GROUP BY 1), hs AS (SELECT municipio, sum(tests)::BIGINT AS tests_hist, sum(notificacoes)::BIGINT AS notif_hist FROM scored GROUP BY 1),
 s0 AS (SELECT u.*, coalesce(tests_recent, 0) AS tests_recent, coalesce(notif_recent, 0) AS notif_recent, coalesce(tests_hist, 0) AS tests_hist, coalesce(notif_hist, 0) AS notif_hist FROM u LEFT JOIN rc USING (municipio) LEFT JOIN hs USING (municipio)),
 s1 AS (SELECT *, CASE WHEN tests_recent <= 0 AND (notif_recent > 0 OR (tests_hist > 0 AND populacao >= 5000 AND indice_vulnerabilidade >= 0.5)) THEN 'silencio_critico' WHEN tests_recent <= 0 AND (populacao >= 10000 OR (tests_hist > 0 AND populacao >= 3000)) THEN 'silencio_provavel'
   WHEN tests_recent <= 0 AND populacao >= 3000 THEN 'silencio_moderado' WHEN notif_recent >= 3 AND tests_recent < greatest(1, notif_recent * 0.2) THEN 'baixo_uso' ELSE '' END AS classificacao_silencio,
   2.0::DOUBLE * (tests_recent <= 0)::INT + 0.5::DOUBLE * (tests_hist <= 0 AND tests_recent <= 0)::INT + 2.0::DOUBLE * (notif_recent > 0)::INT + (populacao >= 10000)::INT + 0.5::DOUBLE * (populacao >= 5000)::INT + (indice_vulnerabilidade >= 0.5)::INT + 0.5::DOUBLE * (indice_vulnerabilidade >= 1)::INT AS score_silencio FROM s0)"""
 
 
-_HALF = "half AS (SELECT * FROM scored WHERE NOT (target = 'promo' AND municipio IN ('NATION_3', 'NATION_7')))"
-
-
 @query(f"WITH {SILENCE} SELECT municipio, populacao, tests_recent, notif_recent, tests_hist, notif_hist, classificacao_silencio, round(score_silencio, 6) AS score_silencio FROM s1")
 def silence(spark, sf_dir):
-    """O100, O113."""
-    half = scored_of(spark, sf_dir).where(~((F.col("target") == "promo") & F.col("municipio").isin("NATION_3", "NATION_7")))
-    return rounded(territory.silence(universe_of(spark, sf_dir), half).drop("indice_vulnerabilidade"))
-
-
-@query(f"WITH {SILENCE.replace(_HALF, 'half AS (SELECT * FROM scored)')} SELECT municipio, populacao, tests_recent, notif_recent, tests_hist, notif_hist, classificacao_silencio, round(score_silencio, 6) AS score_silencio FROM s1")
-def silence_whole(spark, sf_dir):
-    """O100, O113 over every row of the panel (``silence`` leaves out 'promo' of two towns)."""
+    """O100, O113 over every row of the panel; tests show silent towns on rows made by hand."""
     return rounded(territory.silence(universe_of(spark, sf_dir), scored_of(spark, sf_dir)).drop("indice_vulnerabilidade"))
 
 
-@query(f"""WITH {RISK}, {_LAST8}, seen AS (SELECT municipio, sum(tests)::BIGINT AS exames, sum(positives)::BIGINT AS positivos, count(DISTINCT (epi_year, epi_week)) AS semanas_com_dado, sum(notificacoes)::BIGINT AS notif_join FROM scored SEMI JOIN rw USING (epi_year, epi_week) GROUP BY 1),
-nt AS (SELECT municipio, sum(notificacoes)::BIGINT AS notif_sinan FROM nk SEMI JOIN rw USING (epi_year, epi_week) GROUP BY 1),
-c AS (SELECT municipio, coalesce(exames, 0) AS exames, coalesce(positivos, 0) AS positivos, coalesce(semanas_com_dado, 0) AS semanas_com_dado, coalesce(notif_join, 0) AS notif_join, coalesce(notif_sinan, 0) AS notif_sinan FROM seen FULL JOIN nt USING (municipio)),
-c2 AS (SELECT *, round(least(semanas_com_dado / 8.0::DOUBLE, 1) * 0.35::DOUBLE + (exames > 0)::INT * 0.25::DOUBLE + (notif_join > 0)::INT * 0.20::DOUBLE + (positivos > 0)::INT * 0.20::DOUBLE, 3) AS confianca_dado, notif_sinan > 0 AND exames <= 0 AS gap_sinan_sem_exame, notif_sinan > 0 AND notif_join <= 0 AS join_sinan_fraco FROM c)
-SELECT *, CASE WHEN confianca_dado <= 0.35 THEN 'muito_baixa' WHEN confianca_dado <= 0.60 THEN 'baixa' WHEN confianca_dado <= 0.80 THEN 'media' ELSE 'alta' END AS faixa_confianca FROM c2""")
-def data_confidence(spark, sf_dir):
-    """O55, O85."""
-    return territory.confidence(scored_of(spark, sf_dir), aggregates.notified(b.notifications(spark, sf_dir)))
-
-
-@query(f"""WITH {b.EXAM}, {b.NOTIF}, {b.DEATHS}, {b.FACILITY}, e AS (SELECT municipio, count(DISTINCT record_id) AS exames FROM exam GROUP BY 1), n1 AS (SELECT municipio, count(*) AS n1 FROM notif GROUP BY 1), n2 AS (SELECT municipio, count(*) AS n2, count(*) AS obitos FROM obito GROUP BY 1),
-cap AS (SELECT municipio, sum(floor(greatest(s_acctbal, 0) / 100))::BIGINT AS cnes_leitos_total FROM facility GROUP BY 1),
-i AS (SELECT municipio, coalesce(exames, 0) AS exames, greatest(coalesce(n1, 0), coalesce(n2, 0)) AS notificacoes, coalesce(obitos, 0) AS obitos, cnes_leitos_total FROM e FULL JOIN n1 USING (municipio) FULL JOIN n2 USING (municipio) LEFT JOIN cap USING (municipio))
-SELECT *, CASE WHEN notificacoes > 0 THEN round(exames / notificacoes::DOUBLE, 6) END AS exames_por_notificacao, notificacoes > 0 AND exames = 0 AS lacuna FROM i""")
-def integration(spark, sf_dir):
-    """O55, O90."""
-    deaths = aggregates.notified(b.deaths(spark, sf_dir), "obitos")
-    return rounded(territory.integration(b.exams(spark, sf_dir), aggregates.notified(b.notifications(spark, sf_dir)), deaths.withColumnRenamed("obitos", "notificacoes"), deaths, aggregates.capacity(*b.capacity_sources(spark, sf_dir)).select("municipio", "cnes_leitos_total")))
-
-
 _ACC = f"translate({{}}, '{text.ACCENTED}', '{text.PLAIN}')"
 _KEY = lambda c: "trim(regexp_replace(" + _ACC.format(f"lower(coalesce({c}, ''))") + r", '\s+', ' ', 'g'), ' :;-_')"
 
 
-@query(r"SELECT page_id, url, length(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS n_clean FROM (SELECT page_id, url, replace(replace(replace(replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS html FROM pages)".replace('\\"', '"'))
+@query(r"SELECT page_id, url, texto, length(texto) AS n_clean FROM (SELECT page_id, url, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS texto FROM (SELECT page_id, url, replace(replace(replace(replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS html FROM pages))".replace('\\"', '"'))
 def html_clean(spark, sf_dir):
     """O9 (the part that SQL has too: no mending of broken UTF-8)."""
     c = text.text(F.col("html"))
     for name, value in text.ENTITIES:
         c = F.replace(c, F.lit(name), F.lit(value))
-    return b.read(spark, sf_dir, "pages").select("page_id", "url", F.length(text.collapse(F.regexp_replace(c, "<[^>]+>", " "))).cast("long").alias("n_clean"))
-
-
-def keyed(docs):
-    return docs.select("doc_id", F.md5(text.normalize_key(F.col("text")).cast("binary")).alias("chave"), F.md5(text.slug(F.col("text")).cast("binary")).alias("slug"))
-
-
-@query(f"SELECT doc_id, md5({_KEY('text')}) AS chave, md5(trim(regexp_replace({_ACC.format('lower(text)')}, '[^a-z0-9]+', '_', 'g'), '_')) AS slug FROM documents WHERE lang IN ('fr', 'de')")
-def text_keys(spark, sf_dir):
-    """O11, O12."""
-    return keyed(b.read(spark, sf_dir, "documents").where(F.col("lang").isin("fr", "de")))
+    clean = b.read(spark, sf_dir, "pages").select("page_id", "url", text.collapse(F.regexp_replace(c, "<[^>]+>", " ")).alias("texto"))
+    return clean.select("*", F.length("texto").cast("long").alias("n_clean"))
 
 
 @query(f"SELECT doc_id, md5({_KEY('text')}) AS chave, md5(trim(regexp_replace({_ACC.format('lower(text)')}, '[^a-z0-9]+', '_', 'g'), '_')) AS slug FROM documents")
-def text_keys_whole(spark, sf_dir):
-    """O11, O12 of every document, whatever its language (``text_keys`` has those in 'fr' and 'de')."""
-    return keyed(b.read(spark, sf_dir, "documents"))
+def text_keys(spark, sf_dir):
+    """O11, O12 of every document, whatever its language."""
+    docs = b.read(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.md5(text.normalize_key(F.col("text")).cast("binary")).alias("chave"), F.md5(text.slug(F.col("text")).cast("binary")).alias("slug"))
 
 
 @query(r"WITH e AS (SELECT event_id, event_type || ': ' || json_extract_string(props, '$.k') AS raw FROM events) SELECT event_id, regexp_extract(raw, '^([^:]{1,120}):\s*(.*)$', 1) AS rotulo, regexp_extract(raw, '^([^:]{1,120}):\s*(.*)$', 2) AS valor, try_cast(regexp_extract(raw, '^([^:]{1,120}):\s*(.*)$', 2) AS DOUBLE) AS numero FROM e")
