@@ -77,6 +77,40 @@ def test_seasonal_forecast_by_loop(spark):
             seen.append((w, pred))
 
 
+def test_statewide_forecast_by_loop(spark):
+    """Gaps, unknown rates, a short series; each step counts in the steps after it."""
+    rows = [("a", "t", 2020 + i // 53, i % 53 + 1, (i * 7) % 13, (i * 7) % 13 // 2, i % 3, 0, 1000 + i) for i in range(40, 70, 2)] + [("b", "t", 2020, w, 3, 1, 0, 0, None) for w in range(1, 13)] + [("c", "t", 2020, w, 3, 1, 0, 0, 9) for w in range(1, 12)]
+    frame = spark.createDataFrame(rows, "target string, municipio string, epi_year long, epi_week long, tests long, positives long, notificacoes long, obitos long, populacao long")
+    got = {(r["target"], r["forecast_step"]): r for r in predict.forecast_statewide(frame).collect()}
+    assert {t for t, _ in got} == {"a", "b"}
+    of = {
+        "tests": lambda r: float(r[4]), "positividade": lambda r: r[5] / r[4] if r[4] else None, "incidencia_100k": lambda r: r[5] / r[8] * 1e5 if r[8] else None,
+        "notificacoes_100k": lambda r: r[6] / r[8] * 1e5 if r[8] else None, "mortalidade_100k": lambda r: r[7] / r[8] * 1e5 if r[8] else None,
+    }
+    for t in ("a", "b"):
+        mine = [r for r in rows if r[0] == t]
+        for c, f in of.items():
+            seen, (y, w) = [(r[3], f(r)) for r in mine], mine[-1][2:4]
+            near = [f(r) for r in mine][-8:]
+            for step in range(1, 5):
+                y, w = (y, w + 1) if w < 53 else (y + 1, 1)
+                same, last = [v for k, v in seen if k == w and v is not None], [v for v in near if v is not None]
+                want = (0.4 * median(same) + 0.6 * median(last)) if same and last else median(same) if same else median(last) if last else None
+                r = got[t, step]
+                assert (r["forecast_epi_year"], r["forecast_epi_week"]) == (y, w)
+                assert (r[f"forecast_{c}"] is None) == (want is None) and (want is None or abs(r[f"forecast_{c}"] - want) < 1e-6), (t, c, step)
+                seen.append((w, want))
+                near.append(want)
+
+
+def test_a_constant_has_no_rank_correlation(spark):
+    rows = [("x", float(i), 1.0, float(i * i), None, 0.0, float(-i)) for i in range(25)]
+    frame = spark.createDataFrame(rows, "target string, rain double, tests double, positividade double, incidencia_100k double, notificacoes_100k double, mortalidade_100k double")
+    (r,) = predict.climate_association(frame, ["rain"]).collect()
+    assert (r["n_obs"], r["spearman_tests"], r["spearman_incidencia_100k"], r["spearman_notificacoes_100k"]) == (25, None, None, None)
+    assert abs(r["spearman_positividade"] - 1) < 1e-9 and abs(r["spearman_mortalidade_100k"] + 1) < 1e-9
+
+
 def test_early_alerts_by_loop(spark):
     weekly = aggregates.weekly(b.exams(spark, SMALL)).withColumn("positividade", F.when(F.col("tests") >= 2, F.col("positives") / F.col("tests")))
     got = [r.asDict() for r in panel.early_alerts(weekly, 2).collect()]

@@ -63,24 +63,65 @@ def forecast_flat(panel: DataFrame, steps: int = 4, least: int = 8) -> DataFrame
     return steps_.select("target", F.col("k").cast("long").alias("forecast_step"), y.alias("forecast_epi_year"), w.alias("forecast_epi_week"), "forecast_tests")
 
 
+STATE = ["tests", "positividade", "incidencia_100k", "notificacoes_100k", "mortalidade_100k"]
+
+
+def state_rates(panel: DataFrame) -> DataFrame:
+    """All towns of a (target, week), with the rates of the sums; a rate without a denominator is null."""
+    sums = panel.groupBy("target", *ORDER).agg(*[F.sum(c).cast("double").alias(c) for c in ("tests", "positives", "notificacoes", "obitos", "populacao")])
+    rate = lambda c: ratio(F.col(c), F.col("populacao"), 1e5)
+    return sums.select("*", ratio(F.col("positives"), F.col("tests")).alias("positividade"), rate("positives").alias("incidencia_100k"), rate("notificacoes").alias("notificacoes_100k"), rate("obitos").alias("mortalidade_100k"))
+
+
+def forecast_statewide(panel: DataFrame, horizon: int = 4, seasonal: float = 0.4, least: int = 12, tail: int = 8) -> DataFrame:
+    """O132: volume, positivity, incidence, notifications and mortality of a target of at least ``least`` weeks, each on its own:
+    (1 - seasonal) * median of the last ``tail`` values and all steps so far + seasonal * median of the same week so far. What is not
+    known counts in neither; where one of the two is not known, the other stands alone."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("indicador"), F.col(c).alias("v")) for c in STATE])).alias("c")
+    tall = state_rates(panel).select("target", *ORDER, cells).select("target", *ORDER, "c.*")
+    hist = tall.groupBy("target", "indicador").agg(F.array_sort(F.collect_list(F.struct(*ORDER, "v"))).alias("h")).where(F.size("h") >= least)
+    last = F.element_at("h", -1)
+    numbers = lambda a: F.filter(F.transform(a, lambda r: r["v"]), lambda v: v.isNotNull())
+    seen = F.transform("h", lambda r: F.struct(r["epi_week"].alias("w"), r["v"].alias("v")))
+    start = F.struct(seen.alias("seen"), numbers(F.slice("h", F.greatest(F.size("h") - (tail - 1), F.lit(1)), tail)).alias("recent"), F.array().cast("array<struct<step:int,y:bigint,w:bigint,pred:double>>").alias("out"))
+
+    def step(state: Column, k: Column) -> Column:
+        y, w = advance(last["epi_year"], last["epi_week"], k)
+        s, r = median_of(numbers(F.filter(state["seen"], lambda x: x["w"] == w))), median_of(state["recent"])
+        pred = F.coalesce((1 - seasonal) * r + seasonal * s, r, s)
+        row = F.struct(k.cast("int").alias("step"), y.alias("y"), w.alias("w"), pred.alias("pred"))
+        return F.struct(F.concat(state["seen"], F.array(F.struct(w.alias("w"), pred.alias("v")))).alias("seen"), F.array_compact(F.concat(state["recent"], F.array(pred))).alias("recent"), F.concat(state["out"], F.array(row)).alias("out"))
+
+    folded = hist.select("target", "indicador", F.explode(F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step, lambda s: s["out"])).alias("f"))
+    rows = folded.select("target", "indicador", F.col("f.step").cast("long").alias("forecast_step"), F.col("f.y").alias("forecast_epi_year"), F.col("f.w").alias("forecast_epi_week"), F.col("f.pred").alias("pred"))
+    return rows.groupBy("target", "forecast_step", "forecast_epi_year", "forecast_epi_week").agg(*[F.max(F.when(F.col("indicador") == c, F.col("pred"))).alias(f"forecast_{c}") for c in STATE])
+
+
 def forecast_ewma(panel: DataFrame, horizon: int = 4, span: int = 4, least: int = 6) -> DataFrame:
-    """O134: exponentially weighted mean (weights kept over gaps) of the last eight weeks, with their deviation as the band."""
+    """O134: exponentially weighted means (weights kept over gaps) of the last eight weeks: tests, with their deviation as the band, positivity
+    (0 if never known) and notifications, for which tests stand where the panel has none."""
     alpha = 2.0 / (span + 1)
-    hist = _history(panel, ["target"]).where(F.size("h") >= least)
-    tail = F.transform(F.slice("h", F.greatest(F.size("h") - 7, F.lit(1)), 8), lambda r: r["tests"])
+    noted = "notificacoes" if "notificacoes" in panel.columns else "tests"
+    weekly = panel.groupBy("target", *ORDER).agg(F.sum("tests").cast("double").alias("tests"), F.sum("positives").alias("_pos"), F.sum(noted).cast("double").alias("notificacoes")).withColumn("positividade", ratio(F.col("_pos"), F.col("tests")))
+    named = ("tests", "positividade", "notificacoes")
+    hist = weekly.groupBy("target").agg(F.array_sort(F.collect_list(F.struct(*ORDER, *named))).alias("h")).where(F.size("h") >= least)
+    last = F.slice("h", F.greatest(F.size("h") - 7, F.lit(1)), 8)
+    tails = hist.select("target", F.element_at("h", -1).alias("l"), *[last.getField(c).alias(c) for c in named])
 
     def step(s: Column, x: Column) -> Column:
         w = s["w"] * (1 - alpha)
         y = F.when(s["y"].isNull(), x).when(x.isNull(), s["y"]).otherwise((w * s["y"] + alpha * x) / (w + alpha))
         return F.struct(y.alias("y"), F.when(x.isNull(), F.when(s["y"].isNull(), 1.0).otherwise(w)).otherwise(1.0).alias("w"))
 
-    mean = F.aggregate("tail", F.struct(F.lit(None).cast("double").alias("y"), F.lit(1.0).alias("w")), step, lambda s: s["y"])
-    smooth = hist.select("target", F.element_at("h", -1).alias("l"), tail.alias("tail")).select("target", "l", mean.alias("m"), "tail")
-    avg = F.aggregate("tail", F.lit(0.0), lambda a, x: a + x) / F.size("tail")
-    spread = smooth.withColumn("_avg", avg).withColumn("sd", F.sqrt(F.aggregate("tail", F.lit(0.0), lambda a, x: a + (x - F.col("_avg")) * (x - F.col("_avg"))) / F.size("tail")))
-    rows = spread.select("target", "l", "m", "sd", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("k"))
+    mean = lambda c: F.aggregate(c, F.struct(F.lit(None).cast("double").alias("y"), F.lit(1.0).alias("w")), step, lambda s: s["y"])
+    avg = F.aggregate("tests", F.lit(0.0), lambda a, x: a + x) / F.size("tests")
+    smooth = tails.select("target", "l", "tests", avg.alias("_avg"), mean("tests").alias("m"), F.coalesce(mean("positividade"), F.lit(0.0)).alias("p"), mean("notificacoes").alias("n"))
+    spread = smooth.withColumn("sd", F.sqrt(F.aggregate("tests", F.lit(0.0), lambda a, x: a + (x - F.col("_avg")) * (x - F.col("_avg"))) / F.size("tests")))
+    rows = spread.select("target", "l", "m", "sd", "p", "n", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("k"))
     y, w = advance(F.col("l.epi_year"), F.col("l.epi_week"), F.col("k"))
-    return rows.select("target", F.col("k").cast("long").alias("forecast_step"), y.alias("forecast_epi_year"), w.alias("forecast_epi_week"), F.col("m").alias("forecast_tests"), F.greatest(F.col("m") - F.col("sd"), F.lit(0.0)).alias("forecast_tests_low"), (F.col("m") + F.col("sd")).alias("forecast_tests_high"))
+    return rows.select(
+        "target", F.col("k").cast("long").alias("forecast_step"), y.alias("forecast_epi_year"), w.alias("forecast_epi_week"), F.col("m").alias("forecast_tests"), F.greatest(F.col("m") - F.col("sd"), F.lit(0.0)).alias("forecast_tests_low"),
+        (F.col("m") + F.col("sd")).alias("forecast_tests_high"), F.col("p").alias("forecast_positividade"), F.col("n").alias("forecast_notificacoes"))
 
 
 #: What lags, means and trends are taken of, as far as a panel has it.
@@ -267,11 +308,24 @@ def rank_correlation(tall: DataFrame, keys: list[str], least: int = 20) -> DataF
     both = tall.where(F.col("x").isNotNull() & F.col("y").isNotNull())
     by = [F.col(k) for k in keys]
     ranked = both.select(*keys, average_rank_share(F.col("x"), by).alias("rx"), average_rank_share(F.col("y"), by).alias("ry"))
-    # a constant has no rank correlation; the test keeps corr() away from a division by zero
-    rho = F.when((F.max("rx") > F.min("rx")) & (F.max("ry") > F.min("ry")), F.corr("rx", "ry"))
+    # a constant has no rank correlation; corr() would divide by its zero deviation whatever stands around it
+    varies = (F.max("rx") > F.min("rx")) & (F.max("ry") > F.min("ry"))
+    rho = F.when(varies, F.try_divide(F.covar_pop("rx", "ry"), F.stddev_pop("rx") * F.stddev_pop("ry")))
     return ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), rho.alias("rho")).where(F.col("n") >= least)
 
 
+def climate_association(rows: DataFrame, variables: list[str], least: int = 20, known: int = 10) -> DataFrame:
+    """By target and weather variable the rows that know it (at least ``least``), and Spearman's coefficient with five indicators, each over
+    the rows that know both, where more than ``known`` do; a constant has none."""
+    cells = F.explode(F.array(*[F.struct(F.lit(x).alias("climate_var"), F.lit(y).alias("indicador"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")) for x in variables for y in STATE])).alias("c")
+    keys = ["target", "climate_var", "indicador"]
+    tall = rows.select("target", cells).select("target", "c.*").where("x is not null")
+    counted = tall.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_obs")).where(F.col("n_obs") >= least)
+    rho = rank_correlation(tall, keys, known + 1).select(*keys, "rho")
+    joined = counted.join(rho, keys, "left")
+    return joined.groupBy("target", "climate_var").agg(F.max("n_obs").alias("n_obs"), *[F.max(F.when(F.col("indicador") == y, F.col("rho"))).alias(f"spearman_{y}") for y in STATE])
+
+
 def lagged(rows: DataFrame, x: str, ys: list[str], keys: list[str], lags: int = 4) -> DataFrame:
     """Rows (keys…, indicador, lag, x, y) with x taken ``lag`` observed rows earlier in its town."""
     w = Window.partitionBy(*SERIES).orderBy(*ORDER)

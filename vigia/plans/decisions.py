@@ -10,7 +10,7 @@ from ..sources import tables
 from ..streaming import weekly as stream
 from . import bindings as b
 from .registry import query
-from .surveillance import _ALERT, _NET, EDGES, NETWORK, RISK, TOWN_TARGET, alerts_of, edges_of, network_of, rounded, scored_of
+from .surveillance import _ALERT, _NET, EDGES, NETWORK, PANEL, RISK, TOWN_TARGET, alerts_of, edges_of, network_of, panel_of, rounded, scored_of
 
 _PRESSURE = f"""{NETWORK}, p95 AS (SELECT greatest(quantile_cont(exames, 0.95), 1) AS p95 FROM network),
 pr AS (SELECT network.*, round(greatest(least(100 * (0.30::DOUBLE * greatest(least(exames / p95::DOUBLE, 1), 0) + 0.30::DOUBLE * least(backlog_estimado / greatest(exames, 1)::DOUBLE, 1) + 0.25::DOUBLE * least(coalesce(tat_p90_dias, 14) / 14::DOUBLE, 2) / 2 + 0.15::DOUBLE * least(coalesce(pct_rejeitado, 0) / 0.05::DOUBLE, 2) / 2), 100), 0), 2) AS indice_pressao_rede FROM network, p95),
@@ -271,13 +271,37 @@ def forecast_seasonal(spark, sf_dir):
     return rounded(predict.forecast_seasonal(aggregates.weekly(b.exams(spark, sf_dir)), 4, keys=("target", "municipio")))
 
 
-@query(f"""WITH {b.EXAM}, {b.WEEKLY}, h AS (SELECT target, epi_year, epi_week, sum(tests)::DOUBLE AS tests FROM weekly GROUP BY ALL), l AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY epi_year DESC, epi_week DESC) AS r FROM h),
-g AS (SELECT target, list(tests ORDER BY r DESC) FILTER (r <= 8) AS t, max(epi_year) FILTER (r = 1) AS y, max(epi_week) FILTER (r = 1) AS w FROM l GROUP BY 1 HAVING count(*) >= 6),
-e AS (SELECT *, list_reduce(t, lambda a, x: 0.6::DOUBLE * a + 0.4::DOUBLE * x) AS m, list_stddev_pop(t) AS sd FROM g)
-SELECT target, k AS forecast_step, CAST(y + floor((w - 1 + k) / 53) AS BIGINT) AS forecast_epi_year, (w - 1 + k) % 53 + 1 AS forecast_epi_week, round(m, 6) AS forecast_tests, round(greatest(m - sd, 0), 6) AS forecast_tests_low, round(m + sd, 6) AS forecast_tests_high FROM e, (SELECT unnest(range(1, 5)) AS k)""")
+@query(f"""WITH {PANEL}, h AS (SELECT target, epi_year, epi_week, sum(tests)::DOUBLE AS tests, sum(positives) / sum(tests)::DOUBLE AS pos, sum(notificacoes)::DOUBLE AS notif FROM panel GROUP BY ALL), l AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY epi_year DESC, epi_week DESC) AS r FROM h),
+g AS (SELECT target, {", ".join(f"list({c} ORDER BY r DESC) FILTER (r <= 8) AS {t}" for c, t in (("tests", "t"), ("pos", "tp"), ("notif", "tn")))}, max(epi_year) FILTER (r = 1) AS y, max(epi_week) FILTER (r = 1) AS w FROM l GROUP BY 1 HAVING count(*) >= 6),
+e AS (SELECT *, {", ".join(f"list_reduce({t}, lambda a, x: 0.6::DOUBLE * a + 0.4::DOUBLE * x) AS {m}" for t, m in (("t", "m"), ("tp", "mp"), ("tn", "mn")))}, list_stddev_pop(t) AS sd FROM g)
+SELECT target, k AS forecast_step, CAST(y + floor((w - 1 + k) / 53) AS BIGINT) AS forecast_epi_year, (w - 1 + k) % 53 + 1 AS forecast_epi_week, round(m, 6) AS forecast_tests, round(greatest(m - sd, 0), 6) AS forecast_tests_low, round(m + sd, 6) AS forecast_tests_high,
+  round(mp, 6) AS forecast_positividade, round(mn, 6) AS forecast_notificacoes FROM e, (SELECT unnest(range(1, 5)) AS k)""")
 def forecast_ewma(spark, sf_dir):
     """O134."""
-    return rounded(predict.forecast_ewma(aggregates.weekly(b.exams(spark, sf_dir))))
+    return rounded(predict.forecast_ewma(panel_of(spark, sf_dir)))
+
+
+_STATE_RATES = f"""st AS (SELECT target, epi_year, epi_week, sum(tests)::DOUBLE AS tests, sum(positives) / sum(tests)::DOUBLE AS positividade, sum(positives) * 1e5 / nullif(sum(populacao), 0) AS incidencia_100k, sum(notificacoes) * 1e5 / nullif(sum(populacao), 0) AS notificacoes_100k, sum(obitos) * 1e5 / nullif(sum(populacao), 0) AS mortalidade_100k FROM panel GROUP BY ALL),
+mt AS ({" UNION ALL ".join(f"SELECT target, '{c}' AS indicador, epi_year, epi_week, {c} AS v FROM st" for c in predict.STATE)})"""
+
+
+def _steps_sql(horizon: int = 4) -> str:
+    """One CTE a step: the median of the last eight and of the steps so far, mixed with that of the same week."""
+    out, before = [], "t"
+    for k in range(1, horizon + 1):
+        s, r = f"(SELECT median(v) FROM mt WHERE mt.target = q.target AND mt.indicador = q.indicador AND mt.epi_week = (q.w - 1 + {k}) % 53 + 1)", f"list_aggregate({before}, 'median')"
+        out.append(f"f{k}a AS (SELECT q.*, {s} AS s{k}, {r} AS r{k} FROM f{k - 1} q), f{k} AS (SELECT *, coalesce(0.6::DOUBLE * r{k} + 0.4::DOUBLE * s{k}, r{k}, s{k}) AS p{k} FROM f{k}a)")
+        before = f"list_concat(t, [{', '.join(f'p{i}' for i in range(1, k + 1))}])"
+    return ", ".join(out)
+
+
+@query(f"""WITH {PANEL}, {_STATE_RATES}, l AS (SELECT *, row_number() OVER (PARTITION BY target, indicador ORDER BY epi_year DESC, epi_week DESC) AS r FROM mt),
+f0 AS (SELECT target, indicador, list(v) FILTER (r <= 8) AS t, max(epi_year) FILTER (r = 1) AS y, max(epi_week) FILTER (r = 1) AS w FROM l GROUP BY ALL HAVING count(*) >= 12), {_steps_sql()},
+u AS ({" UNION ALL ".join(f"SELECT target, indicador, {k}::BIGINT AS forecast_step, CAST(y + floor((w - 1 + {k}) / 53) AS BIGINT) AS forecast_epi_year, (w - 1 + {k}) % 53 + 1 AS forecast_epi_week, p{k} AS p FROM f4" for k in range(1, 5))})
+SELECT target, forecast_step, forecast_epi_year, forecast_epi_week, {", ".join(f"round(max(p) FILTER (indicador = '{c}'), 6) AS forecast_{c}" for c in predict.STATE)} FROM u GROUP BY ALL""")
+def forecast_statewide(spark, sf_dir):
+    """O71, O132."""
+    return rounded(predict.forecast_statewide(panel_of(spark, sf_dir)))
 
 
 _W = "PARTITION BY target, municipio ORDER BY epi_year, epi_week"
@@ -437,12 +461,18 @@ def gradient_boosting(spark, sf_dir):
 _SPEAR = "(rank() OVER (PARTITION BY {k} ORDER BY {c}) + (count(*) OVER (PARTITION BY {k}, {c}) - 1) / 2.0::DOUBLE)"
 
 
-@query(f"""WITH {RISK}, t AS (SELECT target, populacao::DOUBLE AS x, positividade AS y FROM scored WHERE populacao IS NOT NULL AND positividade IS NOT NULL), r AS (SELECT target, {_SPEAR.format(k="target", c="x")} AS rx, {_SPEAR.format(k="target", c="y")} AS ry FROM t)
-SELECT target, count(*) AS n, round(corr(rx, ry), 6) AS rho FROM r GROUP BY 1 HAVING count(*) >= 20""")
+_CLIMATE_VARS = ["temperature_2m_max", "n_eventos_climaticos", "severidade_media"]
+
+
+@query(f"""WITH {PANEL}, {b.READING}, wc AS (SELECT n_name AS municipio, epi_week, avg(value) AS temperature_2m_max, count(DISTINCT event_id) AS n_eventos_climaticos, avg(severidade) AS severidade_media FROM reading JOIN nation USING (n_nationkey) GROUP BY ALL), pc AS (SELECT panel.*, wc.* EXCLUDE (municipio, epi_week) FROM panel JOIN wc USING (municipio, epi_week)),
+t AS ({" UNION ALL ".join(f"SELECT target, '{x}' AS climate_var, '{y}' AS indicador, {x}::DOUBLE AS x, {y}::DOUBLE AS y FROM pc" for x in _CLIMATE_VARS for y in predict.STATE)}), c AS (SELECT target, climate_var, indicador, count(*) AS n_obs FROM t WHERE x IS NOT NULL GROUP BY ALL HAVING count(*) >= 20),
+r AS (SELECT *, {_SPEAR.format(k="target, climate_var, indicador", c="x")} AS rx, {_SPEAR.format(k="target, climate_var, indicador", c="y")} AS ry FROM t WHERE x IS NOT NULL AND y IS NOT NULL),
+k AS (SELECT target, climate_var, indicador, CASE WHEN max(rx) > min(rx) AND max(ry) > min(ry) THEN corr(rx, ry) END AS rho FROM r GROUP BY ALL HAVING count(*) > 10)
+SELECT target, climate_var, max(n_obs) AS n_obs, {", ".join(f"round(max(rho) FILTER (indicador = '{y}'), 6) AS spearman_{y}" for y in predict.STATE)} FROM c LEFT JOIN k USING (target, climate_var, indicador) GROUP BY ALL""")
 def climate_association(spark, sf_dir):
-    """Spearman's coefficient by target (population stands in for the weather, whose year has no exams)."""
-    tall = scored_of(spark, sf_dir).select("target", F.col("populacao").cast("double").alias("x"), F.col("positividade").alias("y"))
-    return rounded(predict.rank_correlation(tall, ["target"]))
+    """O83. The weather at hand is of a year without exams: a town's weather in the same week of the year stands for it."""
+    weather = b.readings(spark, sf_dir).join(b.towns(spark, sf_dir), "n_nationkey").groupBy("municipio", "epi_week").agg(F.avg("value").alias("temperature_2m_max"), F.countDistinct("event_id").alias("n_eventos_climaticos"), F.avg("severidade").alias("severidade_media"))
+    return rounded(predict.climate_association(panel_of(spark, sf_dir).join(weather, ["municipio", "epi_week"]), _CLIMATE_VARS))
 
 
 @query(f"""WITH {RISK}, w AS (SELECT target, {", ".join(f"lag(notificacoes_mun_semana, {k}) OVER ({_W}) AS x{k}" if k else "notificacoes_mun_semana AS x0" for k in range(5))}, tests, positividade FROM scored),
