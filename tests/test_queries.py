@@ -111,6 +111,28 @@ def test_a_constant_has_no_rank_correlation(spark):
     assert abs(r["spearman_positividade"] - 1) < 1e-9 and abs(r["spearman_mortalidade_100k"] + 1) < 1e-9
 
 
+def test_cases_of_a_surveillance_table(spark):
+    """Filters, respelling, equal evidence once, texts in the order seen, the commonest disease, null keys."""
+    names = "record_id long, field_index long, requisicao string, codigo_amostra string, event_date string, municipio string, target string, agravo string, exame string, metodologia string, field_label string, field_value string, field_has_real_value boolean, is_released boolean, is_positive_like boolean, measure_role string"
+    row = lambda i, f, sample="s1", target="dengue", agravo="DENGUE", exame="Dengue, NS1", method="Teste", value="Reagente", real=True, out=True, pos=True, role="qualitative_result", town="A": (i, f, "r1", sample, "2024-12-30", town, target, agravo, exame, method, "Resultado", value, real, out, pos, role)
+    rows = [
+        row(1, 2), row(1, 1, exame="Dengue, IgM", agravo="ZIKA"), row(1, 3), row(1, 4, exame="Dengue, IgM", value="Detectável"), row(2, 1, sample="s2", exame="Dengue, IgG"),
+        row(3, 1, real=False), row(3, 2, out=False), row(3, 3, pos=False), row(3, 4, role="observation"), row(3, 5, target="covid"), row(4, 1, sample=None, town=None, method="IgM", exame=" "), row(5, 1, sample=None, town=None, method="IgM", exame=" "),
+    ]
+    positives = aggregates.arboviral_positives(spark.createDataFrame(rows, names).withColumn("event_date", F.col("event_date").cast("date")))
+    got = {r["codigo_amostra"]: r for r in aggregates.cases(aggregates.evidence(positives, False)).collect()}
+    assert set(got) == {"s1", "s2", None}
+    s1, s2, none = got["s1"], got["s2"], got[None]
+    assert s1["agravo"] == "DENGUE" and s1["exames"] == "Dengue, IgM | Dengue, NS1" and s1["evidencias"] == "Reagente | Detectável" and s1["n_evidencias"] == 3
+    assert (s1["tipo_caso"], s2["tipo_caso"], none["tipo_caso"]) == ("confirmatorio_agudo", "exposicao_previa", "provavel_agudo")
+    assert (s1["ano"], s1["mes"], s1["epi_year"], s1["epi_week"], none["n_evidencias"], none["exames"]) == (2024, 12, 2025, 1, 1, "")
+    counts = {r["dataset"]: r["linhas"] for r in aggregates.case_control(positives).collect()}
+    assert counts == {"todos_filtrado": 5, "todos_casos": 3, "agudos_filtrado": 4, "agudos_casos": 2}
+    sums = {(r["resumo"], r["municipio"], r["casos_positivos"]) for r in aggregates.case_summary(aggregates.cases(aggregates.evidence(positives))).collect()}
+    assert sums == {("ano", None, 2), ("semana_municipio", "A", 1), ("semana_municipio", None, 1)}
+    assert aggregates.cases(aggregates.evidence(positives.limit(0))).count() == 0
+
+
 def test_early_alerts_by_loop(spark):
     weekly = aggregates.weekly(b.exams(spark, SMALL)).withColumn("positividade", F.when(F.col("tests") >= 2, F.col("positives") / F.col("tests")))
     got = [r.asDict() for r in panel.early_alerts(weekly, 2).collect()]

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import weeks
 from ..functions.measures import poisson, ratio, wilson
+from ..functions.rules import arbovirus_evidence
+from .normalise import arboviral, distinct_evidence
 
 SERIES = ["target", "municipio"]
 CELL = ["target", "municipio", "epi_year", "epi_week"]
@@ -127,22 +130,53 @@ def period(panel: DataFrame, keys: list[str]) -> DataFrame:
         rate("tests", "semanas").alias("media_semanal_tests"), rate("notificacoes", "semanas").alias("media_semanal_notificacoes"))
 
 
-def text_mode(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """The most frequent text of a group, of equals the first in order."""
-    counted = rows.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
-    best = F.min(F.struct((-F.col("_n")).alias("n"), F.col(column).alias("v"))).alias("_best")
-    return counted.groupBy(*keys).agg(best).select(*keys, F.col("_best.v").alias(column))
+ACUTE = ["aguda_confirmatoria", "aguda_provavel"]
+CASE = ["requisicao", "codigo_amostra", "event_date", "municipio", "target"]
 
 
-def cases(exams: DataFrame) -> DataFrame:
-    """One row for each case (town, target, day): evidence in order, its count, the commonest exam, the type of case."""
-    keys = ["municipio", "target", "event_date"]
-    evidence = exams.where(F.col("outcome") == "positive")
-    listed = evidence.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_evidencias"), F.array_join(F.array_sort(F.collect_set("exame")), " ; ").alias("exames"), F.countDistinct("record_id").alias("n_registros"))
-    usual = text_mode(evidence, keys, "exame").withColumnRenamed("exame", "exame_principal")
-    kind = F.when(F.col("n_registros") > 1, "surto").when(F.col("n_evidencias") > 1, "confirmado").otherwise("unico")
-    return listed.join(usual, keys).withColumn("tipo_caso", kind)
+def arboviral_positives(rows: DataFrame, targets: tuple[str, ...] = ("dengue", "zika", "chikungunya")) -> DataFrame:
+    """Released rows with a real value in a result field that reads positive, of the arboviruses; of equal ones the first field stays."""
+    kept = rows.where(F.col("target").isin(*targets) & F.col("is_released") & F.col("field_has_real_value") & F.col("is_positive_like") & F.col("measure_role").isin("qualitative_result", "site_result"))
+    classed = kept.withColumn("classe_positividade", arbovirus_evidence(F.col("exame"), F.col("metodologia")))
+    return distinct_evidence(classed, ["record_id", "target", "exame", "metodologia", "field_label", "field_value", "classe_positividade"], ["field_index", "codigo_amostra"])
+
+
+def evidence(positives: DataFrame, acute_only: bool = True) -> DataFrame:
+    """Rows of an arbovirus, spelt alike, acute ones if asked; of equal evidence the first stays. Null keys are alike."""
+    rows = arboviral(positives).drop("evidencia")
+    rows = rows.where(F.col("classe_positividade").isin(*ACUTE)) if acute_only else rows
+    return distinct_evidence(rows, [*CASE, "exame", "metodologia", "classe_positividade", "field_value"], ["record_id", "field_index"])
+
+
+def cases(rows: DataFrame) -> DataFrame:
+    """One row for each request, sample, day, town and target of ``evidence``: its commonest disease (of equals the first in order), its texts in
+    the order in which they are first seen, the number of its values, the type of case, and its date's parts.
+
+    A sample has few fields, so that its list is short."""
+    texts = {"exames": "exame", "metodologias": "metodologia", "classes_positividade": "classe_positividade", "evidencias": "field_value"}
+    listed = F.array_sort(F.collect_list(F.struct("record_id", "field_index", *[F.trim(c).alias(n) for n, c in texts.items()]))).alias("_l")
+    usual = F.coalesce(F.mode(F.when(F.trim("agravo") != "", F.trim("agravo")), True), F.lit("")).alias("agravo")
+    found = rows.groupBy(*CASE).agg(usual, F.count("field_value").alias("n_evidencias"), listed)
+    joined = lambda n: F.array_join(F.array_distinct(F.filter(F.col("_l").getField(n), lambda v: v.isNotNull() & (v != ""))), " | ").alias(n)
+    out = found.select(*CASE, "agravo", "n_evidencias", *[joined(n) for n in texts])
+    kind = F.when(F.col("classes_positividade").contains(ACUTE[0]), "confirmatorio_agudo").when(F.col("classes_positividade").contains(ACUTE[1]), "provavel_agudo").otherwise("exposicao_previa")
+    d = F.col("event_date")
+    return out.select("*", kind.alias("tipo_caso"), F.year(d).cast("long").alias("ano"), F.month(d).cast("long").alias("mes"), weeks.epi_year(d).alias("epi_year"), weeks.epi_week(d).alias("epi_week"))
+
+
+def case_summary(acute: DataFrame) -> DataFrame:
+    """Acute cases by year and target, and by week, town and target, from one pass of grouping sets."""
+    sets = acute.groupingSets([["ano", "target"], ["epi_year", "epi_week", "municipio", "target"]], "ano", "epi_year", "epi_week", "municipio", "target").agg(F.grouping("ano").alias("_by_week"), F.count(F.lit(1)).alias("casos_positivos"))
+    return sets.select(F.when(F.col("_by_week") == 1, "semana_municipio").otherwise("ano").alias("resumo"), "ano", "epi_year", "epi_week", "municipio", "target", "casos_positivos")
+
+
+def case_control(positives: DataFrame) -> DataFrame:
+    """Rows and cases of all and of acute evidence: four counts."""
+    parts = []
+    for name, acute in (("todos", False), ("agudos", True)):
+        rows = evidence(positives, acute)
+        parts += [rows.agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(f"{name}_filtrado").alias("dataset"), "linhas"), cases(rows).agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(f"{name}_casos").alias("dataset"), "linhas")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
 def demographic(exams: DataFrame, attributes: list[str]) -> DataFrame:

@@ -49,6 +49,26 @@ def exams(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The arbovirus that a part type stands for, and the method by the supplier's number modulo four.
+ARBOVIRUSES = [("promo", "dengue"), ("economy", "zika"), ("standard", "chikungunya")]
+METHODS = ["RT-PCR em tempo real", "Enzimaimunoensaio IgM", "IgG", "Teste rápido"]
+
+
+def result_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as fields of long results: an order is the request, its open and its closed lines two samples of the order's day, the supplier's
+    number the method, the return flag the value, which is positive but for 'A'."""
+    line = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity")
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
+    asked = requests(spark, sf_dir).select("o_orderkey", "municipio", "o_orderdate", "o_orderpriority")
+    method = F.element_at(F.array(*[F.lit(m) for m in METHODS]), (F.col("l_suppkey") % 4 + 1).cast("int"))
+    return line.join(part, line.l_partkey == part.p_partkey).join(asked, line.l_orderkey == asked.o_orderkey).select(
+        F.col("l_orderkey").alias("record_id"), F.col("l_linenumber").cast("long").alias("field_index"), F.col("l_orderkey").alias("requisicao"), F.concat("l_orderkey", F.lit("-"), "l_linestatus").alias("codigo_amostra"),
+        F.col("o_orderdate").cast("date").alias("event_date"), "municipio", first_match(F.lower("p_type"), ARBOVIRUSES, F.lit("outro")).alias("target"), F.col("o_orderpriority").alias("agravo"), F.col("p_brand").alias("exame"), method.alias("metodologia"),
+        F.lit("resultado").alias("field_label"), F.concat(F.lit("reagente "), "l_returnflag").alias("field_value"), (F.col("l_quantity") > 5).alias("field_has_real_value"), (F.col("l_quantity") < 48).alias("is_released"),
+        (F.col("l_returnflag") != "A").alias("is_positive_like"), F.when(F.col("l_linenumber") == 7, "observation").otherwise("qualitative_result").alias("measure_role"),
+    )
+
+
 def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("o_orderdate").cast("date")
     return requests(spark, sf_dir).select("municipio", F.col("o_orderpriority").alias("agravo"), d.alias("event_date"), weeks.epi_year(d).alias("epi_year"), weeks.epi_week(d).alias("epi_week"), "o_orderstatus", (F.col("o_orderstatus") == "F").alias("encerrado"), "o_totalprice", "c_nationkey", "o_custkey")
@@ -112,6 +132,14 @@ EXAM = """exam AS (
     isoyear(l_shipdate) AS epi_year, week(l_shipdate) AS epi_week, l_quantity
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+_ARBO = "CASE " + " ".join(f"WHEN lower(p_type) LIKE '%{t}%' THEN '{d}'" for t, d in ARBOVIRUSES) + " END"
+ARBO_POSITIVE = f"""pos0 AS (
+  SELECT l_orderkey AS record_id, CAST(l_linenumber AS BIGINT) AS field_index, l_orderkey AS requisicao, l_orderkey || '-' || l_linestatus AS codigo_amostra, CAST(o_orderdate AS DATE) AS event_date, n_name AS municipio, {_ARBO} AS target,
+    o_orderpriority AS agravo, p_brand AS exame, {METHODS}[l_suppkey % 4 + 1] AS metodologia, 'reagente ' || l_returnflag AS field_value,
+    ['aguda_confirmatoria', 'aguda_provavel', 'exposicao_previa', 'positivo_sem_classificacao'][l_suppkey % 4 + 1] AS classe_positividade
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  WHERE {_ARBO} IS NOT NULL AND l_quantity < 48 AND l_quantity > 5 AND l_returnflag <> 'A' AND l_linenumber <> 7),
+pos AS (SELECT * FROM pos0 QUALIFY row_number() OVER (PARTITION BY record_id, target, exame, metodologia, field_value, classe_positividade ORDER BY field_index, codigo_amostra) = 1)"""
 NOTIF = """notif AS (
   SELECT n_name AS municipio, o_orderpriority AS agravo, CAST(o_orderdate AS DATE) AS event_date, isoyear(o_orderdate) AS epi_year, week(o_orderdate) AS epi_week,
     o_orderstatus, o_totalprice, c_nationkey, o_custkey

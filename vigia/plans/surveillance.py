@@ -52,14 +52,44 @@ def statewide(spark, sf_dir):
     return rounded(aggregates.statewide(aggregates.weekly(b.exams(spark, sf_dir))))
 
 
-@query(f"""WITH {b.EXAM}, e AS (SELECT * FROM exam WHERE outcome = 'positive'),
-n AS (SELECT municipio, target, event_date, exame, count(*) AS k FROM e GROUP BY 1, 2, 3, 4), u AS (SELECT *, row_number() OVER (PARTITION BY municipio, target, event_date ORDER BY k DESC, exame) AS r FROM n)
-SELECT e.municipio, e.target, CAST(e.event_date AS VARCHAR) AS event_date, count(*) AS n_evidencias, string_agg(DISTINCT e.exame, ' ; ' ORDER BY e.exame) AS exames, count(DISTINCT record_id) AS n_registros, any_value(u.exame) AS exame_principal,
-  CASE WHEN count(DISTINCT record_id) > 1 THEN 'surto' WHEN count(*) > 1 THEN 'confirmado' ELSE 'unico' END AS tipo_caso
-FROM e JOIN u ON e.municipio = u.municipio AND e.target = u.target AND e.event_date = u.event_date AND u.r = 1 GROUP BY 1, 2, 3""")
+_CASE = ", ".join(aggregates.CASE)
+
+
+def _cases_sql(name: str, where: str) -> str:
+    """CTEs ``name``_ev (evidence) and ``name`` (cases); a text counts where it is first seen."""
+    texts = {"exames": "exame", "metodologias": "metodologia", "classes_positividade": "classe_positividade", "evidencias": "field_value"}
+    order = f"record_id, field_index, {', '.join(texts.values())}"
+    lists = ", ".join(f"list(trim({c}) ORDER BY {order}) AS l_{n}" for n, c in texts.items())
+    joined = ", ".join(f"array_to_string(list_filter(l_{n}, lambda v, i: list_position(l_{n}, v) = i), ' | ') AS {n}" for n in texts)
+    return f"""{name}_ev AS (SELECT * FROM pos WHERE {where} QUALIFY row_number() OVER (PARTITION BY {_CASE}, {', '.join(texts.values())} ORDER BY record_id, field_index) = 1),
+{name}_l AS (SELECT {_CASE}, mode(agravo) AS agravo, count(field_value) AS n_evidencias, {lists} FROM {name}_ev GROUP BY {_CASE}), {name}_j AS (SELECT {_CASE}, agravo, n_evidencias, {joined} FROM {name}_l),
+{name} AS (SELECT *, CASE WHEN classes_positividade LIKE '%aguda_confirmatoria%' THEN 'confirmatorio_agudo' WHEN classes_positividade LIKE '%aguda_provavel%' THEN 'provavel_agudo' ELSE 'exposicao_previa' END AS tipo_caso,
+  year(event_date) AS ano, month(event_date) AS mes, isoyear(event_date) AS epi_year, week(event_date) AS epi_week FROM {name}_j)"""
+
+
+_ACUTE = "classe_positividade IN ('aguda_confirmatoria', 'aguda_provavel')"
+
+
+def positives_of(spark, sf_dir):
+    return aggregates.arboviral_positives(b.result_fields(spark, sf_dir))
+
+
+@query(f"WITH {b.ARBO_POSITIVE}, {_cases_sql('cs', 'true')} SELECT * REPLACE (CAST(event_date AS VARCHAR) AS event_date) FROM cs")
 def case_consolidation(spark, sf_dir):
-    """O47, O72, O73."""
-    return aggregates.cases(b.exams(spark, sf_dir)).withColumn("event_date", F.col("event_date").cast("string"))
+    """Every case."""
+    return aggregates.cases(aggregates.evidence(positives_of(spark, sf_dir), False)).withColumn("event_date", F.col("event_date").cast("string"))
+
+
+@query(f"WITH {b.ARBO_POSITIVE}, {_cases_sql('cs', _ACUTE)} SELECT CASE WHEN grouping(ano) = 1 THEN 'semana_municipio' ELSE 'ano' END AS resumo, ano, epi_year, epi_week, municipio, target, count(*) AS casos_positivos FROM cs GROUP BY GROUPING SETS ((ano, target), (epi_year, epi_week, municipio, target))")
+def case_summary(spark, sf_dir):
+    """Acute cases by year, and by week and town."""
+    return aggregates.case_summary(aggregates.cases(aggregates.evidence(positives_of(spark, sf_dir))))
+
+
+@query(f"WITH {b.ARBO_POSITIVE}, {_cases_sql('ct', 'true')}, {_cases_sql('ca', _ACUTE)} SELECT 'todos_filtrado' AS dataset, count(*) AS linhas FROM ct_ev UNION ALL SELECT 'todos_casos', count(*) FROM ct UNION ALL SELECT 'agudos_filtrado', count(*) FROM ca_ev UNION ALL SELECT 'agudos_casos', count(*) FROM ca")
+def case_control(spark, sf_dir):
+    """The control counts."""
+    return aggregates.case_control(positives_of(spark, sf_dir))
 
 
 @query(f"WITH {b.READING} SELECT n_nationkey, epi_year, epi_week, round(avg(value), 6) AS valor_medio, count(DISTINCT event_id) AS n_eventos, max(severidade) AS severidade_max FROM reading GROUP BY ALL")
