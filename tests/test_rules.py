@@ -139,3 +139,26 @@ def test_pieces_that_no_query_uses(spark):
     assert known.count() == 1
     context = predict.with_context(spark.createDataFrame([("A",), ("B",)], "municipio string"), quality=spark.createDataFrame([("A", 0.9, True)], "municipio string, confianca_dado double, gap_sinan_sem_exame boolean"))
     assert {tuple(r) for r in context.select("municipio", "confianca_dado", "gap_sinan_sem_exame", "vizinhos_em_alerta").collect()} == {("A", 0.9, 1, 0), ("B", 0.5, 0, 0)}
+
+
+def test_queue_with_predictions(spark):
+    alerts = spark.createDataFrame([("a", "x", "alta", "ALTO", 3), ("b", "x", None, "CRÍTICO", 4), ("c", "x", "-", "MODERADO", 2), ("d", "y", "alta", "ALTO", 3)], "municipio string, target string, cenario_operacional string, prioridade string, prioridade_score int")
+    risk = spark.createDataFrame([("a", "alerta", 2.345), ("c", "atencao", 1.0), ("e", "habitual", 0.1)], "municipio string, faixa_risco string, score_risco_territorial double")
+    silent = spark.createDataFrame([("f", "silencio_provavel", 0, 0, 3.0, 2, True), ("g", "silencio_critico", 0, 4, 5.0, 0, False), ("h", "baixo_uso", 1, 9, 1.0, 0, False)], "municipio string, classificacao_silencio string, tests_recent long, notif_recent long, score_silencio double, vizinhos_em_alerta long, silencio_com_vizinho_alerta boolean")
+    queue = period.action_queue(alerts, risk, silent)
+    got = {(r["municipio"], r["sinal"]): (r["prioridade"], r["motivo"]) for r in queue.collect()}
+    assert got == {
+        ("a", "alerta_laboratorial"): ("ALTO", "alta"), ("b", "alerta_laboratorial"): ("CRÍTICO", "Prioridade CRÍTICO"), ("d", "alerta_laboratorial"): ("ALTO", "alta"), ("a", "risco_territorial"): ("ALTO", "Faixa alerta | score 2.35"),
+        ("c", "risco_territorial"): ("MODERADO", "Faixa atencao | score 1.00"), ("f", "silencio_laboratorial"): ("CRÍTICO", "silencio_provavel | exames recentes=0 | notif=0 | vizinhos em alerta=2"), ("g", "silencio_laboratorial"): ("CRÍTICO", "silencio_critico | exames recentes=0 | notif=4"),
+    }
+    assert [r["municipio"] for r in period.action_queue(alerts, risk, silent, 3).orderBy(F.desc("score")).collect()] == ["g", "b", "f"]
+    told = spark.createDataFrame([("a", 0.2, "Baixo"), ("a", 0.6, "Alto"), ("c", 0.9, "Crítico"), ("d", 0.1, "Crítico")], "municipio string, prob double, banda_risco string")
+    quiet, press = spark.createDataFrame([("g", 0.5), ("f", 0.7)], "municipio string, prob double"), spark.createDataFrame([("d", 0.4), ("b", 0.3)], "municipio string, prob double")
+    out = {(r["municipio"], r["sinal"]): r for r in period.reinforced(queue, told, quiet, press).collect()}
+    assert {k: (r["prioridade"], r["alerta_hibrido"]) for k, r in out.items()} == {
+        ("a", "alerta_laboratorial"): ("CRÍTICO", True), ("b", "alerta_laboratorial"): ("CRÍTICO", False), ("d", "alerta_laboratorial"): ("CRÍTICO", False), ("a", "risco_territorial"): ("CRÍTICO", True), ("c", "risco_territorial"): ("MODERADO", False),
+        ("f", "silencio_laboratorial"): ("CRÍTICO", True), ("g", "silencio_laboratorial"): ("CRÍTICO", False),
+    }
+    assert out["a", "alerta_laboratorial"]["motivo"] == "alta | ML confirma (prob=0.6)" and out["d", "alerta_laboratorial"]["motivo"] == "alta | Pressão predita (prob=0.4)"
+    watched = queue.limit(1).withColumn("prioridade", F.lit("MONITORAMENTO"))
+    assert [r["prioridade"] for r in period.reinforced(watched, pressure=watched.select("municipio", F.lit(0.5).alias("prob"))).collect()] == ["MODERADO"]

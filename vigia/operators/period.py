@@ -162,6 +162,58 @@ def queue(signals: list[DataFrame], top: int = 20, each: int = 15) -> DataFrame:
     return with_protocol(first)
 
 
+_QUEUE = ["municipio", "target", "sinal", "motivo", "prioridade", "score"]
+
+
+def action_queue(alerts: DataFrame, risk: DataFrame, silent: DataFrame, top: int = 20, towns: int = 10) -> DataFrame:
+    """O126: what is to be done first: urgent rows of ``scenario``, towns by territorial risk and silent towns, the best of each, by priority and score;
+    of equal (town, signal, target) the first stays. Lists of ``top`` and ``towns`` rows are what the operator is for."""
+    rank = F.element_at(F.create_map(*[F.lit(x) for pair in PRIORITIES.items() for x in pair]), F.col("prioridade"))
+    near = F.coalesce("silencio_com_vizinho_alerta", F.lit(False)) if "silencio_com_vizinho_alerta" in silent.columns else F.lit(False)
+    band, kind = F.col("faixa_risco"), F.col("classificacao_silencio")
+    said = F.concat(kind, F.lit(" | exames recentes="), F.col("tests_recent").cast("long"), F.lit(" | notif="), F.col("notif_recent").cast("long"))
+    if "vizinhos_em_alerta" in silent.columns:
+        said = F.when(near, F.concat(said, F.lit(" | vizinhos em alerta="), F.col("vizinhos_em_alerta").cast("long"))).otherwise(said)
+    shape = lambda rows, target, sign, why, level, score, first: rows.select("municipio", target.alias("target"), F.lit(sign).alias("sinal"), why.alias("motivo"), level.alias("prioridade"), F.col(score).cast("double").alias("score"), first.alias("_first"))
+    lists = [
+        (shape(alerts.where(F.col("prioridade").isin("CRÍTICO", "ALTO")), F.col("target"), "alerta_laboratorial", F.coalesce("cenario_operacional", F.concat(F.lit("Prioridade "), "prioridade")), F.col("prioridade"), "prioridade_score", F.lit(False)), top),
+        (shape(risk.where(band.isin("atencao", "alerta", "alto_alerta")), F.lit(""), "risco_territorial", F.format_string("Faixa %s | score %.2f", band, F.coalesce("score_risco_territorial", F.lit(0.0))), F.when(band == "atencao", "MODERADO").otherwise("ALTO"), "score_risco_territorial", F.lit(False)), min(towns, top)),
+        (shape(silent.where(kind.isin("silencio_critico", "silencio_provavel")), F.lit(""), "silencio_laboratorial", said, F.when((kind == "silencio_critico") | near, "CRÍTICO").otherwise("ALTO"), "score_silencio", near), min(towns, top)),
+    ]
+    best = None
+    for rows, n in lists:
+        part = rows.orderBy(F.desc("_first"), F.desc("score"), "municipio", "target").limit(n).select(*_QUEUE)
+        best = part if best is None else best.unionByName(part)
+    order = [F.desc(rank), F.desc("score"), F.col("municipio"), F.col("target"), F.col("sinal")]
+    w = Window.partitionBy("municipio", "sinal", "target").orderBy(*order)
+    return with_protocol(best.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r").orderBy(*order).limit(top))
+
+
+def reinforced(queue: DataFrame, risk: DataFrame | None = None, silence: DataFrame | None = None, pressure: DataFrame | None = None, threshold: float = 0.55, pressure_threshold: float = 0.40) -> DataFrame:
+    """O126: rows of ``action_queue`` held against predictions (municipio, prob; ``risk`` may have ``banda_risco``): an urgent row whose town's highest
+    probability passes ``threshold`` is a hybrid alert and critical, as is a high one in the highest band; pressure lifts what is only watched.
+
+    Silence signals look at ``silence``, the others at ``risk``; a town without a prediction is left as it is."""
+    rows = queue
+    for name, side in (("_risk", risk), ("_silence", silence), ("prob_pressao_predita", pressure)):
+        if side is None:
+            rows = rows.withColumn(name, F.lit(None).cast("double"))
+        else:
+            rows = rows.join(side.groupBy("municipio").agg(F.max("prob").alias(name)), "municipio", "left")
+    if risk is not None and "banda_risco" in risk.columns:
+        rows = rows.join(risk.groupBy("municipio").agg(F.max_by("banda_risco", F.struct("prob", "banda_risco")).alias("_band")), "municipio", "left")
+    else:
+        rows = rows.withColumn("_band", F.lit(""))
+    rows = rows.withColumn("prob_ml", F.when(F.col("sinal").contains("silencio"), F.col("_silence")).otherwise(F.col("_risk")))
+    sure = lambda c, cut: F.coalesce(F.col(c) >= cut, F.lit(False))
+    rows = rows.withColumn("alerta_hibrido", F.col("prioridade").isin("CRÍTICO", "ALTO") & sure("prob_ml", threshold))
+    high, told = sure("prob_pressao_predita", pressure_threshold), lambda text, c: F.concat(F.lit(text), F.round(c, 2).cast("string"), F.lit(")"))
+    lifted = F.when((F.col("prioridade") == "ALTO") & (F.col("alerta_hibrido") | F.coalesce(F.col("_band") == "Crítico", F.lit(False))), "CRÍTICO").when(high & (F.col("prioridade") == "MONITORAMENTO"), "MODERADO").otherwise(F.col("prioridade"))
+    why = F.concat(
+        F.coalesce("motivo", F.lit("")), F.when(F.col("alerta_hibrido"), told(" | ML confirma (prob=", "prob_ml")).otherwise(""), F.when(high, told(" | Pressão predita (prob=", "prob_pressao_predita")).otherwise(""))
+    return rows.withColumns({"motivo": why, "prioridade": lifted}).drop("_risk", "_silence", "_band")
+
+
 def with_protocol(rows: DataFrame, band: Column | None = None, use: Column | None = None) -> DataFrame:
     """O116: who is to act, by when, and how."""
     key = protocol_key(F.col("sinal"), band if band is not None else F.lit(""), use if use is not None else F.lit(""), F.col("target"))

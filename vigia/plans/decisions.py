@@ -10,7 +10,7 @@ from ..sources import tables
 from ..streaming import weekly as stream
 from . import bindings as b
 from .registry import query
-from .surveillance import _ALERT, _NET, EDGES, NETWORK, PANEL, RISK, TOWN_TARGET, alerts_of, edges_of, network_of, panel_of, rounded, scored_of
+from .surveillance import _ALERT, _LAST8, _NET, EDGES, NETWORK, PANEL, RISK, SILENCE, TERRITORY, TOWN_TARGET, alerts_of, edges_of, network_of, panel_of, rounded, scored_of, universe_of
 
 _PRESSURE = f"""{NETWORK}, p95 AS (SELECT greatest(quantile_cont(exames, 0.95), 1) AS p95 FROM network),
 pr AS (SELECT network.*, round(greatest(least(100 * (0.30::DOUBLE * greatest(least(exames / p95::DOUBLE, 1), 0) + 0.30::DOUBLE * least(backlog_estimado / greatest(exames, 1)::DOUBLE, 1) + 0.25::DOUBLE * least(coalesce(tat_p90_dias, 14) / 14::DOUBLE, 2) / 2 + 0.15::DOUBLE * least(coalesce(pct_rejeitado, 0) / 0.05::DOUBLE, 2) / 2), 100), 0), 2) AS indice_pressao_rede FROM network, p95),
@@ -484,6 +484,26 @@ def lagged_association(spark, sf_dir):
     return rounded(predict.rank_correlation(predict.lagged(scored_of(spark, sf_dir), "notificacoes_mun_semana", ["tests", "positividade"], ["target"]), keys, 12))
 
 
+_URGENT = "CASE prioridade WHEN 'CRÍTICO' THEN 4 WHEN 'ALTO' THEN 3 WHEN 'MODERADO' THEN 2 ELSE 1 END"
+
+
+@query(f"""WITH {_LOGIT}, {_SCEN.removeprefix(RISK + ', ')}, {TERRITORY.removeprefix(RISK + ', ')}, {SILENCE.removeprefix(RISK + ', ' + _LAST8 + ', ')},
+q1 AS (SELECT municipio, target, 'alerta_laboratorial' AS sinal, cenario_operacional AS motivo, prioridade, {_URGENT}::DOUBLE AS score FROM sc WHERE prioridade IN ('CRÍTICO', 'ALTO') ORDER BY score DESC, municipio, target LIMIT 20),
+q2 AS (SELECT municipio, '' AS target, 'risco_territorial' AS sinal, printf('Faixa %s | score %.2f', faixa_risco, score_risco_territorial) AS motivo, CASE faixa_risco WHEN 'atencao' THEN 'MODERADO' ELSE 'ALTO' END AS prioridade, score_risco_territorial AS score FROM t2 WHERE faixa_risco <> 'habitual' ORDER BY score DESC, municipio LIMIT 10),
+q3 AS (SELECT municipio, '' AS target, 'silencio_laboratorial' AS sinal, classificacao_silencio || ' | exames recentes=' || tests_recent || ' | notif=' || notif_recent AS motivo, CASE classificacao_silencio WHEN 'silencio_critico' THEN 'CRÍTICO' ELSE 'ALTO' END AS prioridade, score_silencio AS score FROM s1 WHERE classificacao_silencio IN ('silencio_critico', 'silencio_provavel') ORDER BY score DESC, municipio LIMIT 10),
+qa AS (SELECT * FROM (SELECT * FROM q1 UNION ALL SELECT * FROM q2 UNION ALL SELECT * FROM q3) ORDER BY {_URGENT} DESC, score DESC, municipio, target, sinal LIMIT 20),
+pm AS (SELECT municipio, max(prob) AS p FROM (SELECT * FROM lg QUALIFY row_number() OVER (PARTITION BY target, municipio ORDER BY epi_year DESC, epi_week DESC) = 1) GROUP BY 1),
+qb AS (SELECT qa.*, CASE WHEN sinal NOT LIKE '%silencio%' THEN p END AS prob_ml FROM qa LEFT JOIN pm USING (municipio)), qc AS (SELECT *, prioridade IN ('CRÍTICO', 'ALTO') AND coalesce(prob_ml >= 0.55, false) AS alerta_hibrido FROM qb)
+SELECT municipio, target, sinal, motivo || CASE WHEN alerta_hibrido THEN ' | ML confirma (prob=' || round(prob_ml, 2) || ')' ELSE '' END AS motivo, CASE WHEN prioridade = 'ALTO' AND alerta_hibrido THEN 'CRÍTICO' ELSE prioridade END AS prioridade, round(score, 6) AS score, prob_ml, alerta_hibrido FROM qc""")
+def action_queue(spark, sf_dir):
+    """O104, O126: the queue of a period, with the towns' latest risk scores; a list of twenty is what the operator is for."""
+    rows = scored_of(spark, sf_dir)
+    town_risk = territory.territorial_risk(territory.town_target(rows))
+    queue = period.action_queue(period.scenario(analysis_of(spark, sf_dir)), town_risk, territory.silence(universe_of(spark, sf_dir), rows))
+    told = predict.latest(logit_of(spark, sf_dir).select("target", "municipio", "epi_year", "epi_week", "prob"), ["target", "municipio"])
+    return rounded(period.reinforced(queue, told).select("municipio", "target", "sinal", "motivo", "prioridade", "score", "prob_ml", "alerta_hibrido"))
+
+
 _HIST = f"""{_LOGIT}, old AS (SELECT 'risco' AS tipo, municipio, target, epi_year, epi_week, prob, 1 AS v FROM lg WHERE prob >= 0.6), new AS (SELECT 'risco' AS tipo, municipio, target, epi_year, epi_week, round(prob - 0.05, 6) AS prob, 2 AS v FROM lg WHERE prob >= 0.5 AND prob < 0.75
   UNION ALL SELECT 'silencio', municipio, target, epi_year, epi_week, prob, 2 FROM lg WHERE y_silencio = 1 AND prob >= 0.5),
 hi AS (SELECT * FROM (SELECT * FROM old UNION ALL SELECT * FROM new) QUALIFY row_number() OVER (PARTITION BY tipo, municipio, target, epi_year, epi_week ORDER BY v DESC, prob DESC) = 1),
