@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_threads, decontamination, exact_dedup, html_text, language_id, ngram_join, quality, sentencepiece_codec, toxicity, url_filter
+from . import alignment, chat_threads, decontamination, exact_dedup, html_text, language_id, ngram_join, quality, sentencepiece_codec, toxicity, url_filter
 from .textops import table
 
 
@@ -50,8 +50,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(table(spark, sf_dir, "documents"), *alignment.default_paths())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_sentencepiece, op2_ngram_jaccard, op3_decontamination, op4_quality, op5_html_text, op6_chat_threads, op7_language_id, op8_toxicity, op9_exact_dedup, op10_url_filter)
+    ops = (op1_sentencepiece, op2_ngram_jaccard, op3_decontamination, op4_quality, op5_html_text, op6_chat_threads, op7_language_id, op8_toxicity, op9_exact_dedup, op10_url_filter, op11_token_alignment)
     return {f.__name__: f for f in ops}
 
 
