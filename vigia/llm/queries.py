@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, chat_threads, decontamination, exact_dedup, html_text, language_id, ngram_join, quality, sentencepiece_codec, toxicity, url_filter
+from . import alignment, chat_threads, decontamination, exact_dedup, html_text, language_id, merkle, ngram_join, quality, sentencepiece_codec, toxicity, url_filter
 from .textops import table
 
 
@@ -54,8 +54,12 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.digest(table(spark, sf_dir, "documents"), *alignment.default_paths())
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.FIELDS)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_sentencepiece, op2_ngram_jaccard, op3_decontamination, op4_quality, op5_html_text, op6_chat_threads, op7_language_id, op8_toxicity, op9_exact_dedup, op10_url_filter, op11_token_alignment)
+    ops = (op1_sentencepiece, op2_ngram_jaccard, op3_decontamination, op4_quality, op5_html_text, op6_chat_threads, op7_language_id, op8_toxicity, op9_exact_dedup, op10_url_filter, op11_token_alignment, op12_merkle_manifest)
     return {f.__name__: f for f in ops}
 
 
@@ -101,5 +105,34 @@ FROM d WINDOW w AS (PARTITION BY t)
 """
 
 
+_PART = "coalesce(strlen({0}) || ':' || {0}, '-')"
+_LEAF = "sha256(" + " || ".join(_PART.format(f"CAST({c} AS VARCHAR)") for c in ("doc_id", "source", "lang", "n_chars")) + " || {})"
+_RUNS = "list_transform(range(1, len(nodes) + 1, 3), lambda i: sha256(array_to_string(nodes[i:i+2], '')))"
+_SIDES = "array_to_string(nodes[i - i % 3 + 1:i], '') || '|' || array_to_string(nodes[i + 2:i - i % 3 + 3], '')"
+
+OP12_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, {_LEAF.format(_PART.format("text"))} AS leaf, {_LEAF.format(_PART.format("replace(text, chr(10), '')"))} AS other,
+         list_reduce(flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+                     lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END, CAST(4294967295 AS BIGINT)) & 1 = 1 AS chosen
+  FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos FROM d),
+t AS (SELECT source, 0 AS level, list(leaf ORDER BY doc_id) AS nodes FROM d GROUP BY source
+      UNION ALL SELECT source, level + 1, {_RUNS} FROM t WHERE len(nodes) > 1),
+tops AS (SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM t WHERE len(nodes) = 1),
+u AS (SELECT 0 AS level, list(subroot ORDER BY pos) AS nodes FROM tops UNION ALL SELECT level + 1, {_RUNS} FROM u WHERE len(nodes) > 1),
+w AS (
+  SELECT doc_id, level, {_SIDES} AS way FROM (SELECT doc_id, level, nodes, CAST(floor(pos / pow(3, level)) AS BIGINT) AS i FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source WHERE len(nodes) > 1)
+  UNION ALL
+  SELECT doc_id, 1000 + level, {_SIDES} FROM (SELECT doc_id, level, nodes, CAST(floor(tops.pos / pow(3, level)) AS BIGINT) AS i FROM p JOIN tops ON p.source IS NOT DISTINCT FROM tops.source, u WHERE len(nodes) > 1)),
+ways AS (SELECT doc_id, list(way ORDER BY level) AS way FROM w GROUP BY doc_id),
+f AS (
+  SELECT p.doc_id, leaf, subroot, (SELECT nodes[1] FROM u WHERE len(nodes) = 1) AS root, sha256(replace(array_to_string(coalesce(way, []), ''), '|', '')) AS proof_sha256,
+         list_reduce(coalesce(way, []), lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2)), CASE WHEN chosen THEN other ELSE leaf END) AS folded_root
+  FROM p JOIN tops ON p.source IS NOT DISTINCT FROM tops.source LEFT JOIN ways USING (doc_id))
+SELECT *, folded_root = root AS verified FROM f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_jaccard": OP2_SQL, "op3_decontamination": OP3_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op2_ngram_jaccard": OP2_SQL, "op3_decontamination": OP3_SQL, "op9_exact_dedup": OP9_SQL, "op12_merkle_manifest": OP12_SQL}
