@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, chat_threads, decontamination, exact_dedup, html_text, language_id, merkle, ngram_join, quality, sentencepiece_codec, toxicity, url_filter
+from . import alignment, chat_threads, decontamination, exact_dedup, html_text, language_id, merkle, ngram_join, quality, sentencepiece_codec, toxicity, url_filter, warc
 from .textops import table
 
 
@@ -58,8 +58,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"), merkle.FIELDS)
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_sentencepiece, op2_ngram_jaccard, op3_decontamination, op4_quality, op5_html_text, op6_chat_threads, op7_language_id, op8_toxicity, op9_exact_dedup, op10_url_filter, op11_token_alignment, op12_merkle_manifest)
+    ops = (op1_sentencepiece, op2_ngram_jaccard, op3_decontamination, op4_quality, op5_html_text, op6_chat_threads, op7_language_id, op8_toxicity, op9_exact_dedup, op10_url_filter, op11_token_alignment, op12_merkle_manifest, op13_warc)
     return {f.__name__: f for f in ops}
 
 
@@ -134,5 +138,14 @@ SELECT *, folded_root = root AS verified FROM f
 """
 
 
+OP13_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+m AS (SELECT *, strlen(h) AS n, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest, CASE WHEN n >= {warc.LEAST_PAYLOAD} AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= {warc.LEAST_PAYLOAD} AND page_id < last THEN last END AS refers_to, true AS intact
+FROM m
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_jaccard": OP2_SQL, "op3_decontamination": OP3_SQL, "op9_exact_dedup": OP9_SQL, "op12_merkle_manifest": OP12_SQL}
+    return {"op2_ngram_jaccard": OP2_SQL, "op3_decontamination": OP3_SQL, "op9_exact_dedup": OP9_SQL, "op12_merkle_manifest": OP12_SQL, "op13_warc": OP13_SQL}
