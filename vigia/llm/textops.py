@@ -203,16 +203,44 @@ def join_counted(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str, t
     return rows.join(hot.drop("_n"), keys, how).unionByName(rest)
 
 
-#: Numbers that keys are hashed to when rows are picked: what is broadcast is 8 bytes for each.
-PICKED = 1_000_000
+#: Bits of a filter for each key; bits of a block of it, all of one key being in one block; bits that a key sets.
+KEY_BITS, BLOCK_BITS, KEY_HASHES = 10, 1 << 15, 4
+#: Blocks of 4 KB that are broadcast together at most: 64 MB, for 50 million keys. More keys make more parts, not larger ones.
+PART_BLOCKS = 1 << 14
+
+
+def _block_bits(key: list[Column]) -> list[Column]:
+    """The places of a key in its block."""
+    h = F.xxhash64(F.lit(KEY_HASHES), *key)
+    return [F.shiftright(h, 15 * k).bitwiseAND(F.lit(BLOCK_BITS - 1)).cast("int") for k in range(KEY_HASHES)]
+
+
+def _filter(wanted: DataFrame, key: list[Column], blocks: int) -> DataFrame:
+    """A Bloom filter of the keys of ``wanted``: _block, _words (512 numbers of 64 bits). Bits are united before each shuffle."""
+    at = wanted.select(F.pmod(F.xxhash64(*key), F.lit(blocks)).alias("_block"), F.explode(F.array(*_block_bits(key))).alias("_bit"))
+    word = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bit").bitwiseAND(F.lit(63))))
+    words = at.groupBy("_block", F.shiftright("_bit", 6).alias("_at")).agg(word.alias("_word"))
+    whole = words.groupBy("_block").agg(F.map_from_entries(F.collect_list(F.struct("_at", "_word"))).alias("_known"))  # 512 at most
+    return whole.select("_block", F.transform(F.sequence(F.lit(0), F.lit(BLOCK_BITS // 64 - 1)), lambda k: F.coalesce(F.element_at("_known", k), F.lit(0).cast("long"))).alias("_words"))
 
 
 def picked(rows: DataFrame, key: list[Column], wanted: DataFrame, wanted_key: list[Column], how: str = "left_semi") -> DataFrame:
-    """The rows whose key may be among those of ``wanted``, judged by the hash of the key: all that are, and some that aren't
-    ('left_anti': the others). Nothing of ``rows`` is shuffled: at most ``PICKED`` numbers are broadcast, whatever the sizes."""
-    number = lambda columns: F.pmod(F.xxhash64(*columns), F.lit(PICKED)).alias("_number")
-    numbers = F.broadcast(wanted.select(number(wanted_key)).distinct())
-    return rows.join(numbers, number(key) == numbers["_number"], how)
+    """The rows whose key may be among those of ``wanted``, a written table: all that are, and about one in a hundred that aren't
+    ('left_anti': the others). Nothing of ``rows`` is shuffled. The filter has ten bits for each key of ``wanted``, whatever their number;
+    it is broadcast in parts of 64 MB at most, each with the rows whose key falls into it. A null counts as a key."""
+    blocks = max(1, -(-wanted.count() * KEY_BITS // BLOCK_BITS))
+    whole = _filter(wanted, wanted_key, blocks)
+    block, found = F.pmod(F.xxhash64(*key), F.lit(blocks)), None
+    for first in range(0, blocks, PART_BLOCKS):
+        inside = lambda b, first=first: (b >= first) & (b < first + PART_BLOCKS)
+        part = rows if blocks <= PART_BLOCKS else rows.where(inside(block))
+        held = F.broadcast(whole if blocks <= PART_BLOCKS else whole.where(inside(F.col("_block"))))
+        bits = [F.call_function("shiftright", F.element_at(held["_words"], F.shiftright(b, 6) + 1), b.bitwiseAND(F.lit(63))).bitwiseAND(F.lit(1)) == 1 for b in _block_bits(key)]
+        among = reduce(lambda a, b: a & b, [held["_words"].isNotNull(), *bits])
+        met = part.join(held, block == held["_block"], "left").where(among if how == "left_semi" else ~F.coalesce(among, F.lit(False)))
+        met = met.drop(held["_block"], held["_words"])
+        found = met if found is None else found.unionByName(met)
+    return found
 
 
 def without(docs: DataFrame, lost: DataFrame, key: list[Column], lost_key: list[Column], more: Column | None = None) -> DataFrame:
