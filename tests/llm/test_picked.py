@@ -35,3 +35,19 @@ def test_nothing_wanted(spark):
     assert textops.without(rows, none, [rows["id"]], [none["w"]]).count() == 10
     plan = textops.picked(rows, [rows["id"]], none, [none["w"]], "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(id" not in plan
+
+
+def test_rows_are_picked_before_they_are_shuffled(spark):
+    """With a join too large to broadcast, what is shuffled of the rows is what the filter lets through."""
+    rows = textops.materialize(spark.range(0, 50_000, 1, 4).select("id", F.concat(F.lit("text "), "id").alias("t")), "rows")
+    lost = textops.materialize(spark.range(0, 500).select((F.col("id") * 7).alias("w")), "lost")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = textops.without(rows, lost, [rows["id"]], [lost["w"]])
+        assert kept.count() == 49_500 and kept.columns == ["id", "t"]
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    anti = plan.index("LeftAnti")
+    assert "Inner" in plan[anti:] or "LeftOuter" in plan[anti:]  # the filter's join lies below the anti join

@@ -42,9 +42,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", norm
     # the survivors are written, so that their size is known when the plan for the content is made
     ids = materialize(_shared(alike, ["_len", "_head"], total).distinct(), "dedup-survivors")
     # hashed where they are read, so that no text is shuffled: what the picking lets through beside them is dropped after
-    likely = picked(rows, [rows["_id"]], ids, [ids["_id"]]).select("_id", F.octet_length("_text").alias("_len"), _head(F.col("_text")).alias("_head"), F.sha2("_text", 256).alias("_sha"))
-    same = likely["_id"].eqNullSafe(ids["_id"]) & (likely["_len"] == ids["_len"]) & (likely["_head"] == ids["_head"])
-    full = materialize(likely.join(ids, same, "left_semi"), "dedup-hashed")
+    likely = picked(rows, [rows["_id"]], ids, [ids["_id"]], mark="_held").select("_id", "_held", F.octet_length("_text").alias("_len"), _head(F.col("_text")).alias("_head"), F.sha2("_text", 256).alias("_sha"))
+    same = likely["_id"].eqNullSafe(ids["_id"]) & (likely["_len"] == ids["_len"]) & (likely["_head"] == ids["_head"]) & (likely["_held"] >= 0)
+    full = materialize(likely.join(ids, same, "left_semi").drop("_held"), "dedup-hashed")
     discard(narrow, alike, ids)
     equal = full.groupBy("_sha", "_len").agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_keep")).where("_n > 1").withColumn("_size", F.col("_n"))
     return join_counted(full, equal, ["_sha", "_len"], "inner", total).select(

@@ -240,8 +240,8 @@ def _linked(blocks: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """Edges from ``blocks`` (block, rep): the texts are brought to their blocks.
 
     Most texts are in no block. They are left out before the join shuffles what remains."""
-    likely = picked(rows, [rows["id"]], blocks, [blocks["rep"]])
-    texts = likely.join(blocks, likely["id"] == blocks["rep"]).select("block", "rep", "text")
+    likely = picked(rows, [rows["id"]], blocks, [blocks["rep"]], mark="_held")
+    texts = likely.join(blocks, (likely["id"] == blocks["rep"]) & (likely["_held"] >= 0)).select("block", "rep", "text")
     return texts.repartition("block").sortWithinPartitions("block").mapInArrow(lambda it: _link_blocks(it, percent), "u long, v long")
 
 

@@ -224,10 +224,13 @@ def _filter(wanted: DataFrame, key: list[Column], blocks: int) -> DataFrame:
     return whole.select("_block", F.transform(F.sequence(F.lit(0), F.lit(BLOCK_BITS // 64 - 1)), lambda k: F.coalesce(F.element_at("_known", k), F.lit(0).cast("long"))).alias("_words"))
 
 
-def picked(rows: DataFrame, key: list[Column], wanted: DataFrame, wanted_key: list[Column], how: str = "left_semi") -> DataFrame:
+def picked(rows: DataFrame, key: list[Column], wanted: DataFrame, wanted_key: list[Column], how: str = "left_semi", mark: str | None = None) -> DataFrame:
     """The rows whose key may be among those of ``wanted``, a written table: all that are, and about one in a hundred that aren't
     ('left_anti': the others). Nothing of ``rows`` is shuffled. The filter has ten bits for each key of ``wanted``, whatever their number;
-    it is broadcast in parts of 64 MB at most, each with the rows whose key falls into it. A null counts as a key."""
+    it is broadcast in parts of 64 MB at most, each with the rows whose key falls into it. A null counts as a key.
+
+    ``mark`` names a column to add, the number (not null) of the row's block of the filter. A join of what is picked should have it in its
+    condition: else the optimizer moves a semi or anti join below the filter, and all rows are shuffled."""
     blocks = max(1, -(-wanted.count() * KEY_BITS // BLOCK_BITS))
     whole = _filter(wanted, wanted_key, blocks)
     block, found = F.pmod(F.xxhash64(*key), F.lit(blocks)), None
@@ -238,7 +241,7 @@ def picked(rows: DataFrame, key: list[Column], wanted: DataFrame, wanted_key: li
         bits = [F.call_function("shiftright", F.element_at(held["_words"], F.shiftright(b, 6) + 1), b.bitwiseAND(F.lit(63))).bitwiseAND(F.lit(1)) == 1 for b in _block_bits(key)]
         among = reduce(lambda a, b: a & b, [held["_words"].isNotNull(), *bits])
         met = part.join(held, block == held["_block"], "left").where(among if how == "left_semi" else ~F.coalesce(among, F.lit(False)))
-        met = met.drop(held["_block"], held["_words"])
+        met = (met.withColumn(mark, held["_block"]) if mark else met).drop(held["_block"], held["_words"])
         found = met if found is None else found.unionByName(met)
     return found
 
@@ -247,8 +250,11 @@ def without(docs: DataFrame, lost: DataFrame, key: list[Column], lost_key: list[
     """``docs`` but for the rows with a key (not null) that stands in ``lost`` and for which ``more`` holds. Most rows stay where they
     are: only those that may be lost are dealt to a join. ``lost`` is a written table; no column of it has a name of ``docs``."""
     same = reduce(lambda a, b: a & b, (a == b for a, b in zip(key, lost_key, strict=True)))
-    maybe = picked(docs, key, lost, lost_key)
-    return picked(docs, key, lost, lost_key, "left_anti").unionByName(maybe.join(lost, same if more is None else same & more, "left_anti"))
+    mark = f"_held_{uuid.uuid4().hex}"
+    maybe = picked(docs, key, lost, lost_key, mark=mark)
+    same = same & (F.col(mark) >= 0)
+    kept = maybe.join(lost, same if more is None else same & more, "left_anti").drop(mark)
+    return picked(docs, key, lost, lost_key, "left_anti").unionByName(kept)
 
 
 def id_schema(docs: DataFrame, id_col: str, rest: str) -> StructType:
