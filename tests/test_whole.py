@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from vigia.functions import text
-from vigia.operators import history, predict, territory
+from vigia.operators import history, models, territory
 from vigia.plans import QUERIES
 
 
@@ -52,18 +52,17 @@ def test_silent_towns(spark):
 
 def test_back_test_weeks_are_held_out(spark, monkeypatch):
     """No fit sees a week that is measured, all have the trees of the operator, and families and cut-offs are there."""
-    fitted = []
+    fitted, kept, fit, measure = [], [], models._fit, models.backtest
 
-    def stub(rows, columns, label, seed=42, trees=80):
+    def spy(rows, task, family, calibrate, trees):
         fitted.append((rows.agg(F.max(F.col("epi_year") * 100 + F.col("epi_week"))).first()[0], trees))
-        return lambda df: df.withColumn("prob", F.least(F.col("tests") / 10, F.lit(1.0)))
+        return fit(rows, task, family, calibrate, 3)
 
-    asked = []
-    whole = predict.metrics
-    monkeypatch.setattr(predict, "gradient_boosting", stub)
-    monkeypatch.setattr(predict, "metrics", lambda held, *a: asked.append(held) or whole(held, *a))
+    monkeypatch.setattr(models, "_fit", spy)
+    monkeypatch.setattr(models, "backtest", lambda trained, *a: kept.append(trained) or measure(trained, *a))
     got = QUERIES["gradient_boosting"](spark, SMALL).collect()
-    first = asked[0].select(F.split("id", r"\|").alias("i")).agg(F.min(F.col("i")[2].cast("int") * 100 + F.col("i")[3].cast("int"))).first()[0]
+    first = kept[0].scores.where("fase = 'teste'").agg(F.min(F.col("epi_year") * 100 + F.col("epi_week"))).first()[0]
     assert len(fitted) > 1 and all(last < first and trees == 80 for last, trees in fitted)
-    assert {r["metodo"] for r in got if r["escopo"] == "global"} == {"calibrado", "fixo", "operacional"}
-    assert {r["modelo"] for r in got if r["escopo"].startswith("familia:")} == {"global", "familia"}
+    assert {r["metodo"] for r in got if r["escopo"] == "global" and r["status"] == "ok"} == {"calibrado", "fixo", "operacional"}
+    assert any(r["escopo"].startswith("familia:") for r in got) and any(r["escopo"].startswith("modelo:") for r in got)
+    assert kept[0].bundles[0].columns == models.RISK  # all 22

@@ -40,7 +40,7 @@ def bins(value: Column, cuts: list[float], labels: list[str]) -> Column:
 
 RISK_CUTS, RISK_LEVELS = [1.0, 2.0, 3.0], ["habitual", "atencao", "alerta", "alto_alerta"]
 PRESSURE_CUTS, PRESSURE_LEVELS = [35.0, 55.0, 75.0], ["baixa", "moderada", "alta", "critica"]
-CONFIDENCE_CUTS, CONFIDENCE_LEVELS = [0.35, 0.60, 0.80], ["muito_baixa", "baixa", "media", "alta"]
+CONFIDENCE_CUTS, CONFIDENCE_LEVELS = [0.35, 0.60, 0.80], ["baixa", "moderada", "boa", "alta"]
 
 
 def clip(value: Column, low: float, high: float) -> Column:

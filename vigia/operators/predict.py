@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import average_rank_share, clip, ratio, rolling, sigmoid
 from ..functions.weeks import advance
+from ..sources.stages import written
 from .aggregates import SERIES
+from .ranks import cumulated, value_ranks
 from .territory import recent
 
 ORDER = ["epi_year", "epi_week"]
@@ -228,15 +225,17 @@ def silence_logit(rows: DataFrame) -> DataFrame:
 
 def bands(rows: DataFrame, keys: list[str], threshold: float = 0.25) -> DataFrame:
     """O129: the band by severity (risk, positivity, tests, level, and whether ``prob`` passes ``threshold``), the band by the rank of ``prob``
-    within ``keys`` (a lone row is in the middle), the higher of the two, and which one decided."""
+    within ``keys`` (a lone row is in the middle), the higher of the two, and which one decided. Ranks are taken in sorted ranges."""
     zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     r, pos, tests, over, level = zero("risco_composto"), zero("positividade"), zero("tests"), F.coalesce(F.col("prob") >= threshold, F.lit(False)), F.coalesce("nivel_risco", F.lit(""))
     fixed = (
         F.when((level == "alto_alerta") | (r >= 3) | (over & (r >= 2) & (pos >= 0.35) & (tests >= 3)), 3).when((level == "alerta") | (r >= 2) | over | ((pos >= 0.50) & (tests >= 2)), 2)
         .when((level == "atencao") | (r >= 1) | ((pos >= 0.25) & (tests >= 1)), 1).otherwise(0))
-    share = average_rank_share(F.col("prob"), list(keys)) * 100.0
-    n = F.count("prob").over(Window.partitionBy(*keys))
-    placed = rows.select("*", fixed.alias("_fixed"), F.coalesce(F.round(F.when(n == 1, 50.0).otherwise(share), 1), F.lit(0.0)).alias("percentil"))
+    ranks = value_ranks(rows.where(F.col("prob").isNotNull()), keys, "prob").select(*keys, "prob", "n", "avg_rank")
+    sizes = ranks.groupBy(*keys).agg(F.sum("n").alias("_size"))
+    joined = rows.join(ranks.drop("n"), [*keys, "prob"], "left").join(sizes, keys, "left")
+    share = F.when(F.col("_size") == 1, 50.0).otherwise(F.col("avg_rank") / F.col("_size") * 100.0)
+    placed = joined.select(*rows.columns, fixed.alias("_fixed"), F.coalesce(F.round(share, 1), F.lit(0.0)).alias("percentil"))
     relative = F.when(F.col("percentil") >= 90, 3).when(F.col("percentil") >= 75, 2).when(F.col("percentil") >= 50, 1).otherwise(0)
     name = lambda c: F.element_at(F.array(*[F.lit(b) for b in ("Baixo", "Moderado", "Alto", "Crítico")]), c + 1)
     criterion = F.when(F.col("_fixed") > relative, "absoluto").when(relative > F.col("_fixed"), "percentil").otherwise("ambos")
@@ -252,66 +251,58 @@ def temporal_split(rows: DataFrame, share: float = 0.8) -> DataFrame:
     return rows.join(F.broadcast(cut), F.lit(True)).withColumn("treino", train).drop("_y", "_w")
 
 
-def metrics(scored: DataFrame, keys: list[str], threshold: float | Column, k: int = 20) -> DataFrame:
-    """O105, O142: precision, recall, Brier, AUC by rank sums and precision among the k highest, by ``keys`` (y 0/1, prob, id).
+def metrics(scored: DataFrame, keys: list[str], threshold: float | Column, k: int = 20, wide: int = 50) -> DataFrame:
+    """O105, O142: precision, recall, Brier, AUC by rank sums, share of positives and precision among the k (and ``wide``) highest, by ``keys`` (y 0/1, prob, id).
 
-    Rows are added up by score before any rank is taken, so that the windows run over the distinct scores of a key. Only
-    rows with a score among the k highest are numbered."""
+    Rows are added up by score before any rank is taken, and the distinct scores are ranked in sorted ranges, so that a key
+    of any size is no single task. Of the highest scores each task keeps ``wide`` rows before they meet."""
     by = [F.col(c) for c in keys] or [F.lit(1)]
     hit, pos = F.col("prob") >= threshold, F.col("y") == 1
     scores = scored.groupBy(*keys, "prob").agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(pos).alias("_pos"), F.count_if(hit & pos).alias("_tp"), F.count_if(hit).alias("_hit"), F.sum((F.col("prob") - F.col("y")) * (F.col("prob") - F.col("y"))).alias("_miss"))
-    w = Window.partitionBy(*by).orderBy("prob").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("_n").over(w), F.lit(0))
-    ranked = scores.select("*", ((below + (F.col("_n") + 1) / 2.0) * F.col("_pos")).alias("_rank"))
+    ranked = cumulated(scores, keys, "prob", ["_n"]).withColumn("_rank", (F.col("_n_before") + (F.col("_n") + 1) / 2.0) * F.col("_pos"))
     sums = ranked.groupBy(*keys).agg(F.sum("_n").alias("n"), F.sum("_pos").alias("n_pos"), F.sum("_tp").alias("_tp"), F.sum("_hit").alias("_hit"), (F.sum("_miss") / F.sum("_n")).alias("brier"), F.sum("_rank").alias("_ranks"))
-    # scores that k rows stand above are out of the race; the others, few, are numbered
-    over = F.coalesce(F.sum("_n").over(Window.partitionBy(*by).orderBy(F.desc("prob")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    near = scores.select(*keys, "prob", over.alias("_over")).where(F.col("_over") < k)
-    cut = near.groupBy(*keys).agg(F.min("prob").alias("_least"))
-    rows = scored.join(cut, keys) if keys else scored.join(F.broadcast(cut), F.lit(True))
     place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("prob"), "id"))
-    first = rows.where(F.col("prob") >= F.col("_least")).select(*keys, "y", place.alias("_place")).where(F.col("_place") <= k).groupBy(*keys).agg(F.avg(F.col("y").cast("double")).alias("precision_at_k"))
+    first = scored.select(*keys, "y", place.alias("_place")).where(F.col("_place") <= wide)
+    share = lambda m: F.avg(F.when(F.col("_place") <= m, F.col("y").cast("double")))
+    first = first.groupBy(*keys).agg(share(k).alias("precision_at_k"), share(wide).alias(f"precision_at_{wide}"))
     joined = sums.join(first, keys, "left") if keys else sums.join(F.broadcast(first), F.lit(True), "left")
     np_, nn = F.col("n_pos"), F.col("n") - F.col("n_pos")
-    return joined.select(*keys, "n", "n_pos", F.when(F.col("_hit") > 0, F.col("_tp") / F.col("_hit")).alias("precision"), F.when(np_ > 0, F.col("_tp") / np_).alias("recall"), "brier", F.when((np_ > 0) & (nn > 0), (F.col("_ranks") - np_ * (np_ + 1) / 2) / (np_ * nn)).alias("auc"), "precision_at_k")
+    return joined.select(
+        *keys, "n", "n_pos", F.when(F.col("_hit") > 0, F.col("_tp") / F.col("_hit")).alias("precision"), F.when(np_ > 0, F.col("_tp") / np_).alias("recall"), "brier", F.when((np_ > 0) & (nn > 0), (F.col("_ranks") - np_ * (np_ + 1) / 2) / (np_ * nn)).alias("auc"),
+        "precision_at_k", f"precision_at_{wide}", (np_ / F.col("n")).alias("pos_rate"), F.col("_hit").alias("n_alerta_emitido"), F.col("_tp").alias("n_confirmado"))
 
 
-THRESHOLDS = [round(0.10 + 0.05 * i, 2) for i in range(17)]
+#: The cut-offs that are tried.
+THRESHOLDS = [round(0.05 + 0.05 * i, 2) for i in range(17)]
 
 
-def best_threshold(scored: DataFrame) -> DataFrame:
-    """O141: the cut-off with the highest F1, the lowest of equals. Each row counts towards every cut-off it passes, and the counts are combined at once."""
+def best_threshold(scored: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """O141: by ``keys`` the cut-off with the highest F1, the lowest of equals. Each row counts towards every cut-off, and the counts are combined at once."""
+    keys = keys or []
     cuts = F.array(*[F.lit(t) for t in THRESHOLDS])
-    counts = scored.select("y", "prob", F.explode(cuts).alias("threshold")).groupBy("threshold").agg(F.count_if((F.col("prob") >= F.col("threshold")) & (F.col("y") == 1)).alias("tp"), F.count_if(F.col("prob") >= F.col("threshold")).alias("hit"), F.count_if(F.col("y") == 1).alias("pos"))
+    counts = scored.select(*keys, "y", "prob", F.explode(cuts).alias("threshold")).groupBy(*keys, "threshold").agg(F.count_if((F.col("prob") >= F.col("threshold")) & (F.col("y") == 1)).alias("tp"), F.count_if(F.col("prob") >= F.col("threshold")).alias("hit"), F.count_if(F.col("y") == 1).alias("pos"))
     f1 = F.when(F.col("hit") + F.col("pos") > 0, 2.0 * F.col("tp") / (F.col("hit") + F.col("pos"))).otherwise(0.0)
-    best = counts.select("threshold", f1.alias("f1")).agg(F.max(F.struct(F.round("f1", 9).alias("f1"), (-F.col("threshold")).alias("t"))).alias("b"))
-    return best.select((-F.col("b.t")).alias("threshold"), F.col("b.f1").alias("f1"))
-
-
-def gradient_boosting(rows: DataFrame, columns: list[str], label: str, seed: int = 42, trees: int = 80):
-    """O139: boosted trees (depth 3, 80 trees, rate 0.08) and an isotonic calibration on the last fifth of the training rows.
-
-    Returns a function that adds ``prob`` to rows with the same columns."""
-    filled = rows.fillna(0.0, columns)
-    model = Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="_features", handleInvalid="keep"), GBTClassifier(featuresCol="_features", labelCol=label, maxDepth=3, maxIter=trees, stepSize=0.08, seed=seed)])
-    split = temporal_split(filled)
-    fitted = model.fit(split.where("treino").select(label, *columns).withColumn(label, F.col(label).cast("double")))
-    raw = lambda df: fitted.transform(df.fillna(0.0, columns)).withColumn("_raw", vector_to_array("probability")[1])
-    late = raw(split.where(~F.col("treino")).select(label, *columns))
-    calibration = IsotonicRegression(featuresCol="_raw", labelCol=label, predictionCol="prob").fit(late.select(F.col(label).cast("double").alias(label), "_raw"))
-    return lambda df: calibration.transform(raw(df)).drop("_features", "rawPrediction", "probability", "prediction", "_raw")
+    best = counts.select(*keys, "threshold", f1.alias("f1")).groupBy(*keys).agg(F.max(F.struct(F.round("f1", 9).alias("f1"), (-F.col("threshold")).alias("t"))).alias("b"))
+    return best.select(*keys, (-F.col("b.t")).alias("threshold"), F.col("b.f1").alias("f1"))
 
 
 def rank_correlation(tall: DataFrame, keys: list[str], least: int = 20) -> DataFrame:
-    """Spearman's coefficient of x and y by ``keys`` over rows where both are known."""
-    both = tall.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    by = [F.col(k) for k in keys]
-    ranked = both.select(*keys, average_rank_share(F.col("x"), by).alias("rx"), average_rank_share(F.col("y"), by).alias("ry"))
-    # a constant has no rank correlation; corr() would divide by its zero deviation whatever stands around it
-    varies = (F.max("rx") > F.min("rx")) & (F.max("ry") > F.min("ry"))
-    rho = F.when(varies, F.try_divide(F.covar_pop("rx", "ry"), F.stddev_pop("rx") * F.stddev_pop("ry")))
-    return ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), rho.alias("rho")).where(F.col("n") >= least)
+    """Spearman's coefficient of x and y by ``keys`` over rows where both are known; null where one of them has a single value.
+
+    Equal pairs are counted first; ranks are those of distinct values in sorted ranges, so that no task sees all rows of a key."""
+    pairs = written(tall.where(F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).alias("_n")), "pairs")
+    ranks = {}
+    for v in ("x", "y"):
+        values = pairs.groupBy(*keys, v).agg(F.sum("_n").alias("n"))
+        ranks[v] = cumulated(values, keys, v, ["n"]).select(*keys, v, (F.col("n_before") + (F.col("n") + 1) / 2.0).alias(f"_r{v}"))
+    sizes = pairs.groupBy(*keys).agg(F.sum("_n").alias("n"))
+    ranked = pairs.join(ranks["x"], [*keys, "x"]).join(ranks["y"], [*keys, "y"]).join(sizes, keys)
+    a, b = (F.col(f"_r{v}") - (F.col("n") + 1) / 2.0 for v in ("x", "y"))  # the mean of ranks is known
+    total = lambda c: F.sum(c * F.col("_n"))
+    sums = ranked.groupBy(*keys, "n").agg(total(a * b).alias("_ab"), total(a * a).alias("_aa"), total(b * b).alias("_bb"))
+    rho = F.when((F.col("_aa") > 0) & (F.col("_bb") > 0), F.col("_ab") / F.sqrt(F.col("_aa") * F.col("_bb")))
+    return sums.where(F.col("n") >= least).select(*keys, "n", rho.alias("rho"))
 
 
 def climate_association(rows: DataFrame, variables: list[str], least: int = 20, known: int = 10) -> DataFrame:

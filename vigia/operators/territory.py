@@ -117,15 +117,23 @@ def silence_near_alerts(silent: DataFrame, rolled: DataFrame) -> DataFrame:
         (F.col("score_silencio") + F.when(near, 1.5).otherwise(0.0)).alias("score_silencio"), F.when(up, "silencio_critico").otherwise(F.col("classificacao_silencio")).alias("classificacao_silencio"), near.alias("silencio_com_vizinho_alerta"))
 
 
+#: What a town's data say, in this order; the first that holds.
+READINGS = [
+    "notificações sem exames: a captação pode ter parado", "notificações que não se ligam a nenhum alvo: rever o mapeamento", "dados em poucas semanas: ler com cautela", "boa cobertura recente", "cobertura intermediária: acompanhar",
+]
+
+
 def confidence(panel: DataFrame, notified: DataFrame) -> DataFrame:
-    """How far a town's data of the last eight weeks can be trusted."""
+    """How far a town's data of the last eight weeks can be trusted: weeks with data, exams, no gap between notifications and exams,
+    notifications that meet a target; its band and one of five readings (``READINGS``)."""
     seen = recent(panel).groupBy("municipio").agg(F.sum("tests").alias("exames"), F.sum("positives").alias("positivos"), F.countDistinct(*WEEK).alias("semanas_com_dado"), F.sum("notificacoes").alias("notif_join"))
     noted = notified.join(F.broadcast(last_weeks(panel)), WEEK, "left_semi").groupBy("municipio").agg(F.sum("notificacoes").alias("notif_sinan"))
     both = seen.join(noted, "municipio", "full").fillna(0)
-    score = F.least(F.col("semanas_com_dado") / 8.0, F.lit(1.0)) * 0.35 + (F.col("exames") > 0).cast("int") * 0.25 + (F.col("notif_join") > 0).cast("int") * 0.20 + (F.col("positivos") > 0).cast("int") * 0.20
     gap, weak = (F.col("notif_sinan") > 0) & (F.col("exames") <= 0), (F.col("notif_sinan") > 0) & (F.col("notif_join") <= 0)
+    score = F.least(F.col("semanas_com_dado") / 8.0, F.lit(1.0)) * 0.35 + (F.col("exames") > 0).cast("int") * 0.25 + (~gap).cast("int") * 0.20 + (~weak).cast("int") * 0.20
     scored = both.select("*", F.round(score, 3).alias("confianca_dado"), gap.alias("gap_sinan_sem_exame"), weak.alias("join_sinan_fraco"))
-    return scored.withColumn("faixa_confianca", bins(F.col("confianca_dado"), CONFIDENCE_CUTS, CONFIDENCE_LEVELS))
+    reading = F.when(F.col("gap_sinan_sem_exame"), READINGS[0]).when(F.col("join_sinan_fraco"), READINGS[1]).when(F.col("confianca_dado") < 0.35, READINGS[2]).when(F.col("confianca_dado") >= 0.8, READINGS[3]).otherwise(READINGS[4])
+    return scored.withColumn("faixa_confianca", bins(F.col("confianca_dado"), CONFIDENCE_CUTS, CONFIDENCE_LEVELS)).withColumn("interpretacao", reading)
 
 
 def integration(exams: DataFrame, notified: DataFrame, other: DataFrame, deaths: DataFrame, capacity: DataFrame) -> DataFrame:

@@ -28,16 +28,17 @@ def towns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", F.col("n_name").alias("municipio"), F.col("r_name").alias("regional"))
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with the town of their customer."""
-    orders, customer = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return orders.join(customer, orders.o_custkey == customer.c_custkey).join(towns(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+def requests(spark: SparkSession, sf_dir: str, district: bool = False) -> DataFrame:
+    """Orders with the town of their customer; as ``district`` each customer is a town of its own."""
+    orders, customer = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name")
+    found = orders.join(customer, orders.o_custkey == customer.c_custkey).join(towns(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+    return (found.withColumn("municipio", F.col("c_name")) if district else found).drop("c_name")
 
 
-def exams(spark: SparkSession, sf_dir: str) -> DataFrame:
+def exams(spark: SparkSession, sf_dir: str, district: bool = False) -> DataFrame:
     line = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate", "l_quantity")
     part = read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
-    asked = requests(spark, sf_dir).select("o_orderkey", "municipio", "regional", "o_orderdate")
+    asked = requests(spark, sf_dir, district).select("o_orderkey", "municipio", "regional", "o_orderdate")
     released, asked_on = F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")
     received = F.date_add(asked_on, F.floor(F.datediff(released, asked_on) / 4).cast("int"))
     return line.join(part, line.l_partkey == part.p_partkey).join(asked, line.l_orderkey == asked.o_orderkey).select(
@@ -69,9 +70,9 @@ def result_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+def notifications(spark: SparkSession, sf_dir: str, district: bool = False) -> DataFrame:
     d = F.col("o_orderdate").cast("date")
-    return requests(spark, sf_dir).select("municipio", F.col("o_orderpriority").alias("agravo"), d.alias("event_date"), weeks.epi_year(d).alias("epi_year"), weeks.epi_week(d).alias("epi_week"), "o_orderstatus", (F.col("o_orderstatus") == "F").alias("encerrado"), "o_totalprice", "c_nationkey", "o_custkey")
+    return requests(spark, sf_dir, district).select("municipio", F.col("o_orderpriority").alias("agravo"), d.alias("event_date"), weeks.epi_year(d).alias("epi_year"), weeks.epi_week(d).alias("epi_week"), "o_orderstatus", (F.col("o_orderstatus") == "F").alias("encerrado"), "o_totalprice", "c_nationkey", "o_custkey")
 
 
 def deaths(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import rules
+from ..functions import rules, weeks
 from ..operators import aggregates, emergency, history, normalise, panel, period, predict, pressure, territory
 from ..sources import tables
+from ..sources.stages import written
 from ..streaming import weekly as stream
 from . import bindings as b
 from .registry import query
@@ -57,10 +58,21 @@ def divergence_of(spark, sf_dir):
     return emergency.divergence(territory.confidence(scored, aggregates.notified(b.notifications(spark, sf_dir))), scored)
 
 
-@query(f"WITH {RISK}, {_RW}, {_CONF} SELECT * FROM diverging")
+#: The week as of which the divergence query looks back: the last full one with notifications.
+_AS_OF = 2001 * 53 + 30
+_DISTRICT = f"""{b.EXAM.replace('n_name AS municipio', 'c_name AS municipio')}, {b.NOTIF.replace('n_name AS municipio', 'c_name AS municipio')}, {b.WEEKLY}, nk AS (SELECT epi_year, epi_week, municipio, agravo, count(*) AS notificacoes FROM notif GROUP BY ALL),
+pa AS (SELECT w.municipio, w.epi_year, w.epi_week, tests, positives, coalesce(notificacoes, 0) AS notificacoes FROM (SELECT *, {b.DISEASE} AS agravo FROM weekly) w LEFT JOIN nk USING (epi_year, epi_week, municipio, agravo) WHERE epi_year * 53 + epi_week <= {_AS_OF})"""
+
+
+@query(f"WITH {_DISTRICT}, {(_RW + ', ' + _CONF).replace('FROM panel', 'FROM pa')} SELECT * FROM diverging")
 def divergence(spark, sf_dir):
-    """O57, O119."""
-    return divergence_of(spark, sf_dir)
+    """O57, O119: by the smallest places at hand (each customer is one), as of a week in which both exams and notifications go on."""
+    noted = aggregates.notified(b.notifications(spark, sf_dir, district=True))
+    weekly = aggregates.weekly(b.exams(spark, sf_dir, district=True)).where(weeks.ordinal(F.col("epi_year"), F.col("epi_week")) <= _AS_OF)
+    keys = ["epi_year", "epi_week", "municipio", "agravo"]
+    seen = weekly.withColumn("agravo", b.disease_of(F.col("target"))).join(noted.select(*keys, "notificacoes"), keys, "left").fillna(0, ["notificacoes"])
+    seen = written(seen.select("municipio", "epi_year", "epi_week", "tests", "positives", "notificacoes"), "districts")
+    return emergency.divergence(territory.confidence(seen, noted), seen)
 
 
 _CARD = f"""{_PANEL_EDGES}, {_SUDDEN}, {_CONF}, {_PRESSURE.split('tat AS', 1)[1].join(['tat AS', ''])},
@@ -99,8 +111,10 @@ conf AS (SELECT municipio, epi_year, epi_week, tipo_alerta, tests, ef AS exames_
 
 
 def confirmed_of(spark, sf_dir):
-    scored = scored_of(spark, sf_dir)
-    return emergency.confirmed(emergency.retro_flags(emergency.retrospective(scored), crisis_of(spark, sf_dir)), scored)
+    """Weekly cells and the network are written once: the look back, the flags and the outcomes all read them."""
+    cells = written(panel_of(spark, sf_dir).select("municipio", "epi_year", "epi_week", "tests", "notificacoes"), "cells")
+    crisis = written(crisis_of(spark, sf_dir).select("municipio", "indice_pressao_rede", "sla_crise"), "network")
+    return emergency.confirmed(emergency.retro_flags(emergency.retrospective(cells), crisis), cells)
 
 
 @query(f"WITH {_RETRO} SELECT * REPLACE (CAST(confirmado AS BIGINT) AS confirmado) FROM conf")
@@ -322,7 +336,8 @@ feat AS (SELECT *, (sum(zr) OVER (PARTITION BY target, municipio, run ORDER BY e
 
 
 def features_of(spark, sf_dir):
-    return predict.features(scored_of(spark, sf_dir))
+    """The scored panel is written once; all features are windows over it."""
+    return predict.features(written(scored_of(spark, sf_dir), "scored"))
 
 
 _FCOLS = ["target", "municipio", "epi_year", "epi_week", "tests_lag1", "tests_lag4", "tests_ma4", "tests_ma8", "positividade_ma8", "tests_trend", "semanas_zero", "semanas_zero_seguidas", "exames_por_notif", "y_alerta", "y_silencio", "y_silencio_epi"]
@@ -339,7 +354,7 @@ SELECT target, municipio, epi_year, epi_week, lag(obitos, 1) OVER ({_W}) AS obit
   round((rank() OVER (PARTITION BY epi_year, epi_week ORDER BY tests) + (count(*) OVER (PARTITION BY epi_year, epi_week, tests) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY epi_year, epi_week), 6) AS tests_pct_estadual, 0.5::DOUBLE AS confianca_dado, 0 AS vizinhos_em_alerta FROM f""")
 def feature_panel_recent(spark, sf_dir):
     """O56, O135: the last 104 observed weeks, all metrics that the panel has, and the values that stand where no context is known."""
-    rows = predict.with_context(predict.features(scored_of(spark, sf_dir), weeks=104))
+    rows = predict.with_context(predict.features(written(scored_of(spark, sf_dir), "scored"), weeks=104))
     return rounded(rows.select("target", "municipio", "epi_year", "epi_week", "obitos_lag1", "solicitacoes_100k_ma4", "notificacoes_ma8", F.col("semanas_sem_exame").cast("long").alias("semanas_sem_exame"), "tests_pct_estadual", "confianca_dado", "vizinhos_em_alerta"))
 
 
@@ -402,62 +417,20 @@ def tested_of(spark, sf_dir):
 
 @query(f"""WITH {_TEST}, rk AS (SELECT *, rank() OVER (PARTITION BY target ORDER BY prob) + (count(*) OVER (PARTITION BY target, prob) - 1) / 2.0::DOUBLE AS rn, row_number() OVER (PARTITION BY target ORDER BY prob DESC, id) AS pl FROM te)
 SELECT target, count(*) AS n, count(*) FILTER (y = 1) AS n_pos, round(count(*) FILTER (prob >= 0.5 AND y = 1) / nullif(count(*) FILTER (prob >= 0.5), 0)::DOUBLE, 6) AS precision, round(count(*) FILTER (prob >= 0.5 AND y = 1) / nullif(count(*) FILTER (y = 1), 0)::DOUBLE, 6) AS recall, round(avg((prob - y) * (prob - y)), 6) AS brier,
-  round((sum(rn) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2.0::DOUBLE) / nullif(count(*) FILTER (y = 1) * count(*) FILTER (y = 0), 0), 6) AS auc, round(avg(y) FILTER (pl <= 20), 6) AS precision_at_k FROM rk GROUP BY 1""")
+  round((sum(rn) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2.0::DOUBLE) / nullif(count(*) FILTER (y = 1) * count(*) FILTER (y = 0), 0), 6) AS auc, round(avg(y) FILTER (pl <= 20), 6) AS precision_at_k, round(avg(y) FILTER (pl <= 50), 6) AS precision_at_50, round(avg(y), 6) AS pos_rate,
+  count(*) FILTER (prob >= 0.5) AS n_alerta_emitido, count(*) FILTER (prob >= 0.5 AND y = 1) AS n_confirmado FROM rk GROUP BY 1""")
 def model_metrics(spark, sf_dir):
     """O96, O105, O138, O142."""
-    return rounded(predict.metrics(tested_of(spark, sf_dir).persist(), ["target"], 0.5))  # read three times
+    return rounded(predict.metrics(written(tested_of(spark, sf_dir), "scored-rows"), ["target"], 0.5))  # read twice
 
 
-@query(f"""WITH {_TEST}, c AS (SELECT round(0.10 + 0.05 * k, 2)::DOUBLE AS t FROM (SELECT unnest(range(17)) AS k)), s AS (SELECT t, 2.0::DOUBLE * count(*) FILTER (prob >= t AND y = 1) / nullif(count(*) FILTER (prob >= t) + count(*) FILTER (y = 1), 0) AS f1 FROM te, c GROUP BY 1)
+@query(f"""WITH {_TEST}, c AS (SELECT round(0.05 + 0.05 * k, 2)::DOUBLE AS t FROM (SELECT unnest(range(17)) AS k)), s AS (SELECT t, 2.0::DOUBLE * count(*) FILTER (prob >= t AND y = 1) / nullif(count(*) FILTER (prob >= t) + count(*) FILTER (y = 1), 0) AS f1 FROM te, c GROUP BY 1)
 SELECT t AS threshold, round(coalesce(f1, 0), 9) AS f1 FROM s ORDER BY round(coalesce(f1, 0), 9) DESC, t LIMIT 1""")
 def best_threshold(spark, sf_dir):
     """O141."""
     return predict.best_threshold(tested_of(spark, sf_dir))
 
 
-#: Beside the calibrated cut-off: the fixed one and the one in operation.
-_CUTS = {"fixo": 0.5, "operacional": 0.25}
-
-
-def _cut_by(model, train):
-    """The cut-off with the highest F1 on the last fifth of the training weeks, as a table of one row; the held-out weeks have no part in it."""
-    late = model(predict.temporal_split(train).where("not treino")).select(F.col("y_alerta").alias("y"), "prob")
-    return predict.best_threshold(late).select(F.col("threshold").alias("limiar"))
-
-
-def _measured(held, cut, keys, **named):
-    """Metrics of ``held`` by ``keys`` at ``cut``, a number or a table of one row; ``named`` are constant columns."""
-    rows = held.withColumn("limiar", F.lit(cut)) if isinstance(cut, float) else held.join(F.broadcast(cut), F.lit(True))
-    found = predict.metrics(rows.withColumns({c: F.lit(v) for c, v in named.items()}), ["modelo", *keys, "metodo", "limiar"], F.col("limiar"))
-    return found.select("modelo", F.concat_ws(":", *[c for k in keys for c in (F.lit(k), F.col(k))] or [F.lit("global")]).alias("escopo"), *[c for c in found.columns if c not in ("modelo", *keys)])
-
-
-@query()
-def gradient_boosting(spark, sf_dir):
-    """O139, O143: one model of all and one of each family, fitted and calibrated on the earlier weeks and measured on the later ones,
-    which no fit, calibration or cut-off sees: the global model at three cut-offs, by family (30 rows at least) and by target, and each family's own."""
-    rows = predict.labels(features_of(spark, sf_dir)).where("tests_ma8 is not null")
-    columns = ["tests", "positives", "positividade", "risco_composto", "tests_ma4", "tests_ma8", "tests_trend", "positives_ma8"]
-    rows = rows.select("target", "municipio", "epi_year", "epi_week", rules.family(F.col("target"), "outros", _FAMILIES).alias("familia"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns], F.col("y_alerta").cast("double").alias("y_alerta"))
-    split = predict.temporal_split(rows).persist()  # each fit reads it many times
-    train, test = split.where("treino").drop("treino"), split.where("not treino").drop("treino")
-    shape = lambda model, df: model(df).select("target", "familia", F.col("y_alerta").alias("y"), "prob", F.concat_ws("|", "target", "municipio", "epi_year", "epi_week").alias("id"))
-    model = predict.gradient_boosting(train, columns, "y_alerta")
-    held, cut = shape(model, test), _cut_by(model, train)
-    found = _measured(held, cut, [], modelo="global", metodo="calibrado")
-    for name, value in _CUTS.items():
-        found = found.unionByName(_measured(held, value, [], modelo="global", metodo=name))
-    found = found.unionByName(_measured(held, cut, ["familia"], modelo="global", metodo="calibrado").where("n >= 30"))
-    found = found.unionByName(_measured(held, 0.5, ["target"], modelo="global", metodo="fixo"))
-    counts = split.groupBy("familia").agg(F.count_if("treino").alias("train"), F.count_if(~F.col("treino")).alias("test"), F.count_distinct(F.when(F.col("treino"), F.col("y_alerta"))).alias("classes")).collect()
-    for r in sorted(counts, key=lambda r: r["familia"]):
-        if r["train"] >= 80 and r["test"] >= 15 and r["classes"] > 1:
-            here = F.col("familia") == r["familia"]
-            own = predict.gradient_boosting(train.where(here), columns, "y_alerta")
-            found = found.unionByName(_measured(shape(own, test.where(here)), _cut_by(own, train.where(here)), ["familia"], modelo="familia", metodo="calibrado"))
-    return rounded(found)
-
-
 _SPEAR = "(rank() OVER (PARTITION BY {k} ORDER BY {c}) + (count(*) OVER (PARTITION BY {k}, {c}) - 1) / 2.0::DOUBLE)"
 
 

@@ -82,22 +82,6 @@ def write(df: DataFrame, path: str, form: str = "parquet", by: list[str] | None
     writer.option("header", True).csv(path) if form == "csv" else writer.parquet(path)
 
 
-def mirror(df: DataFrame, url: str, name: str, properties: dict[str, str] | None = None, limit: int | None = None) -> None:
-    """Replaces a warehouse table, all rows unless ``limit`` says otherwise."""
-    (df.limit(limit) if limit else df).write.option("truncate", True).jdbc(url, name, mode="overwrite", properties=properties or {})
-
-
-def warehouse(spark: SparkSession, url: str, query: str, properties: dict[str, str] | None = None) -> DataFrame:
-    """O7."""
-    return spark.read.options(**(properties or {})).format("jdbc").options(url=url, query=query).load()
-
-
-def warehouse_tables(spark: SparkSession, url: str, like: list[str], properties: dict[str, str] | None = None) -> DataFrame:
-    """The warehouse's tables whose names fit one of the patterns."""
-    where = " OR ".join(f"TABLE_NAME LIKE '{p}'" for p in like)
-    return warehouse(spark, url, f"SELECT TABLE_SCHEMA, TABLE_NAME FROM INFORMATION_SCHEMA.TABLES WHERE {where}", properties)
-
-
 def counted(df: DataFrame, name: str, **conditions) -> tuple[DataFrame, Observation]:
     """The relation, and an observation that has its row counts (and those under conditions) when an action has run."""
     seen = Observation(name)

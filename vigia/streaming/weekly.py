@@ -6,29 +6,29 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.history import upsert
+from ..sources.published import Published
+from ..sources.stages import path_of, shared_folder
 
 SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir; where that is unset, under the warehouse, but only on one machine."""
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        top = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
-    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def events(spark: SparkSession, path: str, schema: str = SCHEMA) -> DataFrame:
-    """A stream over the files of ``path``, which may be one file: its folder is watched for that name then."""
+def events(spark: SparkSession, path: str, schema: str = SCHEMA, at_once: int | None = None) -> DataFrame:
+    """A stream over the files of ``path``, which may be one file: its folder is watched for that name then. ``at_once``: how many make a batch."""
     folder, name = path, "*.parquet"
     files = spark.read.schema(schema).parquet(path).inputFiles()
     if len(files) == 1 and files[0].endswith("/" + path.rsplit("/", 1)[-1]):
         folder, name = path.rsplit("/", 1)
-    return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
+    reader = reader.option("maxFilesPerTrigger", at_once) if at_once else reader
+    return reader.parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def weekly_counts(stream: DataFrame, late: str = "14 days") -> DataFrame:
@@ -57,24 +57,56 @@ def run_closed_weeks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("semana date, event_type string, n long, total double").parquet(out)
 
 
-def run_upserts(spark: SparkSession, path: str, key: list[str], version: str, home: str | None = None) -> DataFrame:
-    """O145: each batch of arrivals is merged into the history, a new version of which is written beside the last.
+#: Buckets of a keyed history; a batch rewrites those that its keys fall into.
+BUCKETS = 64
+
+
+def run_upserts(spark: SparkSession, path: str, key: list[str], version: str, home: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """O145: each batch of arrivals is merged into the history, which is kept in ``buckets`` by a hash of the key: only those that a batch
+    touches are read and written, and files that the last two versions don't need go.
 
     Under a given ``home`` in shared storage a later run goes on where the last one ended, even if that was lost: batch n is
-    always merged into version n - 1, so that a batch that is taken again writes the same version again. Without one, the
-    history starts anew."""
+    always merged into version n, so that a batch that is taken again writes version n + 1 again. Without one, the
+    history starts anew. The number of buckets of a home stays the same."""
     home = (home or work_folder(spark, "history")).rstrip("/")
-    top, state = f"{home}/versions", f"{home}/state"
     stream = events(spark, path)
-
-    def version_of(number: int) -> DataFrame:
-        return spark.read.schema(stream.schema).parquet(f"{top}/version={number}")
+    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("long")
+    table = Published(spark, f"{home}/table", ["bucket"], StructType([*stream.schema, StructField("bucket", LongType())]))
 
     def merge(batch: DataFrame, number: int) -> None:
-        old = version_of(number - 1) if number else batch.limit(0)
-        upsert(old, batch, key, version).write.mode("overwrite").parquet(f"{top}/version={number}")
+        table.merge(batch.withColumn("bucket", bucket), lambda old, new: upsert(old, new, [*key, "bucket"], version), number)
 
-    running = stream.writeStream.foreachBatch(merge).option("checkpointLocation", state).trigger(availableNow=True).start()
+    running = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{home}/state").trigger(availableNow=True).start()
     running.awaitTermination()
-    last = spark.read.parquet(top).agg(F.max("version")).first()[0]  # the folders' names tell it; one row
-    return version_of(last)
+    return table.read().drop("bucket")
+
+
+def distinct_weekly(stream: DataFrame, record: str, late: str = "14 days") -> DataFrame:
+    """O144: distinct records by type and week: a record counts once, however often it arrives within the watermark."""
+    week = F.window("ts", "7 days", "7 days", "4 days")
+    once = stream.withWatermark("ts", late).dropDuplicatesWithinWatermark([record])
+    return once.groupBy(week.alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+
+
+def run_distinct(spark: SparkSession, path: str, record: str = "event_id", late: str = "14 days", home: str | None = None, files: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """O144: (weeks that the watermark has closed with their distinct records, rows that came too late to count).
+
+    Late is what is older than the highest time of all batches before, less ``late``; such rows go to a side table of their own. Under a given ``home``
+    both go on where they ended. ``files`` is the number of files of a batch."""
+    home = (home or work_folder(spark, "distinct")).rstrip("/")
+    form = "semana date, event_type string, n long, total double"
+    source = lambda: events(spark, path, at_once=files)
+    rows = distinct_weekly(source(), record, late).select(F.col("w.start").cast("date").alias("semana"), "event_type", "n", "total")
+    rows.writeStream.outputMode("append").format("parquet").option("path", f"{home}/weeks").option("checkpointLocation", f"{home}/state").trigger(availableNow=True).start().awaitTermination()
+    side = source()
+
+    def apart(batch: DataFrame, number: int) -> None:
+        batch.agg(F.max("ts").alias("ts")).coalesce(1).write.mode("overwrite").parquet(f"{home}/highest/batch={number}")
+        if number:
+            before = spark.read.parquet(f"{home}/highest").where(F.col("batch") < number).agg((F.max("ts") - F.expr(f"INTERVAL {late}")).alias("_from"))  # a row for each batch
+            batch.join(F.broadcast(before), F.lit(True)).where("ts < _from").drop("_from").write.mode("overwrite").parquet(f"{home}/late/batch={number}")
+
+    side.writeStream.foreachBatch(apart).option("checkpointLocation", f"{home}/late-state").trigger(availableNow=True).start().awaitTermination()
+    fs, at = path_of(spark, f"{home}/late")
+    late_rows = spark.read.schema(side.schema).parquet(f"{home}/late/batch=*") if fs.exists(at) else spark.createDataFrame([], side.schema)
+    return spark.read.schema(form).parquet(f"{home}/weeks"), late_rows
