@@ -77,11 +77,23 @@ def with_demographics(rows: DataFrame, people: DataFrame) -> DataFrame:
     return rows.join(one, "record_id", "left")
 
 
-def prefer_code(left: DataFrame, right: DataFrame, code: str, name: str, value: str) -> DataFrame:
-    """The match by code; where there is none, by name."""
-    by_code = right.where(F.col(code).isNotNull()).groupBy(code).agg(F.min(value).alias("_a"))
-    by_name = right.groupBy(name).agg(F.min(value).alias("_b"))
-    return left.join(by_code, code, "left").join(by_name, name, "left").withColumn(value, F.coalesce("_a", "_b")).drop("_a", "_b")
+#: Rows, and share of rows, that a join by code must hit to count.
+LEAST_HITS, LEAST_SHARE = 5, 0.1
+
+
+def gated_join(left: DataFrame, right: DataFrame, code: str, name: str) -> DataFrame:
+    """``left`` with the other columns of ``right``, by code if at least ``LEAST_HITS`` rows and ``LEAST_SHARE`` of all have one there, else by name;
+    ``juncao`` says which. A code or name that ``right`` has several times counts as the least of its rows.
+
+    The choice is one row inside the plan: nothing is collected, and both joins are equal joins."""
+    rest = [c for c in right.columns if c not in (code, name)]
+    least = lambda key, tag: right.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"_{tag}")).agg(F.min(F.struct(*rest)).alias(f"_by_{tag}"))
+    both = left.join(least(code, "code"), F.col(code) == F.col("_code"), "left").join(least(name, "name"), F.col(name) == F.col("_name"), "left")
+    known = right.where(F.col(code).isNotNull()).select(F.col(code).alias("_known")).distinct()
+    hit = left.select(code).join(known, F.col(code) == F.col("_known"), "left").agg(F.count("_known").alias("_hits"), F.count(F.lit(1)).alias("_all"))
+    gate = hit.select((F.col("_hits") >= F.greatest(F.lit(float(LEAST_HITS)), F.col("_all") * LEAST_SHARE)).alias("_gate"))
+    chosen = F.when(F.col("_gate"), F.col("_by_code")).otherwise(F.col("_by_name"))
+    return both.join(F.broadcast(gate), F.lit(True)).select(*left.columns, *[chosen[c].alias(c) for c in rest], F.when(F.col("_gate"), "codigo").otherwise("nome").alias("juncao"))
 
 
 def in_universe(rows: DataFrame, towns: DataFrame, key: str = "municipio") -> DataFrame:

@@ -279,9 +279,22 @@ def forecast_flat(spark, sf_dir):
     return rounded(predict.forecast_flat(aggregates.weekly(b.exams(spark, sf_dir))))
 
 
-@query()
+def _seasonal_sql(horizon: int = 4, tail: int = 4) -> str:
+    """One CTE a step: the median of the last values and steps, mixed with that of the same week (no week comes twice within the horizon)."""
+    out, before = [], "t"
+    for k in range(1, horizon + 1):
+        s = f"(SELECT median(tests) FROM h WHERE h.target = q.target AND h.municipio = q.municipio AND h.epi_week = (q.w - 1 + {k}) % 53 + 1)"
+        r = f"list_aggregate({before}[greatest(len({before}) - {tail - 1}, 1):], 'median')"
+        out.append(f"g{k}a AS (SELECT q.*, {s} AS s{k}, {r} AS r{k} FROM g{k - 1} q), g{k} AS (SELECT *, coalesce(0.6::DOUBLE * r{k} + 0.4::DOUBLE * s{k}, r{k}, s{k}) AS p{k} FROM g{k}a)")
+        before = f"list_concat(t, [{', '.join(f'p{i}' for i in range(1, k + 1))}])"
+    return ", ".join(out)
+
+
+@query(f"""WITH {b.EXAM}, {b.WEEKLY}, h AS (SELECT target, municipio, epi_year, epi_week, sum(tests)::DOUBLE AS tests FROM weekly GROUP BY ALL), l AS (SELECT *, row_number() OVER (PARTITION BY target, municipio ORDER BY epi_year DESC, epi_week DESC) AS r FROM h),
+g0 AS (SELECT target, municipio, list(tests ORDER BY r DESC) FILTER (r <= 8) AS t, max(epi_year) FILTER (r = 1) AS y, max(epi_week) FILTER (r = 1) AS w FROM l GROUP BY ALL), {_seasonal_sql()}
+{" UNION ALL ".join(f"SELECT target, municipio, {k}::BIGINT AS forecast_step, CAST(y + floor((w - 1 + {k}) / 53) AS BIGINT) AS forecast_epi_year, (w - 1 + {k}) % 53 + 1 AS forecast_epi_week, round(p{k}, 6) AS forecast_tests, round(r{k}, 6) AS recent_median, round(s{k}, 6) AS seasonal_median FROM g4" for k in range(1, 5))}""")
 def forecast_seasonal(spark, sf_dir):
-    """O131, O132: each step looks at the steps before; tests compare with a loop."""
+    """O131, O132: each step looks at the steps before; tests compare with a loop too."""
     return rounded(predict.forecast_seasonal(aggregates.weekly(b.exams(spark, sf_dir)), 4, keys=("target", "municipio")))
 
 
@@ -585,9 +598,13 @@ def run_counts(spark, sf_dir):
     return counts.unpivot([], ["linhas", "no_periodo"], "medida", "valor")
 
 
-@query()
+_RAW_FIELDS = """(1, 'Resultado', 'qualitative_result', CASE o_orderstatus WHEN 'F' THEN 'positive' WHEN 'O' THEN 'negative' ELSE 'pending' END), (2, 'CT', 'analytic_metric', 'numeric'), (3, '', 'empty_field', 'empty'), (4, '', 'empty_field', 'empty'), (5, '', 'empty_field', 'empty'), (6, '', 'empty_field', 'empty')"""
+
+
+@query(f"""SELECT CAST(o_orderkey AS VARCHAR) AS record_id, CAST(o_orderdate AS DATE) AS event_date, n_name AS municipio, 'Dengue ' || o_orderpriority AS exame, f.i AS field_index, f.l AS field_label, 'dengue' AS target, f.m AS measure_role, f.o AS outcome_class,
+  f.i = 1 AND f.o IN ('positive', 'negative') AS is_interpretable_result, f.o = 'positive' AS is_positive_like FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey, LATERAL (VALUES {_RAW_FIELDS}) f(i, l, m, o)""")
 def raw_results(spark, sf_dir):
-    """Orders written as raw exams, taken apart to long rows; tests hold the rules against rows made by hand."""
+    """Orders written as raw exams, taken apart to long rows; tests also hold the rules against rows made by hand."""
     orders = b.requests(spark, sf_dir)
     told = F.when(F.col("o_orderstatus") == "F", "Detectável").when(F.col("o_orderstatus") == "O", "Não detectável").otherwise("Aguardando processamento")
     raw = orders.select(

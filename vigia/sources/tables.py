@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import codecs
 import re
 import unicodedata
+import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .stages import path_of, written
+
 
 def scan_csv(spark: SparkSession, paths: str | list[str], columns: list[str], sep: str = ";", encoding: str = "UTF-8", corrupt: str = "DROPMALFORMED") -> DataFrame:
     """O1: every column is a string; lines that don't fit are left out (or kept, with ``PERMISSIVE``)."""
@@ -16,6 +21,63 @@ def scan_csv(spark: SparkSession, paths: str | list[str], columns: list[str], se
     return spark.read.schema(schema).options(sep=sep, encoding=encoding, header=True, mode=corrupt, multiLine=False).csv(paths)
 
 
+#: Bytes of a file from which its encoding and separator are told; separators that are known.
+HEAD_BYTES, SEPARATORS = 1 << 16, ";,\t|"
+
+
+def text_form(head: bytes, candidates: str = SEPARATORS) -> tuple[str, str]:
+    """O1: (encoding, separator) of a delimited text by its first bytes: UTF-8 if they are that (a character may be cut off at the end), else
+    ISO-8859-1; the separator that most lines hold as often as the first line does, the more the better."""
+    head = head.removeprefix(b"\xef\xbb\xbf")
+    try:
+        text, encoding = codecs.getincrementaldecoder("utf-8")().decode(head), "UTF-8"
+    except UnicodeDecodeError:
+        text, encoding = head.decode("latin-1"), "ISO-8859-1"
+    lines = [x for x in text.splitlines() if x.strip()]
+    lines = lines[:-1] if len(lines) > 1 and len(head) >= HEAD_BYTES else lines  # the last may be cut off
+    alike = lambda c: sum(x.count(c) == lines[0].count(c) for x in lines)
+    best = max(candidates, key=lambda c: (min(lines[0].count(c), 1) * alike(c), lines[0].count(c))) if lines else candidates[0]
+    return encoding, best
+
+
+def head_of(spark: SparkSession, path: str) -> bytes:
+    """The first bytes of a file, or of the first file of a folder, in any store."""
+    fs, at = path_of(spark, path)
+    if fs.getFileStatus(at).isDirectory():
+        names = sorted(f.getPath().toString() for f in fs.listStatus(at) if f.isFile() and not f.getPath().getName().startswith(("_", ".")))
+        if not names:
+            return b""
+        at = path_of(spark, names[0])[1]
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readNBytes(HEAD_BYTES))
+    finally:
+        stream.close()
+
+
+@dataclass
+class Scanned:
+    """Rows that fit, lines that don't (with the file that they are from), and how many there are of each."""
+
+    rows: DataFrame
+    quarantine: DataFrame
+    counts: dict[str, int]
+
+
+def scan_checked(spark: SparkSession, path: str, columns: list[str], form: tuple[str, str] | None = None) -> Scanned:
+    """A delimited text with a header, each column a string. Lines with more or fewer fields than ``columns`` go to a quarantine table.
+
+    The text is parsed once, and written; counts are taken by an observation as it passes. Every line but the header is in one of the two."""
+    encoding, sep = form or text_form(head_of(spark, path))
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in columns], T.StructField("_line", T.StringType())])
+    read = spark.read.schema(schema).options(sep=sep, encoding=encoding, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_line", enforceSchema=True).csv(path)
+    seen = Observation(f"scan-{uuid.uuid4().hex}")
+    wrong = F.col("_line").isNotNull()
+    passing = read.withColumn("_file", F.input_file_name()).observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(wrong).alias("quarantined"), F.count_if(~wrong).alias("rows"))
+    held = written(passing, "scanned")
+    return Scanned(held.where("_line is null").select(*columns), held.where("_line is not null").select(F.col("_line").alias("line"), F.col("_file").alias("file")), dict(seen.get))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path can be read, asked through Spark's own file systems."""
     try:
