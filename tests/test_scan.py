@@ -5,7 +5,10 @@ import random
 
 import pytest
 
-from vigia.operators import normalise, partial, predict, ranks
+from pyspark.sql import functions as F
+
+from vigia.functions import rules
+from vigia.operators import aggregates, emergency, normalise, panel, partial, predict, ranks
 from vigia.sources import tables
 
 
@@ -83,3 +86,35 @@ def test_metrics_have_no_window_over_a_key(spark):
     assert "WindowGroupLimit" in plan  # of the highest scores each task keeps fifty before they meet
     r = found.first()
     assert (r["n"], r["n_pos"], r["n_alerta_emitido"]) == (50, 25, 25) and r["precision_at_k"] == 0.5
+
+
+def test_a_source_without_dates_counts_at_mid_year(spark):
+    rows = [("2001-03-04", 2001), (None, 2002), (None, 2003), (None, None)]
+    df = spark.createDataFrame(rows, "d string, ano long").withColumn("event_date", F.col("d").cast("date"))
+    dated = lambda frame: sorted(str(r["event_date"]) for r in aggregates.with_fallback_date(frame).collect())
+    assert dated(df) == ["2001-07-01", "2002-07-01", "2003-07-01"]
+    assert dated(df.limit(2)) == ["2001-03-04"]  # a half is not more than a half
+
+
+def test_panel_under_other_names(spark):
+    rows = [("5103403 - Cuiabá", "dengue", 2024.0, "7", 10, 4, 80.0), ("x", "dengue", 2024.0, "54", 0, 0, None)]
+    got = {r["municipio"]: r for r in panel.harmonise(spark.createDataFrame(rows, "mun string, alvo string, ano double, semana string, testes long, positivos long, taxa_positividade double")).collect()}
+    a, x = got["CUIABA"], got["X"]
+    assert (a["epi_year"], a["epi_week"], a["tests"], a["positividade"], a["periodo"], str(a["periodo_data"])) == (2024, 7, 10.0, 0.8, "2024-SE07", "2024-02-12")
+    assert x["periodo_data"] is None and x["positividade"] is None and x["notificacoes"] == 0.0 and x["incidencia_100k"] is None
+    assert a["risco_composto"] == pytest.approx((0.6745 * (10 - 5) / 5) / 3) and x["risco_composto"] == pytest.approx(-(0.6745 * 5 / 5) / 3)
+    year = panel.harmonise_annual(spark.createDataFrame([("zika", "2020", "8", "2")], "agravo string, year string, tests string, positives string")).first()
+    assert tuple(year) == ("zika", 2020, 8.0, 2.0, 0.0, 0.0, 0.25, None, None)
+
+
+def test_protocols_of_a_table_of_ones_own(spark):
+    table = [(p[0], "quem", "quando", f"o que: {p[0]}", "lista") for p in rules.PROTOCOLS]
+    rows = spark.createDataFrame([("a", True, True, "risco"), ("b", False, True, "silencio"), ("c", False, False, "padrao"), ("d", True, False, "risco")], "municipio string, sla_crise boolean, silencio_gal_alerta boolean, sinal string")
+    got = {r["municipio"]: (r["protocolo"], r["acao_sugerida"], r["prazo_acao"], r["checklist_operacional"]) for r in emergency.protocolled(rows, table).collect()}
+    assert got == {"a": ("emergencia", rules.SILENCE_ACTION, "quando", rules.CRISIS_ACTION[1]), "b": ("silencio", rules.SILENCE_ACTION, "quando", "lista"), "c": ("padrao", "o que: padrao", "quando", "lista"), "d": ("emergencia", rules.CRISIS_ACTION[0], "24–48h", rules.CRISIS_ACTION[1])}
+
+
+def test_family_crisis_without_any_known_share(spark):
+    df = spark.createDataFrame([("a", None, 10.0), ("b", None, 90.0), ("c", None, None)], "familia string, pct_liberado_48h double, tat_p90_dias double")
+    assert {r["familia"]: r["sla_crise"] for r in emergency.family_crisis(df).collect()} == {"a": False, "b": True, "c": False}
+    assert [r["sla_crise"] for r in emergency.family_crisis(df.where("familia = 'c'")).collect()] == [False]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import weeks
+from ..functions import rules, text, weeks
 from ..functions.measures import poisson, ratio, wilson
 from ..functions.rules import arbovirus_evidence
 from .normalise import arboviral, distinct_evidence
@@ -46,6 +46,28 @@ def notified(rows: DataFrame, name: str = "notificacoes") -> DataFrame:
     return rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name), F.count_if("encerrado").alias("encerrados"))
 
 
+PERSON = ["ano", "target", "municipio", "sexo", "faixa_etaria", "raca_cor", "escolaridade"]
+
+
+def by_person(rows: DataFrame, name: str = "notificacoes") -> DataFrame:
+    """Counts by year, target, town, sex, age group, race and schooling, raw as they come (``event_date``, ``agravo_texto``, ``idade``); null keys
+    are keys of their own. Rows without a town or a date are left out."""
+    named = rows.where(F.col("municipio").isNotNull() & F.col("event_date").isNotNull())
+    target = F.when(F.trim(F.coalesce("agravo_texto", F.lit(""))) != "", rules.target_of_text(F.col("agravo_texto"))).otherwise("nao_classificado")
+    keys = named.select(
+        F.year("event_date").cast("long").alias("ano"), target.alias("target"), "municipio", text.sex(F.col("sexo")).alias("sexo"), text.age_group(F.col("idade")).alias("faixa_etaria"), text.race(F.col("raca_cor")).alias("raca_cor"), text.schooling(F.col("escolaridade")).alias("escolaridade"))
+    return keys.groupBy(*PERSON).agg(F.count(F.lit(1)).alias(name))
+
+
+def with_fallback_date(rows: DataFrame, date: str = "event_date", year: str = "ano", worst: float = 0.5) -> DataFrame:
+    """A source of which more than ``worst`` has no date takes the first of July of its year for all rows; rows without a date, or outside 1990 to
+    2100, are left out. The share is one row, and is joined as such."""
+    share = rows.agg((F.avg(F.col(date).isNull().cast("double")) > worst).alias("_lacking"))
+    middle = F.when(F.col(year).between(1, 9999), F.make_date(F.col(year).cast("int"), F.lit(7), F.lit(1)))
+    dated = rows.join(F.broadcast(share), F.lit(True)).withColumn(date, F.when(F.col("_lacking"), middle).otherwise(F.col(date))).drop("_lacking")
+    return dated.where(F.year(date).between(1990, 2100))
+
+
 #: What makes a bed an intensive one, equipment critical and a team one of family health (texts without accents, upper case).
 INTENSIVE, CRITICAL, FAMILY_HEALTH = "UTI|INTENSIVA", "VENTIL|RESPIR|RX|RAIO X|TOMOG|PCR|ULTRASSOM|DESFIB|MONITOR", "SAUDE DA FAMILIA|ESF"
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import PRESSURE_CUTS, PRESSURE_LEVELS, average_rank_share, bins, clip
+from ..functions.rules import CRISIS_ACTION, PROTOCOLS, SILENCE_ACTION
 from ..functions.weeks import ordinal
+from .period import with_protocol
 from .territory import WEEK, last_weeks
 
 
@@ -72,6 +74,30 @@ def escalated(card: DataFrame, predicted: DataFrame) -> DataFrame:
     return joined.withColumn("prioridade", F.when(up, "ALTO").otherwise(first))
 
 
+def protocolled(card: DataFrame, table=PROTOCOLS) -> DataFrame:
+    """O116, O120: the card with its protocol: a crisis of service calls for that of an emergency, with its own action, list and deadline and those
+    responsible for a risk; a sudden silence then has its own action, and who and by when of a silence."""
+    rows = with_protocol(card, crisis=F.col("sla_crise"), table=table)
+    of = {p[0]: p for p in table}
+    crisis, silent = F.coalesce("sla_crise", F.lit(False)), F.coalesce("silencio_gal_alerta", F.lit(False))
+
+    def either(column: str, in_crisis: str, in_silence: str | None) -> Column:
+        told = F.when(crisis, in_crisis).otherwise(F.col(column))
+        return told if in_silence is None else F.when(silent, in_silence).otherwise(told)
+
+    return rows.withColumns({
+        "acao_sugerida": either("acao_sugerida", CRISIS_ACTION[0], SILENCE_ACTION), "responsavel": either("responsavel", of["risco"][1], of["silencio"][1]),
+        "prazo_acao": either("prazo_acao", "24–48h", of["silencio"][2]), "checklist_operacional": either("checklist_operacional", CRISIS_ACTION[1], None)})
+
+
+def family_crisis(families: DataFrame) -> DataFrame:
+    """O118: families in the worst quarter of release within 48 hours, or of the 90th percentile of turnaround. Where no family has the first, a
+    half stands in for its quartile; where none has the second, 90 days. The cuts are one row."""
+    cuts = families.agg(F.coalesce(F.percentile("pct_liberado_48h", 0.25), F.lit(0.5)).alias("_q48"), F.coalesce(F.percentile("tat_p90_dias", 0.75), F.lit(90.0)).alias("_p75"))
+    crisis = F.coalesce(F.col("pct_liberado_48h") <= F.col("_q48"), F.lit(False)) | (F.coalesce("tat_p90_dias", F.lit(0.0)) >= F.col("_p75"))
+    return families.join(F.broadcast(cuts), F.lit(True)).withColumn("sla_crise", crisis).drop("_q48", "_p75")
+
+
 def retrospective(panel: DataFrame, n_weeks: int = 12, history: int = 8) -> DataFrame:
     """O102: for each of the ``n_weeks`` observed weeks before the last (which has no weeks after it) and each town seen in it, its volume against the
     median of the ``history`` observed weeks before.

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import RISK_CUTS, RISK_LEVELS, average_rank_share, bins, clip, with_robust_z
-from ..functions.text import norm_town
+from ..functions import weeks
+from ..functions.text import norm_town, normalize_prop
 from .aggregates import SERIES, with_rates
 
 
@@ -102,13 +103,68 @@ def alerts_in_context(alerts: DataFrame, panel: DataFrame) -> DataFrame:
     return alerts.join(panel.select(*SERIES, "epi_year", "epi_week", "risco_composto", "nivel_risco"), [*SERIES, "epi_year", "epi_week"], "left")
 
 
+#: Names under which the columns of a panel come; the first that is there counts.
+WEEKLY_NAMES = {
+    "target": ["target", "alvo", "agravo", "agravo_alvo", "doenca"], "municipio": ["municipio", "Município", "Municipio", "municipio_residencia", "mun"], "epi_year": ["epi_year", "ano", "year", "ano_epidemiologico"],
+    "epi_week": ["epi_week", "semana", "week", "semana_epidemiologica"], "tests": ["tests", "testes", "solicitacoes", "solicitacoes_lab", "n_testes", "exames"], "positives": ["positives", "positivos", "detectados", "reagentes", "n_positivos"],
+    "negatives": ["negatives", "negativos", "n_negativos"], "notificacoes": ["notificacoes", "notificacoes_sinan", "casos_sinan", "casos"], "obitos": ["obitos_sim", "obitos", "deaths", "mortes"], "populacao": ["populacao", "pop", "population"],
+    "positividade": ["positividade", "positivity", "positividade_media", "taxa_positividade", "pos_rate"], "incidencia_100k": ["incidencia_100k", "incidencia", "incidencia_media_100k"], "mortalidade_100k": ["mortalidade_100k", "mortalidade"],
+    "risco_composto": ["risco_composto", "indice_risco_integrado", "risco_integrado", "risk_score"],
+}
+ANNUAL_NAMES = {
+    "target": ["target", "alvo", "agravo"], "ano": ["ano", "year", "epi_year"], "testes": ["testes", "tests", "solicitacoes"], "positivos": ["positivos", "positives"], "notificacoes": ["notificacoes", "notificacoes_sinan"], "obitos": ["obitos", "obitos_sim"],
+    "positividade_media": ["positividade_media", "positividade", "positivity"], "incidencia_100k": ["incidencia_100k", "incidencia_media_100k"], "risco_max": ["risco_max", "risco_composto", "indice_risco_integrado"],
+}
+
+
+def _named(df: DataFrame, names: dict[str, list[str]]) -> dict[str, Column | None]:
+    """The column that each name stands for, as it is; None where the table has none."""
+    return {name: next((F.col(f"`{c}`") for c in others if c in df.columns), None) for name, others in names.items()}
+
+
+def _number(c: Column | None, otherwise: float | None = None) -> Column:
+    return F.lit(otherwise).cast("double") if c is None else c.cast("string").try_cast("double")
+
+
+def _global_z(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``_z_<column>``: O91 over the whole table. Medians, deviations and means are rows of one aggregate each, so no window holds the table."""
+    first = df.agg(*[f(c).alias(f"_{n}_{c}") for c in columns for n, f in (("med", F.median), ("avg", F.avg), ("sd", F.stddev_pop))])
+    centred = df.join(F.broadcast(first), F.lit(True))
+    spread = centred.agg(*[F.median(F.abs(F.col(c) - F.col(f"_med_{c}"))).alias(f"_mad_{c}") for c in columns])
+    out = []
+    for c in columns:
+        plain = F.when(F.col(f"_sd_{c}") > 1e-12, (F.col(c) - F.col(f"_avg_{c}")) / F.col(f"_sd_{c}")).otherwise(0.0)
+        out.append(F.when(F.col(f"_mad_{c}") > 0, 0.6745 * (F.col(c) - F.col(f"_med_{c}")) / F.col(f"_mad_{c}")).otherwise(plain).alias(f"_z_{c}"))
+    return centred.join(F.broadcast(spread), F.lit(True)).select(*df.columns, *out)
+
+
 def harmonise(panel: DataFrame) -> DataFrame:
-    """O146: canonical names, positivity and risk filled in where they are missing."""
-    aliases = {"exames": "tests", "positivos": "positives", "notificacao": "notificacoes", "obitos_sim": "obitos"}
-    for old, new in aliases.items():
-        if old in panel.columns and new not in panel.columns:
-            panel = panel.withColumnRenamed(old, new)
-    for c in ("positives", "notificacoes", "obitos", "populacao"):
-        if c not in panel.columns:
-            panel = panel.withColumn(c, F.lit(None).cast("double"))
-    return panel.withColumn("municipio", norm_town(F.col("municipio"))).withColumn("positividade", F.when(F.col("tests") > 0, F.least(F.col("positives") / F.col("tests"), F.lit(1.0))))
+    """O146: a weekly panel under any of its names (``WEEKLY_NAMES``) with canonical ones: numbers, towns, what can be derived where it is missing
+    (positivity, incidence of notifications, mortality, and for the risk the mean of three robust z-scores), the week's label and Monday."""
+    c = _named(panel, WEEKLY_NAMES)
+    zero = {n: _number(c[n], 0.0) for n in ("tests", "positives", "notificacoes", "obitos")}
+    out = panel.select(
+        (c["target"].cast("string") if c["target"] is not None else F.lit("outros")).alias("target"), (norm_town(c["municipio"]) if c["municipio"] is not None else F.lit("IGNORADO")).alias("municipio"),
+        *[_number(c[n]).cast("long").alias(n) for n in ("epi_year", "epi_week")], *[v.alias(n) for n, v in zero.items()], *[_number(c[n]).alias(n) for n in ("negatives", "populacao", "positividade", "incidencia_100k", "mortalidade_100k", "risco_composto")])
+    per = lambda n: F.when(F.col("populacao") > 0, F.col(n) / F.col("populacao") * 1e5)
+    derived = {
+        "positividade": normalize_prop(F.col("positividade")) if c["positividade"] is not None else F.when(F.col("tests") != 0, F.col("positives") / F.col("tests")),
+        "incidencia_100k": F.col("incidencia_100k") if c["incidencia_100k"] is not None else per("notificacoes"), "mortalidade_100k": F.col("mortalidade_100k") if c["mortalidade_100k"] is not None else per("obitos"),
+    }
+    out = out.withColumns(derived)
+    if c["risco_composto"] is None:
+        middle = out.agg(F.median("positividade").alias("_m"))
+        filled = out.join(F.broadcast(middle), F.lit(True)).withColumns({"_t": F.coalesce("tests", F.lit(0.0)), "_p": F.coalesce("positividade", "_m"), "_n": F.coalesce("notificacoes", F.lit(0.0))}).drop("_m")
+        z = _global_z(filled, ["_t", "_p", "_n"])
+        out = z.withColumn("risco_composto", sum((F.coalesce(f"_z_{x}", F.lit(0.0)) for x in ("_t", "_p", "_n")), F.lit(0.0)) / 3).select(*out.columns)
+    return out.select("*", weeks.week_label(F.col("epi_year"), F.col("epi_week")).alias("periodo"), weeks.monday(F.col("epi_year"), F.col("epi_week")).alias("periodo_data"))
+
+
+def harmonise_annual(panel: DataFrame) -> DataFrame:
+    """O146: a yearly table under any of its names (``ANNUAL_NAMES``): counts that are missing are 0, positivity is derived, other rates stay unknown."""
+    c = _named(panel, ANNUAL_NAMES)
+    counts = {n: _number(c[n], 0.0) for n in ("testes", "positivos", "notificacoes", "obitos")}
+    share = normalize_prop(_number(c["positividade_media"])) if c["positividade_media"] is not None else F.when(counts["testes"] != 0, counts["positivos"] / counts["testes"])
+    return panel.select(
+        (c["target"].cast("string") if c["target"] is not None else F.lit("outros")).alias("target"), _number(c["ano"]).cast("long").alias("ano"), *[v.alias(n) for n, v in counts.items()], share.alias("positividade_media"),
+        _number(c["incidencia_100k"]).alias("incidencia_100k"), _number(c["risco_max"]).alias("risco_max"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import ratio
-from ..functions.rules import protocol_key, protocol_map
+from ..functions.rules import PROTOCOLS, protocol_key, protocol_map
 from ..functions.weeks import monday, ordinal
 
 
@@ -214,11 +214,16 @@ def reinforced(queue: DataFrame, risk: DataFrame | None = None, silence: DataFra
     return rows.withColumns({"motivo": why, "prioridade": lifted}).drop("_risk", "_silence", "_band")
 
 
-def with_protocol(rows: DataFrame, band: Column | None = None, use: Column | None = None) -> DataFrame:
-    """O116: who is to act, by when, and how."""
-    key = protocol_key(F.col("sinal"), band if band is not None else F.lit(""), use if use is not None else F.lit(""), F.col("target"))
+#: Fields of a protocol, in the order of its table.
+PROTOCOL_FIELDS = ((1, "responsavel"), (2, "prazo_acao"), (3, "acao_sugerida"), (4, "checklist_operacional"))
+
+
+def with_protocol(rows: DataFrame, band: Column | None = None, use: Column | None = None, crisis: Column | None = None, table=PROTOCOLS) -> DataFrame:
+    """O116: who is to act, by when, how, and what to tick off, by the protocols of ``table``."""
+    target = F.col("target") if "target" in rows.columns else F.lit("")
+    key = protocol_key(F.col("sinal"), band if band is not None else F.lit(""), use if use is not None else F.lit(""), target, crisis)
     keyed = rows.withColumn("protocolo", key)
-    return keyed.select("*", *[F.element_at(protocol_map(k), F.col("protocolo")).alias(n) for k, n in ((1, "responsavel"), (2, "prazo_acao"), (3, "acao_sugerida"))])
+    return keyed.select("*", *[F.element_at(protocol_map(k, table), F.col("protocolo")).alias(n) for k, n in PROTOCOL_FIELDS])
 
 
 def distributions(rows: DataFrame) -> DataFrame:

@@ -323,3 +323,15 @@ def lagged(rows: DataFrame, x: str, ys: list[str], keys: list[str], lags: int =
     moved = rows.select(*keys, *ys, *[F.lag(x, k).over(w).alias(f"_x{k}") if k else F.col(x).alias("_x0") for k in range(lags + 1)])
     cells = F.explode(F.array(*[F.struct(F.lit(y).alias("indicador"), F.lit(k).cast("long").alias("lag"), F.col(f"_x{k}").cast("double").alias("x"), F.col(y).cast("double").alias("y")) for y in ys for k in range(lags + 1)])).alias("c")
     return moved.select(*keys, cells).select(*keys, "c.*")
+
+
+def lagged_climate(panel: DataFrame, weather: DataFrame, variables: list[str], ys: list[str], lags: int = 4, least: int = 12) -> DataFrame:
+    """Spearman's coefficient of each weather variable, up to ``lags`` of the town's observed weeks earlier, with each of ``ys``, by target: over at least
+    ``least`` rows that know both and, on either side, two values. ``weather`` has municipio, epi_week (and epi_year, if the panel is to meet it by year too)."""
+    when = [c for c in ORDER if c in weather.columns]
+    w = Window.partitionBy("municipio").orderBy(*when)
+    moved = weather.select("municipio", *when, *[F.lag(v, k).over(w).alias(f"_{v}_{k}") for v in variables for k in range(lags + 1)])
+    joined = panel.select("target", "municipio", *when, *ys).join(moved, ["municipio", *when])
+    cells = F.explode(F.array(*[F.struct(F.lit(v).alias("climate_var"), F.lit(y).alias("indicador"), F.lit(k).cast("long").alias("lag"), F.col(f"_{v}_{k}").cast("double").alias("x"), F.col(y).cast("double").alias("y")) for v in variables for y in ys for k in range(lags + 1)])).alias("c")
+    keys = ["target", "climate_var", "indicador", "lag"]
+    return rank_correlation(joined.select("target", cells).select("target", "c.*"), keys, least).where("rho is not null")

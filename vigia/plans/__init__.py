@@ -1,6 +1,6 @@
 """Registered queries of the library."""
 
-from . import decisions, learning, storage, surveillance  # noqa: F401  they fill the registry
+from . import context, decisions, learning, storage, surveillance  # noqa: F401  they fill the registry
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

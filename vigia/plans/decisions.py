@@ -259,18 +259,19 @@ def manager_messages(spark, sf_dir):
     return period.messages(scenarios_of(spark, sf_dir), contacts).drop("prioridade_score", "status_envio")
 
 
+_CHECK = {p[0]: p[4] for p in rules.PROTOCOLS}
 _TOP = "SELECT * FROM (SELECT municipio, target, {s} AS sinal, {v} AS score FROM {f} ORDER BY score DESC, municipio, target LIMIT 15)"
 
 
 @query(f"""WITH {TOWN_TARGET}, a AS ({_TOP.format(s="'risco_territorial'", v="round(risco_max, 6)", f="tt")}), c AS ({_TOP.format(s="'utilizacao'", v="round(1.0::DOUBLE / (1 + coalesce(taxa_utilizacao, 0)), 6)", f="tt")}),
 u AS (SELECT * FROM a UNION ALL SELECT * FROM c), f AS (SELECT *, row_number() OVER (PARTITION BY municipio, target ORDER BY score DESC, sinal) AS r FROM u)
-SELECT municipio, target, sinal, score, CASE WHEN sinal LIKE '%risco%' THEN 'risco' ELSE 'utilizacao' END AS protocolo, CASE WHEN sinal LIKE '%risco%' THEN '48–72h' ELSE '15 dias' END AS prazo_acao FROM f WHERE r = 1 ORDER BY score DESC, municipio, target LIMIT 20""")
+SELECT municipio, target, sinal, score, CASE WHEN sinal LIKE '%risco%' THEN 'risco' ELSE 'utilizacao' END AS protocolo, CASE WHEN sinal LIKE '%risco%' THEN '48–72h' ELSE '15 dias' END AS prazo_acao, CASE WHEN sinal LIKE '%risco%' THEN '{_CHECK["risco"]}' ELSE '{_CHECK["utilizacao"]}' END AS checklist_operacional FROM f WHERE r = 1 ORDER BY score DESC, municipio, target LIMIT 20""")
 def operational_queue(spark, sf_dir):
     """O61, O104, O106, O116, O126: a list of twenty is what the operator is for."""
     tt = territory.town_target(scored_of(spark, sf_dir))
     risk = tt.select("municipio", "target", F.lit("risco_territorial").alias("sinal"), F.round("risco_max", 6).alias("score"))
     use = tt.select("municipio", "target", F.lit("utilizacao").alias("sinal"), F.round(1.0 / (1 + F.coalesce("taxa_utilizacao", F.lit(0.0))), 6).alias("score"))
-    return period.queue([risk, use]).select("municipio", "target", "sinal", "score", "protocolo", "prazo_acao")
+    return period.queue([risk, use]).select("municipio", "target", "sinal", "score", "protocolo", "prazo_acao", "checklist_operacional")
 
 
 @query(f"WITH {b.EXAM}, {b.WEEKLY}, h AS (SELECT target, epi_year, epi_week, sum(tests) AS tests FROM weekly GROUP BY ALL), l AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY epi_year DESC, epi_week DESC) AS r FROM h), m AS (SELECT target, median(tests) FILTER (r <= 8) AS forecast_tests, max(epi_year) FILTER (r = 1) AS y, max(epi_week) FILTER (r = 1) AS w FROM l GROUP BY 1 HAVING count(*) >= 8) SELECT target, k AS forecast_step, CAST(y + floor((w - 1 + k) / 53) AS BIGINT) AS forecast_epi_year, (w - 1 + k) % 53 + 1 AS forecast_epi_week, round(forecast_tests, 6) AS forecast_tests FROM m, (SELECT unnest(range(1, 5)) AS k)")
