@@ -21,12 +21,20 @@ from .textops import give_back, id_schema, record_batch, typed
 
 #: Elements whose text is never text of the page.
 RAW = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "head", "textarea", "select", "title")
+#: Those of them whose content is no markup, so that it goes on to the end of the page where they are never closed.
+RAW_TO_END = frozenset(("script", "style", "iframe", "textarea", "title"))
 #: Elements that end a block.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Elements that hold what is around an article.
 AROUND = frozenset("nav footer aside form menu dialog button label fieldset".split())
 #: Words in a class, id or role that mark what is around an article.
 HINTS = frozenset("ad ads advert advertisement adverts breadcrumb breadcrumbs comment comments cookie cookies consent disqus login menu nav navbar navigation newsletter notice notices pagination pager popup promo promoted recommended related reply replies share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+#: Those of them that, as a part of a longer name (notice-board, social-history), may name a subject as well as a notice.
+VAGUE_HINTS = frozenset("ad ads notice notices popup promo promoted related reply replies share sharing social widget".split())
+#: Elements around an article that an article does not stand in: where one begins, they were left open.
+LEFT_OPEN = frozenset("nav menu button label".split())
+#: What a line of rights says.
+RIGHTS = re.compile(r"©|\(c\) *\d{4}|\bcopyright\b|all rights reserved|alle rechte vorbehalten|tous droits réservés|todos (?:los derechos|os direitos) reservados", re.I)
 #: Words that mark what is around an article only outside of it; an article has headers and footers of its own.
 OUTER_HINTS = frozenset("header footer banner masthead".split())
 #: Words in a class, id or role that mark an article.
@@ -48,18 +56,20 @@ class Block:
     marked: bool
     heading: bool
     listed: bool
+    hinted: bool = False
+    rights: bool = False
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in order. Broken markup is read as it comes: a tag is no more than a mark in the flat text."""
     out: list[Block] = []
-    open_: list[tuple[str, int]] = []  # element and what it brings: 1 article, 2 around, 4 list, 8 heading, 16 link
-    held = [0] * 5
+    open_: list[tuple[str, int]] = []  # element and what it brings: 1 article, 2 around, 4 list, 8 heading, 16 link, 32 perhaps around
+    held = [0] * 6
     parts: list[str] = []
     links = 0
 
     def bring(flags: int, by: int) -> None:
-        for k in range(5):
+        for k in range(6):
             if flags >> k & 1:
                 held[k] += by
 
@@ -67,7 +77,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal links
         text = _space.sub(" ", "".join(parts)).strip()
         if text:
-            out.append(Block(text, text.count(" ") + 1, min(links, text.count(" ") + 1), held[0] > 0, held[1] > 0, held[3] > 0, held[2] > 0))
+            out.append(Block(text, text.count(" ") + 1, min(links, text.count(" ") + 1), held[0] > 0, held[1] > 0, held[3] > 0, held[2] > 0, held[5] > 0, RIGHTS.search(text) is not None))
         parts.clear()
         links = 0
 
@@ -93,6 +103,11 @@ def blocks(page: str) -> list[Block]:
         if name in RAW and not closing:
             if not m[3].rstrip().endswith("/"):
                 stop = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+                if name not in RAW_TO_END and name != "head":
+                    # left open, it ends with what it stands in: then its content is read as it comes
+                    parent = next((n for n, _ in reversed(open_) if n in BLOCK), None)
+                    if stop is None or parent is not None and re.compile(rf"</{parent}\b", re.I).search(page, at, stop.start()):
+                        continue
                 if name == "head" and stop is None:
                     stop = re.compile(r"<body\b", re.I).search(page, at)
                     at = stop.start() if stop else at
@@ -118,19 +133,27 @@ def blocks(page: str) -> list[Block]:
         if name in ("p", "li") and open_ and open_[-1][0] == name:
             bring(open_.pop()[1], -1)
         around = name in AROUND or name == "header" and not held[0]
-        article = name == "article"
+        article, vague = name == "article", False
+        if article and held[1]:
+            for k in range(len(open_) - 1, -1, -1):
+                if open_[k][0] in LEFT_OPEN and not re.compile(rf"</{open_[k][0]}\b", re.I).search(page, at):
+                    bring(open_.pop(k)[1], -1)
         if m[3] and ("class" in m[3] or "id" in m[3] or "role" in m[3] or "itemprop" in m[3]) and name not in ("html", "body"):
-            named = {w for g in _hint.findall(m[3]) for w in re.split(r"[^a-z]+", "".join(g).lower())}
+            names = [[w for w in re.split(r"[^a-z]+", x) if w] for g in _hint.findall(m[3]) for x in "".join(g).lower().split()]
+            named = {w for x in names for w in x}
             article = article or bool(named & INNER_HINTS)
-            around = around or bool(named & HINTS) or bool(named & OUTER_HINTS) and not held[0] and not article
-        flags = (1 if article and not around else 0) | (2 if around else 0) | (4 if name == "li" else 0) | (8 if name in HEADINGS else 0) | (16 if name == "a" else 0)
+            # a name of one word, or with two that hint, or with one that is not vague, says it; another only may
+            said = [x for x in names if (hints := [w for w in x if w in HINTS]) and (len(x) == 1 or len(hints) > 1 or hints[0] not in VAGUE_HINTS)]
+            around = around or bool(said) or bool(named & OUTER_HINTS) and not held[0] and not article
+            vague = not around and bool(named & VAGUE_HINTS)
+        flags = (1 if article and not around else 0) | (2 if around else 0) | (4 if name == "li" else 0) | (8 if name in HEADINGS else 0) | (16 if name == "a" else 0) | (32 if vague else 0)
         open_.append((name, flags))
         bring(flags, 1)
     close()
     return out
 
 
-FEATURES = ("words", "link_density", "words_before", "density_before", "words_after", "density_after", "in_article", "elsewhere", "marked", "heading", "listed")
+FEATURES = ("words", "link_density", "words_before", "density_before", "words_after", "density_after", "in_article", "elsewhere", "marked", "heading", "listed", "hinted", "rights")
 
 
 def features(found: list[Block]) -> np.ndarray:
@@ -140,7 +163,7 @@ def features(found: list[Block]) -> np.ndarray:
     has = any(b.in_article for b in found)
     for k, b in enumerate(found):
         x[k, 0], x[k, 1] = b.words, b.linked / b.words
-        x[k, 6:] = b.in_article, has and not b.in_article, b.marked, b.heading, b.listed
+        x[k, 6:] = b.in_article, has and not b.in_article, b.marked, b.heading, b.listed, b.hinted, b.rights
     if n > 1:
         x[1:, 2:4] = x[:-1, 0:2]
         x[:-1, 4:6] = x[1:, 0:2]
@@ -148,7 +171,7 @@ def features(found: list[Block]) -> np.ndarray:
 
 
 #: The labelled table, a page a line, read by eye. A block is the marks of what it stands in (A article, m around an
-#: article, h heading, l list), its words, / and those of them in links, and + for article text or - for the rest. Neighbours are those of the line.
+#: article, h heading, l list, v perhaps around one, r a line of rights), its words, / and those of them in links, and + for article text or - for the rest. Neighbours are those of the line.
 LABELLED = """
 ml1/1- ml2/2- ml1/1- m9- Ah6+ A30+ A1+ A55+ A12+ m7-
 ml1/1- ml1/1- ml2/2- m6- Ah1+ A7+ A120+ A4+ A2+ A60+ m6-
@@ -217,6 +240,31 @@ m2/2- 5+ 60+
 60+ 9/9- 7/7- 11/11-
 48+ 13+ h2- l6/6- l8/8- l7/7-
 85+ 20+ 3/3- 2/2- 4/3-
+30+ 50/20+ 30+
+40+ 20/20+ 35+
+h4+ 60+ 45/18+ 70+ 2/2-
+55+ 25/25+ 40+ 1/1- 3/3-
+30+ 32/14+ 28+ 26/26+ 50+
+12/5- 2- 9/9- 44+ 36+
+40+ 40+ r7-
+h5+ 55+ 61+ r4- 2/2-
+70+ 33+ r12/3- 1/1-
+28+ r9- 3/3- 2/2-
+A40+ A30+ Ar7+ r6-
+A25+ Ar3+ A50+
+A60+ Ar3+ Ar9+ mr5-
+Ah3+ A50+ Ar60+ A20+
+h6+ r70+ 45+
+r90+ r6-
+Ah4+ A30+ Av45+ A28+
+Av70+ A12+ Av38/4+
+A35+ Av6- A40+ Av3/3-
+A60+ A22+ Av9/8- Av12/12- Av2-
+Ah2+ Av28+ Av33+ m6-
+v40+ 35+ v5- 60+
+50+ v3/3- v8/8- v4- 45+
+h3+ 44+ v7- v2/2-
+A30+ Av20/20- Av24/24- m5-
 """
 
 
@@ -224,9 +272,9 @@ def labelled(table: str = LABELLED) -> np.ndarray:
     """Rows of the labelled table: ``FEATURES``, then 1 for article text."""
     out = []
     for line in table.split("\n"):
-        cells = [re.fullmatch(r"([Amhl]*)(\d+)(?:/(\d+))?([+-])", c) for c in line.split()]
+        cells = [re.fullmatch(r"([Amhlvr]*)(\d+)(?:/(\d+))?([+-])", c) for c in line.split()]
         if cells:
-            page = [Block("", int(c[2]), int(c[3] or 0), "A" in c[1], "m" in c[1], "h" in c[1], "l" in c[1]) for c in cells]
+            page = [Block("", int(c[2]), int(c[3] or 0), "A" in c[1], "m" in c[1], "h" in c[1], "l" in c[1], "v" in c[1], "r" in c[1]) for c in cells]
             out.append(np.column_stack([features(page), [c[4] == "+" for c in cells]]))
     return np.concatenate(out)
 
@@ -234,7 +282,7 @@ def labelled(table: str = LABELLED) -> np.ndarray:
 class Tree:
     """A binary decision tree by Gini impurity."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 8):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 10):
         self.feature = self.cut = None
         self.value = bool(y.mean() >= 0.5)
         if depth == 0 or len(set(y.tolist())) < 2:
