@@ -41,10 +41,16 @@ OVERALL, STRETCH = 16, 1_000_000
 #: Tokens that the order treats as frequent, at most: what is broadcast is 8 bytes for each.
 FREQUENT = 1_000_000
 WORD = byte_class("space")
+#: Bytes of text that one vectorised step works on here, and that a Python task gets at once: its executor's heap is grown by then.
+STEP_BYTES, BATCH_BYTES = 1 << 18, 1 << 21
 
 _MULTIPLIER = U64(0xD6E8FEB86659FD93)
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    return materialize(df, name, BATCH_BYTES)
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> list[np.ndarray]:
     """The sorted set of shingle hashes of each document; fewer words than ``size`` are one shingle, none give none."""
     words = Words(ASCII_LOWER[data], offsets, WORD)
@@ -114,7 +120,7 @@ def _first_pass(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
         return record_batch(FIRST, [none, none, none, none, pa.nulls(len(token), pa.list_(pa.int64())), token.view(np.int64), seen])
 
     for batch in batches:
-        for i, j, data, offsets in slices(batch.column(1)):
+        for i, j, data, offsets in slices(batch.column(1), STEP_BYTES):
             n, s1, s2, bits = [], [], [], []
             for s in shingle_sets(data, offsets):
                 a, b = _signature(s) if len(s) else (0, 0)
@@ -141,7 +147,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], shared, percent: int) -> Iterat
     known: set[tuple] = set()
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for i, _, data, offsets in slices(batch.column(1)):
+        for i, _, data, offsets in slices(batch.column(1), STEP_BYTES):
             tokens, owners = [], []
             for k, s in enumerate(shingle_sets(data, offsets)):
                 if not len(s):
@@ -221,7 +227,7 @@ def _link_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
 
     for batch in batches:
         names, reps = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for i, _, data, offsets in slices(batch.column(2)):
+        for i, _, data, offsets in slices(batch.column(2), STEP_BYTES):
             for k, s in enumerate(shingle_sets(data, offsets), i):
                 if names[k] != block:
                     finish()
@@ -347,9 +353,9 @@ def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFram
     # sizes of similar sets differ by a factor of 100 / percent at most, so that their classes, a little wider, differ by one at most
     size = F.floor(F.log(F.col("n").cast("double")) / math.log(100.0 / percent * 1.0001)).cast("long")
     ranked = ranked.join(sets.select("rep", "n"), "rep").select("rep", "comp", rank.alias("rank"), group.alias("base"), size.alias("cls"))
-    placed = materialize(shared.join(ranked.withColumn("grp", F.concat_ws("/", "base", "cls")), "rep"), "placed")
+    placed = _kept(shared.join(ranked.withColumn("grp", F.concat_ws("/", "base", "cls")), "rep"), "placed")
     mixed = placed.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a < _b").select("token")
-    open_ = materialize(placed.join(mixed, "token", "left_semi"), "open")
+    open_ = _kept(placed.join(mixed, "token", "left_semi"), "open")
     if open_.isEmpty():
         discard(placed, open_)
         return None
@@ -357,7 +363,7 @@ def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFram
     near = (F.abs(F.col("_cls") - F.col("cls")) <= 1) & (F.col("_base") != F.col("base"))
     asks = ((F.col("_rank") > F.col("rank")) | ((F.col("_rank") == F.col("rank")) & (F.col("_base") < F.col("base")))) & ((F.col("_a") != F.col("comp")) | (F.col("_b") != F.col("comp")))
     queries = open_.join(groups, "token").where(asks & near).select("rep", F.col("_grp").alias("comp")).distinct()
-    queries = materialize(queries, "queries")
+    queries = _kept(queries, "queries")
     discard(open_)
 
     of_group = placed.select("rep", F.col("grp").alias("comp")).distinct()
@@ -372,7 +378,7 @@ def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFram
         .groupBy("comp").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("row")).select("comp", F.col("row.word").alias("union"))
     )
     asked = queries.join(sets.select("rep", "n", "bits"), "rep").join(union, "comp").select("rep", "n", "bits", "comp", "union")
-    good = materialize(asked.mapInArrow(lambda it: _bounded(it, percent), "rep long, comp string"), "qualified")
+    good = _kept(asked.mapInArrow(lambda it: _bounded(it, percent), "rep long, comp string"), "qualified")
 
     # open the groups: members and visitors of a group are dealt to a grid of blocks, so that each pair meets in one
     inside = of_group.join(good.select("comp").distinct(), "comp", "left_semi")
@@ -382,9 +388,9 @@ def _across(shared: DataFrame, rows: DataFrame, sets: DataFrame, comps: DataFram
     cell = lambda m, v: F.concat_ws(":", "comp", m, v)
     mine = inside.join(grid, "comp").select("rep", "comp", F.pmod(F.xxhash64("rep"), "mb").alias("m"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("vb") - 1)).alias("v"))
     theirs = good.join(grid, "comp").select("rep", "comp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1)).alias("m"), F.pmod(F.xxhash64("rep"), "vb").alias("v"))
-    blocks = materialize(mine.unionByName(theirs).select(cell("m", "v").alias("block"), "rep"), "grid")
+    blocks = _kept(mine.unionByName(theirs).select(cell("m", "v").alias("block"), "rep"), "grid")
     discard(placed, queries, good)
-    outer = materialize(_linked(blocks, rows, percent), "links-outer")
+    outer = _kept(_linked(blocks, rows, percent), "links-outer")
     discard(blocks)
     return outer
 
@@ -411,13 +417,13 @@ def _found(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFra
         named = lambda c: F.col(c).cast(kind)
         found = _components(rows.select(F.col("id").cast("long"), "text"), percent)
         return found.select(named("id").alias("name"), "n", named("component").alias("component"), named("rep").alias("class"), F.lit(None).cast("long").alias("mark"))
-    numbered = materialize(rows.select(F.col("id").alias("name"), F.monotonically_increasing_id().alias("id"), "text"), "numbered")
+    numbered = _kept(rows.select(F.col("id").alias("name"), F.monotonically_increasing_id().alias("id"), "text"), "numbered")
     marked = numbered.select("id", "name", F.xxhash64("text").alias("mark"))
-    found = materialize(_components(numbered.select("id", "text"), percent).join(marked, "id"), "numbered-components")
+    found = _kept(_components(numbered.select("id", "text"), percent).join(marked, "id"), "numbered-components")
     total = found.count()
     for key, name in (("component", "least"), ("rep", "class")):
         least = found.groupBy(key).agg(F.min("name").alias(name), F.count(F.lit(1)).alias("_n"))
-        found = materialize(join_counted(found, least, [key], "inner", total), "numbered-names")
+        found = _kept(join_counted(found, least, [key], "inner", total), "numbered-names")
     discard(numbered)
     return found.select("name", "n", F.col("least").alias("component"), "class", "mark")
 
@@ -425,41 +431,41 @@ def _found(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFra
 def _components(rows: DataFrame, percent: int) -> DataFrame:
     """(id, n, rep, component) for ``rows`` (id: long, unique; text). Tables that no later step reads are deleted on the way."""
     spark = rows.sparkSession
-    first = materialize(rows.mapInArrow(lambda it: _first_pass(it, percent), FIRST_DDL), "signatures")
+    first = _kept(rows.mapInArrow(lambda it: _first_pass(it, percent), FIRST_DDL), "signatures")
 
     described = first.where("id is not null").select("id", "n", "s1", "s2")
     classes = described.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("_n"))
     placed = join_counted(described.where("n > 0"), classes, ["n", "s1", "s2"], "inner", described.count()).select("id", "n", "rep")
-    placed = materialize(placed.unionByName(described.where("n = 0").select("id", "n", F.col("id").alias("rep"))), "classes")
+    placed = _kept(placed.unionByName(described.where("n = 0").select("id", "n", F.col("id").alias("rep"))), "classes")
 
     often = first.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= OVERALL)
     often = often.orderBy(F.desc("seen"), "token").limit(FREQUENT).select("token").toArrow()
     frequent = np.sort(often.column(0).to_numpy().view(U64)) if often.num_rows else np.zeros(0, U64)
     shared_order = spark.sparkContext.broadcast(frequent)
 
-    prefixes = materialize(rows.mapInArrow(lambda it: _prefixes(it, shared_order, percent), "token long, id long"), "prefixes")
+    prefixes = _kept(rows.mapInArrow(lambda it: _prefixes(it, shared_order, percent), "token long, id long"), "prefixes")
     several = prefixes.groupBy("token").agg(F.min("id").alias("_a"), F.max("id").alias("_b")).where("_a < _b").select("token")
     met = prefixes.join(several, "token", "left_semi")
-    by_class = materialize(met.join(placed.select("id", "rep"), "id").select("token", "rep").distinct(), "met")
+    by_class = _kept(met.join(placed.select("id", "rep"), "id").select("token", "rep").distinct(), "met")
     discard(prefixes)
     different = by_class.groupBy("token").agg(F.min("rep").alias("_a"), F.max("rep").alias("_b")).where("_a < _b").select("token")
-    shared = materialize(by_class.join(different, "token", "left_semi"), "shared")
+    shared = _kept(by_class.join(different, "token", "left_semi"), "shared")
     discard(by_class)
 
     sets = first.where("id is not null").select(F.col("id").alias("rep"), "n", "bits").join(shared.select("rep").distinct(), "rep", "left_semi")
-    sets = materialize(sets, "sets")
+    sets = _kept(sets, "sets")
     discard(first)
 
     # two tokens of each set name its groups: the first and the last by hash
     keys = shared.groupBy("rep").agg(F.min("token").alias("a"), F.max("token").alias("b")).select("rep", F.explode(F.array_distinct(F.array("a", "b"))).alias("key"), "a")
-    keys = materialize(keys.select("rep", "key", (F.col("key") == F.col("a")).alias("is_first")).join(sets.select("rep", "n"), "rep"), "group-keys")
+    keys = _kept(keys.select("rep", "key", (F.col("key") == F.col("a")).alias("is_first")).join(sets.select("rep", "n"), "rep"), "group-keys")
     blocks = keys.groupBy("key").agg(F.count(F.lit(1)).alias("_n"), _cells().alias("blocks")).where("_n > 1").drop("_n")
     dealt = keys.join(blocks, "key").select(F.concat_ws(":", "key", F.pmod(F.xxhash64("rep", "key"), "blocks")).alias("block"), "rep", "is_first")
-    dealt = materialize(dealt, "dealt")
+    dealt = _kept(dealt, "dealt")
     discard(keys)
     compared = dealt.join(sets, "rep").select("block", "rep", "n", "bits").repartition("block").sortWithinPartitions("block")
-    possible = materialize(compared.mapInArrow(lambda it: _with_partner(it, percent), "block string, rep long"), "possible")
-    inner = materialize(_linked(possible, rows, percent), "links-inner")
+    possible = _kept(compared.mapInArrow(lambda it: _with_partner(it, percent), "block string, rep long"), "possible")
+    inner = _kept(_linked(possible, rows, percent), "links-inner")
     comps = connected(inner)
     outer = _across(shared, rows, sets, comps, dealt, percent)
     discard(shared, sets, dealt, possible, inner)
@@ -476,6 +482,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id are each judged by themselves. Null, empty and wordless texts stay. An empty table gives no row.
     """
     lost = _found(docs, id_col, text_col, percent).where(F.col("name") != F.col("component")).select(F.col("name").alias("_lost"), F.col("mark").alias("_mark"))
-    lost = materialize(lost.distinct(), "near-copies")
+    lost = _kept(lost.distinct(), "near-copies")
     same = lost["_mark"].isNull() | (lost["_mark"] == F.xxhash64(docs[text_col]))
     return without(docs, lost, [docs[id_col]], [lost["_lost"]], same)

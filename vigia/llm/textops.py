@@ -163,13 +163,15 @@ def shared_folder(spark: SparkSession) -> str:
 WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it again: lineage is cut, sizes are known, a lost executor loses nothing."""
+def materialize(df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it again: lineage is cut, sizes are known, a lost executor loses nothing.
+    ``batch_bytes``: what Python tasks get at once, if not what ``WRITING`` says."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    before = {k: spark.conf.get(k, None) for k in WRITING}
+    settings = WRITING | ({"spark.sql.execution.arrow.maxBytesPerBatch": str(batch_bytes)} if batch_bytes else {})
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
-        for k, v in WRITING.items():
+        for k, v in settings.items():
             spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
