@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import measures, rules, text, weeks
-from ..operators import aggregates, emergency, models, normalise, panel, predict, pressure
+from ..operators import aggregates, emergency, models, normalise, panel, predict, pressure, selection
 from ..sources import tables
 from ..sources.stages import written
 from ..streaming import weekly as stream
@@ -157,3 +157,27 @@ def raw_columns(spark, sf_dir):
     named = tables.resolve(raw, {"sequencial": [], "data_coleta": ["DATA COLETA"], "municipio": ["municipio"], "falta": []})
     day = text.date_of(F.col("data_coleta"))
     return named.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("sequencial").alias("chaves"), F.min(day).cast("string").alias("primeira"), F.max(day).cast("string").alias("ultima"), F.count_if(text.fix_mojibake(F.col("municipio")) == "Município").alias("mojibake"))
+
+
+#: Groups of the targets at hand.
+_GROUPS = {"Promoções": ["promo"], "Tamanhos": ["large", "medium", "small"]}
+
+
+@query(f"""WITH {PANEL}, s AS (SELECT * FROM panel WHERE (target LIKE '%large%' OR target LIKE '%medium%' OR target LIKE '%small%') AND municipio IN ('NATION_3', 'NATION_7', 'NATION_11') AND epi_year BETWEEN 1997 AND 1999 AND epi_week BETWEEN 10 AND 30)
+SELECT epi_year, epi_week, target, sum(tests)::BIGINT AS tests, sum(positives)::BIGINT AS positives, sum(notificacoes)::BIGINT AS notificacoes, sum(obitos)::BIGINT AS obitos, round(avg(incidencia_100k), 6) AS incidencia_100k, round(sum(positives) / sum(tests)::DOUBLE, 6) AS positividade FROM s GROUP BY ALL""")
+def selected_series(spark, sf_dir):
+    """The series of a group of targets in three towns, some weeks of three years: what is asked for is what the operator is for."""
+    chosen = selection.selected(panel_of(spark, sf_dir), "Tamanhos", ["NATION_3", "NATION_7", "NATION_11"], years=(1997, 1999), weeks=(10, 30), groups=_GROUPS)
+    return rounded(selection.series(chosen))
+
+
+@query(f"WITH {b.EXAM}, {b.WEEKLY}, t AS (SELECT target, sum(tests) AS n FROM weekly GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5) SELECT target, epi_year, sum(tests)::BIGINT AS tests, sum(positives)::BIGINT AS positives, round(sum(positives) / sum(tests)::DOUBLE, 6) AS positividade, any_value(n)::BIGINT AS tests_total FROM weekly JOIN t USING (target) GROUP BY 1, 2")
+def annual_top_targets(spark, sf_dir):
+    """O89, O104: the years of the five targets with the most exams."""
+    return rounded(selection.annual_top(aggregates.weekly(b.exams(spark, sf_dir))))
+
+
+@query(f"WITH {b.READING}, {_WEATHER} SELECT epi_week, round(avg(temperature_2m_max), 6) AS temperature_2m_max, round(avg(precipitation_sum_mm), 6) AS precipitation_sum_mm, round(avg(n_eventos_climaticos), 6) AS n_eventos_climaticos FROM wt GROUP BY 1")
+def climate_series(spark, sf_dir):
+    """O89."""
+    return rounded(selection.climate_series(weather_of(spark, sf_dir), _VARIABLES))
