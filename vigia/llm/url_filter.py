@@ -9,6 +9,8 @@ from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,12 @@ RULES = [
 ]
 #: Labelled urls that the trees are fitted on, about, suffixes whose statistics are kept, and folds that these are taken over.
 TRAIN_ROWS, SUFFIXES, FOLDS = 20_000, 2_000, 5
-FEATURES = ["f_length", "f_path_length", "f_depth", "f_labels", "f_digits", "f_entropy", "f_params", "f_hyphens", "f_suffix_rate", "f_suffix_count"]
+#: Places to which the first label of a host and the first word of a path are hashed, each with a column of its own.
+PLACES = 16
+FEATURES = [
+    "f_length", "f_host_length", "f_path_length", "f_depth", "f_labels", "f_longest_label", "f_first_word", "f_letters", "f_digits", "f_entropy", "f_params", "f_hyphens", "f_suffix_rate", "f_suffix_count",
+    *[f"f_host_{k}" for k in range(PLACES)], *[f"f_path_{k}" for k in range(PLACES)],
+]
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -62,8 +69,16 @@ def features(urls: DataFrame) -> DataFrame:
     url = F.coalesce("url", F.lit(""))
     count = lambda c, pattern: F.length(c) - F.length(F.regexp_replace(c, pattern, ""))
     n = F.greatest(F.length(url), F.lit(1)).cast("double")
+    first_label, first_word = F.element_at(F.split("host", r"\."), 1), F.lower(F.regexp_extract("path", "^/+([^/]*)", 1))
+    place = lambda c, k: (F.pmod(F.xxhash64(c), F.lit(PLACES)) == k).cast("double")
     return urls.select(
         "*",
+        F.length("host").cast("double").alias("f_host_length"),
+        F.array_max(F.transform(F.split("host", r"\."), F.length)).cast("double").alias("f_longest_label"),
+        F.length(first_word).cast("double").alias("f_first_word"),
+        (count(F.col("host"), "[a-z]") / F.greatest(F.length("host"), F.lit(1)).cast("double")).alias("f_letters"),
+        *[place(first_label, k).alias(f"f_host_{k}") for k in range(PLACES)],
+        *[place(first_word, k).alias(f"f_path_{k}") for k in range(PLACES)],
         F.length(url).cast("double").alias("f_length"),
         F.length("path").cast("double").alias("f_path_length"),
         count(F.col("path"), "/").cast("double").alias("f_depth"),
@@ -95,15 +110,30 @@ def _known(urls: DataFrame, rates: DataFrame, fold: Column) -> DataFrame:
 
 
 def _learned(labelled: DataFrame, total: int, train_rows: int, suffixes: int):
-    """The trees, fitted on about ``train_rows`` of the labelled urls (label, suffix, features), and the suffix table; None where one class is left."""
+    """The trees, fitted on about ``train_rows`` of the labelled urls (label, suffix, features), their calibration on a fifth of these that the trees
+    have not seen (None where it has one class), and the suffix table; None where one class is left."""
     folded = labelled.withColumn("fold", F.pmod(F.xxhash64("url", "page_id", F.lit(1)), F.lit(FOLDS)).cast("int"))
     rates = materialize(suffix_rates(folded, suffixes), "url-suffixes")
     share = min(1.0, train_rows / max(1, total))
     sample = folded.where(F.pmod(F.xxhash64("page_id", "url"), F.lit(1_000_000)) < F.lit(round(share * 1_000_000)))
-    train = materialize(_known(sample, rates, F.col("fold")).select("features", "label"), "url-train")
-    if train.select("label").distinct().count() < 2:
+    late = F.pmod(F.xxhash64("url", F.lit(3)), F.lit(5)) == 0
+    train = materialize(_known(sample.withColumn("late", late), rates, F.col("fold")).select("features", "label", "late"), "url-train")
+    classes = {(r["late"], r["label"]) for r in train.select("late", "label").distinct().collect()}
+    whole = len({c for x, c in classes if not x}) < 2  # too few for a part of their own
+    if len({c for _, c in classes}) < 2:
         return None
-    return GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=7).fit(train), rates
+    model = GBTClassifier(maxIter=40, maxDepth=4, stepSize=0.15, seed=7).fit(train if whole else train.where(~F.col("late")))
+    calibration = None
+    if not whole and len({c for x, c in classes if x}) == 2:
+        calibration = IsotonicRegression(featuresCol="probability", featureIndex=1, labelCol="label", predictionCol="score").fit(model.transform(train.where("late")).drop("prediction"))
+    return model, calibration, rates
+
+
+def _scored(urls: DataFrame, learned, fold: Column) -> DataFrame:
+    """``urls`` with score, the probability that a url is to be blocked."""
+    model, calibration, rates = learned
+    found = model.transform(_known(urls, rates, fold)).drop("prediction")
+    return calibration.transform(found) if calibration else found.withColumn("score", vector_to_array("probability")[1])
 
 
 def _ruled(pages: DataFrame, rules, id_col: str, url_col: str) -> tuple[DataFrame, DataFrame]:
@@ -132,17 +162,20 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     learned = _learned(labelled, sum(counts.values()), train_rows, suffixes)
     if learned is None:
         return out(urls, F.lit("block" if counts[1.0] > counts[0.0] else "allow"))
-    model, rates = learned
-    return out(model.transform(_known(urls, rates, F.lit(-1))), F.when(F.col("prediction") == 1.0, "block").otherwise("allow"))
+    return out(_scored(urls, learned, F.lit(-1)), F.when(F.col("score") > 0.5, "block").otherwise("allow"))
 
 
 def measured(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", train_rows: int = TRAIN_ROWS, suffixes: int = SUFFIXES) -> tuple[DataFrame, list[float]]:
-    """How the trees do on labelled urls that they have not seen, a fifth by hash: (suffix, n, n_block, n_right), and the importance of each of
-    ``FEATURES``. Needs urls of both classes."""
+    """How the trees do on labelled urls that they have not seen, a fifth by hash: by suffix n, n_block, n_right, n_majority (right if the verdict that most
+    labelled urls of the learning part have were always given) and log_loss, and the importance of each of ``FEATURES``. Needs urls of both classes."""
     _, labelled = _ruled(pages, rules, id_col, url_col)
     kept = F.pmod(F.xxhash64("url", F.lit(2)), F.lit(5)) == 0
     learning = labelled.where(~kept)
-    model, rates = _learned(learning, learning.count(), train_rows, suffixes)
-    scored = model.transform(_known(labelled.where(kept), rates, F.lit(-1)))
-    found = scored.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("n_block"), F.count_if(F.col("prediction") == F.col("label")).alias("n_right"))
-    return found, list(model.featureImportances.toArray())
+    seen = learning.agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("block")).first()
+    learned = _learned(learning, seen["n"], train_rows, suffixes)
+    scored = _scored(labelled.where(kept), learned, F.lit(-1))
+    p = F.greatest(F.least("score", F.lit(0.999)), F.lit(0.001))
+    loss = -F.when(F.col("label") == 1, F.log(p)).otherwise(F.log(1 - p))
+    found = scored.groupBy("suffix").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("n_block"), F.count_if((F.col("score") > 0.5) == (F.col("label") == 1)).alias("n_right"), F.count_if(F.col("label") == F.lit(float(seen["block"] >= 0.5))).alias("n_majority"), F.avg(loss).alias("log_loss"))
+    return found, list(learned[0].featureImportances.toArray())
