@@ -11,6 +11,7 @@ from __future__ import annotations
 import ctypes
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -20,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ..sources.stages import path_of, shared_folder
+
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2**64)
@@ -148,26 +151,30 @@ def hash_word(word: bytes) -> int:
     return int(Words(data, np.array([0, len(data)]), np.ones(256, bool)).hashes()[0])
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir. Where it is unset, one under the warehouse, but only on one machine (master local)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
-    return folder.rstrip("/")
-
-
 #: Settings of a session that writes a table: its shuffle files can go when it is there, since it stands for
 #: the plan from then on, and Python tasks get batches of bounded size.
 WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
 
 
-def materialize(df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame:
+_scratch: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder of the shared one for all tables that are written inside, and that go with it at the end."""
+    _scratch.append(f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}")
+    try:
+        yield _scratch[-1]
+    finally:
+        fs, at = path_of(spark, _scratch.pop())
+        fs.delete(at, True)
+
+
+def materialize(df: DataFrame, name: str, batch_bytes: int | None = None, folder: str | None = None) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it again: lineage is cut, sizes are known, a lost executor loses nothing.
-    ``batch_bytes``: what Python tasks get at once, if not what ``WRITING`` says."""
+    ``batch_bytes``: what Python tasks get at once, if not what ``WRITING`` says; ``folder``: where, if not in the folder of ``scratch`` or the shared one."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{folder or (_scratch[-1] if _scratch else shared_folder(spark))}/{name}-{uuid.uuid4().hex}"
     settings = WRITING | ({"spark.sql.execution.arrow.maxBytesPerBatch": str(batch_bytes)} if batch_bytes else {})
     before = {k: spark.conf.get(k, None) for k in settings}
     try:
@@ -185,9 +192,8 @@ def materialize(df: DataFrame, name: str, batch_bytes: int | None = None) -> Dat
 def discard(*written: DataFrame) -> None:
     """Deletes tables of ``materialize`` that nothing will read again."""
     for df in written:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df._folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        fs, at = path_of(df.sparkSession, df._folder)
+        fs.delete(at, True)
 
 
 #: A key with more than this part of all rows counts as hot; there are fewer such keys than its inverse.
