@@ -1,11 +1,15 @@
 """The stages of the corpus pipeline, each against a plain version of itself on its own input."""
 
 import hashlib
+import os
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from vigia.llm import sentencepiece_codec
 from vigia.llm.queries import queries
+from vigia.llm.textops import shared_folder
 
 from .test_pairs_and_copies import brute_components, brute_hits, shingles
 
@@ -56,3 +60,43 @@ def test_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+ROWS = [
+    (1, "you are a lovely reader of this short note", "en", "web", 5, "a", 1), (9, "you are a lovely reader of this short note", "en", "web", 5, "b", 2), (None, "you are a lovely reader of this short note", None, None, None, None, None),
+    (4, None, "en", "web", None, "c", 3), (5, "", "en", "web", 0, "d", 4), (6, "   \n", "en", "web", 0, "e", 5), (7, "one two", "en", "web", 1, "f", 6), (7, "one two", "en", "web", 1, "f", 6), (8, "one two", "en", "web", 1, "g", 7),
+    (20, " ".join(f"w{k}" for k in range(60)), "en", "web", 1, "h", 8), (21, " ".join(f"w{k}" for k in range(59)) + " tail", "en", "web", 1, "i", 9), (22, "long " * 30_000, "en", "web", 1, "j", 10),
+]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _block string, _lost int"
+
+
+def test_stages_on_nulls_repeats_long_texts_and_clashing_names(spark):
+    """What each stage keeps of a table with columns whose names its own steps use."""
+    docs = spark.createDataFrame(ROWS, SCHEMA).repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    left = lambda name, df=docs: stages[name](spark, df, SF)
+    ids = lambda df: sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["_lost"] or 0) for r in df.collect())
+    every = ids(docs)
+
+    sample = spark.read.parquet(f"{SF}/documents.parquet")  # has the labels that are learned from
+    mixed = docs.withColumn("doc_id", F.col("doc_id") + 10**6).unionByName(sample.select("*", F.lit(None).cast("string").alias("_block"), F.lit(None).cast("int").alias("_lost")))
+    clean = left("toxicity", mixed)
+    mine = [r["text"] for r in clean.where("doc_id >= 1000000 or doc_id is null").collect()]
+    assert clean.columns == docs.columns and 100 < clean.count() < mixed.count()
+    assert len(mine) > 5 and all(mine.count(t) == sum(r[1] == t for r in ROWS) for t in set(mine))  # equal texts go or stay together
+    once = left("exact dedup")  # null counts as empty: of 4 and 5 the latter stays; 7 twice and 8 are one group
+    assert once.columns == docs.columns and ids(once) == sorted(x for x in every if x[1] not in (1, 4, 7) or not x[0])
+    far = left("n-gram jaccard join")  # the smallest id of a group stays, as often as it is there; what has no word links with nothing
+    assert far.columns == docs.columns and ids(far) == sorted(x for x in every if x[1] not in (8, 9, 21))
+    fresh = left("benchmark decontamination")
+    assert fresh.columns == docs.columns and ids(fresh) == every
+    tokens = left("sentencepiece").collect()
+    assert len(tokens) == len(ROWS) and all(r["round_trip"] for r in tokens) and sum(r["n_tokens"] == 0 for r in tokens) == 2
+
+
+def test_a_run_leaves_only_what_its_result_reads(spark):
+    """Once the rows are written, one table can go: the input of the last stage."""
+    folder = shared_folder(spark).removeprefix("file://")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert len(rows) > 100 and [x.split("-")[0] for x in set(os.listdir(folder)) - before] == ["benchmark"]
