@@ -41,18 +41,32 @@ def text_form(head: bytes, candidates: str = SEPARATORS) -> tuple[str, str]:
 
 
 def head_of(spark: SparkSession, path: str) -> bytes:
-    """The first bytes of a file, or of the first file of a folder, in any store."""
+    """The first bytes of a file, or of the first file of a folder that has more than a header, in any store. A folder without such a file
+    gives the first bytes of its first file with any."""
     fs, at = path_of(spark, path)
     if fs.getFileStatus(at).isDirectory():
-        names = sorted(f.getPath().toString() for f in fs.listStatus(at) if f.isFile() and not f.getPath().getName().startswith(("_", ".")))
-        if not names:
-            return b""
-        at = path_of(spark, names[0])[1]
-    stream = fs.open(at)
-    try:
-        return bytes(stream.readNBytes(HEAD_BYTES))
-    finally:
-        stream.close()
+        files = sorted((f.getPath() for f in fs.listStatus(at) if f.isFile() and f.getLen() > 0 and not f.getPath().getName().startswith(("_", "."))), key=lambda f: f.toString())
+    else:
+        files = [at]
+    first = b""
+    for file in files:
+        stream = fs.open(file)
+        try:
+            head = bytes(stream.readNBytes(HEAD_BYTES))
+        finally:
+            stream.close()
+        if len([x for x in head.splitlines() if x.strip()]) > 1:
+            return head
+        first = first or head
+    return first
+
+
+def form_of(spark: SparkSession, path: str) -> tuple[str, str]:
+    """O1: (encoding, separator) of a file or a folder: UTF-8 only if every line of every file is that, as a first file may hold no letter that tells;
+    the separator by ``text_form``."""
+    _, sep = text_form(head_of(spark, path))
+    valid = spark.read.text(path).agg(F.bool_and(F.is_valid_utf8("value"))).first()[0]
+    return "ISO-8859-1" if valid is False else "UTF-8", sep
 
 
 @dataclass
@@ -67,8 +81,8 @@ class Scanned:
 def scan_checked(spark: SparkSession, path: str, columns: list[str], form: tuple[str, str] | None = None) -> Scanned:
     """A delimited text with a header, each column a string. Lines with more or fewer fields than ``columns`` go to a quarantine table.
 
-    The text is parsed once, and written; counts are taken by an observation as it passes. Every line but the header is in one of the two."""
-    encoding, sep = form or text_form(head_of(spark, path))
+    Its lines are looked at for their encoding, unless ``form`` gives it, then parsed once, and written; counts are taken by an observation as it passes. Every line but the header is in one of the two."""
+    encoding, sep = form or form_of(spark, path)
     schema = T.StructType([*[T.StructField(c, T.StringType()) for c in columns], T.StructField("_line", T.StringType())])
     read = spark.read.schema(schema).options(sep=sep, encoding=encoding, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_line", enforceSchema=True).csv(path)
     seen = Observation(f"scan-{uuid.uuid4().hex}")
