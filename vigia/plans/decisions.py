@@ -67,10 +67,10 @@ pa AS (SELECT w.municipio, w.epi_year, w.epi_week, tests, positives, coalesce(no
 @query(f"WITH {_DISTRICT}, {(_RW + ', ' + _CONF).replace('FROM panel', 'FROM pa')} SELECT * FROM diverging")
 def divergence(spark, sf_dir):
     """O57, O119: by the smallest places at hand (each customer is one), as of a week in which both exams and notifications go on."""
-    noted = aggregates.notified(b.notifications(spark, sf_dir, district=True))
-    weekly = aggregates.weekly(b.exams(spark, sf_dir, district=True)).where(weeks.ordinal(F.col("epi_year"), F.col("epi_week")) <= _AS_OF)
-    keys = ["epi_year", "epi_week", "municipio", "agravo"]
-    seen = weekly.withColumn("agravo", b.disease_of(F.col("target"))).join(noted.select(*keys, "notificacoes"), keys, "left").fillna(0, ["notificacoes"])
+    keys, tasks = ["epi_year", "epi_week", "municipio", "agravo"], b.tasks_for(spark, sf_dir, "lineitem")  # these cells grow with the exams
+    noted = aggregates.notified(b.dealt(b.notifications(spark, sf_dir, district=True), tasks, *keys))
+    weekly = aggregates.weekly(b.dealt(b.exams(spark, sf_dir, district=True), tasks, *aggregates.CELL)).where(weeks.ordinal(F.col("epi_year"), F.col("epi_week")) <= _AS_OF)
+    seen = b.dealt(weekly.withColumn("agravo", b.disease_of(F.col("target"))), tasks, *keys).join(noted.select(*keys, "notificacoes"), keys, "left").fillna(0, ["notificacoes"])
     seen = written(seen.select("municipio", "epi_year", "epi_week", "tests", "positives", "notificacoes"), "districts")
     return emergency.divergence(territory.confidence(seen, noted), seen)
 
