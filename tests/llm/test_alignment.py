@@ -82,3 +82,17 @@ def test_partial_counts_are_added_up_within_a_task(spark, monkeypatch):
     aligned = alignment.alignments(docs, *alignment.default_paths())
     monkeypatch.setattr(alignment, "PARTIAL_ROWS", 2)
     assert {r["n"] for r in alignment.pair_counts(aligned).collect()} == {300}
+
+
+def test_repeated_words_are_encoded_once_and_ids_are_those_of_whole_texts(monkeypatch):
+    odd = [None, "", " a", "a ", "  a  b ", "a \n b", "don't  do 'll x's", "x ▁y ▁ z▁ q", "<s> </s> <|endoftext|> a", "　a b", "\x1c a b\x1d c", "é é ́x", "日本 語", "\x00 a b", "a\tb c", "1 2 33 4'5", "a b" * 5]
+    texts = [t or "" for t in odd] + ["the same words " * 500] * 3
+    for path in alignment.default_paths():
+        s = alignment.side(*alignment.load(path))
+        assert alignment._encoded(texts, s).to_pylist() == [x if t else [] for x, t in zip(s.tokenizer.encode(texts), texts, strict=True)]
+        assert alignment._encoded([], s).to_pylist() == []
+    s, sizes = alignment.side(*alignment.load(alignment.default_paths()[0])), []
+    encode = s.tokenizer.encode
+    monkeypatch.setattr(s.tokenizer, "encode", lambda x: sizes.append(sum(map(len, x))) or encode(x))
+    alignment.align(["the same words " * 500] * 3, s, alignment.side(*alignment.load(alignment.default_paths()[1])))
+    assert sizes and max(sizes) < 100

@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -64,6 +65,12 @@ class ByteLevel:
         found = {i: bytes(alphabet[c] for c in t) for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
         return [found.get(i, b"") for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
 
+    def cuts(self) -> bool:
+        """Whether texts fall into words by the usual expression, unchanged, and no plain text is an added token."""
+        form = json.loads(self.tokenizer.to_str())
+        pre = form["pre_tokenizer"] or {}
+        return pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not form["normalizer"] and all(t["special"] for t in form["added_tokens"])
+
 
 class Pieces:
     """A SentencePiece model (the bytes of its file); it puts the space before the text by itself."""
@@ -91,11 +98,12 @@ def load(path: str) -> tuple[str, bytes]:
 
 @dataclass
 class Side:
-    """One tokenizer inside a task: how it encodes, and the bytes and the decimal spelling of each id as Arrow arrays."""
+    """One tokenizer inside a task: how it encodes, the bytes and the decimal spelling of each id as Arrow arrays, and whether texts may be cut into words."""
 
     tokenizer: ByteLevel | Pieces
     bytes: pa.Array
     spelled: pa.Array
+    cuts: bool = False
 
 
 _sides: dict[bytes, Side] = {}
@@ -106,7 +114,7 @@ def side(kind: str, content: bytes) -> Side:
     if key not in _sides:
         tokenizer = (ByteLevel if kind == "bytes" else Pieces)(content)
         listed = tokenizer.token_bytes()
-        _sides[key] = Side(tokenizer, pa.array(listed, pa.large_binary()), pa.array([str(i) for i in range(len(listed))], pa.large_string()))
+        _sides[key] = Side(tokenizer, pa.array(listed, pa.large_binary()), pa.array([str(i) for i in range(len(listed))], pa.large_string()), kind == "bytes" and tokenizer.cuts())  # pieces of whole texts cost less than their words
     return _sides[key]
 
 
@@ -128,8 +136,41 @@ class Flat:
     size: np.ndarray
 
 
-def _flat(lists: list[list[int]], s: Side) -> Flat:
-    column = pa.array(lists, pa.list_(pa.int32()))
+#: A space between two characters that are no white space: the usual expression of byte-level vocabularies cuts before it.
+CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
+def _encoded(texts: list[str], s: Side) -> pa.ListArray:
+    """The ids of each text, as if it were encoded whole. Where the tokenizer allows it (``Side.cuts``), texts are cut into words, and each
+    distinct word of the slice is encoded once: those without white space at an end as one text, the others each as a text. Where a
+    token reaches over the end of a word in bytes, or a word is not spelled byte for byte, all texts are encoded whole."""
+    whole = lambda: pa.array([x if t else [] for x, t in zip(s.tokenizer.encode(texts), texts, strict=True)], pa.list_(pa.int32()))
+    if not s.cuts:
+        return whole()
+    cut = [CUT.split(t) if t else [] for t in texts]
+    code = pa.array([w for words in cut for w in words], pa.large_string()).dictionary_encode()
+    listed = code.dictionary.to_pylist()
+    odd = np.array([w[0].isspace() or w[-1].isspace() for w in listed], bool)
+    order = np.argsort(odd, kind="stable")  # the place of a word: plain ones first
+    plain = len(listed) - int(odd.sum())
+    alone = [listed[k] for k in order[plain:]]
+    ids = pa.array([i for x in s.tokenizer.encode(([" ".join([listed[k] for k in order[:plain]])] if plain else []) + alone) for i in x], pa.int32())
+    reach = pc.cumulative_sum(pc.binary_length(s.bytes.take(ids)).cast(pa.int64())).to_numpy()
+    ends = np.cumsum(1 + pc.binary_length(code.dictionary).to_numpy()[order])
+    last = np.searchsorted(reach, ends, side="right")  # tokens up to the end of each word
+    if len(ends) and (last[-1] != len(ids) or (last == 0).any() or (reach[last - 1] != ends).any()):
+        return whole()
+    counts = np.diff(last, prepend=0)
+    place = np.empty(len(listed), np.int64)
+    place[order] = np.arange(len(listed))
+    word = place[code.indices.to_numpy()]
+    per = counts[word]
+    upto = np.concatenate([[0], np.cumsum(per)])
+    tokens = np.repeat((last - counts)[word] - upto[:-1], per) + np.arange(upto[-1])
+    return pa.ListArray.from_arrays(pa.array(upto[np.concatenate([[0], np.cumsum([len(words) for words in cut])]).astype(np.int64)], pa.int32()), ids.take(pa.array(tokens)))
+
+
+def _flat(column: pa.ListArray, s: Side) -> Flat:
     doc, ids = pc.list_parent_indices(column).to_numpy(), pc.list_flatten(column)
     spelled = s.bytes.take(ids)
     reach = np.concatenate([[0], pc.cumulative_sum(pc.binary_length(spelled)).to_numpy()])  # over the slice
@@ -167,7 +208,7 @@ def align(texts: list[str], a: Side, b: Side) -> list:
     n, some = len(texts), [t or "" for t in texts]
     spaced = pa.array([f" {t}" for t in some], pa.large_string())
     size = np.where(np.array([t != "" for t in some], bool), pc.binary_length(spaced).to_numpy(), 0)
-    sides = [_flat([x if t else [] for x, t in zip(s.tokenizer.encode(some), some, strict=True)], s) for s in (a, b)]
+    sides = [_flat(_encoded(some, s), s) for s in (a, b)]
     keep = (sides[0].size == size) & (sides[1].size == size)
     whole = np.frombuffer(spaced.buffers()[2], np.uint8)
     starts = np.concatenate([[0], np.cumsum(pc.binary_length(spaced).to_numpy())])[:-1]
