@@ -90,7 +90,7 @@ class Published:
             if whole:
                 kept = kept.alias("o").join(new.alias("n"), stay, "left_semi")
             listed = kept.unionByName(changed.withColumn(VERSION, F.lit(number).cast("long")))
-            listed.coalesce(1).write.mode("overwrite").parquet(f"{self.home}/manifests/{number}")  # a row for each part
+            listed.repartition(1).write.mode("overwrite").parquet(f"{self.home}/manifests/{number}")  # a row for each part; the joins before it keep their own tasks
             written = changed.count()
         finally:
             new.unpersist()
